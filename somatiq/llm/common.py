@@ -46,7 +46,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2_000_000, most_rows: int = 4096) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+#: Rows of an Arrow batch: whole texts are long, and a batch stands in memory on both sides.
+BATCH_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The table, with the session set to send texts to Python in batches of BATCH_ROWS rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
+def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1_000_000, most_rows: int = 4096) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into runs of whole rows of about ``most_bytes`` of text (one row may be longer).
 
     Yields (rows, bytes, offsets); null texts count as empty.

@@ -13,8 +13,8 @@ union; a query's overlap with the union bounds its overlap with every member, an
 qualify are opened and compared exactly. A large family is cut into blocks, and each pair of
 blocks is a task of its own. Links leave a task as a forest, so no pairs of a clique are listed.
 
-Hot tokens cost no gathered group: heavy ones are pre-aggregated and met by joins that Spark may
-split; all others are in boundedly many documents.
+Hot tokens cost no gathered group: the rows of heavy ones are salted, then pre-aggregated and met
+by joins that Spark may split; all others are in boundedly many documents.
 
 Edge cases: a null text, or one without words, has an empty set that links with nothing; fewer
 words than a shingle make one shingle of them all; equal texts share a component; repeated ids are
@@ -23,6 +23,7 @@ rows of their own; an empty table gives an empty result; extra columns are ignor
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, text_slices
+from .common import durable, small_batches, text_slices
 from .components import connected_components
 from .embeddings import groups_of
 from .textkern import TOKEN_BITS, distinct_sets, mix64, shingle_hashes, word_hashes
@@ -41,7 +42,11 @@ LEAST_HEAVY, MOST_HEAVY = 64, 150_000
 LOCAL_HEAVY = 3
 #: Prefix tokens beyond those that the filter needs, as a share of the set.
 EXTRA = 0.05
-BLOCK = 192
+#: Most sets of a block, and most of their tokens.
+BLOCK, BLOCK_TOKENS = 1024, 600_000
+#: Bytes of a token that travel to the comparison of two sets.
+SENT_BYTES = 6
+_U = np.uint64
 _HEAVY_BIT = np.uint64(1 << TOKEN_BITS)
 
 
@@ -73,7 +78,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool: list[np.ndarray] = []
@@ -132,21 +137,25 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
 
     keyed = rows.mapInArrow(prefixes, "key long, sid long, n int")
     is_heavy = F.col("key") >= F.lit(1 << TOKEN_BITS)
-    by_key = Window.partitionBy("key")
-    light = keyed.where(~is_heavy).withColumns({"lo": F.min("sid").over(by_key), "hi": F.max("sid").over(by_key)}).where("lo <> hi").select("key", "sid", "n")
-    hot_rows = durable(keyed.where(is_heavy).groupBy("key", "sid", "n").agg(F.lit(1).alias("one")).drop("one"), "jac-hot")
-    hot_keys = hot_rows.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
-    shared = durable(light.distinct().unionByName(hot_rows.join(hot_keys, "key")), "jac-shared")
+    # A light token counts for a set only if another set of a size that could link has it. A heavy
+    # one has company for certain; a salt spreads its rows.
+    reach = math.ceil(math.log(100 / percent) * 1e9) + 2
+    salted = keyed.withColumn("salt", F.when(is_heavy, F.pmod(F.col("sid"), F.lit(1024)).cast("int")).otherwise(0))
+    near = Window.partitionBy("key", "salt").orderBy((F.log(F.col("n").cast("double")) * 1e9).cast("long")).rangeBetween(-reach, reach)
+    shared = salted.withColumns({"lo": F.min("sid").over(near), "hi": F.max("sid").over(near)}).where(is_heavy | (F.col("lo") != F.col("hi"))).select("key", "sid", "n")
     # Linked sets share EXTRA of the smaller one's size, which is percent of the larger's at least.
+    # One exchange by set serves to drop rows of equal sets and to count.
     need = F.floor(F.lit(EXTRA) * F.ceil(F.col("n") * percent / 100)) + 1
-    enough = shared.groupBy("sid", "n").agg(F.count(F.lit(1)).alias("has")).where(F.col("has") >= need).select("sid")
-    kept = shared.join(enough, "sid")
+    once = shared.repartition("sid").groupBy("sid", "n", "key").agg(F.lit(1).alias("one"))
+    kept = once.withColumn("has", F.count("key").over(Window.partitionBy("sid"))).where(F.col("has") >= need)
     # Sizes of linked sets differ by one class at most; each set is in its class and the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    classed = durable(kept.withColumn("class", F.explode(F.array(size_class, size_class + 1))), "jac-classed")
-    leaders = classed.groupBy("key", "class").agg(F.min("sid").alias("leader"), F.max("sid").alias("hi")).where("leader <> hi").select("key", "class", "leader")
+    classed = durable(kept.select("key", "sid", F.explode(F.array(F.struct(size_class.alias("class"), F.lit(1).alias("own")), F.struct((size_class + 1).alias("class"), F.lit(0).alias("own")))).alias("at")).select("key", "sid", "at.*"), "jac-classed")
+    # Without a set of the class itself a family would repeat what the class below does.
+    leaders = classed.groupBy("key", "class").agg(F.min("sid").alias("leader"), F.max("sid").alias("hi"), F.max("own").alias("own")).where("leader <> hi and own = 1").select("key", "class", "leader")
     families = durable(classed.join(leaders, ["key", "class"]).select("leader", "class", "sid").distinct(), "jac-families")
-    sizes = families.groupBy("leader", "class").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
+    sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / per_block).cast("int")).drop("n")
     dealt = families.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     places = dealt.groupBy("sid").agg(F.collect_list(F.struct("leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")).alias("places"))
@@ -159,7 +168,8 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
             sid = np.array(part.column(0))
             same = set_ids(tokens, offsets) == sid  # a repeated id may stand for another text
             flat, cut = lists.flatten(), np.array(lists.offsets) - lists.offsets[0].as_py()
-            blobs = [tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            packed = np.ascontiguousarray((tokens >> _U(TOKEN_BITS - 8 * SENT_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SENT_BYTES])
+            blobs = [packed[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             own = np.repeat(np.arange(len(sid)), np.diff(cut))
             pick = np.flatnonzero(same[own])
             fields = [flat.field(f).take(pa.array(pick)) for f in range(5)]
@@ -167,7 +177,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                 part_own = own[pick[a : a + 500]]
                 yield pa.RecordBatch.from_arrays([*(f.slice(a, 500) for f in fields), pa.array(sid[part_own]), pa.array([blobs[i] for i in part_own.tolist()], pa.binary())], names=["leader", "class", "one", "two", "block", "sid", "tokens"])
 
-    texts = rows.join(wanted, F.col("doc_id") == F.col("owner")).select("sid", "places", "text")
+    texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "places", "text")
     tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, sid long, tokens binary")
     tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "sid")
 
@@ -177,7 +187,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                 continue
             sid, first = np.unique(np.array(group.column("sid")), return_index=True)
             block = np.array(group.column("block"))[first]
-            sets = [np.frombuffer(b, np.uint64) for b in group.column("tokens").take(pa.array(first)).to_pylist()]
+            sets = [unpack(b) for b in group.column("tokens").take(pa.array(first)).to_pylist()]
             one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
             a, b = linked_pairs(sets, np.flatnonzero(block == one), np.flatnonzero(block == two), percent)
             if len(a):
@@ -192,6 +202,13 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     return placed.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def unpack(blob: bytes) -> np.ndarray:
+    """Tokens from their SENT_BYTES highest bytes each."""
+    out = np.zeros((len(blob) // SENT_BYTES, 8), np.uint8)
+    out[:, :SENT_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, SENT_BYTES)
+    return out.reshape(-1).view(np.uint64)
+
+
 def linked_pairs(sets: list[np.ndarray], queries: np.ndarray, others: np.ndarray, percent: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, other) with 100 * intersection >= percent * union, by a token-group matrix."""
     n = np.array([len(s) for s in sets])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import small_batches, text_slices
 from .learn import label_sample
 from .textkern import mix64, shingle_hashes, word_hashes, word_starts
 
@@ -175,7 +175,7 @@ def _statistics_batches(batches: Iterator[pa.RecordBatch], column: str) -> Itera
 def train_quality(docs: DataFrame, labels: DataFrame, usable: Column, column: str = "quality", most: int = MOST_LABELLED) -> Trees:
     """Trees from the labelled documents that ``usable`` (over label_id) admits."""
     sample = F.broadcast(label_sample(labels, column, usable, most))
-    chosen = docs.select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("text")).join(sample, "label_id").select("label_id", "label", "text")
+    chosen = small_batches(docs).select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("text")).join(sample, "label_id").select("label_id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, x in _statistics_batches(batches, "text"):
@@ -196,4 +196,4 @@ def score_quality(docs: DataFrame, model: Trees, text_col: str = "text", name: s
         for rows, x in _statistics_batches(batches, text_col):
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.score(x))], names=[*fields, name])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, text_slices
+from .common import durable, small_batches, text_slices
 from .textkern import _LOWER, _SPACE, word_hashes
 
 END, BLANK = 10, 32
@@ -236,7 +236,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     train: a boolean expression over docs that says which rows are learned from.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), train.alias("train"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), train.alias("train"))
     counts = durable(corpus_counts(rows.where("train").select("text"), depth), "pst-counts")
     tree = fit_tree(counts, depth)
     words = counts.where("kind = 0")

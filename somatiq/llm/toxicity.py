@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import small_batches, text_slices
 from .learn import label_sample
 from .textkern import word_hashes
 
@@ -126,7 +126,7 @@ def fit_machine(terms: list[np.ndarray], y: np.ndarray, factors: int = 6, epochs
 def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, column: str = "toxic", most: int = MOST_LABELLED) -> Machine:
     """A machine from the labelled documents that ``usable`` (over label_id) admits."""
     sample = F.broadcast(label_sample(labels, column, usable, most))
-    chosen = docs.select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("text")).join(sample, "label_id").select("label_id", "label", "text")
+    chosen = small_batches(docs).select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("text")).join(sample, "label_id").select("label_id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,4 +154,4 @@ def score_toxicity(docs: DataFrame, model: Machine, text_col: str = "text", name
             for rows, data, offsets in text_slices(batch, text_col):
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.score(data, offsets))], names=[*fields, name])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
