@@ -17,6 +17,8 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import durable
+
 
 @functools.cache
 def _tables() -> tuple[str, str, list[tuple[str, str]], list[tuple[str, str]]]:
@@ -46,19 +48,30 @@ def _replace_all(text: Column, pairs: list[tuple[str, str]]) -> Column:
     return F.aggregate(packed, text, lambda acc, p: F.replace(acc, F.substring_index(p, "\x02", 1), F.substring_index(p, "\x02", -1)))
 
 
+#: White space beyond ASCII's that folding turns into a blank, and ASCII's own.
+_WIDE_BLANKS = "\u0085\u1680\u2028\u2029"
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
+
+#: Characters (already lower-cased) that folding may change or combine: all but ASCII and the
+#: commonest lower-case letters and marks of Western languages, which it certainly leaves alone.
+_UNSTABLE = "[^\\x00-\\x7fà-öø-ÿß¡¿«»]"
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text (null: empty)."""
     one_from, one_to, many, pairs = _tables()
     text = F.coalesce(text, F.lit(""))
     low = F.lower(text)
-    # ASCII needs no table; of the rest only texts that hold the characters in question pay for them.
-    wide = F.translate(low, one_from, one_to)
-    rare = "".join(c for c, _ in many)
-    wide = F.when(F.length(F.translate(wide, rare, "")) < F.length(wide), _replace_all(wide, many)).otherwise(wide)
-    marks = "".join(sorted({p[-1] for p, _ in pairs}))
-    wide = F.when(F.length(F.translate(wide, marks, "")) < F.length(wide), _replace_all(wide, pairs)).otherwise(wide)
-    folded = F.when(F.octet_length(text) == F.length(text), low).otherwise(wide)
-    return F.trim(F.regexp_replace(folded, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
+    # Only texts that hold characters in question pay for the tables.
+    rare, marks = "".join(c for c, _ in many), "".join(sorted({p[-1] for p, _ in pairs}))
+    wide = F.translate(low, one_from + _WIDE_BLANKS, one_to + " " * len(_WIDE_BLANKS))
+    wide = F.when(wide.rlike(f"[{rare}]"), _replace_all(wide, many)).otherwise(wide)
+    wide = F.when(wide.rlike(f"[{marks}]"), _replace_all(wide, pairs)).otherwise(wide)
+    folded = F.when((F.octet_length(text) == F.length(text)) | ~low.rlike(_UNSTABLE), low).otherwise(wide)
+    for c in _BLANKS:
+        folded = F.replace(folded, F.lit(c), F.lit(" "))
+    return F.trim(F.when(F.contains(folded, F.lit("  ")), F.regexp_replace(folded, " {2,}", " ")).otherwise(folded))
 
 
 def digest128(canon: Column) -> Column:
@@ -84,25 +97,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", "fingerprint", F.xxhash64(F.reverse("canon")).alias("check"), F.length("canon").alias("n")).join(proved, ["fingerprint", "check", "n"]).select("doc_id", "fingerprint", "variant", "group_id", "copies")
 
 
-def with_successor(rows: DataFrame, key: str, carried: list[str], block: int = 64, levels: int = 3) -> DataFrame:
+def with_successor(rows: DataFrame, key: str, carried: list[str], block: int = 1024) -> DataFrame:
     """Adds, for each carried column c, next_c of the row with the next greater key (last: the first).
 
-    Keys are cut into blocks of consecutive values. A window inside each block finds all
-    successors but the last row's; the few rows at block ends look theirs up among block heads,
-    whose own order is found in the same way on ever larger blocks. Rows with equal keys follow
-    each other in the order of the carried columns; null keys come after all others.
+    Keys are cut into blocks of consecutive values, and a window inside each block finds the
+    successors. The first rows of a block are sent to the block before it, too, so that its last
+    row finds its successor there; which rows these are follows from the keys alone. So carried
+    columns are shuffled once. Rows with equal keys follow each other in the order of the carried
+    columns; null keys come after all others.
     """
     at = F.coalesce(F.col(key), F.lit((1 << 63) - 1))
-    in_block = Window.partitionBy("block").orderBy("at", *carried)
-    blocked = rows.withColumn("at", at).withColumn("block", F.floor(F.col("at") / F.lit(block)).cast("long"))
-    seen = blocked.withColumns({f"next_{c}": F.lead(F.struct(c)).over(in_block) for c in carried} | {"place": F.row_number().over(in_block)})
-    inner = seen.where(F.col(f"next_{carried[0]}").isNotNull())
-    heads = seen.where("place = 1").select(F.col("block").alias("head_block"), *[F.struct(c).alias(f"head_{c}") for c in carried])
-    ends = seen.where(F.col(f"next_{carried[0]}").isNull()).drop(*[f"next_{c}" for c in carried])
-    link = _next_block(rows.select(F.floor(at / F.lit(block)).cast("long").alias("block")).distinct(), levels)
-    linked = ends.join(link, "block").join(heads, F.col("next_block") == F.col("head_block")).select(*inner.columns[: len(rows.columns)], *[F.col(f"head_{c}").alias(f"next_{c}") for c in carried])
-    whole = inner.select(linked.columns).unionByName(linked)
-    return whole.select(*rows.columns, *[F.col(f"next_{c}")[c].alias(f"next_{c}") for c in carried])
+    place = lambda c: F.floor(c / F.lit(block)).cast("long")
+    keys = rows.select(at.alias("at"))
+    heads = keys.groupBy(place(F.col("at")).alias("block")).agg(F.min("at").alias("head"))
+    links = _next_block(heads.select("block"), 1)
+    before = durable(links.join(heads.withColumnRenamed("block", "of"), F.col("next_block") == F.col("of")).select("head", F.col("block").alias("previous")), "fp-heads")
+    met = rows.withColumn("at", at).join(before, F.col("at") == F.col("head"), "left")
+    sent = F.array_compact(F.array(F.struct(place(F.col("at")).alias("block"), F.lit(False).alias("copy")), F.when(F.col("previous").isNotNull(), F.struct(F.col("previous").alias("block"), F.lit(True).alias("copy")))))
+    dealt = met.withColumn("to", F.explode(sent)).select(*rows.columns, "at", "to.block", "to.copy")
+    w = Window.partitionBy("block").orderBy("copy", "at", *carried)
+    # The first row of a copied tie is the successor; the others of the tie follow it in its own block.
+    seen = dealt.withColumns({f"next_{c}": F.lead(F.struct(c)).over(w) for c in carried}).where("not copy")
+    return seen.select(*rows.columns, *[F.col(f"next_{c}")[c].alias(f"next_{c}") for c in carried])
 
 
 def _next_block(blocks: DataFrame, levels: int, factor: int = 1024) -> DataFrame:
@@ -125,12 +141,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Edited: the last floor(n/2) code points give way to the first as many of the next document.
     Equal fingerprints count as alike only if the canonical texts are equal byte for byte.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("fingerprint", fingerprint(F.col("text")))
-    linked = with_successor(rows, "doc_id", ["text", "fingerprint"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("canon", canonical(F.col("text"))).withColumn("fingerprint", digest128(F.col("canon"))).drop("canon")
+    linked = with_successor(rows, "doc_id", ["fingerprint", "text"])
     n = F.length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     edited = linked.withColumns({"n_chars": n, "edited": F.concat(F.left("text", (n - half).cast("int")), F.left("next_text", half))})
-    edited = edited.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    edited = edited.withColumn("canon", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest128(F.col("canon"))).drop("canon")
     alike = lambda a, b, x, y: F.when((F.col(a) == F.col(b)) & (canonical(F.col(x)) == canonical(F.col(y))), F.lit(1.0)).otherwise(F.lit(0.0))
     return edited.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
