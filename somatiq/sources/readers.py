@@ -24,10 +24,16 @@ def key_parts(key: str) -> dict[str, str | None]:
     return {"source": parts[0], "type": parts[1], "modality": parts[2] if len(parts) == 4 else None, "name": parts[-1]}
 
 
+def key_path(root: str, key: str) -> str:
+    """Where a key's dataset lies; annotations lie beside the dataset they belong to, not inside it."""
+    key = key.strip("/")
+    return f"{root.rstrip('/')}/" + (key[: -len("/annotations")] + ".annotations" if key.endswith("/annotations") else key)
+
+
 def read_key(spark: SparkSession, root: str, key: str) -> DataFrame | None:
     """The dataset of a key, or None if there is none."""
     try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{key.strip('/')}")
+        return spark.read.parquet(key_path(root, key))
     except AnalysisException:
         return None
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.population import union_all
+from .readers import key_path
 
 
 def store_key(df: DataFrame, root: str, key: str, annotations: DataFrame | None = None, partition: str | None = "file_id") -> None:
@@ -15,7 +16,7 @@ def store_key(df: DataFrame, root: str, key: str, annotations: DataFrame | None
             writer = frame.write.mode("overwrite")
             if partition:
                 writer = writer.partitionBy(partition)
-            writer.parquet(f"{root.rstrip('/')}/{at.strip('/')}")
+            writer.parquet(key_path(root, at))
 
 
 def write_population(tables: list[DataFrame | None], path: str, single: bool = True) -> None:
