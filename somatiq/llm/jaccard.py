@@ -37,7 +37,7 @@ from .embeddings import groups_of
 from .textkern import TOKEN_BITS, distinct_sets, mix64, shingle_hashes, word_hashes
 
 #: A token is heavy if this many documents have it, and more if that makes more than MOST_HEAVY.
-LEAST_HEAVY, MOST_HEAVY = 64, 150_000
+LEAST_HEAVY, MOST_HEAVY = 64, 1_000_000
 #: Documents of a map task that must share a token before the task reports it as a heavy one.
 LOCAL_HEAVY = 3
 #: Prefix tokens beyond those that the filter needs, as a share of the set.
@@ -147,13 +147,16 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     # One exchange by set serves to drop rows of equal sets and to count.
     need = F.floor(F.lit(EXTRA) * F.ceil(F.col("n") * percent / 100)) + 1
     once = shared.repartition("sid").groupBy("sid", "n", "key").agg(F.lit(1).alias("one"))
-    kept = once.withColumn("has", F.count("key").over(Window.partitionBy("sid"))).where(F.col("has") >= need)
+    kept = once.withColumn("has", F.count("key").over(Window.partitionBy("sid"))).withColumn("need", need).where("has >= need")
     # Sizes of linked sets differ by one class at most; each set is in its class and the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    classed = durable(kept.select("key", "sid", F.explode(F.array(F.struct(size_class.alias("class"), F.lit(1).alias("own")), F.struct((size_class + 1).alias("class"), F.lit(0).alias("own")))).alias("at")).select("key", "sid", "at.*"), "jac-classed")
+    classed = durable(kept.select("key", "sid", "need", F.explode(F.array(F.struct(size_class.alias("class"), F.lit(1).alias("own")), F.struct((size_class + 1).alias("class"), F.lit(0).alias("own")))).alias("at")).select("key", "sid", "need", "at.*"), "jac-classed")
     # Without a set of the class itself a family would repeat what the class below does.
     leaders = classed.groupBy("key", "class").agg(F.min("sid").alias("leader"), F.max("sid").alias("hi"), F.max("own").alias("own")).where("leader <> hi and own = 1").select("key", "class", "leader")
-    families = durable(classed.join(leaders, ["key", "class"]).select("leader", "class", "sid").distinct(), "jac-families")
+    # All tokens that two linked sets share lie in one class: there, too, a set needs enough of them.
+    placed = classed.join(leaders, ["key", "class"]).groupBy("sid", "class", "need", "leader").agg(F.count(F.lit(1)).alias("n"))
+    placed = placed.withColumn("has", F.sum("n").over(Window.partitionBy("sid", "class"))).where("has >= need")
+    families = durable(placed.select("leader", "class", "sid"), "jac-families")
     per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
     sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / per_block).cast("int")).drop("n")
     dealt = families.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
@@ -197,9 +200,9 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
 
     links = tasks.mapInArrow(open_groups, "a long, b long")
     component = connected_components(links).withColumnRenamed("node", "sid")
-    placed = durable(members.join(component, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("root")), "jac-placed")
-    smallest = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    told = durable(members.join(component, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("root")), "jac-told")
+    smallest = told.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def unpack(blob: bytes) -> np.ndarray:
