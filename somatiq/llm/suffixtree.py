@@ -4,9 +4,9 @@ Symbols are the UTF-8 bytes of lower-cased words, a blank after each word and on
 without words is its end mark. Over all training documents, runs of depth + 1 symbols are counted;
 contexts of every length up to the depth that are frequent enough (a share of all symbols, which
 bounds their number) are candidates. A context is retained if its next-symbol distribution
-diverges from that of its suffix by more than a BIC penalty, as are the suffixes of retained
-contexts. Distributions are smoothed by Witten-Bell back-off to the suffix, down to all 256 bytes,
-and sum to one. For scoring, an automaton holds the longest retained suffix at each place; many
+diverges from that of its suffix by more than a penalty for each next symbol, as are the suffixes
+of retained contexts. Distributions are smoothed by Witten-Bell back-off to the suffix, down to all
+256 bytes, and sum to one. For scoring, an automaton holds the longest retained suffix at each place; many
 lanes of the stream move through it in step.
 
 Beside the model's score there is a unigram base: its word counts are corpus statistics too. Words
@@ -34,6 +34,10 @@ END, BLANK = 10, 32
 DEPTH = 5
 #: Least share of all symbols that a context needs: at most 1 / share contexts of each length.
 LEAST_SHARE = 2e-6
+#: Divergence (in nats over all occurrences) that a context needs, per next symbol and log count.
+PENALTY = 0.1
+#: Weight of the suffix's distribution, per next symbol.
+BACK_OFF = 4.0
 #: Least share of all tokens of a common word: at most 1 / share words.
 COMMON_SHARE = 5e-6
 
@@ -163,7 +167,7 @@ def learn_tree(context: np.ndarray, length: np.ndarray, symbol: np.ndarray, coun
     order = np.lexsort((symbol, context, length))
     context, length, symbol, count = context[order], length[order], symbol[order], count[order]
     cut = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (length[1:] != length[:-1])]) if len(context) else np.zeros(0, np.int64)
-    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(context)], strict=True):
+    for a, b in zip(cut.tolist(), np.append(cut, len(context))[1:].tolist() if len(cut) else [], strict=True):
         groups[int(length[a]), int(context[a])] = (column[symbol[a:b]], count[a:b].astype(float))
     uniform = share / 256
     top_cols, top_counts = groups.get((0, 0), (np.zeros(0, np.int64), np.zeros(0)))
@@ -182,12 +186,12 @@ def learn_tree(context: np.ndarray, length: np.ndarray, symbol: np.ndarray, coun
             if below is None:
                 continue
             n, k = counts.sum(), len(counts)
-            p = k * below
+            p = BACK_OFF * k * below
             p[cols] += counts
-            p /= n + k
+            p /= n + BACK_OFF * k
             dist[size, code] = p
             gain = float((counts * np.log(counts / n / below[cols])).sum())
-            if gain > 0.5 * k * np.log(n):
+            if gain > PENALTY * k * np.log(n):
                 at = (size, code)
                 while at not in retained:
                     retained.add(at)
