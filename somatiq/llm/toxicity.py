@@ -28,7 +28,9 @@ from .textkern import word_hashes
 BUCKET_BITS = 18
 MOST_LABELLED = 16_000
 MOST_TERMS = 2048
-LEAST_DOCS = 6
+LEAST_DOCS = 3
+#: Weight of a toxic document in the loss: they are few, and a missed one costs more.
+TOXIC_WEIGHT = 3.0
 
 
 def hashed_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +107,7 @@ def fit_machine(terms: list[np.ndarray], y: np.ndarray, factors: int = 6, epochs
             sums = np.stack([np.bincount(local, theta[t, k], len(rows)) for k in range(factors + 1)], 1)
             squares = np.stack([np.bincount(local, theta[t, k] ** 2, len(rows)) for k in range(1, factors + 1)], 1)
             z = w0 + sums[:, 0] + 0.5 * (sums[:, 1:] ** 2 - squares).sum(1)
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) * np.where(y[rows] == 1, TOXIC_WEIGHT, 1.0) / len(rows)
             grad = np.empty_like(theta)
             grad[:, 0] = np.bincount(t, g[local], n)
             for k in range(1, factors + 1):
