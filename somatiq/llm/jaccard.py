@@ -201,7 +201,8 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     links = tasks.mapInArrow(open_groups, "a long, b long")
     component = connected_components(links).withColumnRenamed("node", "sid")
     told = durable(members.join(component, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("root")), "jac-told")
-    smallest = told.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join below shuffles both sides itself and may split a hot component.
+    smallest = durable(told.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jac-smallest")
     return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

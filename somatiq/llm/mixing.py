@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 from .common import durable
 
+#: Most sources whose table is sent to every task.
+MOST_BROADCAST = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -83,7 +85,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
         T.StructType([T.StructField("no_source", T.BooleanType()), T.StructField("source_key", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("quota", T.LongType()), T.StructField("shards", T.IntegerType())]),
     )
     keyed = sized.withColumns({"no_source": F.col("source").isNull(), "source_key": F.coalesce("source", F.lit("")), "draw": F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))})
-    dealt = keyed.join(table, ["no_source", "source_key"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("shards")).cast("int"))
+    # A few sources: their rows go to the documents; with very many, a join of the two deals them out.
+    dealt = keyed.join(F.broadcast(table) if len(by_source) <= MOST_BROADCAST else table, ["no_source", "source_key"]).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("shards")).cast("int"))
     key = ["no_source", "source_key", "shard"]
     # Quotas of the shards: a source's seats go to its shards by the same rule, in closed form from
     # the divisor; what rounding leaves over goes to the next highest quotients.

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bits of a digest in hexadecimal digits that the join uses.
 SHORT = 8
+#: Most rules of a list that are sent to every task; longer ones, and tables, are joined by size.
+MOST_BROADCAST = 50_000
 
 
 def url_host(url: Column) -> Column:
@@ -37,6 +39,7 @@ def _host_suffixes(host: Column) -> Column:
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict for each row of pages; rules: (host, path, allow or block)."""
     spark = pages.sparkSession
+    few = not isinstance(rules, DataFrame) and len(rules) <= MOST_BROADCAST
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(rules, "host string, path string, action string")
     rules = rules.where(F.col("host").isNotNull() & F.col("action").isNotNull()).select(
@@ -54,7 +57,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
     prefixes = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(lengths)]), lambda p: p.isNotNull())
     expressions = urls.select("url", F.explode(_host_suffixes(F.col("host"))).alias("suffix"), prefixes.alias("prefixes")).select("url", "suffix", F.explode("prefixes").alias("prefix"))
     digested = expressions.select("url", F.sha2(F.concat_ws("\n", "suffix", "prefix"), 256).alias("digest")).withColumn("short", F.substring("digest", 1, SHORT))
-    hits = digested.join(marked, "short").where(F.col("digest") == F.col("rule_digest"))
+    hits = digested.join(F.broadcast(marked) if few else marked, "short").where(F.col("digest") == F.col("rule_digest"))
     best = hits.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "action")).alias("best")).select(F.col("url").alias("hit_url"), "best")
     return rows.join(best, F.col("url") == F.col("hit_url"), "left").select(
         "page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict")
