@@ -22,7 +22,8 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if links.isEmpty():
             break
         both = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to")))
-        step = both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to"))
+        # Written before it meets itself, so that the join shuffles both sides and may split a hot label.
+        step = durable(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to")), "cc-least")
         # Follow the labels twice: a -> b -> c becomes a -> c.
         for _ in range(2):
             far = step.select(F.col("node").alias("via"), F.col("to").alias("far"))
