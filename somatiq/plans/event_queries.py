@@ -166,9 +166,9 @@ def survey_reports(spark: SparkSession, sf: str) -> DataFrame:
 _GROUPS = ", ".join(f"('vr-meta-{g}', '{r}')" for g, refs in survey.META_GROUPS.items() for r in refs)
 
 
-@query(f"{_REP}, g(meta, ref) AS (VALUES {_GROUPS}) SELECT file_id, id, meta AS reference, round(avg(value), 5) AS value FROM r JOIN g ON r.reference = g.ref GROUP BY file_id, id, meta")
+@query(f"{_REP}, g(meta, ref) AS (VALUES {_GROUPS}) SELECT file_id, id, meta AS reference, round(avg(value) + 1e-9, 5) AS value FROM r JOIN g ON r.reference = g.ref GROUP BY file_id, id, meta")
 def survey_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return survey.meta_features(survey.report_features(_reports(spark, sf))).withColumn("value", F.round("value", 5))
+    return survey.meta_features(survey.report_features(_reports(spark, sf))).withColumn("value", F.round(F.col("value") + 1e-9, 5))
 
 
 @query("""WITH e AS (SELECT user_id AS file_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) SELECT file_id, bool_and(coalesce(before <= ts, TRUE)) AS monotonic FROM e GROUP BY file_id""")

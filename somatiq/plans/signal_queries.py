@@ -245,10 +245,10 @@ def respiration_cycles(spark: SparkSession, sf: str) -> DataFrame:
 _RESP = {"AMPmean": "avg(amplitude)", "AMPmax": "max(amplitude)", "AMPmin": "min(amplitude)", "AMPsd": "stddev_samp(amplitude)", "PERIODmean": "avg(ie_duration)", "PERIODsd": "stddev_samp(ie_duration)", "INSPImean": "avg(i_duration)", "EXPImean": "avg(e_duration)", "IEmean": "avg(ie_ratio)"}
 
 
-@query(_CYC + f", {SEQ} SELECT q.file_id, q.id AS reference, " + ", ".join(f'round({v}, 4) AS "{k}"' for k, v in _RESP.items()) + " FROM seq q LEFT JOIN cyc c ON c.file_id = q.file_id AND c.ts BETWEEN q.b AND q.e GROUP BY q.file_id, q.id")
+@query(_CYC + f", {SEQ} SELECT q.file_id, q.id AS reference, " + ", ".join(f'round({v} + 1e-9, 4) AS "{k}"' for k, v in _RESP.items()) + " FROM seq q LEFT JOIN cyc c ON c.file_id = q.file_id AND c.ts BETWEEN q.b AND q.e GROUP BY q.file_id, q.id")
 def respiration_features(spark: SparkSession, sf: str) -> DataFrame:
     got = respiration.features(respiration.cycles(respiration.extrema(samples(spark, sf), "value")), sequences(spark, sf))
-    return got.withColumns({c: F.round(c, 4) for c in _RESP})
+    return got.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in _RESP})
 
 
 @query()
