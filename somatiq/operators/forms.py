@@ -30,18 +30,22 @@ def resolve_refs(node: Any, root: Any = None) -> Any:
 
 
 def config_rows(config: dict) -> list[tuple]:
-    """A scoring tree as rows of CONFIG_SCHEMA; checks operators and repeated names."""
+    """A scoring tree as rows of CONFIG_SCHEMA; checks operators and repeated names.
+
+    ``operation`` (sum, the default, or mean) and ``field_ref`` may also be called ``operator`` and ``ref``.
+    """
+    op = lambda node: node.get("operation", node.get("operator", "sum"))
     tree, rows, names = resolve_refs(config), [], []
     for domain in tree.get("domains", []):
         names.append(domain["name"])
         for dim in domain.get("dimensions", []):
             names.append(dim["name"])
             for node in (domain, dim):
-                if node.get("operator", "sum") not in ("sum", "mean"):
-                    raise FormError(f"unknown operator {node['operator']}")
+                if op(node) not in ("sum", "mean"):
+                    raise FormError(f"unknown operation {op(node)}")
             for q in dim.get("questions", []):
                 mapping = q.get("value_map")
-                rows.append((domain["name"], domain.get("operator", "sum"), dim["name"], dim.get("operator", "sum"), q["ref"], bool(q.get("reverse", False)), {str(k): float(v) for k, v in mapping.items()} if mapping else None))
+                rows.append((domain["name"], op(domain), dim["name"], op(dim), q.get("field_ref", q.get("ref")), bool(q.get("reverse", False)), {str(k): float(v) for k, v in mapping.items()} if mapping else None))
     repeated = {n for n in names if names.count(n) > 1}
     if repeated:
         raise FormError(f"repeated names: {sorted(repeated)}")
@@ -131,6 +135,12 @@ def score_ranges(config: DataFrame, ranges: DataFrame) -> DataFrame:
     return dims.select("domain", "dimension", "low", "high").unionByName(doms.select("domain", F.lit(None).cast("string").alias("dimension"), "low", "high"))
 
 
+def user_hash(responses: DataFrame, hidden: str = "hidden") -> DataFrame:
+    """Adds the user's hash from the hidden fields (a struct with ``id``, or its JSON)."""
+    kind = responses.schema[hidden].dataType.simpleString()
+    return responses.withColumn("user_hash", F.get_json_object(hidden, "$.id") if kind == "string" else F.col(f"{hidden}.id"))
+
+
 def unique_responses(responses: DataFrame, order: str = "submitted_at") -> DataFrame:
     """First response of each token, those without answers left out."""
     return responses.where("answers is not null").groupBy("token").agg(F.min_by(F.struct(*[c for c in responses.columns if c != "token"]), order).alias("__r")).select("token", "__r.*")

@@ -140,6 +140,19 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
     return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(candidates)}, ts timestamp_ntz, value double, threshold double")
 
 
+def prominent_peaks(signals: DataFrame, column: str, prominence: float = 0.4, width: float = 10) -> DataFrame:
+    """file_id, ts, value, prominence of peaks of the min-max scaled signal; widths in samples."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        x = np.nan_to_num(pdf[column].to_numpy(float))
+        p = filters.find_peaks((x - x.min()) / ((x.max() - x.min()) or 1.0), prominence=prominence, width=width)
+        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": pdf["ts"].to_numpy()[p["index"]], "value": x[p["index"]], "prominence": p["prominence"]})
+
+    told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
+    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, prominence double")
+
+
 def per_file(signals: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], out: str) -> DataFrame:
     """file_id, ts, column, out: a numpy kernel over each file's samples in time order."""
 

@@ -91,6 +91,11 @@ def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, F
     return told.where(F.col("value").isNotNull() | (F.col("status") != "ok"))
 
 
+def lead_columns(df: DataFrame, *first: str) -> DataFrame:
+    """The named columns first, then the others in their order."""
+    return df.select(*first, *[c for c in df.columns if c not in first])
+
+
 def melt(wide: DataFrame, by: list[str]) -> DataFrame:
     return wide.unpivot(by, [c for c in wide.columns if c not in by], "id", "value")
 

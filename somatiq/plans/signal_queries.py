@@ -269,6 +269,11 @@ def ppg_clean(spark: SparkSession, sf: str) -> DataFrame:
     return banded.select("file_id", us("ts"), signal.scaled("value_filtered", "robust").alias("clean"))
 
 
+@query()
+def ppg_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    return signal.prominent_peaks(samples(spark, sf), "value", 0.4, 1).select("file_id", us("ts"), "value", "prominence")
+
+
 @query()
 def pchip_fill(spark: SparkSession, sf: str) -> DataFrame:
     return signal.fill_gaps(_gsr_raw(spark, sf), "x").select("file_id", us("ts"), "x", "x_clean")

@@ -16,6 +16,16 @@ def list_files(spark: SparkSession, base: str, pattern: str = "*", limit: int |
     return found.limit(limit) if limit is not None else found
 
 
+def retrieve(spark: SparkSession, base: str, catalog: DataFrame, pattern: str = "*") -> DataFrame:
+    """file_id, path, fresh: local copies of catalog files (file_id, filename, checksum), and whether they are the catalog's.
+
+    Content is hashed where it is read; only names and digests are joined.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(base)
+    local = found.select("path", F.substring_index("path", "/", -1).alias("__name"), F.md5("content").alias("__md5"))
+    return catalog.join(local, F.col("filename") == F.col("__name"), "left").select("file_id", "path", F.coalesce(F.col("__md5") == F.col("checksum"), F.lit(False)).alias("fresh"))
+
+
 def key_parts(key: str) -> dict[str, str | None]:
     """source, type, modality and name of a key /source/type[/modality]/name."""
     parts = [p for p in key.split("/") if p]

@@ -101,6 +101,14 @@ def test_sources_and_sinks(spark, tmp_path):
         population.merge_groups(groups)
 
 
+def test_retrieve_checks_content(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("hello")
+    (tmp_path / "b.txt").write_text("stale")
+    md5 = "5d41402abc4b2a76b9719d911017c592"
+    catalog = spark.createDataFrame([(1, "a.txt", md5), (2, "b.txt", md5), (3, "c.txt", md5)], "file_id int, filename string, checksum string")
+    assert {r.file_id: r.fresh for r in readers.retrieve(spark, str(tmp_path), catalog).collect()} == {1: True, 2: False, 3: False}
+
+
 def test_metadata_helpers():
     assert metadata.is_subset({"a": {"b": 1}}, {"a": {"b": 1, "c": 2}}) and not metadata.is_subset({"a": 1}, {"a": 2})
     assert json.loads(metadata.put_path('{"a": {"b": 1}}', ["a", "c"], 2)) == {"a": {"b": 1, "c": 2}}

@@ -8,8 +8,8 @@ ANSWERS = [("r", "nested1", "1 à 2 fois"), ("r", "nested2", "Tous les jours"),
 
 
 def config(op, reverse):
-    q = lambda ref, m=None: {"ref": ref, "reverse": reverse, **({"value_map": m} if m else {})}
-    return {"domains": [{"name": "d", "operator": op, "dimensions": [{"name": "one", "operator": op, "questions": [q("nested1", MAP), q("nested2", MAP)]}, {"name": "two", "operator": op, "questions": [q("scale1"), q("scale2"), q("scale3")]}]}]}
+    q = lambda ref, m=None: {"field_ref": ref, "reverse": reverse, **({"value_map": m} if m else {})}
+    return {"domains": [{"name": "d", "operation": op, "dimensions": [{"name": "one", "operator": op, "questions": [q("nested1", MAP), q("nested2", MAP)]}, {"name": "two", "operator": op, "questions": [q("scale1"), q("scale2"), q("scale3")]}]}]}
 
 
 @pytest.mark.parametrize(("op", "reverse", "one", "two", "d"), [("sum", False, 6, 7, 13), ("sum", True, 4, 15, 19), ("mean", False, 3, 7 / 3, (3 + 7 / 3) / 2), ("mean", True, 2, 5, 3.5)])
@@ -41,7 +41,7 @@ def test_config_errors_and_refs():
     with pytest.raises(forms.FormError):
         forms.resolve_refs({"c": {"$ref": "#/x"}})
     bad = config("sum", False)
-    bad["domains"][0]["operator"] = "max"
+    bad["domains"][0]["operation"] = "max"
     with pytest.raises(forms.FormError):
         forms.config_rows(bad)
     twice = config("sum", False)
@@ -59,3 +59,11 @@ def test_question_range(spark):
     rows = spark.createDataFrame([("opinion_scale", True, 11, None), ("opinion_scale", False, 5, None), ("multiple_choice", None, None, {"a": 0.0, "b": 5.0}), ("text", None, None, None)], "t string, o boolean, s int, m map<string,double>")
     low, high = forms.question_range(rows.t, rows.o, rows.s, rows.m)
     assert [tuple(r) for r in rows.select(low, high).collect()] == [(1.0, 11.0), (0.0, 4.0), (0.0, 5.0), (None, None)]
+
+
+def test_yaml_config_and_user_hash(spark, tmp_path):
+    path = tmp_path / "form.yaml"
+    path.write_text("definitions: {maps: {m: {a: 1, b: 2}}}\ndomains:\n- name: d\n  operation: mean\n  dimensions:\n  - name: one\n    questions:\n    - field_ref: x\n      value_map: {$ref: '#/definitions/maps/m'}\n    - field_ref: y\n      reverse: true\n")
+    assert forms.load_config(str(path)) == [("d", "mean", "one", "sum", "x", False, {"a": 1.0, "b": 2.0}), ("d", "mean", "one", "sum", "y", True, None)]
+    df = spark.createDataFrame([(1, '{"id": "u"}')], "r int, hidden string")
+    assert forms.user_hash(df).first().user_hash == "u"
