@@ -124,7 +124,7 @@ class SuffixTree:
 
     column: np.ndarray  # byte -> column
     step: np.ndarray  # (states, columns) int32
-    log10p: np.ndarray  # (states, columns) float64
+    log10p: np.ndarray  # (states, columns) float32
     depth: int
     contexts: int
 
@@ -163,39 +163,49 @@ def learn_tree(context: np.ndarray, length: np.ndarray, symbol: np.ndarray, coun
     column[seen] = np.arange(len(seen))
     width = len(seen) + 1  # the last column stands for each of the other bytes
     share = np.append(np.ones(len(seen)), 1.0)
-    groups: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     order = np.lexsort((symbol, context, length))
     context, length, symbol, count = context[order], length[order], symbol[order], count[order]
     cut = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (length[1:] != length[:-1])]) if len(context) else np.zeros(0, np.int64)
-    for a, b in zip(cut.tolist(), np.append(cut, len(context))[1:].tolist() if len(cut) else [], strict=True):
-        groups[int(length[a]), int(context[a])] = (column[symbol[a:b]], count[a:b].astype(float))
+    stop = np.append(cut, len(context))[1:] if len(cut) else cut
+    #: Rows of each context.
+    rows = {(n, c): (a, b) for n, c, a, b in zip(length[cut].tolist(), context[cut].tolist(), cut.tolist(), stop.tolist(), strict=True)}
+    cols = column[symbol]
+
+    def parent(at: tuple[int, int]) -> tuple[int, int]:
+        return at[0] - 1, at[1] & ((1 << 8 * (at[0] - 1)) - 1)
+
+    def blend(at: tuple[int, int], below: np.ndarray) -> np.ndarray:
+        a, b = rows[at]
+        n, k = count[a:b].sum(), b - a
+        weight = BACK_OFF * k if at[0] else k
+        p = weight * below
+        p[cols[a:b]] += count[a:b]
+        return p / (n + weight)
+
     uniform = share / 256
-    top_cols, top_counts = groups.get((0, 0), (np.zeros(0, np.int64), np.zeros(0)))
-    dist: dict[tuple[int, int], np.ndarray] = {}
-    total, kinds = top_counts.sum(), max(len(top_counts), 1)
-    root = kinds * uniform
-    root[top_cols] += top_counts
-    dist[0, 0] = root / (total + kinds)
+    top = blend((0, 0), uniform) if (0, 0) in rows else uniform
     retained: set[tuple[int, int]] = {(0, 0)}
+    # Level by level; only the distributions of the level before are held.
+    last: dict[tuple[int, int], np.ndarray] = {(0, 0): top}
     for size in range(1, depth + 1):
-        for (own, code), (cols, counts) in groups.items():
-            if own != size or (code >> (8 * (size - 1))) == 0:
+        held: dict[tuple[int, int], np.ndarray] = {}
+        for at, (a, b) in rows.items():
+            if at[0] != size or (at[1] >> (8 * (size - 1))) == 0:
                 continue
-            parent = (size - 1, code & ((1 << 8 * (size - 1)) - 1))
-            below = dist.get(parent)
+            below = last.get(parent(at))
             if below is None:
                 continue
-            n, k = counts.sum(), len(counts)
-            p = BACK_OFF * k * below
-            p[cols] += counts
-            p /= n + BACK_OFF * k
-            dist[size, code] = p
-            gain = float((counts * np.log(counts / n / below[cols])).sum())
+            if size < depth:
+                held[at] = blend(at, below).astype(np.float32)
+            n, k = count[a:b].sum(), b - a
+            gain = float((count[a:b] * np.log(count[a:b] / n / below[cols[a:b]])).sum())
             if gain > PENALTY * k * np.log(n):
-                at = (size, code)
-                while at not in retained:
-                    retained.add(at)
-                    at = (at[0] - 1, at[1] & ((1 << 8 * (at[0] - 1)) - 1))
+                up = at
+                while up not in retained:
+                    retained.add(up)
+                    up = parent(up)
+        last = held
+    last = held = {}
     # The automaton: a trie of the retained contexts, oldest symbol first, with failure links.
     def oldest_first(at: tuple[int, int]) -> bytes:
         return at[1].to_bytes(8, "little")[: at[0]][::-1]
@@ -206,19 +216,19 @@ def learn_tree(context: np.ndarray, length: np.ndarray, symbol: np.ndarray, coun
     number = {s: i for i, s in enumerate(names)}
     context_of = {oldest_first(at): at for at in retained}
     step = np.zeros((len(names), width), np.int32)
-    probs = np.empty((len(names), width))
+    probs = np.empty((len(names), width), np.float32)
     for i, s in enumerate(names):  # short names first: the failure node is known
         if not s:
-            probs[i] = dist[0, 0]
-            fail = 0
+            probs[i] = top
         else:
             fail = next(number[s[j:]] for j in range(1, len(s) + 1) if s[j:] in number)
-            probs[i] = dist[context_of[s]] if s in context_of else probs[fail]
+            # The suffix of a retained context is retained, and so is the failure node.
+            probs[i] = blend(context_of[s], probs[fail]) if s in context_of else probs[fail]
             step[i] = step[fail]
         own = [c for c in seen.tolist() if s + bytes([c]) in number]
         if own:
             step[i, column[own]] = [number[s + bytes([c])] for c in own]
-    return SuffixTree(column, step, np.log10(probs), depth, len(retained))
+    return SuffixTree(column, step, np.log10(probs, out=probs), depth, len(retained))
 
 
 def fit_tree(counts: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> SuffixTree:
@@ -229,7 +239,7 @@ def fit_tree(counts: DataFrame, depth: int = DEPTH, least_share: float = LEAST_S
     masked = runs.select(lengths.alias("length"), "key", "n").select("length", F.expr("key & (shiftleft(1L, 8 * (length + 1)) - 1)").alias("run"), "n")
     pairs = masked.groupBy("length", "run").agg(F.sum("n").alias("n")).select("length", F.shiftright("run", 8).alias("context"), F.expr("run & 255").alias("symbol"), "n")
     pairs = durable(pairs, "pst-pairs")
-    frequent = pairs.groupBy("length", "context").agg(F.sum("n").alias("all")).where(F.col("all") >= least_share * total).select("length", "context")
+    frequent = pairs.groupBy("length", "context").agg(F.sum("n").alias("all")).where(F.col("all") >= max(2, least_share * total)).select("length", "context")
     got = pairs.join(frequent, ["length", "context"]).toArrow()
     return learn_tree(*(np.array(got.column(c)).astype(np.int64) for c in ("context", "length", "symbol", "n")), depth)
 
