@@ -6,8 +6,8 @@ depth, however long a chain is); each root's best branches become one conversati
 template marks turns, escapes control strings inside texts reversibly, and lists the spans that
 the loss covers (the assistant's texts).
 
-Edge cases: a null text is empty, a null role is ``user``; a parent that doesn't exist, and each
-node of a cycle, makes a root of its node; repeated rows of a turn follow each other by role and
+Edge cases: a null text is empty, a null role is ``user``; a node whose parent doesn't exist, and
+each node in or under a cycle, is a root; repeated rows of a turn follow each other by role and
 text; a conversation without an assistant has an empty mask; an empty table gives an empty result.
 """
 
@@ -53,28 +53,36 @@ def reply_branches(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     """
     ids = nodes.select("node_id", "parent_id", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     known = ids.select(F.col("node_id").alias("p"))
-    jump = durable(ids.join(known, F.col("parent_id") == F.col("p"), "left").select("node_id", F.col("p").alias("up"), F.lit(1).alias("step"), "score"), "chat-nodes")
-    levels = [jump.select("node_id", "up")]
-    most = 40
-    while most and not jump.where("up is not null").isEmpty():
-        above = jump.select(F.col("node_id").alias("a"), F.col("up").alias("a_up"), F.col("score").alias("a_score"))
-        jump = durable(jump.join(above, F.col("up") == F.col("a"), "left").select("node_id", F.col("a_up").alias("up"), (F.col("score") + F.coalesce("a_score", F.lit(0.0))).alias("score"), F.col("step")), "chat-jump")
-        levels.append(jump.select("node_id", "up"))
-        most -= 1
-    # Depth and root: from the highest jump down, each node takes every jump that exists.
-    place = ids.select("node_id", F.col("node_id").alias("root_id"), F.lit(0).cast("long").alias("depth"))
-    for k in range(len(levels) - 1, -1, -1):
-        hop = levels[k].select(F.col("node_id").alias("a"), "up").where("up is not null")
-        place = place.join(hop, F.col("root_id") == F.col("a"), "left").select("node_id", F.coalesce("up", "root_id").alias("root_id"), (F.col("depth") + F.when(F.col("up").isNotNull(), 1 << k).otherwise(0)).alias("depth"))
-    place = durable(place.join(jump.select(F.col("node_id").alias("s"), "score"), F.col("node_id") == F.col("s")).drop("s"), "chat-places")
-    parents = levels[0].where("up is not null").select("up").distinct()
+    base = durable(ids.join(known, F.col("parent_id") == F.col("p"), "left").select("node_id", F.col("p").alias("up"), "score"), "chat-nodes")
+    # Pointer jumping: (at, depth, score) sums from a node up to, without, the node it points at.
+    # Only nodes that don't point at a root yet take part in a round.
+    roots = base.where("up is null").select(F.col("node_id").alias("r"))
+    first = base.join(roots, F.col("up") == F.col("r"), "left").select("node_id", F.coalesce("up", "node_id").alias("at"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.when(F.col("up").isNull(), 0.0).otherwise(F.col("score")).alias("score"), (F.col("up").isNull() | F.col("r").isNotNull()).alias("done"))
+    state = durable(first, "chat-state")
+    left, before = state.where("not done").count(), -1
+    while left and left != before:
+        there = state.select(F.col("node_id").alias("a"), F.col("at").alias("a_at"), F.col("depth").alias("a_depth"), F.col("score").alias("a_score"), F.col("done").alias("a_done"))
+        moved = state.where("not done").join(there, F.col("at") == F.col("a")).select("node_id", F.col("a_at").alias("at"), (F.col("depth") + F.col("a_depth")).alias("depth"), (F.col("score") + F.col("a_score")).alias("score"), F.col("a_done").alias("done"))
+        state = durable(state.where("done").unionByName(moved), "chat-state")
+        before, left = left, state.where("not done").count()
+    if left:  # in a cycle, or under one: roots of their own
+        lost = state.where("not done").select(F.col("node_id").alias("l"))
+        base = durable(base.join(lost, F.col("node_id") == F.col("l"), "left").select("node_id", F.when(F.col("l").isNull(), F.col("up")).alias("up"), "score"), "chat-nodes")
+        alone = state.where("not done").select("node_id", F.col("node_id").alias("at"), F.lit(0).cast("long").alias("depth"), F.lit(0.0).alias("score"), F.lit(True).alias("done"))
+        state = durable(state.where("done").unionByName(alone), "chat-state")
+    top = base.where("up is null").select(F.col("node_id").alias("r"), F.col("score").alias("r_score"))
+    place = durable(state.join(top, F.col("at") == F.col("r")).select("node_id", F.col("at").alias("root_id"), "depth", (F.col("score") + F.col("r_score")).alias("score")), "chat-places")
+    parents = base.where("up is not null").select("up").distinct()
     leaves = place.join(parents, F.col("node_id") == F.col("up"), "left_anti")
     rank = Window.partitionBy("root_id").orderBy(F.desc("score"), F.desc("depth"), "node_id")
     chosen = leaves.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= per_root).select("node_id", "root_id", "branch")
-    # All ancestors of the chosen leaves: each round doubles the stretch that is covered.
-    for level in levels:
-        hop = level.select(F.col("node_id").alias("a"), "up").where("up is not null")
-        chosen = chosen.unionByName(chosen.join(hop, F.col("node_id") == F.col("a")).select(F.col("up").alias("node_id"), "root_id", "branch"))
+    # All ancestors of the chosen leaves: each round doubles the stretch that is covered, and the
+    # jump of the next round is this one's taken twice, where there is one.
+    level = base.where("up is not null").select("node_id", "up")
+    while not level.isEmpty():
+        hop = level.select(F.col("node_id").alias("a"), "up")
+        chosen = durable(chosen.unionByName(chosen.join(hop, F.col("node_id") == F.col("a")).select(F.col("up").alias("node_id"), "root_id", "branch")), "chat-chosen")
+        level = durable(level.join(level.select(F.col("node_id").alias("a"), F.col("up").alias("far")), F.col("up") == F.col("a")).select("node_id", F.col("far").alias("up")), "chat-level")
     return chosen.join(place.select(F.col("node_id").alias("n"), "depth"), F.col("node_id") == F.col("n")).drop("n")
 
 

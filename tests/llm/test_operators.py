@@ -264,6 +264,9 @@ def test_reply_branches(spark):
     assert by["a"] == {"a": 0, "b": 1, "d": 2, "e": 3}
     assert by["z"] == {"z": 0}
     assert by["n0"] == {f"n{i}": i for i in range(70)}
+    loop = [("x", "y", 1.0), ("y", "x", 1.0), ("w", "x", 1.0), ("q", None, 0.0), ("v", "q", 0.0)]
+    got = chat.reply_branches(spark.createDataFrame(loop, "node_id string, parent_id string, score double")).collect()
+    assert {(r.node_id, r.root_id, r.depth) for r in got} == {("x", "x", 0), ("y", "y", 0), ("w", "w", 0), ("q", "q", 0), ("v", "q", 1)}
     two = chat.reply_branches(spark.createDataFrame(nodes[:5], "node_id string, parent_id string, score double"), per_root=2)
     assert {(r.node_id, r.branch) for r in two.collect()} == {("a", 1), ("b", 1), ("d", 1), ("e", 1), ("a", 2), ("c", 2)}
 
