@@ -18,7 +18,8 @@ by joins that Spark may split; all others are in boundedly many documents.
 
 Edge cases: a null text, or one without words, has an empty set that links with nothing; fewer
 words than a shingle make one shingle of them all; equal texts share a component; repeated ids are
-rows of their own; an empty table gives an empty result; extra columns are ignored.
+rows of their own; a row without an id belongs to the component of equal texts, and a set that only
+such rows have links with no other; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -159,6 +160,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     families = durable(placed.select("leader", "class", "sid"), "jac-families")
     per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
     sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / per_block).cast("int")).drop("n")
+    sizes = durable(sizes, "jac-sizes")
     dealt = families.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     places = dealt.groupBy("sid").agg(F.collect_list(F.struct("leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")).alias("places"))
