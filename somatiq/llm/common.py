@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,3 +74,19 @@ def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1_000_000,
         to = min(to, at + most_rows)
         yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    del texts, data
+    give_back()
+
+
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # not this C library
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and share a machine."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)

@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, text_slices
+from .common import durable, give_back, small_batches, text_slices
 from .components import connected_components
 from .embeddings import groups_of
 from .textkern import TOKEN_BITS, distinct_sets, mix64, shingle_hashes, word_hashes
 
 #: A token is heavy if this many documents have it, and more if that makes more than MOST_HEAVY.
 LEAST_HEAVY, MOST_HEAVY = 64, 1_000_000
+#: Tokens count as heavy by their first bits (any rule that all tasks share makes a valid order).
+HEAD_BITS = 32
 #: Documents of a map task that must share a token before the task reports it as a heavy one.
 LOCAL_HEAVY = 3
 #: Prefix tokens beyond those that the filter needs, as a share of the set.
@@ -92,15 +94,21 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                 if s not in seen:
                     seen.add(s)
                     fresh[i] = True
-            pool.append(tokens[np.repeat(fresh, size)])
+            pool.append((tokens[np.repeat(fresh, size)] >> _U(TOKEN_BITS - HEAD_BITS)).astype(np.uint32))
             total += len(pool[-1])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), pa.array(ids), pa.array(np.zeros(len(ids), bool))], names=["id", "n", "sid", "heavy"])
-        if pool:
-            every = np.sort(np.concatenate(pool))
-            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[first, len(every)])
-            much = count >= LOCAL_HEAVY
-            yield pa.RecordBatch.from_arrays([pa.array(every[first][much].view(np.int64)), pa.array(count[much]), pa.array(np.full(int(much.sum()), total)), pa.array(np.ones(int(much.sum()), bool))], names=["id", "n", "sid", "heavy"])
+        if total:
+            every = np.concatenate(pool)
+            pool.clear()
+            every.sort()
+            # The first of LOCAL_HEAVY equal heads in a row, where the run begins.
+            much = every[LOCAL_HEAVY - 1 :] == every[: 1 - LOCAL_HEAVY]
+            much[1:] &= every[1 : len(much)] != every[: len(much) - 1]
+            head = every[: len(much)][much]
+            count = np.searchsorted(every, head, side="right") - np.searchsorted(every, head)
+            yield pa.RecordBatch.from_arrays([pa.array(head.astype(np.int64)), pa.array(count), pa.array(np.full(len(head), total)), pa.array(np.ones(len(head), bool))], names=["id", "n", "sid", "heavy"])
+            del every, much
+        give_back()
 
     surveyed = durable(rows.mapInArrow(survey, "id long, n long, sid long, heavy boolean"), "jac-survey")
     members = surveyed.where("not heavy").select(F.col("id").alias("doc_id"), "n", "sid")
@@ -108,7 +116,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     whole = members.agg(F.sum("n")).first()[0] or 0
     least = max(LEAST_HEAVY, -(-whole // MOST_HEAVY))
     got = surveyed.where("heavy").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("id").toArrow()
-    heavy = spark.sparkContext.broadcast(np.sort(np.array(got.column("id"), np.int64).view(np.uint64)))
+    heavy = spark.sparkContext.broadcast(np.sort(np.array(got.column("id"), np.int64).astype(np.uint64)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = heavy.value
@@ -123,8 +131,9 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                     fresh[i] = False
                 seen.add(s)
             own = np.repeat(np.arange(len(size)), size)
-            at = np.minimum(np.searchsorted(hot, tokens), max(len(hot) - 1, 0))
-            is_hot = hot[at] == tokens if len(hot) else np.zeros(len(tokens), bool)
+            head = tokens >> _U(TOKEN_BITS - HEAD_BITS)
+            at = np.minimum(np.searchsorted(hot, head), max(len(hot) - 1, 0))
+            is_hot = hot[at] == head if len(hot) else np.zeros(len(tokens), bool)
             # Tokens ascend within a set; heavy ones go last and keep their order.
             order = np.lexsort((is_hot, own)) if is_hot.any() else np.arange(len(tokens))
             place = np.arange(len(tokens)) - np.repeat(offsets[:-1], size)
