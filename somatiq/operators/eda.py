@@ -129,7 +129,7 @@ def trend_ols(samples: DataFrame, sequences: DataFrame, column: str) -> DataFram
     joined = slice_join(sequences, samples.where(F.col(column).isNotNull()).select("file_id", "ts", F.col(column).alias("y")), "inner")
     per = Window.partitionBy("file_id", "reference")
     x = joined.withColumn("x", (micros("ts") - F.min(micros("ts")).over(per)) / 1e6)
-    return x.groupBy("file_id", "reference").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.when(F.count("y") > 1, F.corr("y", "x")).alias("r"))
+    return x.groupBy("file_id", "reference").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.when(F.count("y") > 1, F.try_divide(F.covar_pop("y", "x"), F.stddev_pop("y") * F.stddev_pop("x"))).alias("r"))
 
 
 def trend_robust(samples: DataFrame, sequences: DataFrame, column: str) -> DataFrame:
