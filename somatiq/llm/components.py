@@ -8,6 +8,7 @@ gathered groups: labels are aggregated with map-side combine, and the joins may
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,17 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return label if label is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest connected vertex of each vertex."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = np.minimum(new, new[new])
+        if (new == root).all():
+            return root
+        root = new

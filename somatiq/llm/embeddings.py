@@ -8,8 +8,8 @@ of the number of vectors, so that buckets stay small; the number of tables follo
 recall at the threshold, over several rotations if one has too few bits.
 
 Vectors travel to their buckets, and a bucket gives each member's number of links (a pair counts
-in the first table it shares) and one link to the smallest member it is connected with there: no
-pair leaves the task. Identical vectors are one vertex with a multiplicity; a large bucket is cut
+in the first table it shares) and one link to the smallest member it is connected with there, over
+any number of links: a forest leaves the task, and no pairs. Identical vectors are one vertex with a multiplicity; a large bucket is cut
 into blocks, and each pair of blocks is a task of its own.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable
-from .components import connected_components
+from .components import connected_components, forest
 
 #: Most vectors that rotations are learned from.
 SAMPLE = 12_000
@@ -107,9 +107,11 @@ def _unit(values: np.ndarray) -> np.ndarray:
 
 
 def _local_links(x: np.ndarray, ids: np.ndarray, mult: np.ndarray, keys: np.ndarray, table: int, left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Within one task: links of each vertex (weighted), and each vertex's smallest linked vertex."""
+    """Within one task: links of each vertex (weighted), and the smallest vertex that links lead to."""
     gained = np.zeros(len(ids), np.int64)
-    least = ids.copy()
+    order = np.argsort(ids, kind="stable")
+    rank = np.argsort(order, kind="stable")
+    root = np.arange(len(ids))  # by rank
     for at in range(0, len(left), 256):
         rows = left[at : at + 256]
         near = x[rows] @ x[right].T >= threshold
@@ -117,13 +119,12 @@ def _local_links(x: np.ndarray, ids: np.ndarray, mult: np.ndarray, keys: np.ndar
         a, b = rows[i], right[j]
         fresh = a != b if not same else a < b
         a, b = a[fresh], b[fresh]
-        np.minimum.at(least, a, ids[b])
-        np.minimum.at(least, b, ids[a])
+        root = forest(len(ids), np.r_[np.arange(len(ids)), rank[a]], np.r_[root, rank[b]])
         first = np.ones(len(a), bool)
         for t in range(table):
             first &= keys[a, t] != keys[b, t]
         gained += np.bincount(a[first], mult[b[first]], len(ids)).astype(np.int64) + np.bincount(b[first], mult[a[first]], len(ids)).astype(np.int64)
-    return gained, least
+    return gained, ids[order][root[rank]]
 
 
 def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, give_back, small_batches, text_slices
-from .components import connected_components
+from .components import connected_components, forest
 from .embeddings import groups_of
 from .textkern import TOKEN_BITS, distinct_sets, mix64, shingle_hashes, word_hashes
 
@@ -205,7 +205,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
             one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
             a, b = linked_pairs(sets, np.flatnonzero(block == one), np.flatnonzero(block == two), percent)
             if len(a):
-                root = _forest(len(sid), a, b)
+                root = forest(len(sid), a, b)
                 child = np.flatnonzero(root != np.arange(len(sid)))
                 yield pa.RecordBatch.from_arrays([pa.array(sid[child]), pa.array(sid[root[child]])], names=["a", "b"])
 
@@ -272,17 +272,3 @@ def linked_pairs(sets: list[np.ndarray], queries: np.ndarray, others: np.ndarray
     link &= q[:, None] != x[None, :]
     i, j = np.nonzero(link)
     return q[i], x[j]
-
-
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest connected vertex of each vertex."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = np.minimum(new, new[new])
-        if (new == root).all():
-            return root
-        root = new

@@ -106,6 +106,33 @@ def test_embedding_blocks(spark, monkeypatch):
     assert {(r.n_links, r.component_id) for r in got} == {(89, 0)}
 
 
+@pytest.mark.parametrize("block", [512, 2])
+def test_embedding_chains_within_a_bucket(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "learn_tables", lambda *_, **__: embeddings.Tables(np.zeros(2), [np.eye(2)], 2))
+    # Neighbours 20 degrees apart link, others do not; all lie in one bucket of the one table.
+    ids, angles = [1, 4, 2, 5, 3, 12, 11], np.radians([3, 23, 43, 63, 83, 183, 203])
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in zip(ids, angles, strict=True)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 4: (2, 1), 2: (2, 1), 5: (2, 1), 3: (1, 1), 12: (1, 11), 11: (1, 11)}
+
+
+def test_local_links_keep_every_component():
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 600):
+        angle = rng.uniform(0, 2 * np.pi, n)
+        x, ids = np.stack([np.cos(angle), np.sin(angle)], 1), rng.permutation(n).astype(np.int64)
+        threshold = np.cos(2.5 / n)
+        every = np.arange(n)
+        gained, least = embeddings._local_links(x, ids, np.ones(n, np.int64), np.zeros((n, 1), np.int32), 0, every, every, True, threshold)
+        near = x @ x.T >= threshold
+        np.fill_diagonal(near, False)
+        assert gained.tolist() == near.sum(1).tolist()
+        by_id = np.empty(n, int)
+        by_id[ids] = least
+        assert by_id.tolist() == roots(n, [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(near), strict=True)])
+
+
 def test_packing_round_trip(spark):
     rows = corpus(90)
     from tokenizers import Tokenizer
