@@ -5,7 +5,9 @@ coordinates make balanced codes of little quantisation error. Codes are cut into
 the key of a table; vectors that share a substring are candidates, and their cosine is computed
 from the original vectors in double precision. The width of a substring grows with the logarithm
 of the number of vectors, so that buckets stay small; the number of tables follows from the wanted
-recall at the threshold, over several rotations if one has too few bits.
+recall at the threshold, over several rotations if one has too few bits. A bounded set of queries
+meets all vectors by brute force, and rotations are added until the tables find the wanted share
+of these true pairs.
 
 Vectors travel to their buckets, and a bucket gives each member's number of links (a pair counts
 in the first table it shares) and one link to the smallest member it is connected with there, over
@@ -25,16 +27,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable
 from .components import connected_components, forest
+from .textkern import mix64
 
 #: Most vectors that rotations are learned from.
 SAMPLE = 12_000
-#: Of these, the first whose true pairs are all found, to measure recall.
-PROBE = 2500
+#: Of these, the first that are compared with all vectors, to measure recall.
+QUERIES = 1000
+#: Of a query's true pairs, so many drawn evenly come to the driver.
+PER_QUERY = 8
+#: Fewest true pairs that tell whether codes about the mean will do.
+FEW = 200
 #: Rows of a block: two blocks meet in a task.
 BLOCK = 512
 
@@ -83,22 +90,107 @@ def plan_tables(n: int, dims: int, threshold: float, recall: float) -> tuple[int
     return bits, tables, math.ceil(tables / max(1, dims // bits))
 
 
-def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float = 0.98, seed: int = 11) -> Tables:
-    """Tables about the sample's mean, which balances the codes; or about the origin.
-
-    Codes about the origin are taken if those about the mean lose more of the pairs in the sample
-    than wanted: when all vectors lie in one narrow cone, what is left about their mean is noise.
+@dataclass
+class Pairs:
+    """True pairs x, y of a bounded set of queries; links: all that the query of the pair has."""
+
+    x: np.ndarray
+    y: np.ndarray
+    query: np.ndarray
+    links: np.ndarray
+
+    def recall(self, tables: Tables) -> float:
+        """Share of the pairs that meet in a table: of all links, or with queries of equal weight if that is less."""
+        hit = (tables.keys(self.x) == tables.keys(self.y)).any(1)
+        share = 1 / np.bincount(self.query)[self.query]
+        return float(min(np.average(hit, weights=share), np.average(hit, weights=share * self.links)))
+
+
+def true_pairs(vertices: DataFrame, ids: np.ndarray, queries: np.ndarray, threshold: float) -> Pairs:
+    """Pairs of the queries (unit vectors) with all vectors, by brute force; at most PER_QUERY of each query."""
+    held = vertices.sparkSession.sparkContext.broadcast((ids, queries.astype(np.float32)))
+    names = ["query", "draw", "seen", "v"]
+
+    def lowest(query: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        order = np.lexsort((draw, query))
+        first = np.searchsorted(query[order], query[order])
+        return order[np.arange(len(order)) - first < PER_QUERY]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, q = held.value
+        seen = np.zeros(len(q), np.int64)
+        query, draw, v = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, q.shape[1]))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vertex = np.array(batch.column(0))
+            x = _unit(np.array(batch.column(1).flatten()).reshape(len(vertex), -1))
+            for at in range(0, len(x), 1024):
+                part = slice(at, at + 1024)
+                i, j = np.nonzero(x[part].astype(np.float32) @ q.T >= threshold)
+                i += at
+                other = vertex[i] != own[j]
+                i, j = i[other], j[other]
+                if not len(i):
+                    continue
+                seen += np.bincount(j, minlength=len(q))
+                fresh = mix64(vertex[i].astype(np.uint64) ^ mix64(j.astype(np.uint64)))
+                few = lowest(j, fresh)  # before vectors are copied: a chunk may be one large group
+                query, draw, v = np.r_[query, j[few]], np.r_[draw, fresh[few]], np.concatenate([v, x[i[few]]])
+                order = lowest(query, draw)
+                query, draw, v = query[order], draw[order], v[order]
+        if len(query):
+            told = np.where(np.r_[True, query[1:] != query[:-1]], seen[query], 0)
+            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array((draw >> np.uint64(1)).astype(np.int64)), pa.array(told), pa.array(list(v), pa.list_(pa.float64()))], names=names)
+
+    found = vertices.select("vertex", "v").mapInArrow(search, "query long, draw long, seen long, v array<double>")
+    of_query = Window.partitionBy("query")
+    drawn = found.withColumns({"links": F.sum("seen").over(of_query), "place": F.row_number().over(of_query.orderBy("draw"))}).where(F.col("place") <= PER_QUERY)
+    got = drawn.select("query", "links", "v").toArrow().combine_chunks()
+    query = np.array(got.column("query"), np.int64)
+    y = np.array(got.column("v").combine_chunks().flatten()).reshape(-1, queries.shape[1]) if len(query) else np.zeros((0, queries.shape[1]))
+    return Pairs(queries[query], y, query, np.array(got.column("links"), np.int64))
+
+
+def made_pairs(sample: np.ndarray, threshold: float, rng: np.random.Generator) -> Pairs:
+    """Pairs just at the threshold, from vectors of the sample turned towards others of it."""
+    x = sample[rng.permutation(len(sample))[:2500]]
+    z = sample[rng.integers(0, len(sample), len(x))]
+    side = z - (x * z).sum(1, keepdims=True) * x
+    some = np.linalg.norm(side, axis=1) > 1e-6
+    x, side = x[some], side[some]
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * (_unit(side) if len(side) else side)
+    return Pairs(x, y, np.arange(len(x)), np.ones(len(x), np.int64))
+
+
+def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float = 0.98, seed: int = 11, pairs: Pairs | None = None) -> Tables:
+    """Tables about the sample's mean, which balances the codes, or about the origin.
+
+    What is left about the mean may be noise, as when all vectors lie in one narrow cone. So codes
+    about the mean need FEW true pairs that show the wanted recall with at most twice the tables
+    that the threshold's angle asks for. About the origin that angle bounds how often a sign
+    differs: rotations are added until the recall is reached, on pairs made at the threshold, too,
+    where few true ones are known.
     """
     dims = sample.shape[1]
     bits, _, rotations = plan_tables(n, dims, threshold, recall)
-    known = sample[:PROBE]
-    a, b = np.nonzero(np.triu(known @ known.T >= threshold, 1)) if len(known) else (np.zeros(0, int),) * 2
-    for mean in (sample.mean(0) if len(sample) else np.zeros(dims), np.zeros(dims)):
+    told = pairs is not None and len(pairs.x) >= FEW
+    if told:
         rng = np.random.default_rng(seed)
+        mean = sample.mean(0)
         tables = Tables(mean, [learn_rotation(sample - mean, rng) for _ in range(rotations)], bits)
-        keys = tables.keys(known)
-        if not len(a) or (keys[a] == keys[b]).any(1).mean() >= recall:
-            break
+        while pairs.recall(tables) < recall and len(tables.axes) < 2 * rotations:
+            tables.axes.append(learn_rotation(sample - mean, rng))
+        if pairs.recall(tables) >= recall:
+            return tables
+    rng = np.random.default_rng(seed)
+    tables = Tables(np.zeros(dims), [learn_rotation(sample, rng) for _ in range(rotations)], bits)
+    shown = [pairs] if pairs is not None and len(pairs.x) else []
+    if not told:
+        shown += [p for p in (made_pairs(sample, threshold, rng),) if len(p.x)]
+    # Any turn will do here: the chance that a pair meets is the same for each of them.
+    while any(p.recall(tables) < recall for p in shown):
+        tables.axes.append(learn_rotation(sample, rng, rounds=0))
     return tables
 
 
@@ -138,9 +230,10 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: flo
     parts = []
     for dims, n in sorted((r.dims, r.n) for r in sizes):
         of_dims = vertices.where(F.size("v") == dims)
-        drawn = of_dims.orderBy(F.xxhash64("vertex")).limit(sample).select("v").toArrow()
+        drawn = of_dims.orderBy(F.xxhash64("vertex")).limit(sample).select("vertex", "v").toArrow()
         known = _unit(np.array(drawn.column("v").combine_chunks().flatten()).reshape(-1, dims))
-        parts.append(_links_of(of_dims, learn_tables(known, n, threshold, recall), threshold))
+        pairs = true_pairs(of_dims, np.array(drawn.column("vertex"), np.int64)[:QUERIES], known[:QUERIES], threshold)
+        parts.append(_links_of(of_dims, learn_tables(known, n, threshold, recall, pairs=pairs), threshold))
     if not parts:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     found = parts[0]

@@ -133,6 +133,51 @@ def test_local_links_keep_every_component():
         assert by_id.tolist() == roots(n, [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(near), strict=True)])
 
 
+def cone(n, pairs, energy=0.7, dims=64, seed=6):
+    """Unit vectors whose mean carries this share of the energy; the last ones pair with the first at a cosine of 0.91."""
+    rng = np.random.default_rng(seed)
+    rest = rng.normal(size=(n, dims - 1))
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+    side = rng.normal(size=(pairs, dims - 1))
+    side -= (side * rest[:pairs]).sum(1, keepdims=True) * rest[:pairs]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = (0.91 - energy) / (1 - energy)
+    rest[n - pairs :] = c * rest[:pairs] + np.sqrt(1 - c * c) * side
+    x = np.concatenate([np.full((n, 1), np.sqrt(energy)), np.sqrt(1 - energy) * rest], 1)
+    return x @ np.linalg.qr(rng.normal(size=(dims, dims)))[0]
+
+
+@pytest.mark.parametrize("sample", [100, 12_000])
+def test_embedding_recall_where_pairs_are_rare(spark, sample):
+    x = cone(3000, 300)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = embeddings.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=sample).collect()
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum() >= 600 and near.sum() * 0.96 <= sum(r.n_links for r in got) <= near.sum()
+
+
+def test_tables_grow_until_the_measured_recall_is_reached():
+    x = cone(8000, 1000)
+    pairs = embeddings.Pairs(x[:500], x[-1000:-500], np.arange(500), np.ones(500, np.int64))
+    tables = embeddings.learn_tables(x[1000:-1000], 1_000_000, 0.9, pairs=pairs)
+    other = tables.keys(x[500:1000]) == tables.keys(x[-500:])
+    assert pairs.recall(tables) >= 0.98 and other.any(1).mean() >= 0.95
+
+
+def test_true_pairs_match_brute_force(spark):
+    x = cone(600, 150)
+    x[20:40] = x[0] + np.random.default_rng(2).normal(scale=0.01, size=(20, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vertices = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vertex long, v array<double>").repartition(3)
+    got = embeddings.true_pairs(vertices, np.arange(100), x[:100], 0.9)
+    near = x[:100] @ x.T >= 0.9
+    near[np.arange(100), np.arange(100)] = False
+    links = near.sum(1)
+    assert np.bincount(got.query, minlength=100).tolist() == np.minimum(links, embeddings.PER_QUERY).tolist()
+    assert (got.links == links[got.query]).all() and ((got.x * got.y).sum(1) >= 0.9 - 1e-6).all()
+
+
 def test_packing_round_trip(spark):
     rows = corpus(90)
     from tokenizers import Tokenizer
