@@ -26,7 +26,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group (rows without an id stay)."""
-    told = jaccard.jaccard_components(docs, percent=85, k=4)
+    told = jaccard.jaccard_components(docs, percent=80, k=5)
     chosen = told.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     met = docs.join(chosen, F.col("doc_id") == F.col("__kept"), "left_semi")
     once = met.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__n = 1")

@@ -4,7 +4,7 @@ import corpus_pipeline
 from somatiq.llm.queries import ORACLES, QUERIES
 
 from ..oracle import assert_same, connect
-from .helpers import words
+from .helpers import table, words
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -37,3 +37,14 @@ def test_pipeline(spark, sf):
     assert mixed == pytest.approx(1.5 * sum(whole[i] for i in kept["jaccard_join"]), rel=0.2)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert sum(r.length for r in packed if r.start == 0) > 0 and len({r.doc_id for r in packed}) == len(set(kept["mixing"]))
+
+
+def unlike(name, n=100):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def test_pipeline_takes_five_words_and_four_fifths(spark, sf):
+    # Five-word shingles: 96 of 118 shared (0.81); 96 of 126 (0.76) is too little.
+    texts = [unlike("a"), unlike("a") + unlike("b", 22), unlike("c"), unlike("c") + unlike("d", 30)]
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, table(spark, rows), sf).collect()) == [0, 2, 3]
