@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from somatiq.llm import jaccard, mixing, packing, quality, toxicity
@@ -25,12 +25,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (rows without an id stay)."""
-    told = jaccard.jaccard_components(docs, percent=80, k=5)
-    chosen = told.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    met = docs.join(chosen, F.col("doc_id") == F.col("__kept"), "left_semi")
-    once = met.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__n = 1")
-    return once.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The row with the smallest id of each near-duplicate group; ids may repeat or be null (null is the greatest)."""
+    rows = durable(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    told = jaccard.jaccard_components(rows, percent=80, k=5, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")).alias("first")
+    chosen = told.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first).select("first.__row")
+    return rows.join(chosen, "__row", "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

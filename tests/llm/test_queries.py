@@ -48,3 +48,11 @@ def test_pipeline_takes_five_words_and_four_fifths(spark, sf):
     texts = [unlike("a"), unlike("a") + unlike("b", 22), unlike("c"), unlike("c") + unlike("d", 30)]
     rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, table(spark, rows), sf).collect()) == [0, 2, 3]
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, sf):
+    a, b, c, d = (" ".join(unlike(x)) for x in "abcd")
+    rows = [(2, a), (1, b), (1, a), (4, b), (None, c), (None, c), (None, d), (5, d), (3, None), (3, ""), (None, None), (6, a)]
+    got = corpus_pipeline.one_of_each(spark, table(spark, [(i, t, "en", "s", 0) for i, t in rows]), sf)
+    want = [(1, a), (1, b), (None, c), (5, d), (3, None), (3, ""), (None, None)]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
