@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import functools
+import shutil
+import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -13,28 +16,54 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder (tests, notebooks).
-FALLBACK_DIR = "/tmp/checkpoints"
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
+    """The folder that driver and executors share, as the session names it.
+
+    A session on one machine (local mode: tests, notebooks) may leave it unset and gets a folder of
+    its own; on a cluster that is an error, since a local folder is another one on each machine.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or FALLBACK_DIR).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _own_dir()
+
+
+@functools.cache
+def _own_dir() -> str:
+    path = tempfile.mkdtemp(prefix="checkpoints-")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike an executor-local copy, the files outlive any executor, and the reread table has a
-    known size, so that joins with it are planned from figures and not from guesses.
+    known size, so that joins with it are planned from figures and not from guesses. The files
+    are deleted when the application ends, not before: results are lazy and read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system of the path (any that Spark knows) drop it when the driver's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The table without columns of these names, in any case of letters."""
+    return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
+
+
 def crc32_mod(col: Column, n: int) -> Column:
     """crc32 of the decimal text of an id, modulo n (null id: of the empty text)."""
     return (F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)).cast("int")
@@ -53,8 +82,15 @@ BATCH_ROWS = 500
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """The table, with the session set to send texts to Python in batches of BATCH_ROWS rows."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """The table, with the session set to send at most BATCH_ROWS rows to Python in one batch.
+
+    Spark plans a lazy result after the call returns, so this has to be a session setting. It only
+    ever lowers the number of rows, which changes no result.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
     return df
 
 

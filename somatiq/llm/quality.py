@@ -4,9 +4,11 @@ Trees are grown level by level on quantile histograms (logistic loss) from a bou
 labelled documents, and flattened into arrays (feature, threshold, leaf value) that numpy
 traverses for all documents of a batch at once.
 
-Edge cases: a null text is empty, and empty texts get a score like any other; without labels, or
-with one class only, every score is the share of ones (one half without labels); repeated ids are
-rows of their own; an empty table gives an empty result; extra columns are ignored.
+Edge cases: a null text is empty, and empty texts get a score like any other; a text of any length
+counts whole; without labels, or with one class only, every score is the share of ones (one half
+without labels); repeated rows and ids, also null ones, are rows of their own, each learned from if
+its id is labelled; an empty table gives an empty result; extra columns stay, and one named like
+the score is replaced by it.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, text_slices
+from .common import small_batches, text_slices, without
 from .learn import label_sample
 from .textkern import mix64, shingle_hashes, word_hashes, word_starts
 
@@ -183,12 +185,14 @@ def train_quality(docs: DataFrame, labels: DataFrame, usable: Column, column: st
 
     got = chosen.mapInArrow(run, "label_id long, label int, x array<double>").toArrow()
     x = np.array(got.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES)) if got.num_rows else np.zeros((0, len(FEATURES)))
-    order = np.argsort(np.array(got.column("label_id")), kind="stable")
+    # Rows of one id follow each other by their statistics, so that reruns learn alike.
+    order = np.lexsort((*x.T, np.array(got.column("label_id"))))
     return grow_trees(x[order], np.array(got.column("label"), float)[order])
 
 
 def score_quality(docs: DataFrame, model: Trees, text_col: str = "text", name: str = "score") -> DataFrame:
-    """All columns of docs and the score of each row's whole text."""
+    """All columns of docs and the score of each row's whole text; a column of that name is replaced."""
+    docs = without(docs, name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     fields = docs.columns
 
