@@ -34,12 +34,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: taken words over its size, rounded (0, 1 or 2 rows)."""
-    numbered = mixing.mix_sources(docs, weights=(3, 1, 2), share=1.5, most=2.0)
-    times = numbered.select(F.col("doc_id").alias("__id"), F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("__times")).where("__times > 0")
-    # A repeated id (also a null one) has its rows' copies summed and shared.
-    times = durable(times.groupBy("__id").agg(F.round(F.avg("__times")).cast("int").alias("__times")), "pipeline-times")
-    joined = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__id")))
+    """Each row as often as the mix takes it: taken words over its size, rounded (0, 1 or 2 rows).
+
+    Rows are told apart by their place in the stored table, which both of its scans number alike.
+    """
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    mixed = mixing.mix_sources(rows, weights=(3, 1, 2), share=1.5, most=2.0, keep=("__row",))
+    times = mixed.select("__row", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("__times")).where("__times > 0")
+    joined = rows.join(durable(times, "pipeline-times"), "__row")
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
