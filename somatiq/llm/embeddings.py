@@ -2,21 +2,24 @@
 
 A rotation of the principal axes is learned on a bounded sample so that the signs of the rotated
 coordinates make balanced codes of little quantisation error. Codes are cut into substrings, each
-the key of a table; vectors that share a substring are candidates, and their cosine is computed
-from the original vectors in double precision. The width of a substring grows with the logarithm
-of the number of vectors, so that buckets stay small; the number of tables follows from the wanted
-recall at the threshold, over several rotations if one has too few bits. A bounded set of queries
-meets all vectors by brute force, and rotations are added until the tables find the wanted share
-of these true pairs.
-
-Vectors travel to their buckets, and a bucket gives each member's number of links (a pair counts
-in the first table it shares) and one link to the smallest member it is connected with there, over
-any number of links: a forest leaves the task, and no pairs. Identical vectors are one vertex with a multiplicity; a large bucket is cut
+the key of a table; vectors that share a substring and whose whole codes differ in no more bits
+than a radius are candidates, and their cosine is computed from the original vectors in double
+precision. The width of a substring grows with the logarithm of the number of vectors, so that
+buckets stay small; the number of tables follows from the wanted recall at the threshold, over
+several rotations if one has too few bits. A bounded set of queries meets all vectors by brute
+force, and rotations are added until the tables and the radius find the wanted share of these true
+pairs.
+
+Only codes travel to the buckets. A pair is a candidate in the first table it shares and in no
+other, and a vector follows to a bucket only where it has a candidate. There each task gives every
+member's number of links and one link to the smallest member it is connected with: a forest leaves
+the task, and no pairs. Identical vectors are one vertex with a multiplicity; a large bucket is cut
 into blocks, and each pair of blocks is a task of its own.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link with
-nothing; vectors of different lengths never link; repeated ids count as vectors of their own and
-share a row's links; an empty table gives an empty result; extra columns are ignored.
+nothing, as do rows without an id (which are kept, with a null component); vectors of different
+lengths never link; rows that repeat an id are vectors of their own, each with its own links, and
+share no more than the name; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,26 +51,40 @@ BLOCK = 512
 
 @dataclass
 class Tables:
-    """Rotations with means, and the bits of each table."""
+    """Rotations with means, the bits of each table, and the most bits in which candidates' codes differ."""
 
     mean: np.ndarray
     axes: list[np.ndarray]
     bits: int
+    radius: int = 1 << 30
 
     @property
     def per_rotation(self) -> int:
         return max(1, self.axes[0].shape[1] // self.bits) if self.axes else 0
 
-    def keys(self, x: np.ndarray) -> np.ndarray:
+    def signs(self, x: np.ndarray) -> np.ndarray:
+        """(vectors, tables, bits) signs of the rotated coordinates."""
+        used = self.per_rotation * self.bits
+        out = np.zeros((len(x), len(self.axes), used), bool)
+        for i, a in enumerate(self.axes):
+            code = (((x - self.mean) @ a) > 0)[:, :used]
+            out[:, i, : code.shape[1]] = code
+        return out.reshape(len(x), -1, self.bits)
+
+    def keys(self, signs: np.ndarray) -> np.ndarray:
         """(vectors, tables) substrings as whole numbers."""
-        weights = 1 << np.arange(self.bits, dtype=np.int64)
-        out = []
-        for a in self.axes:
-            code = ((x - self.mean) @ a) > 0
-            for t in range(self.per_rotation):
-                part = code[:, t * self.bits : (t + 1) * self.bits]
-                out.append(part @ weights[: part.shape[1]])
-        return np.stack(out, 1) if out else np.zeros((len(x), 0), np.int64)
+        return signs @ (1 << np.arange(self.bits, dtype=np.int64))
+
+    def codes(self, signs: np.ndarray) -> np.ndarray:
+        """(vectors, words) whole codes in 64-bit words."""
+        flat = signs.reshape(len(signs), -1)
+        packed = np.packbits(flat, axis=1)
+        return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.uint64)
+
+    def masks(self) -> np.ndarray:
+        """(tables, words) the bits of each table within a code."""
+        n = len(self.axes) * self.per_rotation
+        return self.codes(np.repeat(np.eye(n, dtype=bool)[:, :, None], self.bits, 2))
 
 
 def learn_rotation(x: np.ndarray, rng: np.random.Generator, rounds: int = 30) -> np.ndarray:
@@ -100,8 +117,9 @@ class Pairs:
     links: np.ndarray
 
     def recall(self, tables: Tables) -> float:
-        """Share of the pairs that meet in a table: of all links, or with queries of equal weight if that is less."""
-        hit = (tables.keys(self.x) == tables.keys(self.y)).any(1)
+        """Share of the pairs that are candidates: of all links, or with queries of equal weight if that is less."""
+        a, b = tables.signs(self.x), tables.signs(self.y)
+        hit = (tables.keys(a) == tables.keys(b)).any(1) & ((a != b).sum((1, 2)) <= tables.radius)
         share = 1 / np.bincount(self.query)[self.query]
         return float(min(np.average(hit, weights=share), np.average(hit, weights=share * self.links)))
 
@@ -163,6 +181,12 @@ def made_pairs(sample: np.ndarray, threshold: float, rng: np.random.Generator) -
     return Pairs(x, y, np.arange(len(x)), np.ones(len(x), np.int64))
 
 
+def fit_radius(tables: Tables, shown: list[Pairs], miss: float) -> None:
+    """The radius that all but a share ``miss`` of each set of pairs keep within."""
+    far = [(tables.signs(p.x) != tables.signs(p.y)).sum((1, 2)) for p in shown]
+    tables.radius = max((int(np.quantile(d, 1 - miss, method="higher")) for d in far), default=1 << 30)
+
+
 def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float = 0.98, seed: int = 11, pairs: Pairs | None = None) -> Tables:
     """Tables about the sample's mean, which balances the codes, or about the origin.
 
@@ -170,27 +194,32 @@ def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float = 0
     about the mean need FEW true pairs that show the wanted recall with at most twice the tables
     that the threshold's angle asks for. About the origin that angle bounds how often a sign
     differs: rotations are added until the recall is reached, on pairs made at the threshold, too,
-    where few true ones are known.
+    where few true ones are known. The radius leaves out a quarter of the share that may be missed
+    of the true pairs, and of pairs made at the threshold.
     """
     dims = sample.shape[1]
     bits, _, rotations = plan_tables(n, dims, threshold, recall)
     told = pairs is not None and len(pairs.x) >= FEW
+    made = [p for p in (made_pairs(sample, threshold, np.random.default_rng(seed + 1)),) if len(p.x)]
+    known = [pairs] if pairs is not None and len(pairs.x) else []
+    miss = (1 - recall) / 4
     if told:
         rng = np.random.default_rng(seed)
         mean = sample.mean(0)
         tables = Tables(mean, [learn_rotation(sample - mean, rng) for _ in range(rotations)], bits)
+        fit_radius(tables, known + made, miss)
         while pairs.recall(tables) < recall and len(tables.axes) < 2 * rotations:
             tables.axes.append(learn_rotation(sample - mean, rng))
+            fit_radius(tables, known + made, miss)
         if pairs.recall(tables) >= recall:
             return tables
     rng = np.random.default_rng(seed)
     tables = Tables(np.zeros(dims), [learn_rotation(sample, rng) for _ in range(rotations)], bits)
-    shown = [pairs] if pairs is not None and len(pairs.x) else []
-    if not told:
-        shown += [p for p in (made_pairs(sample, threshold, rng),) if len(p.x)]
+    fit_radius(tables, known + made, miss)
     # Any turn will do here: the chance that a pair meets is the same for each of them.
-    while any(p.recall(tables) < recall for p in shown):
+    while any(p.recall(tables) < recall for p in (known if told else known + made)):
         tables.axes.append(learn_rotation(sample, rng, rounds=0))
+        fit_radius(tables, known + made, miss)
     return tables
 
 
@@ -198,39 +227,18 @@ def _unit(values: np.ndarray) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
-def _local_links(x: np.ndarray, ids: np.ndarray, mult: np.ndarray, keys: np.ndarray, table: int, left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Within one task: links of each vertex (weighted), and the smallest vertex that links lead to."""
-    gained = np.zeros(len(ids), np.int64)
-    order = np.argsort(ids, kind="stable")
-    rank = np.argsort(order, kind="stable")
-    root = np.arange(len(ids))  # by rank
-    for at in range(0, len(left), 256):
-        rows = left[at : at + 256]
-        near = x[rows] @ x[right].T >= threshold
-        i, j = np.nonzero(near)
-        a, b = rows[i], right[j]
-        fresh = a != b if not same else a < b
-        a, b = a[fresh], b[fresh]
-        root = forest(len(ids), np.r_[np.arange(len(ids)), rank[a]], np.r_[root, rank[b]])
-        first = np.ones(len(a), bool)
-        for t in range(table):
-            first &= keys[a, t] != keys[b, t]
-        gained += np.bincount(a[first], mult[b[first]], len(ids)).astype(np.int64) + np.bincount(b[first], mult[a[first]], len(ids)).astype(np.int64)
-    return gained, ids[order][root[rank]]
-
-
 def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors."""
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     usable = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    # One vertex for each distinct vector; its smallest id stands for it.
-    vertices = durable(rows.where(usable).groupBy("v").agg(F.min("vec_id").alias("vertex"), F.count(F.lit(1)).alias("copies")), "itq-vertices")
+    # One vertex for each distinct vector; ids may repeat, so vertices are numbered as they are written.
+    distinct = rows.where(usable).groupBy("v").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+    vertices = durable(distinct.withColumn("vertex", F.monotonically_increasing_id()), "itq-vertices")
     sizes = vertices.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()
     parts = []
     for dims, n in sorted((r.dims, r.n) for r in sizes):
         of_dims = vertices.where(F.size("v") == dims)
-        drawn = of_dims.orderBy(F.xxhash64("vertex")).limit(sample).select("vertex", "v").toArrow()
+        drawn = of_dims.orderBy(F.xxhash64("v"), "least_id").limit(sample).select("vertex", "v").toArrow()
         known = _unit(np.array(drawn.column("v").combine_chunks().flatten()).reshape(-1, dims))
         pairs = true_pairs(of_dims, np.array(drawn.column("vertex"), np.int64)[:QUERIES], known[:QUERIES], threshold)
         parts.append(_links_of(of_dims, learn_tables(known, n, threshold, recall, pairs=pairs), threshold))
@@ -242,55 +250,142 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: flo
     found = durable(found, "itq-found")
     counts = found.groupBy("vertex").agg(F.sum("gained").alias("gained"))
     component = connected_components(found.where("least < vertex").select(F.col("vertex").alias("a"), F.col("least").alias("b")))
-    told = vertices.join(counts, "vertex", "left").join(component.withColumnRenamed("node", "vertex"), "vertex", "left").select("v", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vertex").alias("component"))
-    whole = rows.where(usable).join(told, "v").select("vec_id", F.col("links").cast("long").alias("n_links"), F.col("component").alias("component_id"))
+    placed = vertices.join(counts, "vertex", "left").join(component.withColumnRenamed("node", "vertex"), "vertex", "left").select("v", "least_id", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vertex").alias("component"))
+    placed = durable(placed, "itq-placed")
+    # Written, so that the join shuffles both sides itself and may split a hot component.
+    smallest = durable(placed.groupBy("component").agg(F.min("least_id").alias("component_id")), "itq-smallest")
+    told = placed.join(smallest, "component").select("v", "links", "component_id")
+    whole = rows.where(usable).join(told, "v").select("vec_id", F.col("links").cast("long").alias("n_links"), "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return whole.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+_TASK = ["bucket_table", "bucket", "one", "two"]
+
+
 def _links_of(vertices: DataFrame, tables: Tables, threshold: float) -> DataFrame:
-    """vertex, gained, least: a row per vertex, table and task that linked it."""
+    """vertex, gained, least: a row per vertex and task that linked it."""
     held = vertices.sparkSession.sparkContext.broadcast(tables)
-    names = ["vertex", "copies", "v", "bucket", "bucket_table", "keys"]
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = held.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            raw = np.array(batch.column(2).flatten())
-            x = _unit(raw.reshape(batch.num_rows, -1))
-            keys = t.keys(x)
-            m = keys.shape[1]
-            blobs, key_blobs = [r.tobytes() for r in x], [k.tobytes() for k in keys.astype(np.int32)]
-            for at in range(m):
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary()), pa.array(keys[:, at]), pa.array(np.full(batch.num_rows, at, np.int32)), pa.array(key_blobs, pa.binary())], names=names)
-
-    coded = vertices.select("vertex", "copies", "v").mapInArrow(code, "vertex long, copies long, v binary, bucket long, bucket_table int, keys binary")
-    light = vertices.select("vertex", "copies", "v").mapInArrow(lambda b: (r.select(["bucket", "bucket_table"]) for r in code(b)), "bucket long, bucket_table int")
+            signs = t.signs(_unit(np.array(batch.column(1).flatten()).reshape(batch.num_rows, -1)))
+            keys, blobs = t.keys(signs), pa.array([c.tobytes() for c in t.codes(signs)], pa.binary())
+            for at in range(keys.shape[1]):
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys[:, at]), pa.array(np.full(batch.num_rows, at, np.int32)), blobs], names=["vertex", "bucket", "bucket_table", "code"])
+
+    coded = vertices.select("vertex", "v").mapInArrow(code, "vertex long, bucket long, bucket_table int, code binary")
+    light = vertices.select("vertex", "v").mapInArrow(lambda b: (r.select(["bucket", "bucket_table"]) for r in code(b)), "bucket long, bucket_table int")
     sizes = light.groupBy("bucket_table", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
     large = F.col("blocks") > 1
     dealt = coded.join(sizes.select("bucket_table", "bucket", "blocks"), ["bucket_table", "bucket"]).withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.when(large, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
-    dealt = dealt.select("vertex", "copies", "v", "keys", "bucket_table", "bucket", F.least("block", "other").cast("int").alias("one"), F.greatest("block", "other").cast("int").alias("two"), "block")
-    tasks = dealt.repartition(F.col("bucket_table"), F.col("bucket"), F.col("one"), F.col("two")).sortWithinPartitions("bucket_table", "bucket", "one", "two")
+    dealt = dealt.select("vertex", "code", "bucket_table", "bucket", F.least("block", "other").cast("int").alias("one"), F.greatest("block", "other").cast("int").alias("two"), "block")
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups_of(batches, ["bucket_table", "bucket", "one", "two"]):
-            n = group.num_rows
-            if n < 2:
-                continue
-            x = np.frombuffer(b"".join(group.column("v").to_pylist()), np.float64).reshape(n, -1)
-            keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), np.int32).reshape(n, -1)
-            ids, mult, block = (np.array(group.column(c)) for c in ("vertex", "copies", "block"))
-            one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
-            left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-            gained, least = _local_links(x, ids, mult, keys, group.column("bucket_table")[0].as_py(), left, right, one == two, threshold)
-            hit = (gained > 0) | (least < ids)
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The members of each task that have a candidate there."""
+        t = held.value
+        masks = t.masks()
+        for rows, begin, size in whole_groups(batches, _TASK):
+            codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+            a, b = _candidates(rows, begin, size, codes, masks, t.radius)
+            hit = np.zeros(rows.num_rows, bool)
+            hit[a] = hit[b] = True
             if hit.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(gained[hit]), pa.array(least[hit])], names=["vertex", "gained", "least"])
+                yield rows.drop_columns("code").filter(pa.array(hit)).combine_chunks().to_batches()[0]
+
+    tasks = dealt.repartition(*_TASK).sortWithinPartitions(*_TASK)
+    flagged = durable(tasks.mapInArrow(flag, "vertex long, bucket_table int, bucket long, one int, two int, block int"), "itq-candidates")
+    near = flagged.join(vertices.select("vertex", "copies", "v"), "vertex").repartition(*_TASK).sortWithinPartitions(*_TASK)
+
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = held.value
+        masks = t.masks()
+        for rows, begin, size in whole_groups(batches, _TASK):
+            x = _unit(np.array(rows.column("v").combine_chunks().flatten()).reshape(rows.num_rows, -1))
+            a, b = _candidates(rows, begin, size, t.codes(t.signs(x)), masks, t.radius)
+            link = np.zeros(len(a), bool)
+            for at in range(0, len(a), 20_000):
+                part = slice(at, at + 20_000)
+                link[part] = np.einsum("ij,ij->i", x[a[part]], x[b[part]]) >= threshold
+            a, b = a[link], b[link]
+            if not len(a):
+                continue
+            ids, local = np.unique(np.array(rows.column("vertex")), return_inverse=True)
+            mult = np.array(rows.column("copies"))
+            gained = np.bincount(local[a], mult[b], len(ids)) + np.bincount(local[b], mult[a], len(ids))
+            least = ids[forest(len(ids), local[a], local[b])]
+            hit = gained > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(gained[hit].astype(np.int64)), pa.array(least[hit])], names=["vertex", "gained", "least"])
+
+    return near.mapInArrow(rerank, "vertex long, gained long, least long")
+
+
+def _candidates(rows: pa.Table, begin: np.ndarray, size: np.ndarray, codes: np.ndarray, masks: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one task each, whose first common table is the task's and whose codes lie within the radius."""
+    block, one, two = (np.array(rows.column(c)) for c in ("block", "one", "two"))
+    table = np.array(rows.column("bucket_table"))
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in pairs_within(begin, size):
+        # Blocks meet each other in a task of two, and themselves in a task of their own.
+        mine = (np.minimum(block[a], block[b]) == one[a]) & (np.maximum(block[a], block[b]) == two[a])
+        a, b = a[mine], b[mine]
+        differ = codes[a] ^ codes[b]
+        near = np.bitwise_count(differ).sum(1) <= radius
+        a, b, differ = a[near], b[near], differ[near]
+        first = np.ones(len(a), bool)
+        for t in range(int(table[a].max()) if len(a) else 0):
+            first &= ((differ & masks[t]) != 0).any(1) | (table[a] <= t)
+        out_a.append(a[first])
+        out_b.append(b[first])
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def pairs_within(begin: np.ndarray, size: np.ndarray, most: int = 300_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions a < b of all pairs within runs of rows, in chunks of about ``most`` pairs (or one run)."""
+    count = size * (size - 1) // 2
+    upto = np.cumsum(count)
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+        n = np.repeat(size[at:to], size[at:to])
+        first = np.repeat(begin[at:to], size[at:to])
+        place = np.arange(len(n)) - np.repeat(np.cumsum(size[at:to]) - size[at:to], size[at:to])
+        others = n - 1 - place
+        a = np.repeat(first + place, others)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(others) - others, others)
+        yield a, b
+        at = to
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], rows: int = 4096) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(rows, begin and size of each group in them): whole groups of sorted rows, about so many rows at once (or one group)."""
+
+    def starts(table: pa.Table) -> np.ndarray:
+        change = np.zeros(table.num_rows, bool)
+        change[:1] = True
+        for c in by:
+            column = np.array(table.column(c))
+            change[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(change)
 
-    return tasks.mapInArrow(meet, "vertex long, gained long, least long")
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        begin = starts(table)
+        if len(begin) > 1:
+            yield table.slice(0, int(begin[-1])), begin[:-1], np.diff(begin)
+            held = table.slice(int(begin[-1])).to_batches()
+    table = pa.Table.from_batches(held) if held else None
+    if table is not None and table.num_rows:
+        begin = starts(table)
+        yield table, begin, np.diff(np.append(begin, table.num_rows))
 
 
 def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:

@@ -117,20 +117,37 @@ def test_embedding_chains_within_a_bucket(spark, monkeypatch, block):
     assert got == {1: (1, 1), 4: (2, 1), 2: (2, 1), 5: (2, 1), 3: (1, 1), 12: (1, 11), 11: (1, 11)}
 
 
-def test_local_links_keep_every_component():
+def test_candidates_meet_once_and_within_the_radius():
+    import pyarrow as pa
+
     rng = np.random.default_rng(4)
-    for n in (3, 40, 600):
-        angle = rng.uniform(0, 2 * np.pi, n)
-        x, ids = np.stack([np.cos(angle), np.sin(angle)], 1), rng.permutation(n).astype(np.int64)
-        threshold = np.cos(2.5 / n)
-        every = np.arange(n)
-        gained, least = embeddings._local_links(x, ids, np.ones(n, np.int64), np.zeros((n, 1), np.int32), 0, every, every, True, threshold)
-        near = x @ x.T >= threshold
-        np.fill_diagonal(near, False)
-        assert gained.tolist() == near.sum(1).tolist()
-        by_id = np.empty(n, int)
-        by_id[ids] = least
-        assert by_id.tolist() == roots(n, [(int(ids[a]), int(ids[b])) for a, b in zip(*np.nonzero(near), strict=True)])
+    x = rng.normal(size=(60, 12))
+    x[30:] = x[:30] + rng.normal(scale=0.3, size=(30, 12))
+    tables = embeddings.Tables(np.zeros(12), [embeddings.learn_rotation(x, rng) for _ in range(2)], 3, radius=6)
+    signs = tables.signs(x)
+    keys, codes, masks = tables.keys(signs), tables.codes(signs), tables.masks()
+    assert keys.shape == (60, 8) and codes.shape[1] * 64 >= 24
+    met = Counter()
+    for t in range(8):
+        for key in np.unique(keys[:, t]):
+            rows = np.flatnonzero(keys[:, t] == key)
+            block = rows % 2
+            for one, two in ((0, 0), (0, 1), (1, 1)):
+                own = rows[(block == one) | (block == two)]
+                if len(own):
+                    told = pa.table({"block": own % 2, "one": np.full(len(own), one), "two": np.full(len(own), two), "bucket_table": np.full(len(own), t)})
+                    a, b = embeddings._candidates(told, np.array([0]), np.array([len(own)]), codes[own], masks, tables.radius)
+                    met.update((int(own[i]), int(own[j])) for i, j in zip(a, b, strict=True))
+    far = (signs[:, None] != signs[None]).sum((2, 3))
+    want = {(i, j) for i, j in itertools.combinations(range(60), 2) if (keys[i] == keys[j]).any() and far[i, j] <= 6}
+    assert set(met) == want and set(met.values()) == {1} and len(want) > 20
+
+
+def test_embeddings_with_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01]), (3, [0.0, 1.0, 0.01]), (None, [1.0, 0.0, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"vertex": F.lit(1), "copies": F.lit(1)})
+    got = sorted(((r.vec_id or -1, r.n_links, r.component_id, r.kept) for r in embeddings.embedding_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False), (-1, 0, None, True)], key=str)
 
 
 def cone(n, pairs, energy=0.7, dims=64, seed=6):
@@ -161,7 +178,7 @@ def test_tables_grow_until_the_measured_recall_is_reached():
     x = cone(8000, 1000)
     pairs = embeddings.Pairs(x[:500], x[-1000:-500], np.arange(500), np.ones(500, np.int64))
     tables = embeddings.learn_tables(x[1000:-1000], 1_000_000, 0.9, pairs=pairs)
-    other = tables.keys(x[500:1000]) == tables.keys(x[-500:])
+    other = tables.keys(tables.signs(x[500:1000])) == tables.keys(tables.signs(x[-500:]))
     assert pairs.recall(tables) >= 0.98 and other.any(1).mean() >= 0.95
 
 
@@ -387,10 +404,44 @@ def test_machine_learns_pairs():
         terms.append(np.array([t for t, on in ((11, a), (22, b), (int(rng.integers(100, 120)), 1)) if on]))
         y.append(int(a and b))
     m = toxicity.fit_machine(terms, np.array(y, float), epochs=30)
-    at = lambda ts: 1 / (1 + np.exp(-m.margin(m.term_of[np.array(ts)], np.zeros(len(ts), int), 1)[0]))
+    at = lambda ts: 1 / (1 + np.exp(-m.margin(np.array(ts), np.zeros(len(ts), int), 1)[0]))
     assert at([11, 22]) > 0.8 and at([11]) < 0.3 and at([22]) < 0.3
 
 
+def test_machine_sums_all_pairs():
+    rng = np.random.default_rng(1)
+    n = 1 << toxicity.BUCKET_BITS
+    w, v = np.zeros(n), np.zeros((n, 3))
+    some = rng.choice(n, 50, replace=False)
+    w[some], v[some] = rng.normal(size=50), rng.normal(size=(50, 3))
+    m = toxicity.Machine(-0.4, w, v)
+    docs = [rng.choice(some, k, replace=False) for k in (0, 1, 2, 7, 30)]
+    got = m.margin(np.concatenate(docs).astype(int), np.repeat(np.arange(5), [len(d) for d in docs]), 5)
+    want = [-0.4 + sum(w[i] for i in d) + sum(float(v[i] @ v[j]) for i, j in itertools.combinations(d, 2)) for d in docs]
+    assert got == pytest.approx(want)
+
+
+def test_classifiers_replace_a_score_column_and_keep_repeated_rows(spark):
+    rows, labels = labelled("toxic", 200)
+    docs = table(spark, [*rows, rows[0], (None, rows[0][1], "en", "s", 0)]).withColumns({"Score": F.lit("x"), "label": F.lit(1)})
+    told = spark.createDataFrame([*labels, labels[0], (None, 1, 1)], "doc_id long, quality int, toxic int").withColumn("text", F.lit("y"))
+    for module in (toxicity, quality):
+        train, score = (module.train_toxicity, module.score_toxicity) if module is toxicity else (module.train_quality, module.score_quality)
+        got = score(docs, train(docs, told, F.lit(True))).collect()
+        assert len(got) == 202 and len({r.score for r in got if r.doc_id in (0, None)}) == 1
+        assert got[0].asDict().keys() == {*DOCS.replace(",", "").split()[::2], "label", "score"}
+
+
+def test_statistics_of_a_plain_text():
+    texts = [b"Alpha beta beta\nalpha beta beta\n", b"", b"ONE!! two|", b"x"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = dict(zip(quality.FEATURES, quality.document_statistics(data, offsets).T, strict=True))
+    assert got["log_words"] == pytest.approx(np.log1p([6, 0, 2, 1])) and got["word_longest"].tolist() == [5, 0, 5, 1]
+    assert got["distinct_words"].tolist() == [2 / 6, 1, 1, 1] and got["repeat_next"].tolist() == [2 / 6, 0, 0, 0]
+    assert got["distinct_lines"].tolist() == [0.5, 1, 1, 1] and got["top_word"].tolist() == [4 / 6, 0, 0.5, 1]
+    assert got["all_caps"].tolist() == [0, 0, 0, 0] and got["share_upper"] == pytest.approx([1 / 32, 0, 0.3, 0])
+
+
 def test_trees_match_plain_traversal():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 4))
