@@ -6,9 +6,12 @@ depth, however long a chain is); each root's best branches become one conversati
 template marks turns, escapes control strings inside texts reversibly, and lists the spans that
 the loss covers (the assistant's texts).
 
-Edge cases: a null text is empty, a null role is ``user``; a node whose parent doesn't exist, and
-each node in or under a cycle, is a root; repeated rows of a turn follow each other by role and
-text; a conversation without an assistant has an empty mask; an empty table gives an empty result.
+Edge cases: a null text is empty, a null role is ``user``; roles may hold any characters, line
+breaks included; rows without a conversation id are one conversation; a node whose parent doesn't
+exist, and each node in or under a cycle, is a root; repeated rows of a turn follow each other by
+role and text; a conversation without an assistant has an empty mask; an empty table gives an empty
+result; extra columns are ignored. A formatted conversation is one value of one row, so it is put
+together in one task and has to stay below Spark's 2 GB for a value.
 """
 
 from __future__ import annotations
@@ -35,13 +38,18 @@ def escape(text: Column) -> Column:
     return out
 
 
+def escape_role(role: Column) -> Column:
+    """As in texts; a line break, which ends a role, gets a backslash before it."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\\n"))
+
+
 def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
 
 def parse_formatted(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of each turn, read back from a formatted conversation."""
-    turns = re.findall(re.escape(OPEN) + r"(.*?)\n(.*?)" + re.escape(CLOSE), formatted, re.S)
+    turns = re.findall(re.escape(OPEN) + r"((?:\\.|[^\\\n])*)\n(.*?)" + re.escape(CLOSE), formatted, re.S)
     return [(unescape(role), unescape(text)) for role, text in turns]
 
 
@@ -91,7 +99,7 @@ def format_branches(turns: DataFrame) -> DataFrame:
 
     loss_spans: array of (begin, end) code points in formatted, each an assistant's escaped text.
     """
-    part = turns.select("conv_id", "branch", "depth", F.coalesce("role", F.lit("user")).alias("role"), escape(F.col("text")).alias("body")).withColumn("head", F.concat(F.lit(OPEN), escape(F.col("role")), F.lit("\n")))
+    part = turns.select("conv_id", "branch", "depth", F.coalesce("role", F.lit("user")).alias("role"), escape(F.col("text")).alias("body")).withColumn("head", F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")))
     whole = part.groupBy("conv_id", "branch").agg(F.array_sort(F.collect_list(F.struct("depth", "role", "head", "body"))).alias("turns"))
     spans = F.aggregate(
         "turns",
