@@ -1,77 +1,42 @@
 """Canonical exact fingerprints of documents, in SQL functions alone.
 
-Canonical form: compatibility characters and base-plus-mark pairs are brought to one composed
-form, letters are lower-cased, runs of white space become one blank and the ends are trimmed. The
-fingerprint is a 128-bit xxhash of that form. :func:`exact_groups` groups documents by it and
-compares the canonical bytes inside equal buckets, so that a collision would split its bucket.
+Canonical form: Unicode normalisation to composed compatibility characters (NFKC), full case
+folding, normalisation again, then runs of white space become one blank and the ends are trimmed.
+The fingerprint is a 128-bit xxhash of that form. :func:`exact_groups` groups documents by it and
+compares the canonical bytes inside equal buckets: texts that collide there get variants, and
+fingerprints of their own.
+
+Normalisation and folding are Spark's ``reflect`` function over the Unicode library that Spark
+itself uses for its collations; texts of ASCII alone only pay for lower-casing.
 
 Edge cases: a null text is an empty text, and all empty texts (also of white space only) share a
-fingerprint; repeated ids are rows of their own; an empty table gives an empty result.
+fingerprint; texts of any length count whole; repeated ids are rows of their own, and follow each
+other by fingerprint; null ids come after all others, by fingerprint; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
-import unicodedata
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable
 
-
-@functools.cache
-def _tables() -> tuple[str, str, list[tuple[str, str]], list[tuple[str, str]]]:
-    """From the Unicode database: one-to-one folds; one-to-many folds; base-plus-mark pairs."""
-    one_from, one_to, many, pairs = [], [], [], []
-    for cp in range(0x80, 0x1_0000):
-        if 0xD800 <= cp < 0xE000 or 0xAC00 <= cp < 0xD7A4:
-            continue
-        c = chr(cp)
-        folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", c).lower())
-        if len(folded) == 1 and folded != c:
-            one_from.append(c)
-            one_to.append(folded)
-        elif len(folded) > 1:
-            many.append((c, folded))
-        split = unicodedata.normalize("NFD", c)
-        if len(split) > 1 and unicodedata.normalize("NFC", split) == c and c.lower() == c:
-            first = unicodedata.normalize("NFC", split[:-1])
-            if len(first) == 1:
-                pairs.append((first + split[-1], folded))
-    return "".join(one_from), "".join(one_to), many, sorted(pairs, key=lambda p: len(unicodedata.normalize("NFD", p[0])))
-
-
-def _replace_all(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    """All replacements, in order, over a constant array (a chain of expressions would be too long)."""
-    packed = F.split(F.lit("\x01".join(f"{a}\x02{b}" for a, b in pairs)), "\x01")
-    return F.aggregate(packed, text, lambda acc, p: F.replace(acc, F.substring_index(p, "\x02", 1), F.substring_index(p, "\x02", -1)))
+#: White space that normalisation leaves as it is.
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\u0085\u1680\u2028\u2029"
 
 
-#: White space beyond ASCII's that folding turns into a blank, and ASCII's own.
-_WIDE_BLANKS = "\u0085\u1680\u2028\u2029"
-_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-
-
-#: Characters (already lower-cased) that folding may change or combine: all but ASCII and the
-#: commonest lower-case letters and marks of Western languages, which it certainly leaves alone.
-_UNSTABLE = "[^\\x00-\\x7fà-öø-ÿß¡¿«»]"
+def _normalized(text: Column) -> Column:
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text (null: empty)."""
-    one_from, one_to, many, pairs = _tables()
     text = F.coalesce(text, F.lit(""))
-    low = F.lower(text)
-    # Only texts that hold characters in question pay for the tables.
-    rare, marks = "".join(c for c, _ in many), "".join(sorted({p[-1] for p, _ in pairs}))
-    wide = F.translate(low, one_from + _WIDE_BLANKS, one_to + " " * len(_WIDE_BLANKS))
-    wide = F.when(wide.rlike(f"[{rare}]"), _replace_all(wide, many)).otherwise(wide)
-    wide = F.when(wide.rlike(f"[{marks}]"), _replace_all(wide, pairs)).otherwise(wide)
-    folded = F.when((F.octet_length(text) == F.length(text)) | ~low.rlike(_UNSTABLE), low).otherwise(wide)
-    for c in _BLANKS:
-        folded = F.replace(folded, F.lit(c), F.lit(" "))
-    return F.trim(F.when(F.contains(folded, F.lit("  ")), F.regexp_replace(folded, " {2,}", " ")).otherwise(folded))
+    folded = F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), _normalized(text), F.lit(True))
+    plain = F.octet_length(text) == F.length(text)
+    told = F.translate(F.when(plain, F.lower(text)).otherwise(_normalized(folded)), _BLANKS, " " * len(_BLANKS))
+    return F.trim(F.regexp_replace(told, " {2,}", " "))
 
 
 def digest128(canon: Column) -> Column:
@@ -83,30 +48,61 @@ def fingerprint(text: Column) -> Column:
     return digest128(canonical(text))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint, variant, group_id (smallest id of the group), copies.
+def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    canon = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical(F.col(text_col).cast("string")).alias("canon"))
+    return canon.select("doc_id", "canon", digest128(F.col("canon")).alias("digest"))
+
 
-    Only documents whose bucket has company bring their texts to the comparison, and equal texts
-    meet there once per map task; variant is 0 unless different texts collide in a bucket.
+def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """digest, variant, canon, group_id (smallest id of the group), copies: a row for each distinct canonical text.
+
+    Digests are counted first; only texts whose digest has company are grouped by their bytes,
+    which Spark combines within each map task. canon is null unless different texts share the
+    digest; these are variants 0, 1 and so on, by their smallest ids, then by their bytes.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical(F.col(text_col)).alias("canon")).withColumn("fingerprint", digest128(F.col("canon")))
-    texts = rows.groupBy("fingerprint", F.xxhash64(F.reverse("canon")).alias("check"), F.length("canon").alias("n")).agg(F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("copies"), F.min("canon").alias("least"), F.max("canon").alias("most"))
-    proved = texts.select("fingerprint", "check", "n", "group_id", "copies", F.when(F.col("least") == F.col("most"), F.lit(0)).otherwise(F.lit(1)).alias("mixed"))
-    order = Window.partitionBy("fingerprint").orderBy("group_id")
-    proved = proved.withColumn("variant", F.row_number().over(order) - 1 + F.col("mixed"))
-    return rows.select("doc_id", "fingerprint", F.xxhash64(F.reverse("canon")).alias("check"), F.length("canon").alias("n")).join(proved, ["fingerprint", "check", "n"]).select("doc_id", "fingerprint", "variant", "group_id", "copies")
+    counted = durable(_digested(docs, id_col, text_col).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id")), "fp-digests")
+    company = counted.where("copies > 1").select("digest")
+    texts = _digested(docs, id_col, text_col).join(company, "digest", "left_semi").groupBy("digest", "canon").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id"))
+    # Where a digest has one text only, as is all but certain, the text has done its duty.
+    of_digest = Window.partitionBy("digest")
+    by_bytes = F.row_number().over(of_digest.orderBy(F.col("group_id").asc_nulls_last(), "canon")) - 1
+    proved = texts.withColumns({"n": F.count(F.lit(1)).over(of_digest), "variant": by_bytes})
+    several = proved.select("digest", "variant", F.when(F.col("n") > 1, F.col("canon")).alias("canon"), "group_id", "copies")
+    single = counted.where("copies = 1").select("digest", F.lit(0).alias("variant"), F.lit(None).cast("string").alias("canon"), "group_id", "copies")
+    return durable(single.unionByName(several), "fp-groups")
+
+
+def _named(rows: DataFrame, groups: DataFrame, canon: str, digest: str, out: str) -> DataFrame:
+    """Adds the fingerprint of a canonical text: its digest, and its variant where that is not 0."""
+    variants = groups.where("variant > 0")
+    if variants.isEmpty():
+        return rows.withColumn(out, F.col(digest))
+    told = variants.select(F.col("digest").alias("__digest"), F.col("canon").alias("__canon"), F.col("variant").alias("__variant"))
+    met = rows.join(told, (F.col(digest) == F.col("__digest")) & (F.col(canon) == F.col("__canon")), "left")
+    return met.withColumn(out, F.concat(F.col(digest), F.coalesce(F.concat(F.lit("-"), F.col("__variant")), F.lit("")))).drop("__digest", "__canon", "__variant")
+
+
+def _by_fingerprint(groups: DataFrame) -> DataFrame:
+    suffix = F.when(F.col("variant") > 0, F.concat(F.lit("-"), F.col("variant"))).otherwise("")
+    return groups.select(F.concat("digest", suffix).alias("fingerprint"), "variant", "group_id", "copies")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint, variant, group_id (smallest id of the group), copies for each row of docs."""
+    groups = digest_groups(docs, id_col, text_col)
+    named = _named(_digested(docs, id_col, text_col), groups, "canon", "digest", "fingerprint").select("doc_id", "fingerprint")
+    return named.join(_by_fingerprint(groups), "fingerprint").select("doc_id", "fingerprint", "variant", "group_id", "copies")
 
 
-def with_successor(rows: DataFrame, key: str, carried: list[str], block: int = 1024) -> DataFrame:
-    """Adds, for each carried column c, next_c of the row with the next greater key (last: the first).
+def with_successor(rows: DataFrame, at: Column, carried: list[str], block: int = 256) -> DataFrame:
+    """Adds, for each carried column c, next_c of the row with the next greater number ``at`` (last: the first).
 
     Keys are cut into blocks of consecutive values, and a window inside each block finds the
     successors. The first rows of a block are sent to the block before it, too, so that its last
     row finds its successor there; which rows these are follows from the keys alone. So carried
     columns are shuffled once. Rows with equal keys follow each other in the order of the carried
-    columns; null keys come after all others.
+    columns.
     """
-    at = F.coalesce(F.col(key), F.lit((1 << 63) - 1))
     place = lambda c: F.floor(c / F.lit(block)).cast("long")
     keys = rows.select(at.alias("at"))
     heads = keys.groupBy(place(F.col("at")).alias("block")).agg(F.min("at").alias("head"))
@@ -136,20 +132,27 @@ def _next_block(blocks: DataFrame, levels: int, factor: int = 1024) -> DataFrame
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each document its fingerprint, that of its edited text, and their likeness (0 or 1).
+    """For each document its fingerprint and group, the fingerprint of its edited text, and their likeness (0 or 1).
 
     Edited: the last floor(n/2) code points give way to the first as many of the next document.
-    Equal fingerprints count as alike only if the canonical texts are equal byte for byte.
+    Equal fingerprints stand for equal canonical bytes: documents through :func:`digest_groups`,
+    a document and its edited text by a comparison of the two.
     """
+    groups = digest_groups(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("canon", canonical(F.col("text"))).withColumn("fingerprint", digest128(F.col("canon"))).drop("canon")
-    linked = with_successor(rows, "doc_id", ["fingerprint", "text"])
+    rows = rows.withColumn("canon", canonical(F.col("text"))).withColumn("digest", digest128(F.col("canon")))
+    rows = _named(rows, groups, "canon", "digest", "fingerprint").drop("canon", "digest")
+    # Null ids are spread by their fingerprints, so that they don't all stand in one block.
+    spread = F.conv(F.left("fingerprint", F.lit(5)), 16, 10).cast("long") * 1024
+    linked = with_successor(rows, F.coalesce(F.col("doc_id"), F.lit(1 << 62) + spread), ["fingerprint", "text"])
     n = F.length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     edited = linked.withColumns({"n_chars": n, "edited": F.concat(F.left("text", (n - half).cast("int")), F.left("next_text", half))})
-    edited = edited.withColumn("canon", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest128(F.col("canon"))).drop("canon")
-    alike = lambda a, b, x, y: F.when((F.col(a) == F.col(b)) & (canonical(F.col(x)) == canonical(F.col(y))), F.lit(1.0)).otherwise(F.lit(0.0))
-    return edited.select(
+    edited = edited.withColumn("edited_canon", canonical(F.col("edited"))).withColumn("edited_digest", digest128(F.col("edited_canon")))
+    edited = _named(edited, groups, "edited_canon", "edited_digest", "edited_fingerprint")
+    same = F.when(F.col("fingerprint") == F.col("edited_fingerprint"), F.col("edited_canon") == canonical(F.col("text"))).otherwise(False)
+    told = edited.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        alike("fingerprint", "edited_fingerprint", "text", "edited").alias("near_edited"), alike("fingerprint", "next_fingerprint", "text", "next_text").alias("near_next"),
-    )
+        same.cast("double").alias("near_edited"), (F.col("fingerprint") == F.col("next_fingerprint")).cast("double").alias("near_next"),
+    )
+    return told.join(_by_fingerprint(groups).drop("variant"), "fingerprint").select(*told.columns, "group_id", "copies")

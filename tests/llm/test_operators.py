@@ -1,6 +1,8 @@
 import hashlib
 import itertools
 import math
+import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -293,6 +295,44 @@ def test_urls(spark):
     assert urlfilter.filter_urls(pages, []).where("verdict <> 'allow'").count() == 0
 
 
+def plain_form(text):
+    norm = lambda t: unicodedata.normalize("NFKC", t)
+    return re.sub(" +", " ", re.sub("[\t\n\x0b\x0c\r\x1c-\x1f\x85\u1680\u2028\u2029]", " ", norm(norm(text or "").casefold()))).strip(" ")
+
+
+def test_canonical_form_of_all_planes(spark):
+    import random
+
+    rng = random.Random(3)
+    assigned = [c for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    marks = [c for c in assigned if unicodedata.combining(chr(c))]
+    rows = [("".join(chr(rng.choice(assigned)) for _ in range(rng.randint(0, 8))),) for _ in range(20_000)]
+    rows += [("".join(chr(rng.choice(assigned)) + "".join(chr(rng.choice(marks)) for _ in range(rng.randint(1, 4))) for _ in range(3)),) for _ in range(5000)]
+    rows += [(unicodedata.normalize("NFD", r[0]),) for r in rows[:2000]]
+    for r in spark.createDataFrame(rows, "t string").select("t", fingerprints.canonical(F.col("t")).alias("c")).collect():
+        assert r.c == plain_form(r.t), ascii(r.t)
+
+
+def test_colliding_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "digest128", lambda canon: F.concat(F.lit("0" * 31), F.pmod(F.length(canon), F.lit(2))))
+    rows = [(5, "abc"), (1, "xyz"), (2, "ABC"), (3, "q r s"), (4, None), (7, "XYZ "), (None, "abc"), (None, "new")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.fingerprint, r.group_id, r.copies, r.variant) for r in fingerprints.exact_groups(docs).collect())
+    one, zero = "0" * 31 + "1", "0" * 32
+    want = [(1, one, 1, 2, 0), (7, one, 1, 2, 0), (2, one + "-1", 2, 3, 1), (5, one + "-1", 2, 3, 1), (None, one + "-1", 2, 3, 1), (3, one + "-2", 3, 1, 2), (None, one + "-3", None, 1, 3), (4, zero, 4, 1, 0)]
+    assert got == sorted((str(w[0]), *w[1:]) for w in want)
+    likeness = {r.doc_id: r for r in fingerprints.edited_likeness(docs.where("doc_id is not null")).collect()}
+    assert likeness[1].fingerprint != likeness[2].fingerprint and likeness[2].fingerprint == likeness[5].fingerprint
+    assert likeness[2].near_next == 0 and likeness[5].near_next == 0 and likeness[1].near_edited == 0
+
+
+def test_fingerprints_of_null_and_repeated_ids(spark):
+    rows = [(None, "b"), (None, "a"), (1, "x"), (1, "X"), (0, ""), (None, "A")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"digest": F.lit(1), "canon": F.lit("z"), "at": F.lit(2)})
+    got = fingerprints.edited_likeness(docs).collect()
+    assert len(got) == 6 and sum(r.near_next for r in got) == 2 and {r.copies for r in got if r.doc_id == 1} == {2}
+
+
 def test_fingerprints(spark):
     rows = [r for r in corpus(150) if r[0] % 13 != 7]
     rows = [(r[0] * 700, *r[1:]) for r in rows]
@@ -304,7 +344,10 @@ def test_fingerprints(spark):
         edited = t[: len(t) - half] + nxt[:half]
         g = got[r[0]]
         assert g.n_chars == len(t) and g.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert g.near_next == (g.fingerprint == got[rows[(i + 1) % len(rows)][0]].fingerprint)
+        assert g.near_next == (g.fingerprint == got[rows[(i + 1) % len(rows)][0]].fingerprint) == (plain_form(t) == plain_form(nxt))
+        assert g.near_edited == (g.fingerprint == g.edited_fingerprint) == (plain_form(t) == plain_form(edited))
+        alike = [r[0] for r, u in zip(rows, texts, strict=True) if plain_form(u) == plain_form(t)]
+        assert (g.group_id, g.copies) == (min(alike), len(alike))
         if edited == t:
             assert g.near_edited == 1
     prints = {}
@@ -343,6 +386,13 @@ def test_chat_round_trip(spark):
         assert r.loss_chars == len(loss) and r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def test_chat_roles_ids_and_repeated_rows(spark):
+    rows = [(1, 0, "a\nb", "c"), (1, 1, "x\\", "<|im_end|>\n"), (1, 2, "\n\\\n<|im_start|>", ""), (2, 0, None, "t"), (2, 0, None, "t"), (2, 1, "assistant", None), (None, 0, "user", "n"), (None, 1, "assistant", "m")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"branch": F.lit(1), "depth": F.lit("z"), "score": F.lit(2)})
+    got = {r.conv_id: chat.parse_formatted(r.formatted) for r in chat.format_conversations(table).collect()}
+    assert got == {1: [r[2:] for r in rows[:3]], 2: [("user", "t"), ("user", "t"), ("assistant", "")], None: [("user", "n"), ("assistant", "m")]}
+
+
 def test_reply_branches(spark):
     """Two roots, an orphan, a deep chain: the best branch wins, ties by depth."""
     nodes = [("a", None, 1.0), ("b", "a", 1.0), ("c", "a", 5.0), ("d", "b", 3.0), ("e", "d", 4.0), ("z", "gone", 2.0)] + [(f"n{i}", f"n{i - 1}" if i else None, 0.0) for i in range(70)]
