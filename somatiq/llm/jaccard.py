@@ -1,25 +1,30 @@
 """N-gram Jaccard join by token-group matrices.
 
 A document is the set of its word shingles, as 52-bit tokens. Equal sets are one vertex from the
-start. Two sets with Jaccard similarity t or more share a token among the first of each in any
-common order of tokens (prefix filter); the order puts heavy tokens (passages that many documents
-repeat) last. The prefixes are a little longer than that needs, so that linked sets share several
-of these tokens, and a set that shares too few with all others is out.
+start, told apart by their sizes and two independent hashes (96 bits). Two sets with Jaccard
+similarity t or more share a token among the first of each in any common order of tokens (prefix
+filter); the order puts heavy tokens (passages that many documents repeat) last. The prefixes are a
+little longer than that needs, so that linked sets share several of these tokens, and a set that
+shares too few with all others is out.
 
 Sets that have a prefix token and a size class in common form a family, named by its smallest
 member, so that families of one cluster of copies mostly coincide. Within a family the sets are
-partitioned into groups by their smallest token. The token-group matrix holds each group's token
-union; a query's overlap with the union bounds its overlap with every member, and only groups that
-qualify are opened and compared exactly. A large family is cut into blocks, and each pair of
-blocks is a task of its own. Links leave a task as a forest, so no pairs of a clique are listed.
+partitioned into groups of similar ones by their smallest token, which is a min-hash: two sets of
+similarity s share it with chance s. The token-group matrix holds each group's token union; a
+query's overlap with the union bounds its overlap with every member, and a query opens only the
+groups that qualify for it. A large family is cut into blocks, and each pair of blocks is a task of
+its own. Links leave a task as a forest, so no pairs of a clique are listed.
 
 Hot tokens cost no gathered group: the rows of heavy ones are salted, then pre-aggregated and met
-by joins that Spark may split; all others are in boundedly many documents.
+by joins that Spark may split. Any other has at most a millionth of all tokens (and two more in
+each map task), less than an average partition has of a table with fewer than a million of these.
 
 Edge cases: a null text, or one without words, has an empty set that links with nothing; fewer
-words than a shingle make one shingle of them all; equal texts share a component; repeated ids are
-rows of their own; a row without an id belongs to the component of equal texts, and a set that only
-such rows have links with no other; an empty table gives an empty result; extra columns are ignored.
+words than a shingle make one shingle of them all; texts of any length count whole; equal texts
+share a component; repeated ids are rows of their own; a row without an id belongs to the component
+of equal texts, and a set that only such rows have links with no other, since nothing names it
+(give rows numbers where ids may be null); an empty table gives an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -62,14 +67,25 @@ def token_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.R
             yield rows, *distinct_sets(h, doc, rows.num_rows)
 
 
-def set_ids(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 64-bit fingerprint of each set (0 for an empty one)."""
+def set_ids(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64 bits, further 32 bits) of each set, by independent hashes (0 for an empty one)."""
     size = np.diff(offsets)
-    out = np.zeros(len(size), np.uint64)
     some = size > 0
-    if some.any():
-        out[some] = mix64(np.add.reduceat(mix64(tokens + np.uint64(1)), offsets[:-1][some]) + size[some].astype(np.uint64))
-    return out.view(np.int64)
+    out = np.zeros((2, len(size)), np.uint64)
+    for row, salt in zip(out, (1, 0x5851F42D4C957F2D), strict=True):
+        if some.any():
+            row[some] = mix64(np.add.reduceat(mix64(tokens + np.uint64(salt)), offsets[:-1][some]) + size[some].astype(np.uint64))
+    return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def first_ones(sid: np.ndarray, check: np.ndarray, seen: set[tuple[int, int]]) -> np.ndarray:
+    """Which sets come for the first time; ``seen`` learns them."""
+    fresh = np.zeros(len(sid), bool)
+    for i, one in enumerate(zip(sid.tolist(), check.tolist(), strict=True)):
+        if one not in seen:
+            seen.add(one)
+            fresh[i] = True
+    return fresh
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -85,18 +101,14 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool: list[np.ndarray] = []
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         total = 0
         for part, tokens, offsets in token_sets(batches, k):
-            size, ids = np.diff(offsets), set_ids(tokens, offsets)
-            fresh = np.zeros(len(ids), bool)
-            for i, s in enumerate(ids.tolist()):
-                if s not in seen:
-                    seen.add(s)
-                    fresh[i] = True
+            size, (ids, check) = np.diff(offsets), set_ids(tokens, offsets)
+            fresh = first_ones(ids, check, seen)
             pool.append((tokens[np.repeat(fresh, size)] >> _U(TOKEN_BITS - HEAD_BITS)).astype(np.uint32))
             total += len(pool[-1])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), pa.array(ids), pa.array(np.zeros(len(ids), bool))], names=["id", "n", "sid", "heavy"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), pa.array(ids), pa.array(check), pa.array(np.zeros(len(ids), bool))], names=["id", "n", "sid", "check", "heavy"])
         if total:
             every = np.concatenate(pool)
             pool.clear()
@@ -106,12 +118,12 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
             much[1:] &= every[1 : len(much)] != every[: len(much) - 1]
             head = every[: len(much)][much]
             count = np.searchsorted(every, head, side="right") - np.searchsorted(every, head)
-            yield pa.RecordBatch.from_arrays([pa.array(head.astype(np.int64)), pa.array(count), pa.array(np.full(len(head), total)), pa.array(np.ones(len(head), bool))], names=["id", "n", "sid", "heavy"])
+            yield pa.RecordBatch.from_arrays([pa.array(head.astype(np.int64)), pa.array(count), pa.array(np.full(len(head), total)), pa.array(np.zeros(len(head), np.int32)), pa.array(np.ones(len(head), bool))], names=["id", "n", "sid", "check", "heavy"])
             del every, much
         give_back()
 
-    surveyed = durable(rows.mapInArrow(survey, "id long, n long, sid long, heavy boolean"), "jac-survey")
-    members = surveyed.where("not heavy").select(F.col("id").alias("doc_id"), "n", "sid")
+    surveyed = durable(rows.mapInArrow(survey, "id long, n long, sid long, check int, heavy boolean"), "jac-survey")
+    members = surveyed.where("not heavy").select(F.col("id").alias("doc_id"), "n", "sid", "check")
     # Heavy tokens: at most as many as all set sizes together allow.
     whole = members.agg(F.sum("n")).first()[0] or 0
     least = max(LEAST_HEAVY, -(-whole // MOST_HEAVY))
@@ -120,16 +132,12 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = heavy.value
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for _, tokens, offsets in token_sets(batches, k):
-            size, ids = np.diff(offsets), set_ids(tokens, offsets)
+            size, (ids, check) = np.diff(offsets), set_ids(tokens, offsets)
             if not len(tokens):
                 continue
-            fresh = size > 0
-            for i, s in enumerate(ids.tolist()):
-                if s in seen:
-                    fresh[i] = False
-                seen.add(s)
+            fresh = (size > 0) & first_ones(ids, check, seen)
             own = np.repeat(np.arange(len(size)), size)
             head = tokens >> _U(TOKEN_BITS - HEAD_BITS)
             at = np.minimum(np.searchsorted(hot, head), max(len(hot) - 1, 0))
@@ -143,44 +151,46 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
             o = own[picked]
             for a in range(0, len(key), 100_000):
                 part = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[part].view(np.int64)), pa.array(ids[o[part]]), pa.array(size[o[part]].astype(np.int32))], names=["key", "sid", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[part].view(np.int64)), pa.array(ids[o[part]]), pa.array(check[o[part]]), pa.array(size[o[part]].astype(np.int32))], names=["key", "sid", "check", "n"])
 
-    keyed = rows.mapInArrow(prefixes, "key long, sid long, n int")
+    keyed = rows.mapInArrow(prefixes, "key long, sid long, check int, n int")
     is_heavy = F.col("key") >= F.lit(1 << TOKEN_BITS)
     # A light token counts for a set only if another set of a size that could link has it. A heavy
     # one has company for certain; a salt spreads its rows.
     reach = math.ceil(math.log(100 / percent) * 1e9) + 2
     salted = keyed.withColumn("salt", F.when(is_heavy, F.pmod(F.col("sid"), F.lit(1024)).cast("int")).otherwise(0))
     near = Window.partitionBy("key", "salt").orderBy((F.log(F.col("n").cast("double")) * 1e9).cast("long")).rangeBetween(-reach, reach)
-    shared = salted.withColumns({"lo": F.min("sid").over(near), "hi": F.max("sid").over(near)}).where(is_heavy | (F.col("lo") != F.col("hi"))).select("key", "sid", "n")
+    shared = salted.withColumns({"lo": F.min("sid").over(near), "hi": F.max("sid").over(near)}).where(is_heavy | (F.col("lo") != F.col("hi"))).select("key", "sid", "check", "n")
     # Linked sets share EXTRA of the smaller one's size, which is percent of the larger's at least.
     # One exchange by set serves to drop rows of equal sets and to count.
     need = F.floor(F.lit(EXTRA) * F.ceil(F.col("n") * percent / 100)) + 1
-    once = shared.repartition("sid").groupBy("sid", "n", "key").agg(F.lit(1).alias("one"))
-    kept = once.withColumn("has", F.count("key").over(Window.partitionBy("sid"))).withColumn("need", need).where("has >= need")
+    once = shared.repartition("sid").groupBy("sid", "check", "n", "key").agg(F.lit(1).alias("one"))
+    kept = once.withColumn("has", F.count("key").over(Window.partitionBy("sid", "check", "n"))).withColumn("need", need).where("has >= need")
     # Sizes of linked sets differ by one class at most; each set is in its class and the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    classed = durable(kept.select("key", "sid", "need", F.explode(F.array(F.struct(size_class.alias("class"), F.lit(1).alias("own")), F.struct((size_class + 1).alias("class"), F.lit(0).alias("own")))).alias("at")).select("key", "sid", "need", "at.*"), "jac-classed")
+    classed = durable(kept.select("key", "sid", "check", "n", "need", F.explode(F.array(F.struct(size_class.alias("class"), F.lit(1).alias("own")), F.struct((size_class + 1).alias("class"), F.lit(0).alias("own")))).alias("at")).select("key", "sid", "check", "n", "need", "at.*"), "jac-classed")
     # Without a set of the class itself a family would repeat what the class below does.
     leaders = classed.groupBy("key", "class").agg(F.min("sid").alias("leader"), F.max("sid").alias("hi"), F.max("own").alias("own")).where("leader <> hi and own = 1").select("key", "class", "leader")
     # All tokens that two linked sets share lie in one class: there, too, a set needs enough of them.
-    placed = classed.join(leaders, ["key", "class"]).groupBy("sid", "class", "need", "leader").agg(F.count(F.lit(1)).alias("n"))
-    placed = placed.withColumn("has", F.sum("n").over(Window.partitionBy("sid", "class"))).where("has >= need")
-    families = durable(placed.select("leader", "class", "sid"), "jac-families")
+    placed = classed.join(leaders, ["key", "class"]).groupBy("sid", "check", "n", "class", "need", "leader").agg(F.count(F.lit(1)).alias("tokens"))
+    placed = placed.withColumn("has", F.sum("tokens").over(Window.partitionBy("sid", "check", "n", "class"))).where("has >= need")
+    families = durable(placed.select("leader", "class", "sid", "check", "n"), "jac-families")
     per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
-    sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / per_block).cast("int")).drop("n")
+    sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / per_block).cast("int")).drop("sets")
     sizes = durable(sizes, "jac-sizes")
     dealt = families.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    places = dealt.groupBy("sid").agg(F.collect_list(F.struct("leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")).alias("places"))
-    owners = members.groupBy("sid").agg(F.min("doc_id").alias("owner"))
-    wanted = durable(owners.join(places, "sid").select("owner", "sid", "places"), "jac-wanted")
+    places = dealt.groupBy("sid", "check", "n").agg(F.collect_list(F.struct("leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")).alias("places"))
+    # Sets are numbered as they are written: from here on a number stands for a set.
+    owners = durable(members.where("n > 0").groupBy("sid", "check", "n").agg(F.min("doc_id").alias("owner")).withColumn("set", F.monotonically_increasing_id()), "jac-sets")
+    wanted = durable(owners.join(places, ["sid", "check", "n"]).select("owner", "sid", "check", "set", "places"), "jac-wanted")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, tokens, offsets in token_sets(batches, k):
-            lists = part.column(1)
-            sid = np.array(part.column(0))
-            same = set_ids(tokens, offsets) == sid  # a repeated id may stand for another text
+            sid, check, number, lists = (part.column(c) for c in ("sid", "check", "set", "places"))
+            own_sid, own_check = set_ids(tokens, offsets)
+            # A repeated id may stand for another text.
+            same, sid = (own_sid == np.array(sid)) & (own_check == np.array(check)), np.array(number)
             flat, cut = lists.flatten(), np.array(lists.offsets) - lists.offsets[0].as_py()
             packed = np.ascontiguousarray((tokens >> _U(TOKEN_BITS - 8 * SENT_BYTES)).view(np.uint8).reshape(-1, 8)[:, :SENT_BYTES])
             blobs = [packed[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -189,17 +199,17 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
             fields = [flat.field(f).take(pa.array(pick)) for f in range(5)]
             for a in range(0, len(pick), 500):
                 part_own = own[pick[a : a + 500]]
-                yield pa.RecordBatch.from_arrays([*(f.slice(a, 500) for f in fields), pa.array(sid[part_own]), pa.array([blobs[i] for i in part_own.tolist()], pa.binary())], names=["leader", "class", "one", "two", "block", "sid", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(f.slice(a, 500) for f in fields), pa.array(sid[part_own]), pa.array([blobs[i] for i in part_own.tolist()], pa.binary())], names=["leader", "class", "one", "two", "block", "set", "tokens"])
 
-    texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "places", "text")
-    tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, sid long, tokens binary")
-    tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "sid")
+    texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "check", "set", "places", "text")
+    tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, set long, tokens binary")
+    tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "set")
 
     def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, ["leader", "class", "one", "two"]):
             if group.num_rows < 2:
                 continue
-            sid, first = np.unique(np.array(group.column("sid")), return_index=True)
+            sid, first = np.unique(np.array(group.column("set")), return_index=True)
             block = np.array(group.column("block"))[first]
             sets = [unpack(b) for b in group.column("tokens").take(pa.array(first)).to_pylist()]
             one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
@@ -210,8 +220,9 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                 yield pa.RecordBatch.from_arrays([pa.array(sid[child]), pa.array(sid[root[child]])], names=["a", "b"])
 
     links = tasks.mapInArrow(open_groups, "a long, b long")
-    component = connected_components(links).withColumnRenamed("node", "sid")
-    told = durable(members.join(component, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("root")), "jac-told")
+    component = connected_components(links).withColumnRenamed("node", "set")
+    rooted = durable(owners.join(component, "set", "left").select("sid", "check", "n", F.coalesce("component", "set").alias("root")), "jac-roots")
+    told = durable(members.join(rooted, ["sid", "check", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "root"), "jac-told")
     # Written, so that the join below shuffles both sides itself and may split a hot component.
     smallest = durable(told.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jac-smallest")
     return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -224,51 +235,45 @@ def unpack(blob: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def linked_pairs(sets: list[np.ndarray], queries: np.ndarray, others: np.ndarray, percent: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, other) with 100 * intersection >= percent * union, by a token-group matrix."""
+def linked_pairs(sets: list[np.ndarray], queries: np.ndarray, others: np.ndarray, percent: int, columns: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, other) with 100 * intersection >= percent * union, by a token-group matrix of bits."""
     n = np.array([len(s) for s in sets])
-    lengths = np.concatenate([[0], np.cumsum(n)])
     flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), n)
     order = np.argsort(flat, kind="stable")
-    value, holder = flat[order], owner[order]
+    value, holder = flat[order], np.repeat(np.arange(len(sets)), n)[order]
     start = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
     df = np.diff(np.r_[start, len(value)])
-    column = np.repeat(np.cumsum(df > 1) - 1, df)[np.repeat(df > 1, df)]
-    holder = holder[np.repeat(df > 1, df)]
-    # Groups: sets with the same smallest token.
-    smallest = np.array([s[0] for s in sets])
-    _, group = np.unique(smallest[others], return_inverse=True)
-    n_groups = int(group.max()) + 1
-    group_of = np.full(len(sets), -1)
-    group_of[others] = group
-    overlap = np.zeros((len(queries), n_groups), np.float32)
-    row_of = np.full(len(sets), -1)
-    row_of[queries] = np.arange(len(queries))
-    chunks = [(c, slice(*np.searchsorted(column, [c, c + columns]))) for c in range(0, int(column[-1]) + 1 if len(column) else 0, columns)]
-
-    def dense(rows: np.ndarray, n_rows: int, c: int, part: slice) -> np.ndarray:
-        out = np.zeros((n_rows, columns), np.float32)
-        at = rows[holder[part]]
-        ok = at >= 0
-        out[at[ok], column[part][ok] - c] = 1
-        return out
-
-    for c, part in chunks:
-        overlap += dense(row_of, len(queries), c, part) @ dense(group_of, n_groups, c, part).T
-    # |q and x| <= |q and union|, and a link needs percent of |q| at least.
-    opened = 100 * overlap.astype(np.int64) >= percent * n[queries][:, None]
-    q_rows, g_rows = np.flatnonzero(opened.any(1)), np.flatnonzero(opened.any(0))
-    if not len(q_rows):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    q, x = queries[q_rows], others[np.isin(group, g_rows)]
-    q_at, x_at = np.full(len(sets), -1), np.full(len(sets), -1)
-    q_at[q], x_at[x] = np.arange(len(q)), np.arange(len(x))
-    both = np.zeros((len(q), len(x)), np.float32)
-    for c, part in chunks:
-        both += dense(q_at, len(q), c, part) @ dense(x_at, len(x), c, part).T
-    shared = both.astype(np.int64)
-    link = 100 * shared >= percent * (n[q][:, None] + n[x][None, :] - shared)
-    link &= q[:, None] != x[None, :]
-    i, j = np.nonzero(link)
-    return q[i], x[j]
+    # A column for each token that two sets hold.
+    several = np.repeat(df > 1, df)
+    column, holder = np.repeat(np.cumsum(df > 1) - 1, df)[several], holder[several]
+    bits = []
+    for c in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        part = slice(*np.searchsorted(column, [c, c + columns]))
+        plain = np.zeros((len(sets), min(columns, -(-(int(column[-1]) + 1 - c) // 64) * 64)), bool)
+        plain[holder[part], column[part] - c] = True
+        bits.append(np.packbits(plain, axis=1).view(np.uint64))
+    none = np.zeros(0, np.int64)
+    if not bits:
+        return none, none
+    bits = np.concatenate(bits, axis=1)
+    # Groups: sets with the same smallest token; the matrix holds their unions.
+    smallest = np.array([s[0] for s in sets])[others]
+    order = np.argsort(smallest, kind="stable")
+    others, smallest = others[order], smallest[order]
+    begin = np.flatnonzero(np.r_[True, smallest[1:] != smallest[:-1]])
+    end = np.append(begin[1:], len(others))
+    union = np.bitwise_or.reduceat(bits[others], begin, axis=0)
+    found_q, found_x = [none], [none]
+    for q in queries.tolist():
+        # |q and x| <= |q and union|, and a link needs percent of |q| at least.
+        overlap = np.bitwise_count(union & bits[q]).sum(1, dtype=np.int64)
+        opened = np.flatnonzero(100 * overlap >= percent * n[q])
+        if not len(opened):
+            continue
+        x = np.concatenate([others[begin[g] : end[g]] for g in opened.tolist()])
+        x = x[(x != q) & (100 * np.minimum(n[x], n[q]) >= percent * np.maximum(n[x], n[q]))]
+        shared = np.bitwise_count(bits[x] & bits[q]).sum(1, dtype=np.int64)
+        x = x[100 * shared >= percent * (n[q] + n[x] - shared)]
+        found_q.append(np.full(len(x), q))
+        found_x.append(x)
+    return np.concatenate(found_q), np.concatenate(found_x)

@@ -68,6 +68,22 @@ def test_jaccard_heavy_group(spark, monkeypatch):
     assert [got[r[0]] for r in rows] == want
 
 
+@pytest.mark.parametrize("percent", [50, 85, 100])
+def test_linked_pairs_match_brute_force(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for _ in range(120):
+        base = sets[int(rng.integers(len(sets)))] if sets and rng.random() < 0.7 else rng.integers(0, 1 << 48, int(rng.integers(1, 200))).astype(np.uint64)
+        kept = base[rng.random(len(base)) < 0.95]
+        sets.append(np.unique(np.r_[kept, rng.integers(0, 1 << 48, int(rng.integers(1, 9))).astype(np.uint64)]))
+    queries, others = np.arange(0, 80), np.arange(40, 120)
+    plain = [set(s.tolist()) for s in sets]
+    want = {(q, x) for q in queries for x in others if q != x and 100 * len(plain[q] & plain[x]) >= percent * len(plain[q] | plain[x])}
+    for columns in (64, 8192):
+        a, b = jaccard.linked_pairs(sets, queries, others, percent, columns)
+        assert set(zip(a.tolist(), b.tolist(), strict=True)) == want
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)]
