@@ -1,20 +1,26 @@
 """Language-model scores from a probabilistic suffix tree.
 
 Symbols are the UTF-8 bytes of lower-cased words, a blank after each word and one end mark; a text
-without words is its end mark. Over all training documents, runs of depth + 1 symbols are counted;
-contexts of every length up to the depth that are frequent enough (a share of all symbols, which
-bounds their number) are candidates. A context is retained if its next-symbol distribution
-diverges from that of its suffix by more than a penalty for each next symbol, as are the suffixes
-of retained contexts. Distributions are smoothed by Witten-Bell back-off to the suffix, down to all
-256 bytes, and sum to one. For scoring, an automaton holds the longest retained suffix at each place; many
-lanes of the stream move through it in step.
+without words is its end mark. Over all training documents, runs of depth + 1 symbols are counted.
+Every context of up to ``depth`` symbols that occurs ``least`` times is a candidate, so their number
+grows with the corpus. A context is retained if its next-symbol distribution diverges from that of
+its suffix by more than a penalty for each next symbol, as are the suffixes of retained contexts.
+Distributions are smoothed by back-off to the suffix, down to all 256 bytes, and sum to one.
+
+Contexts that agree in their last three symbols are learned in one task, from their suffixes'
+distributions and the aggregated counts; the tree is written as a table of log probabilities by
+context and symbol. For scoring it is dealt into parts of bounded size by these three symbols: each
+part passes over the documents and scores the places whose last symbols are its own, from the
+longest retained suffix there. One part is enough for some gigabytes of text.
 
 Beside the model's score there is a unigram base: its word counts are corpus statistics too. Words
 above a share of all tokens, hence boundedly many, are broadcast; all others meet their counts in
 a shuffle join on 64-bit hashes.
 
-Edge cases: a null text is empty; without training documents the tree is the uniform distribution
-and every token unknown; repeated ids are rows of their own; an empty table gives an empty result.
+Edge cases: a null text is empty; a text of any length counts whole; without training documents the
+tree is the uniform distribution and every token unknown; repeated and null ids are rows of their
+own; an empty table gives an empty result; extra columns are ignored (but may tell the training
+rows).
 """
 
 from __future__ import annotations
@@ -24,16 +30,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, small_batches, text_slices
-from .textkern import _LOWER, _SPACE, word_hashes
-
-END, BLANK = 10, 32
-DEPTH = 5
-#: Least share of all symbols that a context needs: at most 1 / share contexts of each length.
-LEAST_SHARE = 2e-6
+from .embeddings import whole_groups
+from .textkern import _LOWER, _SPACE, mix64, word_hashes
+
+#: The end mark, the blank, and what lies before a text's beginning: no word holds these bytes.
+END, BLANK, NOTHING = 10, 32, 9
+DEPTH = 6
+#: Occurrences that a context needs before it is tested.
+LEAST = 24
+#: Contexts of so many symbols are learned by the driver (at most 256 ** 3 counts, in practice some ten thousand).
+SHORT = 2
+#: Most entries of a part of the tree: about 100 MB in each worker.
+MOST_ENTRIES = 4_000_000
 #: Divergence (in nats over all occurrences) that a context needs, per next symbol and log count.
 PENALTY = 0.1
 #: Weight of the suffix's distribution, per next symbol.
@@ -60,16 +73,17 @@ def symbol_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 def run_codes(symbols: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
     """For each place the symbol (lowest byte) and the depth symbols before it, nearest first.
 
-    Before a text stands one END; beyond it there is nothing (0).
+    Before a text stands one END, and NOTHING beyond it.
     """
     n = len(symbols)
     back = np.arange(n, dtype=np.int64) - np.repeat(offsets[:-1], np.diff(offsets))  # symbols before, in the text
     padded = np.concatenate([np.full(1, END, np.uint8), symbols])
     code = symbols.astype(np.uint64)
     for i in range(1, depth + 1):
-        earlier = np.zeros(n, np.uint64)
-        earlier[i - 1 :] = padded[: n - i + 1] if n >= i else 0
-        earlier[back < i - 1] = 0
+        earlier = np.full(n, NOTHING, np.uint64)
+        if n >= i:
+            earlier[i - 1 :] = padded[: n - i + 1]
+        earlier[back < i - 1] = NOTHING
         code |= earlier << np.uint64(8 * i)
     return code
 
@@ -118,130 +132,184 @@ def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
     return train.mapInArrow(run, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+def _mask(symbols: int) -> np.uint64:
+    return np.uint64((1 << 8 * symbols) - 1)
+
+
+def pair_key(run: np.ndarray, length: int) -> np.ndarray:
+    """A run (context of this length, then a symbol) as the key of an entry."""
+    return (run & _mask(length + 1)) | np.uint64((length + 1) << 56)
+
+
+def context_key(run: np.ndarray, length: int) -> np.ndarray:
+    """The context of a run as the key of an entry."""
+    return ((run >> np.uint64(8)) & _mask(length)) | np.uint64((0x80 | (length + 1)) << 56)
+
+
+class Entries:
+    """Log probabilities by key: open addressing, at most half full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.values = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.float32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            free = self.keys[at[left]] == 0
+            self.keys[at[left[free]]] = keys[left[free]]
+            mine = self.keys[at[left]] == keys[left]
+            self.values[at[left[mine]]] = values[left[mine]]
+            left = left[~mine]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the keys that are there, their values)."""
+        at = self._place(keys)
+        got = self.keys[at]
+        hit = got == keys
+        found, slots = [np.flatnonzero(hit)], [at[hit]]
+        left = np.flatnonzero(~hit & (got != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+            got, want = self.keys[at[left]], keys[left]
+            hit = got == want
+            found.append(left[hit])
+            slots.append(at[left[hit]])
+            left = left[~hit & (got != 0)]
+        return np.concatenate(found), self.values[np.concatenate(slots)]
+
+
+@dataclass
+class Level:
+    """Contexts of one length: runs (sorted) with their smoothed probabilities, and what tests say of their contexts."""
+
+    run: np.ndarray
+    p: np.ndarray
+    context: np.ndarray  # sorted
+    of_run: np.ndarray
+    weight: np.ndarray  # share that goes to the suffix's distribution
+    kept: np.ndarray
+
+    def entries(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        keep = self.kept[self.of_run]
+        keys = np.concatenate([pair_key(self.run[keep], length), context_key(self.context[self.kept] << np.uint64(8), length)])
+        return keys, np.log10(np.concatenate([self.p[keep], self.weight[self.kept]])).astype(np.float32)
+
+    def keep_suffixes_of(self, contexts: np.ndarray) -> None:
+        at = np.searchsorted(self.context, contexts)
+        inside = at < len(self.context)
+        at, contexts = at[inside], contexts[inside]
+        self.kept[at[self.context[at] == contexts]] = True
+
+
+def learn_level(code: np.ndarray, count: np.ndarray, length: int, below_run: np.ndarray, below_p: np.ndarray, least: int) -> Level:
+    """code, count: runs of at least length + 1 symbols; below: runs of the level before and their probabilities."""
+    known = ((code >> np.uint64(8 * length)) & np.uint64(255)) != NOTHING if length else np.ones(len(code), bool)
+    run, inverse = np.unique(code[known] & _mask(length + 1), return_inverse=True)
+    n = np.bincount(inverse, count[known], len(run))
+    context, of_run = np.unique(run >> np.uint64(8), return_inverse=True)
+    total, kinds = np.bincount(of_run, n, len(context)), np.bincount(of_run, minlength=len(context))
+    shorter = run & _mask(length) if length else run
+    below = below_p[np.searchsorted(below_run, shorter)] if len(run) else np.zeros(0)
+    weight = BACK_OFF * kinds
+    p = (n + weight[of_run] * below) / (total + weight)[of_run]
+    gain = np.bincount(of_run, n * np.log(n / total[of_run] / np.maximum(below, 1e-300)), len(context))
+    return Level(run, p, context, of_run, weight / np.maximum(total + weight, 1), (total >= least) & (gain > PENALTY * kinds * np.log(np.maximum(total, 1))))
+
+
+def learn_root(symbol: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Probabilities of all 256 symbols without a context."""
+    n = np.bincount(symbol.astype(np.int64), count, 256)
+    kinds = max(1, int((n > 0).sum()))
+    return (n + kinds / 256) / (n.sum() + kinds)
+
+
 @dataclass
 class SuffixTree:
-    """Automaton over symbol columns: next state, and log10 probability of each symbol."""
+    """What every part shares, and where its own groups of contexts begin."""
 
-    column: np.ndarray  # byte -> column
-    step: np.ndarray  # (states, columns) int32
-    log10p: np.ndarray  # (states, columns) float32
+    root: np.ndarray  # log10 probability of each symbol
+    short: Entries
+    long: Entries
     depth: int
-    contexts: int
+    part: int = 0
+    parts: int = 1
+
+    def places(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol of the stream at the places of this part, 0 at others."""
+        code = run_codes(symbols, offsets, self.depth)
+        out = np.zeros(len(code))
+        left = np.arange(len(code)) if self.parts == 1 else np.flatnonzero(spread(code) % self.parts == self.part)
+        code = code[left]
+        for length in range(self.depth, 0, -1):
+            table = self.short if length <= SHORT else self.long
+            at, value = table.find(pair_key(code, length))
+            out[left[at]] += value
+            rest = np.ones(len(left), bool)
+            rest[at] = False
+            left, code = left[rest], code[rest]
+            # The context is known but not this symbol after it: on to its suffix.
+            at, value = table.find(context_key(code, length))
+            out[left[at]] += value
+        out[left] += self.root[symbols[left]]
+        return out
 
     def score(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """log10 probability of each text of the stream."""
-        return np.add.reduceat(self.places(symbols), offsets[:-1]) if len(symbols) else np.zeros(0)
-
-    def places(self, symbols: np.ndarray, lanes: int = 1024) -> np.ndarray:
-        """log10 probability of each symbol of the stream."""
-        n, width = len(symbols), self.step.shape[1]
-        if not n:
-            return np.zeros(0)
-        long = -(-n // lanes)
-        warm = self.depth + 1
-        cols = self.column[symbols].astype(np.int32)
-        # Each lane first reads the symbols before it; the whole stream follows an END.
-        padded = np.full(warm + lanes * long, self.column[END], np.int32)
-        padded[warm : warm + n] = cols
-        got = np.empty((long, lanes))
-        state = np.zeros(lanes, np.int32)
-        begin = np.arange(lanes) * long
-        step, log10p = self.step.ravel(), self.log10p.ravel()
-        for t in range(warm):
-            state = step[state * width + padded[begin + t]]
-        for t in range(long):
-            at = state * width + padded[begin + warm + t]
-            got[t] = log10p[at]
-            state = step[at]
-        return got.T.ravel()[:n]
-
-
-def learn_tree(context: np.ndarray, length: np.ndarray, symbol: np.ndarray, count: np.ndarray, depth: int) -> SuffixTree:
-    """context: codes of symbols, nearest in the lowest byte; a row per context and next symbol."""
-    seen = np.unique(symbol)
-    column = np.full(256, len(seen), np.int64)
-    column[seen] = np.arange(len(seen))
-    width = len(seen) + 1  # the last column stands for each of the other bytes
-    share = np.append(np.ones(len(seen)), 1.0)
-    order = np.lexsort((symbol, context, length))
-    context, length, symbol, count = context[order], length[order], symbol[order], count[order]
-    cut = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (length[1:] != length[:-1])]) if len(context) else np.zeros(0, np.int64)
-    stop = np.append(cut, len(context))[1:] if len(cut) else cut
-    #: Rows of each context.
-    rows = {(n, c): (a, b) for n, c, a, b in zip(length[cut].tolist(), context[cut].tolist(), cut.tolist(), stop.tolist(), strict=True)}
-    cols = column[symbol]
-
-    def parent(at: tuple[int, int]) -> tuple[int, int]:
-        return at[0] - 1, at[1] & ((1 << 8 * (at[0] - 1)) - 1)
-
-    def blend(at: tuple[int, int], below: np.ndarray) -> np.ndarray:
-        a, b = rows[at]
-        n, k = count[a:b].sum(), b - a
-        weight = BACK_OFF * k if at[0] else k
-        p = weight * below
-        p[cols[a:b]] += count[a:b]
-        return p / (n + weight)
-
-    uniform = share / 256
-    top = blend((0, 0), uniform) if (0, 0) in rows else uniform
-    retained: set[tuple[int, int]] = {(0, 0)}
-    # Level by level; only the distributions of the level before are held.
-    last: dict[tuple[int, int], np.ndarray] = {(0, 0): top}
-    for size in range(1, depth + 1):
-        held: dict[tuple[int, int], np.ndarray] = {}
-        for at, (a, b) in rows.items():
-            if at[0] != size or (at[1] >> (8 * (size - 1))) == 0:
-                continue
-            below = last.get(parent(at))
-            if below is None:
-                continue
-            if size < depth:
-                held[at] = blend(at, below).astype(np.float32)
-            n, k = count[a:b].sum(), b - a
-            gain = float((count[a:b] * np.log(count[a:b] / n / below[cols[a:b]])).sum())
-            if gain > PENALTY * k * np.log(n):
-                up = at
-                while up not in retained:
-                    retained.add(up)
-                    up = parent(up)
-        last = held
-    last = held = {}
-    # The automaton: a trie of the retained contexts, oldest symbol first, with failure links.
-    def oldest_first(at: tuple[int, int]) -> bytes:
-        return at[1].to_bytes(8, "little")[: at[0]][::-1]
-
-    strings = sorted(map(oldest_first, retained), key=lambda s: (len(s), s))
-    nodes = {s[:i] for s in strings for i in range(len(s) + 1)}
-    names = sorted(nodes, key=lambda s: (len(s), s))
-    number = {s: i for i, s in enumerate(names)}
-    context_of = {oldest_first(at): at for at in retained}
-    step = np.zeros((len(names), width), np.int32)
-    probs = np.empty((len(names), width), np.float32)
-    for i, s in enumerate(names):  # short names first: the failure node is known
-        if not s:
-            probs[i] = top
-        else:
-            fail = next(number[s[j:]] for j in range(1, len(s) + 1) if s[j:] in number)
-            # The suffix of a retained context is retained, and so is the failure node.
-            probs[i] = blend(context_of[s], probs[fail]) if s in context_of else probs[fail]
-            step[i] = step[fail]
-        own = [c for c in seen.tolist() if s + bytes([c]) in number]
-        if own:
-            step[i, column[own]] = [number[s + bytes([c])] for c in own]
-    return SuffixTree(column, step, np.log10(probs, out=probs), depth, len(retained))
-
-
-def fit_tree(counts: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> SuffixTree:
-    """Contexts that are frequent enough come to the driver; their number is bounded by the share."""
-    runs = counts.where("kind = 1").select(F.col("key"), "n")
-    total = runs.agg(F.sum("n")).first()[0] or 0
-    lengths = F.explode(F.sequence(F.lit(0), F.lit(depth)))
-    masked = runs.select(lengths.alias("length"), "key", "n").select("length", F.expr("key & (shiftleft(1L, 8 * (length + 1)) - 1)").alias("run"), "n")
-    pairs = masked.groupBy("length", "run").agg(F.sum("n").alias("n")).select("length", F.shiftright("run", 8).alias("context"), F.expr("run & 255").alias("symbol"), "n")
-    pairs = durable(pairs, "pst-pairs")
-    frequent = pairs.groupBy("length", "context").agg(F.sum("n").alias("all")).where(F.col("all") >= max(2, least_share * total)).select("length", "context")
-    got = pairs.join(frequent, ["length", "context"]).toArrow()
-    return learn_tree(*(np.array(got.column(c)).astype(np.int64) for c in ("context", "length", "symbol", "n")), depth)
+        """log10 probability of each text of the stream (its share at the places of this part)."""
+        return np.add.reduceat(self.places(symbols, offsets), offsets[:-1]) if len(symbols) else np.zeros(0)
+
+
+def spread(run: np.ndarray) -> np.ndarray:
+    """A number that the last SHORT + 1 symbols of a run's context decide; parts are dealt by it."""
+    return (mix64((run >> np.uint64(8)) & _mask(SHORT + 1)) >> np.uint64(33)).astype(np.int64)
+
+
+def learn_long(batches: Iterator[pa.RecordBatch], below: tuple[np.ndarray, np.ndarray], depth: int, least: int) -> Iterator[pa.RecordBatch]:
+    """spread, group, key, value of the retained contexts of more than SHORT symbols, from sorted (group, key, n)."""
+    for rows, _, _ in whole_groups(batches, ["group"], 200_000):
+        code, n = np.array(rows.column("key"), np.int64).view(np.uint64), np.array(rows.column("n"), float)
+        levels, last = [], below
+        for length in range(SHORT + 1, depth + 1):
+            level = learn_level(code, n, length, *last, least)
+            levels.append(level)
+            last = level.run, level.p
+        for length in range(depth, SHORT + 1, -1):
+            level = levels[length - SHORT - 1]
+            levels[length - SHORT - 2].keep_suffixes_of(level.context[level.kept] & _mask(length - 1))
+        for length, level in zip(range(SHORT + 1, depth + 1), levels, strict=True):
+            key, value = level.entries(length)
+            plain = np.where(key >> np.uint64(63) == 1, key << np.uint64(8), key)  # as a run
+            group = (plain >> np.uint64(8)) & _mask(SHORT + 1)
+            for at in range(0, len(key), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(spread(plain[part])), pa.array(group[part].astype(np.int64)), pa.array(key[part].view(np.int64)), pa.array(value[part])], names=["spread", "group", "key", "value"])
+
+
+def fit_tree(counts: DataFrame, depth: int = DEPTH, least: int = LEAST) -> tuple[np.ndarray, Entries, DataFrame]:
+    """(log probabilities of the root, entries of short contexts, table of all other entries)."""
+    spark = counts.sparkSession
+    runs = counts.where("kind = 1").select("key", "n")
+    first = runs.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (SHORT + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    code, n = np.array(first.column("key"), np.int64).view(np.uint64), np.array(first.column("n"), float)
+    root = learn_root(code & np.uint64(255), n)
+    levels, last = [], (np.arange(256, dtype=np.uint64), root)
+    for length in range(1, SHORT + 1):
+        level = learn_level(code, n, length, *last, least)
+        levels.append(level)
+        last = level.run, level.p
+    held = spark.sparkContext.broadcast(last)
+    grouped = runs.select(F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (SHORT + 1)) - 1)).alias("group"), "key", "n")
+    grouped = grouped.repartition("group").sortWithinPartitions("group")
+    long = durable(grouped.mapInArrow(lambda b: learn_long(b, held.value, depth, least), "spread long, group long, key long, value float"), "pst-tree")
+    needed = np.array(long.select("group").distinct().toArrow().column("group"), np.int64).view(np.uint64)
+    for length in range(SHORT, 0, -1):
+        level = levels[length - 1]
+        level.keep_suffixes_of(np.unique(needed & _mask(length)))
+        needed = level.context[level.kept]
+    told = [level.entries(length) for length, level in enumerate(levels, 1)]
+    return np.log10(root), Entries(*(np.concatenate(x) for x in zip(*told, strict=True))), long
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -250,9 +318,16 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     train: a boolean expression over docs that says which rows are learned from.
     """
     spark = docs.sparkSession
-    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), train.alias("train"))
+    docs = small_batches(docs)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), train.alias("train"))
     counts = durable(corpus_counts(rows.where("train").select("text"), depth), "pst-counts")
-    tree = fit_tree(counts, depth)
+    root, short, long = fit_tree(counts, depth)
+    parts = max(1, -(-long.count() // MOST_ENTRIES))
+
+    def tree(part: int) -> SuffixTree:
+        own = (long if parts == 1 else long.where(F.col("spread") % parts == part)).select("key", "value").toArrow()
+        return SuffixTree(root, short, Entries(np.array(own.column("key"), np.int64).view(np.uint64), np.array(own.column("value"), np.float32)), depth, part, parts)
+
     words = counts.where("kind = 0")
     told = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     ends = counts.where("kind = 2").agg(F.sum("n")).first()[0] or 0
@@ -262,7 +337,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     common = words.where(F.col("n") >= most).select("key", "n").toArrow()
     keys = np.array(common.column("key"), np.int64).view(np.uint64)
     order = np.argsort(keys)
-    held = spark.sparkContext.broadcast((keys[order], np.log10(np.array(common.column("n"), float)[order] + 0.1), tree))
+    held = spark.sparkContext.broadcast((keys[order], np.log10(np.array(common.column("n"), float)[order] + 0.1), tree(0)))
     end_score = float(np.log10(ends + 0.1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,12 +370,29 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(keys_out), pa.array(np.concatenate([rid, rid[owner]])), pa.array(np.concatenate([np.zeros(n, np.int32), times.astype(np.int32)])), told], names=["key", "rid", "times", "told"])
 
-    stream = rows.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).mapInArrow(run, "key long, rid long, times int, told struct<doc_id: long, n_tokens: long, n_known: long, base: double, score: double>")
+    numbered = rows.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
+    told = "struct<doc_id: long, n_tokens: long, n_known: long, base: double, score: double>"
+    stream = numbered.mapInArrow(run, f"key long, rid long, times int, told {told}")
+    # Further parts of a large tree add what they have to say of a text.
+    for part in range(1, parts):
+        stream = stream.unionByName(_part_scores(numbered, spark.sparkContext.broadcast(tree(part))).select("rid", F.struct(*[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("n_tokens", "long"), ("n_known", "long"), ("base", "double"))], "score").alias("told")), allowMissingColumns=True)
     met = stream.join(words.where(F.col("n") < most).select("key", "n"), "key", "left")
     gained = F.col("times") > 0
     per_doc = met.groupBy("rid").agg(
-        F.max("told").alias("told"),
+        F.max(F.when(F.col("told.n_tokens").isNotNull(), F.col("told"))).alias("told"),
+        F.sum("told.score").alias("score"),
         F.coalesce(F.sum(F.when(gained & F.col("n").isNotNull(), F.col("times") * (F.log10(F.col("n") + F.lit(0.1)) + 1))), F.lit(0.0)).alias("more"),
         F.coalesce(F.sum(F.when(gained & F.col("n").isNotNull(), F.col("times"))), F.lit(0)).alias("met"),
     )
-    return per_doc.select("told.doc_id", "told.n_tokens", (F.col("told.n_known") + F.col("met")).cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("told.base") + F.col("more")).alias("base_score"), F.col("told.score").alias("score"))
+    return per_doc.select("told.doc_id", "told.n_tokens", (F.col("told.n_known") + F.col("met")).cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("told.base") + F.col("more")).alias("base_score"), "score")
+
+
+def _part_scores(numbered: DataFrame, held: Broadcast) -> DataFrame:
+    """rid, score: what a further part of the tree adds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in text_slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(held.value.score(*symbol_stream(data, offsets)))], names=["rid", "score"])
+
+    return numbered.select("text", "rid").mapInArrow(run, "rid long, score double")

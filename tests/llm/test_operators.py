@@ -548,27 +548,55 @@ def test_suffix_tree_scores(spark):
     assert len(nothing) == len(rows) and all(g.n_known == 0 for g in nothing)
 
 
-def test_suffix_tree_is_a_distribution():
-    """Next-symbol probabilities sum to one, and the automaton finds the longest retained suffix."""
-    text = ("the cat sat on the mat " * 50 + "a rat ate the hat " * 30).encode()
-    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    symbols, cut = suffixtree.symbol_stream(data, offsets)
-    codes, n = np.unique(suffixtree.run_codes(symbols, cut, 3), return_counts=True)
-    context, length, symbol, count = [], [], [], []
-    for size in range(4):
-        masked = codes & np.uint64((1 << 8 * (size + 1)) - 1)
-        u, inv = np.unique(masked, return_inverse=True)
-        context.append((u >> np.uint64(8)).astype(np.int64))
-        length.append(np.full(len(u), size))
-        symbol.append((u & np.uint64(255)).astype(np.int64))
-        count.append(np.bincount(inv, n).astype(np.int64))
-    tree = suffixtree.learn_tree(*map(np.concatenate, (context, length, symbol, count)), 3)
-    p = 10**tree.log10p
-    unseen = 256 - (tree.step.shape[1] - 1)
-    assert (p[:, :-1].sum(1) + unseen * p[:, -1]) == pytest.approx(np.ones(len(p)))
-    whole = tree.places(symbols, lanes=1)
-    assert tree.places(symbols, lanes=37) == pytest.approx(whole)
-    assert whole.mean() > np.log10(1 / 12)
+def plain_tree(texts, depth, least):
+    """Smoothed distributions of all retained contexts, longest suffix first, by plain counting."""
+    streams = [bytes(b for w in words(t) for b in [*w.encode(), 32]) + b"\n" for t in texts]
+    count = {}
+    for s in streams:
+        for i, symbol in enumerate(s):
+            before = (b"\n" + s[:i])[-depth:]
+            for k in range(len(before) + 1):
+                count.setdefault(before[len(before) - k :], Counter())[symbol] += 1
+    uniform = [1 / 256] * 256
+    dist, kept = {}, {b""}
+    for context in sorted(count, key=len):
+        seen = count[context]
+        n, w = sum(seen.values()), len(seen) * (suffixtree.BACK_OFF if context else 1)
+        below = dist[context[1:]] if context else uniform
+        dist[context] = [(seen[b] + w * below[b]) / (n + w) for b in range(256)]
+        gain = sum(c * math.log(c / n / below[b]) for b, c in seen.items())
+        if context and n >= least and gain > suffixtree.PENALTY * len(seen) * math.log(n):
+            kept |= {context[i:] for i in range(len(context))}
+    return {c: dist.get(c, uniform) for c in kept}
+
+
+def plain_score(tree, text, depth):
+    s = bytes(b for w in words(text) for b in [*w.encode(), 32]) + b"\n"
+    total = 0.0
+    for i, symbol in enumerate(s):
+        before = (b"\n" + s[:i])[-depth:]
+        longest = next(before[k:] for k in range(len(before) + 1) if before[k:] in tree)
+        total += math.log10(tree[longest][symbol])
+    return total
+
+
+@pytest.mark.parametrize(("least", "most"), [(24, 4_000_000), (3, 300)])
+def test_suffix_tree_matches_plain_counting(spark, monkeypatch, least, most):
+    """Longest retained suffixes, also where the tree is dealt into several parts."""
+    monkeypatch.setattr(suffixtree, "MOST_ENTRIES", most)
+    original = suffixtree.fit_tree
+    monkeypatch.setattr(suffixtree, "fit_tree", lambda counts, depth: original(counts, depth, least))
+    rows = [*corpus(60, 4), (900, "\x00nul \x00\x00 nul", "en", "s", 0), (None, "unseen \U0001f600 words", "en", "s", 0), (900, "again", "en", "s", 0)]
+    train = [r for r in rows if fold(r[0], 10)]
+    tree = plain_tree([r[1] for r in train], 4, least)
+    assert len(tree) > 40 and max(map(len, tree)) == 4
+    assert [sum(d) for d in tree.values()] == pytest.approx([1.0] * len(tree))
+    docs = table(spark, rows).withColumns({"rid": F.lit("x"), "key": F.lit(1), "told": F.lit(2)})
+    got = suffixtree.score_texts(docs, crc32_mod(F.col("doc_id"), 10) != 0, depth=4).collect()
+    want = sorted((str(r[0]), plain_score(tree, r[1], 4)) for r in rows)
+    have = sorted((str(r.doc_id), r.score) for r in got)
+    assert [w[0] for w in want] == [h[0] for h in have]
+    assert [h[1] for h in have] == pytest.approx([w[1] for w in want], rel=1e-5)
 
 
 def test_empty_and_repeated_tables(spark):
