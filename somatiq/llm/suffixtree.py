@@ -47,8 +47,8 @@ LEAST = 24
 SHORT = 2
 #: Most entries of a part of the tree: about 100 MB in each worker.
 MOST_ENTRIES = 4_000_000
-#: Divergence (in nats over all occurrences) that a context needs, per next symbol and log count.
-PENALTY = 0.1
+#: Divergence (in nats over all occurrences) that a context needs, per next symbol and log count: half, as in BIC.
+PENALTY = 0.5
 #: Weight of the suffix's distribution, per next symbol.
 BACK_OFF = 4.0
 #: Least share of all tokens of a common word: at most 1 / share words.
