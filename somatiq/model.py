@@ -20,7 +20,7 @@ def _schema(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
 EVENTS = _schema(("file_id", _S, False), ("id", _S, False), ("name", _S, True), ("begin", _TS, False), ("end", _TS, True), ("data", _S, True))
 FEATURES = _schema(("file_id", _S, False), ("id", _S, False), ("reference", _S, False), ("value", _D, True))
 NN = _schema(("file_id", _S, False), ("ts", _TS, False), ("nn", _D, True), ("bad", _B, False), ("details", _S, False))
-METADATA = _schema(("file_id", _S, False), ("base", _S, True), ("journal", _S, True), ("standard", _S, True), ("protocol", _S, True), ("omind", _S, True))
+METADATA = _schema(("file_id", _S, False), ("base", _S, True), ("journal", _S, True), ("standard", _S, True), ("protocol", _S, True), ("owner", _S, True))
 
 #: Channels that a standard signal may have beside the 10-05 electrode names.
 ECG_LEADS = ("I", "II", "III", "aVR", "aVL", "aVF")
@@ -28,11 +28,15 @@ PERIPHERAL = ("PPG", "GSR", "PZT")
 
 
 def eeg_channels() -> set[str]:
-    """Electrode names of the 10-05 system, by its rule: row letters with midline or numbered sites."""
-    rows = ["N", "Fp", "AFp", "AF", "AFF", "F", "FFC", "FC", "FCC", "C", "CCP", "CP", "CPP", "P", "PPO", "PO", "POO", "O", "OI", "I"]
-    temporal = ["FFT", "FT", "FTT", "T", "TTP", "TP", "TPP"]
-    sites = ["z", *map(str, range(1, 11)), *(f"{i}h" for i in range(1, 11))]
-    return {r + s for r in rows + temporal for s in sites} | {"A1", "A2", "M1", "M2"}
+    """The electrode names of the 10-05 system, by its rule.
+
+    Fifteen rows run from ear to ear: sites 7 to 10 bear the lateral letters, all nearer ones the
+    medial letters, and half steps an h. Five short rows lie at the poles.
+    """
+    rows = [("AFp", "AFp"), ("AF", "AF"), ("AFF", "AFF"), ("F", "F"), ("FFC", "FFT"), ("FC", "FT"), ("FCC", "FTT"), ("C", "T"), ("CCP", "TTP"), ("CP", "TP"), ("CPP", "TPP"), ("P", "P"), ("PPO", "PPO"), ("PO", "PO"), ("POO", "POO")]
+    full = {(medial if i <= 6 else lateral) + f"{i}{half}" for medial, lateral in rows for i in range(1, 11) for half in ("", "h")} | {f"{medial}z" for medial, _ in rows}
+    poles = {f"{row}{site}" for row in ("Fp", "O", "OI", "I") for site in ("1", "z", "2", "1h", "2h")}
+    return full | poles | {"T3", "T4", "T5", "T6", "A1", "A2", "M1", "M2"}
 
 
 def signal_channels() -> set[str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import grid_bin, json_field
@@ -88,29 +90,66 @@ def action_states(actions: DataFrame) -> DataFrame:
     return known.withColumn("state", F.concat_ws("_", "button", F.when(F.col("action_succeed"), "succeed").otherwise("failed")))
 
 
+def _game_events(events: DataFrame, sequences: DataFrame, waves: DataFrame) -> DataFrame:
+    """Pushes and spawns inside the game's first sequence, and ends, each with its wave: one pass over the events.
+
+    kind (push, spawn, end), the fields of participant_actions, difficulty, trajectory_length.
+    """
+    d = F.col("data")
+    kind = F.when(F.col("label") == PUSH, "push").when(F.col("label").isin(ENEMY, BREACH), "spawn").when(F.col("label").contains("ends"), "end")
+    game = sequences.where((F.col("name") == GAME) & F.col("id").endswith("_0")).select(F.col("file_id").alias("__f"), F.col("begin").alias("opens"), F.col("end").alias("closes"))
+    told = events.select("file_id", "ts", kind.alias("kind"), json_field(d, "button").alias("button"), *[json_field(d, c).cast("double").alias(c) for c in "xy"], json_field(d, "result.action").alias("action"), json_field(d, "report.difficulty").cast("double").alias("difficulty")).where("kind is not null")
+    placed = told.join(game, F.col("file_id") == F.col("__f"), "left").where((F.col("kind") == "end") | F.col("ts").between(F.col("opens"), F.col("closes"))).drop("__f", "opens", "closes")
+    kept = placed.where(~F.coalesce((F.col("kind") == "push") & (F.col("button") == "pad") & (F.col("action") == "action_failed"), F.lit(False)))
+    reason = F.create_map(*[x for (b, a), r in FAILURES.items() for x in (F.lit(f"{b}:{a}"), F.lit(r))])[F.concat_ws(":", "button", "action")]
+    moved = trajectory_length(kept.withColumns({"action_succeed": F.col("action").contains("succeed"), "failure_reason": reason}), ("file_id", "kind"))
+    return moved.withColumnRenamed("file_id", "__f").join(waves, (F.col("file_id") == F.col("__f")) & F.col("ts").between(F.col("begin"), F.col("end"))).drop("__f", "begin", "end")
+
+
+def _trace(states: list[str], n_states: int, state: str, prev: str) -> Column:
+    """The diagonal of the row-normalised transition matrix, scaled so that all entries sum to the number of states."""
+    rows = [F.count_if((F.col(state) == s) & F.col(prev).isNotNull()) for s in states]
+    stays = [F.count_if((F.col(state) == s) & (F.col(prev) == s)) for s in states]
+    total = lambda columns: reduce(lambda a, b: a + b, columns)
+    diagonal = total([F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0)) for a, b in zip(stays, rows, strict=True)])
+    return F.try_divide(diagonal, total([(r > 0).cast("double") for r in rows])) * n_states
+
+
 def wave_features(events: DataFrame, sequences: DataFrame, wave: str = WAVE) -> DataFrame:
-    """file_id, reference, id, value: thirteen features of each wave, long."""
+    """file_id, reference, id, value: thirteen features of each wave, long.
+
+    The events meet the game and the waves once; each action then looks back, in one window, to the
+    last one with a button, a known result, or a place on the grid (whose upper bounds are cells of
+    their own), and one aggregate tells all.
+    """
     waves = sequences.where(F.col("name") == wave).select("file_id", F.col("id").alias("reference"), "begin", "end")
-    within = lambda df: df.withColumnRenamed("file_id", "__f").join(waves, (F.col("file_id") == F.col("__f")) & F.col("ts").between(F.col("begin"), F.col("end"))).drop("__f")
-    by = ("file_id", "reference")
-    actions = within(participant_actions(events, sequences))
-    one = lambda cond: F.count_if(cond).cast("double")
-    counts = actions.groupBy(*by).agg(
+    by = ["file_id", "reference"]
+    found = _game_events(events, sequences, waves)
+    x_lim, columns, y_lim, rows = (-3, 3), 3, (1, 4), 2
+    push = F.col("kind") == "push"
+    known = push & F.col("button").isNotNull() & F.col("action_succeed").isNotNull()
+    inside = push & F.col("x").between(*x_lim) & F.col("y").between(*y_lim)
+    noted = found.withColumns({
+        "state": F.when(known, F.concat_ws("_", "button", F.when(F.col("action_succeed"), "succeed").otherwise("failed"))),
+        "cell": F.when(inside, F.format_string("(%d, %d)", grid_bin(F.col("x"), *x_lim, columns), grid_bin(F.col("y"), *y_lim, rows))),
+        "pressed": F.when(push, F.col("button")),
+    })
+    before = Window.partitionBy(*by).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    looked = noted.withColumns({f"prev_{c}": F.last(c, ignorenulls=True).over(before) for c in ("state", "cell", "pressed")})
+    one = lambda cond: F.count_if(push & cond).cast("double")
+    counts = looked.groupBy(*by).agg(
         one(F.col("action_succeed")).alias("global_accuracy"), one(~F.col("action_succeed")).alias("global_inaccuracy"), one(F.col("failure_reason") == "bad_precision").alias("spatial_inaccuracy"), one(F.col("failure_reason") == "bad_planification").alias("temporal_inaccuracy"),
-        one(F.col("failure_reason") == "finger_confusion").alias("coordination_inaccuracy"), one(F.col("button") == "pad").alias("pad_actions"), one(F.col("button") == "trigger").alias("trigger_actions"), F.sum("trajectory_length").alias("moved"),
+        one(F.col("failure_reason") == "finger_confusion").alias("coordination_inaccuracy"), one(F.col("button") == "pad").alias("pad_actions"), one(F.col("button") == "trigger").alias("trigger_actions"),
+        F.count_if(F.col("pressed") != F.col("prev_pressed")).cast("double").alias("switch_actions"),
+        F.sum(F.when(push, F.col("trajectory_length"))).alias("moved"), F.sum(F.when(F.col("kind") == "spawn", F.col("trajectory_length"))).alias("spawned"),
+        F.min_by("difficulty", F.when(F.col("kind") == "end", F.col("ts"))).alias("performance"),
+        _trace(list(ACTION_STATES), len(ACTION_STATES), "state", "prev_state").alias("actions_transition_trace"),
+        _trace([f"({i}, {j})" for i in range(1, columns + 2) for j in range(1, rows + 2)], columns * rows, "cell", "prev_cell").alias("space_transition_trace"),
     )
-    buttons = switches(transition_counts(actions.withColumn("state", F.col("button")).where("state is not null"), by), by)
-    acts = transition_trace(transition_probabilities(transition_counts(action_states(actions), by), by), len(ACTION_STATES), by).withColumnRenamed("trace", "actions_transition_trace")
-    cells = transition_trace(transition_probabilities(transition_counts(space_states(actions), by), by), 6, by).withColumnRenamed("trace", "space_transition_trace")
-    spawned = within(spawn_stimulations(events, sequences)).groupBy(*by).agg(F.sum("trajectory_length").alias("spawned"))
-    ended = within(events.where(F.col("label").contains("ends"))).groupBy(*by).agg(F.min_by(json_field(F.col("data"), "report.difficulty").cast("double"), "ts").alias("performance"))
-    whole = waves
-    for part in (counts, buttons, acts, cells, spawned, ended):
-        whole = whole.join(part, list(by), "left")
     duration = seconds_between("begin", "end")
-    zero = ("global_accuracy", "global_inaccuracy", "spatial_inaccuracy", "temporal_inaccuracy", "coordination_inaccuracy", "pad_actions", "trigger_actions")
-    told = whole.select(
-        *by, "performance", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in zero], F.coalesce(F.col("switch_actions").cast("double"), F.lit(0.0)).alias("switch_actions"),
+    zero = ("global_accuracy", "global_inaccuracy", "spatial_inaccuracy", "temporal_inaccuracy", "coordination_inaccuracy", "pad_actions", "trigger_actions", "switch_actions")
+    told = waves.join(counts, by, "left").select(
+        *by, "performance", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in zero],
         F.try_divide(F.coalesce("moved", F.lit(0.0)), duration).alias("participant_motion_tau"), F.try_divide(F.coalesce("spawned", F.lit(0.0)), duration).alias("information_motion_tau"), "actions_transition_trace", "space_transition_trace",
     )
-    return told.unpivot(list(by), [c for c in told.columns if c not in by], "id", "value")
+    return told.unpivot(by, [c for c in told.columns if c not in by], "id", "value")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +14,10 @@ from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation
 from ..functions.timing import from_micros, micros, shift_seconds
 from ..kernels import filters, spectral
 from .intervals import slice_join
-from .signal import _kind, fill_gaps, fir_filter, scaled, zscore_outlier
+from .signal import _kind, fill_gaps, fir_filter, groups_of, scaled, zscore_outlier
+
+#: Samples of equally long epochs that are solved at once.
+POOL = 400_000
 
 
 def convert_gsr(raw: DataFrame, column: str, slope: float = 1.0, offset: float = 0.0) -> DataFrame:
@@ -74,12 +80,28 @@ def tonic_phasic(signals: DataFrame, column: str, fs: float, epoch_s: float = 30
     hi = F.least(F.floor(at / step_s).cast("long"), last)
     epochs = placed.withColumn("epoch", F.explode(F.sequence(lo, F.greatest(lo, hi))))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        phasic, tonic = filters.tonic_phasic(pdf["x"].to_numpy(float), fs)
-        return pd.DataFrame({"file_id": pdf["file_id"].to_numpy(), "t": pdf["t"].to_numpy(), "scr": phasic, "scl": tonic})
-
-    parts = epochs.select("file_id", "epoch", "t", "x").groupBy("file_id", "epoch").applyInPandas(run, f"file_id {kind}, t long, scr double, scl double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool: dict[int, list[pa.Table]] = {}
+
+        def split(n: int) -> pa.RecordBatch:
+            whole = pa.concat_tables(pool.pop(n)).combine_chunks()
+            phasic, tonic = filters.tonic_phasic(np.array(whole.column("x"), float).reshape(-1, n), fs)
+            names = ["file_id", "t", "scr", "scl"]
+            return pa.RecordBatch.from_arrays([whole.column("file_id").combine_chunks(), whole.column("t").combine_chunks(), pa.array(phasic.ravel()), pa.array(tonic.ravel())], names=names)
+
+        for group in groups_of(batches, ["file_id", "epoch"]):
+            n = group.num_rows
+            pool.setdefault(n, []).append(group)
+            if n * len(pool[n]) >= POOL:
+                yield split(n)
+            elif sum(k * len(v) for k, v in pool.items()) >= 4 * POOL:
+                yield split(max(pool, key=lambda k: k * len(pool[k])))
+        for n in list(pool):
+            yield split(n)
+
+    # Epochs of equal length are solved together: their number in a task is bounded, not their files.
+    tasks = epochs.select("file_id", "epoch", "t", "x").repartition("file_id", "epoch").sortWithinPartitions("file_id", "epoch", "t")
+    parts = tasks.mapInArrow(run, f"file_id {kind}, t long, scr double, scl double")
     mean = parts.groupBy("file_id", "t").agg(F.avg("scr").alias("scr"), F.avg("scl").alias("scl"))
     edged = mean.withColumns({"t0": F.min("t").over(span), "t1": F.max("t").over(span)})
     warm = ((F.col("t") - F.col("t0")) < warmup_s * 1e6) | ((F.col("t1") - F.col("t")) < warmup_s * 1e6)

@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from .intervals import number_occurrences, pair_markers
 
-#: The sequences that a session may have, as name and number of occurrences.
-KNOWN_SEQUENCES = {
-    "session_sequence": 1, "intro_sequence": 1, "intro_calibration": 1, "intro_disclaimer": 1, "intro_omi-logo": 1, "lobby_sequence": 3,
-    "baseline_sequence": 4, "baseline_eyes-opened": 4, "baseline_eyes-closed": 1, "common_respiration-calibration_data-accumulation": 1,
-    "physio-sonification_sequence": 1, "physio-sonification_playground": 1, "physio-sonification_survey": 1, "physio-sonification_cardiac-feedback": 1, "physio-sonification_coherence-feedback": 1, "physio-sonification_respiration-feedback": 1,
-    "cardiac-coherence_sequence": 1, "cardiac-coherence_survey": 2, "cardiac-coherence_score": 1, "cardiac-coherence_coherence-feedback": 1, "cardiac-coherence_data-accumulation": 1,
-    "space-stress_sequence": 1, "space-stress_intro": 1, "space-stress_outro": 1, "space-stress_survey": 2, "space-stress_graph": 2, "space-stress_game": 2, "space-stress_game-tutorial": 1, "space-stress_game_enemy-wave": 6, "space-stress_breath-tutorial": 1,
-}
+#: The sequences that a session may have.
+KNOWN_SEQUENCES = (
+    "session_sequence_0", "intro_sequence_0", "intro_calibration_0", "intro_disclaimer_0", "intro_omi-logo_0", "lobby_sequence_0", "lobby_sequence_1", "lobby_sequence_2",
+    "baseline_sequence_0", "baseline_sequence_1", "baseline_sequence_2", "baseline_sequence_3", "baseline_eyes-opened_0", "baseline_eyes-opened_1",
+    "baseline_eyes-opened_2", "baseline_eyes-opened_3", "baseline_eyes-closed_0", "common_respiration-calibration_data-accumulation_0", "physio-sonification_sequence_0",
+    "physio-sonification_playground_0", "physio-sonification_survey_0", "physio-sonification_cardiac-feedback_0", "physio-sonification_coherence-feedback_0",
+    "physio-sonification_respiration-feedback_0", "cardiac-coherence_sequence_0", "cardiac-coherence_survey_0", "cardiac-coherence_survey_1", "cardiac-coherence_score_0",
+    "cardiac-coherence_coherence-feedback_0", "cardiac-coherence_data-accumulation_0", "space-stress_sequence_0", "space-stress_intro_0", "space-stress_outro_0",
+    "space-stress_survey_0", "space-stress_survey_1", "space-stress_graph_0", "space-stress_graph_1", "space-stress_game_0", "space-stress_game_1",
+    "space-stress_game-tutorial_0", "space-stress_game_enemy-wave_0", "space-stress_game_enemy-wave_1", "space-stress_game_enemy-wave_2",
+    "space-stress_game_enemy-wave_3", "space-stress_game_enemy-wave_4", "space-stress_game_enemy-wave_5", "space-stress_breath-tutorial_0",
+)
 #: Fixed value: sequences that electrodermal features leave out.
 NOT_FOR_GSR = ".*(intro|outro|lobby).*"
 
 
 def known_sequence_ids() -> list[str]:
-    return [f"{name}_{k}" for name, n in KNOWN_SEQUENCES.items() for k in range(n)]
+    return list(KNOWN_SEQUENCES)
 
 
 def marker_name(label: str = "label") -> Column:

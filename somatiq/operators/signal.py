@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import collections
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -91,21 +93,76 @@ def slope_sum(signals: DataFrame, column: str, win: int, out: str = "ssf") -> Da
     return numbered.withColumn(out, F.when(F.col("__n") >= win, total)).drop("__d", "__n")
 
 
+def _with_runs(signals: DataFrame, column: str) -> DataFrame:
+    """Adds __x (missing: 0), __n (row number from 1) and __a (the sample before)."""
+    seen = signals.withColumns({"__x": F.coalesce(F.col(column).cast("double"), F.lit(0.0)), "__n": F.row_number().over(_order())})
+    return seen.withColumn("__a", F.lag("__x").over(_order()))
+
+
 def local_maxima(signals: DataFrame, column: str) -> DataFrame:
-    """Rows that exceed both neighbours (missing samples count as 0)."""
-    x = F.coalesce(F.col(column), F.lit(0.0))
-    seen = signals.withColumns({"__x": x, "__n": F.row_number().over(_order())})
-    seen = seen.withColumns({"__a": F.lag("__x").over(_order()), "__b": F.lead("__x").over(_order())})
-    return seen.where((F.col("__x") > F.col("__a")) & (F.col("__x") > F.col("__b"))).drop("__x", "__a", "__b").withColumnRenamed("__n", "position")
+    """The first row of each local maximum, with its position (from 1) and plateau_size.
+
+    Missing samples count as 0, and equal samples in a row are one plateau, which is a maximum if
+    the samples before and after it are lower. Rows that begin a run of equal values are all that
+    the neighbours need to be sought among: one order serves for everything.
+    """
+    begins = _with_runs(signals, column).where("__a is null or __x <> __a")
+    seen = begins.withColumns({"__b": F.lead("__x").over(_order()), "__m": F.lead("__n").over(_order())})
+    top = seen.where((F.col("__x") > F.col("__a")) & (F.col("__x") > F.col("__b")))
+    return top.withColumn("plateau_size", (F.col("__m") - F.col("__n")).cast("long")).drop("__x", "__a", "__b", "__m").withColumnRenamed("__n", "position")
 
 
 def peak_windows(signals: DataFrame, column: str, size: int) -> DataFrame:
-    """file_id, ts, position, window (size values around each local maximum that has them all)."""
-    x = F.coalesce(F.col(column), F.lit(0.0))
-    seen = signals.select("file_id", "ts", x.alias("x"), F.row_number().over(_order()).alias("position"))
-    frame = _order().rowsBetween(-(size // 2), size - size // 2 - 1)
-    seen = seen.withColumns({"a": F.lag("x").over(_order()), "b": F.lead("x").over(_order()), "window": F.collect_list("x").over(frame)})
-    return seen.where((F.col("x") > F.col("a")) & (F.col("x") > F.col("b")) & (F.size("window") == size)).select("file_id", "ts", "position", "window")
+    """file_id, ts, position, window: the samples around the middle of each local maximum.
+
+    size // 2 samples before the peak and as many as make the size from it on; peaks without
+    size // 2 samples on both sides are left out.
+    """
+    half = size // 2
+    runs = _with_runs(signals, column)
+    begins = F.col("__a").isNull() | (F.col("__x") != F.col("__a"))
+    before = _order().rowsBetween(Window.unboundedPreceding, 0)
+    # What comes after the run is sought in the reversed order, since frames grow cheaply in one direction only.
+    back = _file().orderBy(F.desc("ts")).rowsBetween(Window.unboundedPreceding, -1)
+    last = lambda c, frame: F.last(F.when(F.col("__begins"), F.col(c)), ignorenulls=True).over(frame)
+    seen = runs.withColumn("__begins", begins).withColumns({"__m": last("__n", back), "__b": last("__x", back), "__left": last("__n", before), "__low": last("__a", before), "window": F.collect_list("__x").over(_order().rowsBetween(-half, size - half - 1)), "__end": F.lead("__x", half).over(_order())})
+    middle = F.floor((F.col("__left") + F.col("__m") - 1) / 2) == F.col("__n")
+    top = seen.where(middle & (F.col("__x") > F.col("__low")) & (F.col("__x") > F.col("__b")) & (F.col("__n") > half) & F.col("__end").isNotNull())
+    return top.select("file_id", "ts", F.col("__n").alias("position"), "window")
+
+
+def peak_properties(signals: DataFrame, column: str) -> DataFrame:
+    """file_id, ts, peak_sample (from 0) and all properties of every peak, without any condition; missing samples count as 0."""
+    indices = [k for k in filters.PEAK_INDICES if k != "index"]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        p = filters.find_peaks(np.nan_to_num(pdf[column].to_numpy(float)))
+        out = pd.DataFrame({"ts": pdf["ts"].to_numpy()[p["index"]], "peak_sample": p["index"], "plateau_size": p["right_edge"] - p["left_edge"] + 1} | {k: p[k] for k in (*indices, *filters.PEAK_VALUES)})
+        out.insert(0, "file_id", pdf["file_id"].iloc[0])
+        return out
+
+    told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
+    fields = ", ".join([*(f"`{k}` long" for k in ("peak_sample", "plateau_size", *indices)), *(f"`{k}` double" for k in filters.PEAK_VALUES)])
+    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, {fields}")
+
+
+def slope_sum_peaks(signals: DataFrame, column: str, fs: float, most_bpm: float = 180, prominence: float = 1e-2) -> DataFrame:
+    """file_id, ts, value, start: peaks of a slope sum at the left edges of their plateaus, and the first sample's time.
+
+    Peaks nearer than int(most_bpm * 60 / fs) samples to a higher one and those of little
+    prominence are left out.
+    """
+    distance = max(1, int(most_bpm * 60 / fs))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        x, ts = np.nan_to_num(pdf[column].to_numpy(float)), pdf["ts"].to_numpy()
+        at = filters.find_peaks(x, distance=distance, prominence=prominence)["left_edge"]
+        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": ts[at], "value": x[at], "start": ts[0]})
+
+    told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
+    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, start timestamp_ntz")
 
 
 def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, baseline_seconds: float = 3.0, memory: int = 5, start: Column | None = None) -> DataFrame:
@@ -123,18 +180,23 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
         pdf = pdf.sort_values("ts")
         t, v = pdf["ts"].to_numpy(), pdf["value"].to_numpy(float)
         begin = pdf["start"].iloc[0] if "start" in pdf else t[0]
-        until = begin + np.timedelta64(int(baseline_seconds * 1e6), "us")
+        until = np.datetime64(begin) + np.timedelta64(int(baseline_seconds * 1e6), "us")
         base = v[t <= until]
         threshold = ratio * base.max() if len(base) else 0.0
-        kept = [(a, b, threshold) for a, b in zip(t, v, strict=True) if a <= until and b > threshold]
-        for a, b in zip(t, v, strict=True):
-            if a >= until and b > threshold:
-                last = [k[1] for k in kept if k[0] != a][-(memory - 1) :] + [b] if memory > 1 else [b]
+        first = (t <= until) & (v > threshold)
+        out = [(a, b, threshold) for a, b in zip(t[first], v[first], strict=True)]
+        last = collections.deque((o[1] for o in out), memory)
+        for a, b in zip(t[t >= until], v[t >= until], strict=True):
+            if b > threshold:
+                if out and out[-1][0] == a:  # the baseline's last sample, kept already
+                    out.pop()
+                else:
+                    last.append(b)
                 threshold = ratio * float(np.median(last))
-                kept = [k for k in kept if k[0] != a] + [(a, b, threshold)]
-        out = pd.DataFrame(kept, columns=["ts", "value", "threshold"])
-        out.insert(0, "file_id", pdf["file_id"].iloc[0])
-        return out
+                out.append((a, b, threshold))
+        got = pd.DataFrame(out, columns=["ts", "value", "threshold"])
+        got.insert(0, "file_id", pdf["file_id"].iloc[0])
+        return got
 
     told = candidates.select("file_id", "ts", F.col(column).cast("double").alias("value"), *([start.alias("start")] if start is not None else []))
     return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(candidates)}, ts timestamp_ntz, value double, threshold double")
@@ -166,6 +228,26 @@ def per_file(signals: DataFrame, column: str, kernel: Callable[[np.ndarray], np.
     return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double")
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows that agree in ``by``, from batches that are sorted by it."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        keys = list(zip(*(table.column(c).to_pylist() for c in by), strict=True))
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and keys[a] != last:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(a, b - a))
+            last = keys[a]
+    if held:
+        yield pa.concat_tables(held)
+
+
 def fir_filter(signals: DataFrame, column: str, fs: float, order: int, frequencies: list[float], kind: str = "lowpass", out: str | None = None) -> DataFrame:
     """Zero-phase windowed-sinc filter; missing samples are bridged for filtering and blanked again."""
     taps = filters.fir_taps(order, fs, frequencies, kind)

@@ -150,7 +150,7 @@ def _reports(spark: SparkSession, sf: str) -> DataFrame:
     module = F.element_at(F.array(*map(F.lit, ("space-stress", "cardiac-coherence", "physio-sonification"))), k % 3 + 1)
     item = lambda i: F.struct(F.lit(1.0).alias("item_time"), (k % 5 + i).alias("item_index"), F.lit("key").alias("item_key"), F.lit("text").alias("item_text"), F.lit(0.0).alias("answer_default"), F.array(F.struct(F.lit(0.5).alias("time"), F.lit(1.0).alias("value"))).alias("answer_ticks"), (F.col("value") + i).alias("answer_final"), (F.col("value") / 10).alias("answer_time"), F.lit(True).alias("answer_completion"))
     data = F.to_json(F.struct((k % 2 + 1).alias("survey_index"), F.array(item(0), item(1)).alias("report")))
-    return samples(spark, sf).where("label = 'purchase'").select("file_id", F.concat_ws("_", F.lit("omind"), module, F.lit("survey_reports"), "event_id").alias("id"), data.alias("data"))
+    return samples(spark, sf).where("label = 'purchase'").select("file_id", F.concat_ws("_", F.lit("owner"), module, F.lit("survey_reports"), "event_id").alias("id"), data.alias("data"))
 
 
 _REP = f"""WITH {SIG}, p AS (SELECT file_id, value, CAST(json_extract_string(data, '$.k') AS INT) AS k FROM sig WHERE label = 'purchase'),

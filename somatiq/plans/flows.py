@@ -69,7 +69,7 @@ def cardiac(signals: DataFrame, table: DataFrame, rate: float = RATE) -> DataFra
     banded = signal.fir_filter(signals, "PPG", rate, int(rate), [0.5, min(11.0, 0.45 * rate)], "bandpass")
     clean = banded.select("file_id", "ts", signal.scaled("PPG_filtered", "robust").alias("PPG"))
     ssf = signal.slope_sum(clean, "PPG", max(1, int(0.125 * rate)))
-    peaks = signal.adaptive_peaks(signal.local_maxima(ssf, "ssf"), "ssf", 0.5)
+    peaks = signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", rate), "value", 0.5, start=F.col("start"))
     intervals = nn.reject_artifacts(nn.intervals_from_peaks(peaks))
     nni = signal.interpolate_nn(intervals, 4.0)
     q = _sequences(table)

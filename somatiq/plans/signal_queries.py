@@ -74,18 +74,47 @@ def ssf_transform(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NEAR = "near AS (SELECT file_id, ts, value, row_number() OVER w AS position, lag(value) OVER w AS a, lead(value) OVER w AS b FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts))"
+#: Local maxima of a table x(file_id, ts, v): equal samples in a row are one plateau, from position p to q of n.
+_TOPS = """nx AS (SELECT *, row_number() OVER w AS p, lag(v) OVER w AS a, count(*) OVER (PARTITION BY file_id) AS n FROM x WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    runs AS (SELECT *, lead(p) OVER w - 1 AS q, lead(v) OVER w AS b FROM nx WHERE a IS NULL OR v <> a WINDOW w AS (PARTITION BY file_id ORDER BY ts)), tops AS (SELECT * FROM runs WHERE v > a AND v > b)"""
+#: Values in steps of 50, so that plateaus occur.
+_STEPPED = f"WITH {SIG}, x AS (SELECT file_id, ts, floor(value / 50) * 50 AS v FROM sig), {_TOPS}"
 
 
-@query(f"WITH {SIG}, {_NEAR} SELECT file_id, epoch_us(ts) AS ts, value, position FROM near WHERE value > a AND value > b")
+def _stepped(spark: SparkSession, sf: str) -> DataFrame:
+    return samples(spark, sf).select("file_id", "ts", (F.floor(F.col("value") / 50) * 50).cast("double").alias("value"))
+
+
+@query(_STEPPED + " SELECT file_id, epoch_us(ts) AS ts, v AS value, p AS position, q - p + 1 AS plateau_size FROM tops")
 def local_peaks(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.local_maxima(samples(spark, sf).select("file_id", "ts", "value"), "value").select("file_id", us("ts"), "value", F.col("position").cast("long").alias("position"))
+    return signal.local_maxima(_stepped(spark, sf), "value").select("file_id", us("ts"), "value", F.col("position").cast("long").alias("position"), "plateau_size")
 
 
-@query(f"""WITH {SIG}, {_NEAR}, e AS (SELECT *, count(*) OVER f AS n, sum(value) OVER f AS total, first(value) OVER f AS opens, last(value) OVER f AS closes FROM near WINDOW f AS (PARTITION BY file_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING))
-    SELECT file_id, epoch_us(ts) AS ts, position, round(total, 6) AS total, opens, closes FROM e WHERE value > a AND value > b AND n = 6""")
+@query(_STEPPED + """, mid AS (SELECT file_id, (p + q) // 2 AS position, n FROM tops), e AS (SELECT m.file_id, m.position, sum(s.v) AS total, arg_min(s.v, s.p) AS opens, arg_max(s.v, s.p) AS closes, any_value(c.ts) AS ts
+      FROM mid m JOIN nx c ON c.file_id = m.file_id AND c.p = m.position JOIN nx s ON s.file_id = m.file_id AND s.p BETWEEN m.position - 3 AND m.position + 2 WHERE m.position > 3 AND m.position + 3 <= m.n GROUP BY ALL)
+    SELECT file_id, epoch_us(ts) AS ts, position, total, opens, closes FROM e""")
 def peak_windows(spark: SparkSession, sf: str) -> DataFrame:
-    w = signal.peak_windows(samples(spark, sf).select("file_id", "ts", "value"), "value", 6)
-    return w.select("file_id", us("ts"), F.col("position").cast("long").alias("position"), F.round(F.aggregate("window", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.col("window")[0].alias("opens"), F.element_at("window", -1).alias("closes"))
+    w = signal.peak_windows(_stepped(spark, sf), "value", 6)
+    return w.select("file_id", us("ts"), F.col("position").cast("long").alias("position"), F.aggregate("window", F.lit(0.0), lambda a, x: a + x).alias("total"), F.col("window")[0].alias("opens"), F.element_at("window", -1).alias("closes"))
+
+
+#: All peaks: the lowest samples on both sides up to a higher one, by a join of each peak with its file.
+_BASES = """side AS (SELECT t.file_id, (t.p + t.q) // 2 AS m, t.p, t.q, t.v, max(s.p) FILTER (s.p < t.p AND s.v > t.v) AS lo, min(s.p) FILTER (s.p > t.q AND s.v > t.v) AS hi FROM tops t JOIN nx s ON s.file_id = t.file_id GROUP BY ALL),
+    based AS (SELECT d.file_id, d.m, d.p, d.q, d.v, max(s.p) FILTER (s.p < d.p AND s.v = lo_v) AS left_base, min(s.p) FILTER (s.p > d.q AND s.v = hi_v) AS right_base, any_value(lo_v) AS lo_v, any_value(hi_v) AS hi_v
+      FROM (SELECT d.*, min(s.v) FILTER (s.p < d.p AND s.p > coalesce(lo, 0)) OVER k AS lo_v, min(s.v) FILTER (s.p > d.q AND s.p < coalesce(hi, 1e9)) OVER k AS hi_v, s.p AS sp FROM side d JOIN nx s ON s.file_id = d.file_id WINDOW k AS (PARTITION BY d.file_id, d.m)) d
+      JOIN nx s ON s.file_id = d.file_id AND s.p = d.sp AND s.p > coalesce(lo, 0) AND s.p < coalesce(hi, 1e9) GROUP BY ALL)"""
+
+
+@query(_STEPPED + f", {_BASES} SELECT b.file_id, epoch_us(c.ts) AS ts, m - 1 AS peak_sample, b.v AS height, b.q - b.p + 1 AS plateau_size, left_base - 1 AS left_base, right_base - 1 AS right_base, b.v - greatest(lo_v, hi_v) AS prominence FROM based b JOIN nx c ON c.file_id = b.file_id AND c.p = b.m")
+def peak_properties(spark: SparkSession, sf: str) -> DataFrame:
+    return signal.peak_properties(_stepped(spark, sf), "value").select("file_id", us("ts"), "peak_sample", "height", "plateau_size", "left_base", "right_base", "prominence")
+
+
+@query()
+def ssf_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Peaks of the slope sum by distance and prominence, then by the moving threshold of the whole recording."""
+    ssf = signal.slope_sum(samples(spark, sf).select("file_id", "ts", "value"), "value", 4)
+    return signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", 3600.0), "value", 0.5, 86400.0, start=F.col("start")).select("file_id", us("ts"), "value", "threshold")
 
 
 @query()

@@ -151,9 +151,9 @@ def population_union(spark: SparkSession, sf: str) -> DataFrame:
     return population.union_all([a, None, b])
 
 
-@query("WITH o AS (SELECT o_custkey AS file_id, count(*) AS orders FROM orders GROUP BY 1), c AS (SELECT c_custkey AS file_id, c_acctbal AS balance FROM customer WHERE c_custkey % 3 <> 0) SELECT file_id, balance, orders FROM c FULL OUTER JOIN o USING (file_id)")
+@query("WITH o AS (SELECT o_custkey AS file_id, count(*) AS orders FROM orders GROUP BY 1), c AS (SELECT c_custkey AS file_id, c_acctbal AS balance FROM customer) SELECT file_id, balance, orders FROM c FULL OUTER JOIN o USING (file_id)")
 def population_outer_join(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("file_id"), F.col("c_acctbal").alias("balance"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("file_id"), F.col("c_acctbal").alias("balance"))
     o = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("file_id")).agg(F.count(F.lit(1)).alias("orders"))
     return population.outer_join_all([c, o], ["file_id"]).select("file_id", "balance", "orders")
 
@@ -164,11 +164,11 @@ def merge_groups_check(spark: SparkSession, sf: str) -> DataFrame:
     return population.duplicate_groups(g)
 
 
-@query("SELECT doc_id AS file_id, doc_id % 100 AS parent_id, CASE WHEN doc_id % 100 IN (SELECT page_id FROM pages) THEN 'user_' || (doc_id % 100) ELSE lang END AS omind FROM documents")
+@query("SELECT doc_id AS file_id, doc_id % 100 AS parent_id, CASE WHEN doc_id % 100 IN (SELECT page_id FROM pages) THEN 'user_' || (doc_id % 100) ELSE lang END AS owner FROM documents")
 def metadata_propagate(spark: SparkSession, sf: str) -> DataFrame:
-    parents = table(spark, sf, "pages").select(F.col("page_id").alias("file_id"), F.concat(F.lit("user_"), "page_id").alias("omind"))
-    children = table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), (F.col("doc_id") % 100).alias("parent_id"), F.col("lang").alias("omind"))
-    return metadata.propagate(children, parents, ["omind"]).select("file_id", "parent_id", "omind")
+    parents = table(spark, sf, "pages").select(F.col("page_id").alias("file_id"), F.concat(F.lit("user_"), "page_id").alias("owner"))
+    children = table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), (F.col("doc_id") % 100).alias("parent_id"), F.col("lang").alias("owner"))
+    return metadata.propagate(children, parents, ["owner"]).select("file_id", "parent_id", "owner")
 
 
 @query("SELECT doc_id AS file_id, 'somatiq' AS created_by, 'clean' AS task, '1.0' AS task_version, CASE WHEN n_chars > 2000 THEN 'SUCCESS' ELSE 'FAILED' END AS status, CASE WHEN n_chars > 2000 THEN NULL ELSE 'error' END AS problem_type, CASE WHEN n_chars > 2000 THEN NULL ELSE 'too short' END AS problem_title, source AS parents FROM documents")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from somatiq import cli
-from somatiq.operators import metadata, nn, population, summarize
+from somatiq.operators import metadata, nn, population, signal, summarize
 from somatiq.operators.behavior import GAME, PUSH, WAVE
 from somatiq.plans.flows import FLOWS, OPERATORS
 from somatiq.sources import readers, sinks
@@ -43,24 +43,24 @@ def test_events_to_behaviour(spark, tmp_path):
 def test_signal_flows_run(spark, tmp_path):
     root = str(tmp_path)
     beat = lambda c, k: F.sin(c * k)
-    n = F.col("id").cast("double") / 64
-    sig = spark.range(64 * 90).select(F.lit("f").alias("file_id"), F.timestamp_micros((F.lit(1_577_836_800_000_000) + F.col("id") * 15625).cast("long")).cast("timestamp_ntz").alias("ts"), beat(n, 6.3).alias("G"), (beat(n, 0.3) + 5).alias("F"), beat(n, 1.5).alias("H"))
+    n = F.col("id").cast("double") / 512
+    sig = spark.range(512 * 90).select(F.lit("f").alias("file_id"), F.timestamp_micros((F.lit(1_577_836_800_000_000) + F.col("id") * 15625 / 8).cast("long")).cast("timestamp_ntz").alias("ts"), beat(n, 6.3).alias("G"), (beat(n, 0.3) + 5).alias("F"), beat(n, 1.5).alias("H"))
     sig.write.parquet(f"{root}/raw/signals")
     events = [("f", at(1), "session_sequence_begins", None), ("f", at(85), "session_sequence_ends", None)]
     spark.createDataFrame(events, "file_id string, ts timestamp_ntz, label string, data string").write.parquet(f"{root}/raw/events")
     from somatiq.plans import flows
 
     OPERATORS["standardize_events"].run(spark, root)
-    std = flows.standardize_signals(spark.read.parquet(f"{root}/raw/signals"), 64)
+    std = flows.standardize_signals(spark.read.parquet(f"{root}/raw/signals"), 512)
     std.write.parquet(f"{root}/standard/signals")
     got = spark.read.parquet(f"{root}/standard/signals")
     table = spark.read.parquet(f"{root}/standard/events")
-    assert got.count() == 64 * 90
-    cardiac = {r["id"]: r["value"] for r in flows.cardiac(got, table, 64).collect()}
+    assert abs(got.count() - 512 * 90) <= 1
+    cardiac = {r["id"]: r["value"] for r in flows.cardiac(got, table, 512).collect()}
     assert cardiac["meanNN"] == pytest.approx(997, abs=20)
     assert len(cardiac) == 15
-    assert len({r["id"] for r in flows.breathing(got, table, 64).collect()}) == 9
-    assert len({r["id"] for r in flows.galvanic(got, table, 64, 8).collect()}) == 11
+    assert len({r["id"] for r in flows.breathing(got, table, 512).collect()}) == 9
+    assert len({r["id"] for r in flows.galvanic(got, table, 512, 8).collect()}) == 11
 
 
 def test_command_line(capsys):
@@ -129,3 +129,33 @@ def test_summarize_rejects_unknown(spark):
     for d in (summarize.FeatureDefinition("numpy.sum", ["y"]), summarize.FeatureDefinition("what", ["x"]), summarize.FeatureDefinition(custom="what", columns=["x"])):
         with pytest.raises(ValueError):
             summarize.summarize(s, q, {"f": d})
+
+
+def test_peaks_of_plateaus(spark):
+    values = [0.0, 1.0, 3.0, 3.0, 1.0, 0.0, 2.0, 0.0, None, 5.0, 5.0, 5.0, 0.0]
+    rows = [("f", at(i), v) for i, v in enumerate(values)] + [("g", at(i), float(i)) for i in range(5)]
+    s = spark.createDataFrame(rows, "file_id string, ts timestamp_ntz, x double")
+    assert {(r.position, r.plateau_size) for r in signal.local_maxima(s, "x").collect()} == {(3, 2), (7, 1), (10, 3)}
+    assert {(r.position, tuple(r.window)) for r in signal.peak_windows(s, "x", 4).collect()} == {(3, (0, 1, 3, 3)), (7, (1, 0, 2, 0)), (11, (0, 5, 5, 5))}
+    told = {r.peak_sample: r for r in signal.peak_properties(s, "x").collect()}
+    assert {k: (r.prominence, r.plateau_size, r.left_base) for k, r in told.items()} == {2: (3, 2, 0), 6: (2, 1, 5), 10: (5, 3, 8)}
+    # Nearer than 180 * 60 / 2160 = 5 samples to a higher one: the peak between goes.
+    close = signal.slope_sum_peaks(s, "x", 2160.0).orderBy("ts").collect()
+    assert [(r.ts, r.value, r.start) for r in close] == [(at(2), 3, at(0)), (at(9), 5, at(0))]
+
+
+def test_adaptive_threshold_matches_a_plain_fold(spark):
+    import random
+    import statistics
+
+    rng = random.Random(5)
+    values = [rng.choice([1, 2, 3, 5, 8]) + rng.random() for _ in range(200)]
+    got = signal.adaptive_peaks(spark.createDataFrame([("f", at(i), v) for i, v in enumerate(values)], "file_id string, ts timestamp_ntz, x double"), "x", 0.7, 10.0, 5)
+    threshold = 0.7 * max(values[:11])
+    kept = [(i, threshold) for i, v in enumerate(values[:11]) if v > threshold]
+    for i in range(10, 200):
+        if values[i] > threshold:
+            kept = [k for k in kept if k[0] != i] + [(i, None)]
+            threshold = 0.7 * statistics.median([values[k] for k, _ in kept][-5:])
+            kept[-1] = (i, threshold)
+    assert [(r.ts, pytest.approx(r.threshold)) for r in got.orderBy("ts").collect()] == [(at(i), t) for i, t in kept]

@@ -72,12 +72,75 @@ def test_fill_pchip_leaves_the_ends():
 
 
 def test_find_peaks():
-    x = np.array([0, 1, 0, 3, 3, 0, 2, 0.0])
+    x = np.array([0, 1, 0, 3, 3, 3, 0, 2, 0.0])
     got = filters.find_peaks(x)
-    assert got["index"].tolist() == [1, 3, 6]
-    assert got["prominence"].tolist() == [1, 3, 2]
-    assert filters.find_peaks(x, distance=3)["index"].tolist() == [3, 6]
-    assert filters.find_peaks(x, prominence=2.5)["index"].tolist() == [3]
+    assert got["index"].tolist() == [1, 4, 7] and got["left_edge"].tolist() == [1, 3, 7] and got["right_edge"].tolist() == [1, 5, 7]
+    assert got["prominence"].tolist() == [1, 3, 2] and got["height"].tolist() == [1, 3, 2]
+    assert filters.find_peaks(x, distance=4)["index"].tolist() == [4]
+    assert filters.find_peaks(x, prominence=2.5)["index"].tolist() == [4]
+
+
+def plain_peaks(x, distance, prominence, width, window):
+    """Peaks by walking from sample to sample."""
+    n, tops, i = len(x), [], 1
+    while i < n - 1:
+        j = i
+        while j < n - 1 and x[j] == x[i]:
+            j += 1
+        if x[i - 1] < x[i] > x[j]:
+            tops.append(((i + j - 1) // 2, i, j - 1))
+        i = j if j > i else i + 1
+    keep = [True] * len(tops)
+    for k in sorted(range(len(tops)), key=lambda k: (x[tops[k][0]], k), reverse=True):
+        if keep[k]:
+            keep = [ok and (m == k or abs(tops[m][0] - tops[k][0]) >= distance) for m, ok in enumerate(keep)]
+    out = []
+    for (p, left, right), ok in zip(tops, keep, strict=True):
+        ends = (0, n - 1) if window is None else (max(0, p - window // 2), min(n - 1, p + window // 2))
+        bases = []
+        for step, end in ((-1, ends[0]), (1, ends[1])):
+            i = best = p
+            while i != end + step and x[i] <= x[p]:
+                best = i if x[i] < x[best] else best
+                i += step
+            bases.append(best)
+        prom = x[p] - max(x[b] for b in bases)
+        level, at = x[p] - prom / 2, []
+        for step, base in ((-1, bases[0]), (1, bases[1])):
+            i = p
+            while i != base and x[i] > level:
+                i += step
+            at.append(i - step * (level - x[i]) / (x[i - step] - x[i]) if x[i] < level else float(i))
+        if ok and prom >= prominence and at[1] - at[0] >= width:
+            out.append((p, left, right, *bases, prom, *at))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_find_peaks_matches_walking(seed):
+    rng = np.random.default_rng(seed)
+    for k in range(60):
+        x = rng.integers(0, 6, rng.integers(3, 60)).astype(float) if k % 2 else np.cumsum(rng.normal(size=rng.integers(3, 80)))
+        how = {"distance": int(rng.integers(1, 6)), "prominence": float(rng.choice([0, 0.5, 2])), "width": float(rng.choice([0, 1.5])), "window": None if k % 3 else int(rng.integers(3, 20))}
+        got = filters.find_peaks(x, **how)
+        rows = list(zip(*(got[c].tolist() for c in ("index", "left_edge", "right_edge", "left_base", "right_base", "prominence", "left", "right")), strict=True))
+        want = plain_peaks(x, **how)
+        assert len(rows) == len(want) and np.ravel(rows) == pytest.approx(np.ravel(want))
+
+
+def test_cubic_splines_sum_to_one():
+    assert filters.cubic_splines(np.arange(300) / 4.0, 10.0).sum(1) == pytest.approx(np.ones(300))
+
+
+def test_splits_of_a_batch_are_those_of_its_rows():
+    rng = np.random.default_rng(2)
+    rows = 5 + rng.normal(scale=0.1, size=(4, 120)).cumsum(1)
+    phasic, tonic = filters.tonic_phasic(rows, 4.0)
+    for k in range(4):
+        one = filters.tonic_phasic(rows[k], 4.0)
+        assert phasic[k] == pytest.approx(one[0], abs=1e-9) and tonic[k] == pytest.approx(one[1], abs=1e-9)
+    exact = filters.tonic_phasic(rows, 4.0, tolerance=1e-8, most_rounds=50_000)
+    assert np.abs(phasic - exact[0]).max() < 0.02 * np.ptp(rows)
 
 
 def test_tonic_phasic_adds_up():

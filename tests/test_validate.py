@@ -75,3 +75,10 @@ def test_infer_groups_and_empty_tables(spark):
 def test_nan_becomes_null(spark):
     df = model.nan_to_null(spark.createDataFrame([(1, float("nan")), (2, 3.0)], "a int, x double"))
     assert [r.x for r in df.orderBy("a").collect()] == [None, 3.0]
+
+
+def test_electrode_names_are_those_of_the_system():
+    names = model.eeg_channels()
+    assert len(names) == 343
+    assert {"Cz", "FT7h", "TPP8h", "AFp3", "POO10h", "OI1h", "Iz", "FFC1"} <= names
+    assert not names & {"N9h", "TPP1h", "FFC9", "I10h", "FT1", "T1", "Fp3"}
