@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import json_field
-from ..functions.timing import micros
+from ..functions.timing import from_micros, micros
 from ..operators.behavior import BREACH, ENEMY, GAME, PUSH, WAVE
 from ..operators.events import session_sequences
 from ..operators.intervals import pair_markers
@@ -37,6 +37,26 @@ def nn(spark: SparkSession, sf: str) -> DataFrame:
     return reject_artifacts(samples(spark, sf).select("file_id", "ts", F.col("value").alias("nn")), 75, 20, 450)
 
 
+#: Users whose events make one recording of beats, so that it fills the longest epochs.
+USERS_PER_RECORDING = 16
+_EPOCH_US = 1_577_836_800_000_000
+
+
+def beats(spark: SparkSession, sf: str) -> DataFrame:
+    """file_id, ts, nn: the events of several users in order as heart beats of 800 to 1000 ms, one after the other."""
+    e = table(spark, sf, "events").select(F.floor(F.col("user_id") / USERS_PER_RECORDING).cast("long").alias("file_id"), F.col("ts").alias("at"), "event_id", F.round(800 + F.col("value") % 200, 3).alias("nn"))
+    w = Window.partitionBy("file_id").orderBy("at", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return e.select("file_id", from_micros(F.lit(_EPOCH_US) + F.sum(F.round(F.col("nn") * 1000).cast("long")).over(w)).alias("ts"), "nn")
+
+
+def beat_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """A session over each recording of beats, and its first half."""
+    span = beats(spark, sf).groupBy("file_id").agg(F.min("ts").alias("begin"), F.max("ts").alias("end"))
+    half = from_micros(F.floor((micros("begin") + micros("end")) / 2).cast("long"))
+    whole = span.select("file_id", F.lit("session").alias("name"), F.lit("session_0").alias("id"), "begin", "end")
+    return whole.unionByName(span.select("file_id", F.lit("half").alias("name"), F.lit("half_0").alias("id"), "begin", half.alias("end")))
+
+
 def game_events(spark: SparkSession, sf: str) -> DataFrame:
     """file_id, ts, label, data of a game made from the events: pushes, spawns, wave ends."""
     s = samples(spark, sf).withColumn("k", json_field(F.col("data"), "k").cast("int"))
@@ -80,6 +100,11 @@ def nn_sql(percent: float = 75, low: float = 20, high: float = 450) -> str:
 nn AS (SELECT file_id, ts, nn, CASE WHEN jump < ln({a}) OR jump > ln({b}) THEN 'Rejected: relative change > {percent:g}%' WHEN nn < {low} OR nn > {high} THEN 'Rejected: outside {low:g} - {high:g} ms' ELSE 'OK' END AS details FROM raw)"""
 
 
+BEATS = f"""b0 AS (SELECT user_id // {USERS_PER_RECORDING} AS file_id, ts, event_id, round(800 + value % 200, 3) AS nn FROM events),
+beats AS (SELECT file_id, {_EPOCH_US} + sum(CAST(round(nn * 1000) AS BIGINT)) OVER (PARTITION BY file_id ORDER BY ts, event_id) AS t, nn FROM b0),
+bseq AS (SELECT file_id, 'session_0' AS id, min(t) AS b, max(t) AS e FROM beats GROUP BY file_id UNION ALL SELECT file_id, 'half_0', min(t), CAST((min(t) + max(t)) // 2 AS BIGINT) FROM beats GROUP BY file_id)"""
+
+
 GAME_SQL = f"""sig0 AS (SELECT user_id AS file_id, ts, value, event_type AS label, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 pushes AS (SELECT file_id, ts, CASE WHEN k % 2 = 0 THEN 'trigger' ELSE 'pad' END AS button, (k % 7 - 3)::DOUBLE AS x, (1 + k % 4)::DOUBLE AS y, 5.0::DOUBLE AS z, ['succeed_hit', 'action_failed', 'no_target', 'too_early', 'too_late', 'wrong_button'][k % 6 + 1] AS action FROM sig0 WHERE label IN ('click', 'error')),
 actions0 AS (SELECT file_id, ts, button, x, y, z, contains(action, 'succeed') AS action_succeed,

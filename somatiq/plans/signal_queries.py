@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import gsr_from_raw, missing_annotation
+from ..kernels import filters, spectral
 from ..operators import eda, hrv, nn, respiration, signal, summarize
 from ..operators.intervals import filter_sequences, slice_join
 from .catalogue import query
-from .inputs import SEQ, SESSIONS, SIG, nn_sql, r6, samples, sequences, us
+from .inputs import BEATS, SEQ, SESSIONS, SIG, beat_sequences, beats, nn_sql, r6, samples, sequences, us
 from .inputs import nn as nn_table
 
 HRV = ("RMSSD", "meanNN", "SDNN", "medianNN", "pNN50", "pNN20")
@@ -49,22 +51,70 @@ def hrv_geometric_features(spark: SparkSession, sf: str) -> DataFrame:
     return r6(hrv.geometric_features(nn_table(spark, sf), sequences(spark, sf)), "HTI", "Shannon_h")
 
 
-@query()
+def _beat_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return nn.reject_artifacts(beats(spark, sf))
+
+
+#: Monotone cubics through pts(file_id, x, y): slopes m at the points, then values by the two ends of an interval.
+_END = "CASE WHEN {s} * {d} <= 0 THEN 0 WHEN {d} * {d1} < 0 AND abs({s}) > 3 * abs({d}) THEN 3 * {d} ELSE {s} END"
+_FIRST = _END.format(s="(((2 * h + h1) * d - h * d1) / (h + h1))", d="d", d1="d1")
+_LAST = _END.format(s="(((2 * hp + hpp) * dp - hp * dpp) / (hp + hpp))", d="dp", d1="dpp")
+_CUBIC = f"""st AS (SELECT *, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS d, count(*) OVER (PARTITION BY file_id) AS n FROM pts WINDOW w AS (PARTITION BY file_id ORDER BY x)),
+    sl AS (SELECT *, lag(h) OVER w AS hp, lag(d) OVER w AS dp, lag(h, 2) OVER w AS hpp, lag(d, 2) OVER w AS dpp, lead(h) OVER w AS h1, lead(d) OVER w AS d1 FROM st WINDOW w AS (PARTITION BY file_id ORDER BY x)),
+    sm AS (SELECT *, CASE WHEN n = 2 THEN coalesce(d, dp) WHEN dp IS NULL THEN {_FIRST} WHEN d IS NULL THEN {_LAST} WHEN dp * d > 0 THEN (3 * h + 3 * hp) / ((2 * h + hp) / dp + (h + 2 * hp) / d) ELSE 0 END AS m FROM sl),
+    sp AS (SELECT file_id, x, y, h, m, lead(y) OVER w AS y1, lead(m) OVER w AS m1, lead(x) OVER w AS x1, lead(x, 2) OVER w IS NULL AS ends FROM sm WINDOW w AS (PARTITION BY file_id ORDER BY x))"""
+_VALUE = "(1 + 2 * t) * (1 - t) ** 2 * y + t * (1 - t) ** 2 * h * m + t ** 2 * (3 - 2 * t) * y1 + t ** 2 * (t - 1) * h * m1"
+_HOUR = 3_600_000_000
+_GOOD_BEATS = f"{BEATS}, jumps AS (SELECT *, ln(nn) - ln(lag(nn) OVER (PARTITION BY file_id ORDER BY t)) AS jump FROM beats), good AS (SELECT file_id, t, nn FROM jumps WHERE NOT coalesce(jump < ln(0.75) OR jump > ln(1.25), FALSE) AND nn BETWEEN 600 AND 1300)"
+
+
+def _band_sql(name: str, lo: float, hi: float, seconds: int, fs: int = 4) -> str:
+    """band(file_id, reference, value): mean over epochs (one each second) of a Hann periodogram's power in a band, by inner products."""
+    n = seconds * fs
+    freq = np.fft.rfftfreq(n, 1 / fs)
+    inside = np.flatnonzero((freq >= lo) & (freq < hi))
+    weights = spectral.simpson(np.eye(len(inside)), freq[1] - freq[0]) * 2 / (fs * 3 * n / 8)
+    bins = ", ".join(f"({k}, {w!r}::DOUBLE)" for k, w in zip(inside.tolist(), weights.tolist(), strict=True))
+    hann = f"(0.5 - 0.5 * cos(2 * pi() * j / {n}))"
+    wave = lambda f: f"list_transform(range(0, {n}), lambda j: {hann} * {f}(2 * pi() * k * j / {n}))"
+    part = lambda c: f"(list_inner_product(x, {c}) - mean * list_sum({c})) ** 2"
+    return f"""t_{name} AS (SELECT k, w, {wave("cos")} AS c, {wave("sin")} AS s FROM (VALUES {bins}) AS v(k, w)),
+    e_{name} AS (SELECT file_id, reference, e, l[{fs} * e + 1:{fs} * e + {n}] AS x, list_avg(l[{fs} * e + 1:{fs} * e + {n}]) AS mean FROM lists, unnest(generate_series(0, (n - {n}) // {fs})) AS u(e) WHERE n >= {n}),
+    {name} AS (SELECT file_id, reference, sum(w * ({part("c")} + {part("s")})) / count(DISTINCT e) AS value FROM e_{name}, t_{name} GROUP BY file_id, reference)"""
+
+
+@query(f"""WITH {_GOOD_BEATS}, pts AS (SELECT file_id, t AS x, nn AS y FROM good), {_CUBIC}, o AS (SELECT file_id, min(x) AS t0 FROM pts GROUP BY file_id),
+    g AS (SELECT sp.*, t0 + k * 250000 AS ts, (t0 + k * 250000 - x)::DOUBLE / h AS t FROM sp JOIN o USING (file_id), unnest(generate_series(CAST((x - t0 + 249999) // 250000 AS BIGINT), CAST(CASE WHEN ends THEN (x1 - t0) // 250000 ELSE (x1 - t0 + 249999) // 250000 - 1 END AS BIGINT))) AS u(k) WHERE x1 IS NOT NULL),
+    nni AS (SELECT file_id, ts, {_VALUE} AS v FROM g), lists AS (SELECT q.file_id, q.id AS reference, list(v ORDER BY ts) AS l, count(*) AS n FROM bseq q JOIN nni ON nni.file_id = q.file_id AND ts BETWEEN q.b AND q.e GROUP BY ALL),
+    {", ".join(_band_sql(name, *limits) for name, limits in hrv.HRV_BANDS.items())}
+    SELECT q.file_id, q.id AS reference, {", ".join(f'round("{b}".value, 4) AS "{b}"' for b in hrv.HRV_BANDS)}, round("LF".value / "HF".value, 6) AS "LFHF" FROM bseq q {" ".join(f'LEFT JOIN "{b}" ON "{b}".file_id = q.file_id AND "{b}".reference = q.id' for b in hrv.HRV_BANDS)}""")
 def hrv_frequency_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Uniform series at 1 Hz of the good intervals, one sample per second of recording order."""
-    w = Window.partitionBy("file_id").orderBy("ts")
-    nni = nn_table(spark, sf).where("not bad").select("file_id", "ts", F.avg("nn").over(w.rowsBetween(-2, 2)).alias("nni"))
-    return hrv.frequency_features(nni, filter_sequences(sequences(spark, sf), names_contain="session"), 1.0)
+    """The good intervals on a grid of 4 Hz; recordings last long enough for the longest epochs."""
+    nni = signal.interpolate_nn(_beat_intervals(spark, sf), 4.0)
+    got = hrv.frequency_features(nni, beat_sequences(spark, sf), 4.0)
+    return r6(got.withColumns({b: F.round(b, 4) for b in hrv.HRV_BANDS}), "LFHF")
 
 
-@query()
+_DFA = [f"""SELECT q.file_id, q.reference, '{name}' AS feature, regr_slope(ln(f), ln(n)) AS value FROM (SELECT file_id, reference, n, sqrt(sum(ss) / (count(*) * n)) AS f FROM
+    (SELECT file_id, reference, w.n AS n, i // w.n AS seg, greatest(regr_syy(y, i % w.n) - regr_sxy(y, i % w.n) ** 2 / regr_sxx(y, i % w.n), 0) AS ss FROM prof, (SELECT unnest(range({lo}, {hi})) AS n) w WHERE total >= {least} AND i < total // w.n * w.n GROUP BY file_id, reference, w.n, i // w.n) GROUP BY file_id, reference, n) q WHERE f > 0 GROUP BY file_id, reference HAVING count(*) > 1""" for name, lo, hi, least in (("DFA1", 3, 16, 16), ("DFA2", 16, 64, 64))]
+
+
+@query(f"""WITH {_GOOD_BEATS},
+    inside AS (SELECT q.file_id, q.id AS reference, g.t, g.nn, avg(g.nn) OVER (PARTITION BY q.file_id, q.id) AS mean, count(*) OVER (PARTITION BY q.file_id, q.id) AS total FROM bseq q JOIN good g ON g.file_id = q.file_id AND g.t BETWEEN q.b AND q.e),
+    prof AS (SELECT file_id, reference, total, row_number() OVER w - 1 AS i, sum(nn - mean) OVER w AS y FROM inside WINDOW w AS (PARTITION BY file_id, reference ORDER BY t)),
+    f AS ({_DFA[0]} UNION ALL {_DFA[1]})
+    SELECT q.file_id, q.id AS reference, round(max(value) FILTER (feature = 'DFA1'), 6) AS "DFA1", round(max(value) FILTER (feature = 'DFA2'), 6) AS "DFA2" FROM bseq q LEFT JOIN f ON f.file_id = q.file_id AND f.reference = q.id GROUP BY ALL""")
 def hrv_nonlinear_features(spark: SparkSession, sf: str) -> DataFrame:
-    return hrv.nonlinear_features(nn_table(spark, sf), filter_sequences(sequences(spark, sf), names_contain="session"))
+    return r6(hrv.nonlinear_features(_beat_intervals(spark, sf), beat_sequences(spark, sf)), "DFA1", "DFA2")
 
 
-@query()
+@query(f"""WITH {SIG}, {nn_sql()}, pts AS (SELECT file_id, epoch_us(ts) AS x, nn AS y, min(epoch_us(ts)) OVER (PARTITION BY file_id) AS t0 FROM nn WHERE details = 'OK'), {_CUBIC},
+    o AS (SELECT file_id, min(x) AS t0 FROM pts GROUP BY file_id),
+    g AS (SELECT sp.*, t0 + k * {_HOUR} AS ts, (t0 + k * {_HOUR} - x)::DOUBLE / h AS t FROM sp JOIN o USING (file_id), unnest(generate_series(CAST((x - t0 + {_HOUR - 1}) // {_HOUR} AS BIGINT), CAST(CASE WHEN ends THEN (x1 - t0) // {_HOUR} ELSE (x1 - t0 + {_HOUR - 1}) // {_HOUR} - 1 END AS BIGINT))) AS u(k) WHERE x1 IS NOT NULL)
+    SELECT file_id, ts, round({_VALUE}, 4) + 0.0 AS nni FROM g""")
 def nn_interpolation(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.interpolate_nn(nn_table(spark, sf), 1 / 3600)
+    got = signal.interpolate_nn(nn_table(spark, sf), 1 / 3600)
+    return got.select("file_id", us("ts"), (F.round("nni", 4) + F.lit(0.0)).alias("nni"))
 
 
 @query(f"""WITH {SIG}, d AS (SELECT file_id, ts, greatest(value - coalesce(lag(value) OVER w, 0), 0) AS d, row_number() OVER w AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts))
@@ -98,14 +148,21 @@ def peak_windows(spark: SparkSession, sf: str) -> DataFrame:
     return w.select("file_id", us("ts"), F.col("position").cast("long").alias("position"), F.aggregate("window", F.lit(0.0), lambda a, x: a + x).alias("total"), F.col("window")[0].alias("opens"), F.element_at("window", -1).alias("closes"))
 
 
-#: All peaks: the lowest samples on both sides up to a higher one, by a join of each peak with its file.
-_BASES = """side AS (SELECT t.file_id, (t.p + t.q) // 2 AS m, t.p, t.q, t.v, max(s.p) FILTER (s.p < t.p AND s.v > t.v) AS lo, min(s.p) FILTER (s.p > t.q AND s.v > t.v) AS hi FROM tops t JOIN nx s ON s.file_id = t.file_id GROUP BY ALL),
+def _bases(half: int | None = None) -> str:
+    """All peaks: the lowest samples on both sides up to a higher one (or so many samples away), by a join of each peak with its file."""
+    lo, hi = ("coalesce(lo, 0)", "coalesce(hi, 1e9)") if half is None else (f"greatest(coalesce(lo, 0), m - {half + 1})", f"least(coalesce(hi, 1e9), m + {half + 1})")
+    return f"""side0 AS (SELECT t.file_id, (t.p + t.q) // 2 AS m, t.p, t.q, t.v, max(s.p) FILTER (s.p < t.p AND s.v > t.v) AS lo, min(s.p) FILTER (s.p > t.q AND s.v > t.v) AS hi FROM tops t JOIN nx s ON s.file_id = t.file_id GROUP BY ALL),
+    side AS (SELECT file_id, m, p, q, v, {lo} AS lo, {hi} AS hi FROM side0),
     based AS (SELECT d.file_id, d.m, d.p, d.q, d.v, max(s.p) FILTER (s.p < d.p AND s.v = lo_v) AS left_base, min(s.p) FILTER (s.p > d.q AND s.v = hi_v) AS right_base, any_value(lo_v) AS lo_v, any_value(hi_v) AS hi_v
-      FROM (SELECT d.*, min(s.v) FILTER (s.p < d.p AND s.p > coalesce(lo, 0)) OVER k AS lo_v, min(s.v) FILTER (s.p > d.q AND s.p < coalesce(hi, 1e9)) OVER k AS hi_v, s.p AS sp FROM side d JOIN nx s ON s.file_id = d.file_id WINDOW k AS (PARTITION BY d.file_id, d.m)) d
-      JOIN nx s ON s.file_id = d.file_id AND s.p = d.sp AND s.p > coalesce(lo, 0) AND s.p < coalesce(hi, 1e9) GROUP BY ALL)"""
+      FROM (SELECT d.*, min(s.v) FILTER (s.p < d.p AND s.p > lo) OVER k AS lo_v, min(s.v) FILTER (s.p > d.q AND s.p < hi) OVER k AS hi_v, s.p AS sp FROM side d JOIN nx s ON s.file_id = d.file_id WINDOW k AS (PARTITION BY d.file_id, d.m)) d
+      JOIN nx s ON s.file_id = d.file_id AND s.p = d.sp AND s.p > lo AND s.p < hi GROUP BY ALL),
+    lvl AS (SELECT *, v - greatest(lo_v, hi_v) AS prom, v - (v - greatest(lo_v, hi_v)) / 2 AS level FROM based),
+    feet AS (SELECT l.*, max(s.p) FILTER (s.p < l.m AND s.p >= left_base AND s.v <= level) AS i, min(s.p) FILTER (s.p > l.m AND s.p <= right_base AND s.v <= level) AS j FROM lvl l JOIN nx s ON s.file_id = l.file_id GROUP BY ALL),
+    ends AS (SELECT e.*, c.ts, e.i + (level - a.v) / (a1.v - a.v) AS x0, e.j - (level - b.v) / (b1.v - b.v) AS x1, base.v AS base_v FROM feet e JOIN nx c ON c.file_id = e.file_id AND c.p = e.m JOIN nx base ON base.file_id = e.file_id AND base.p = e.left_base
+      JOIN nx a ON a.file_id = e.file_id AND a.p = e.i JOIN nx a1 ON a1.file_id = e.file_id AND a1.p = e.i + 1 JOIN nx b ON b.file_id = e.file_id AND b.p = e.j JOIN nx b1 ON b1.file_id = e.file_id AND b1.p = e.j - 1)"""
 
 
-@query(_STEPPED + f", {_BASES} SELECT b.file_id, epoch_us(c.ts) AS ts, m - 1 AS peak_sample, b.v AS height, b.q - b.p + 1 AS plateau_size, left_base - 1 AS left_base, right_base - 1 AS right_base, b.v - greatest(lo_v, hi_v) AS prominence FROM based b JOIN nx c ON c.file_id = b.file_id AND c.p = b.m")
+@query(_STEPPED + f", {_bases()} SELECT b.file_id, epoch_us(c.ts) AS ts, m - 1 AS peak_sample, b.v AS height, b.q - b.p + 1 AS plateau_size, left_base - 1 AS left_base, right_base - 1 AS right_base, b.v - greatest(lo_v, hi_v) AS prominence FROM based b JOIN nx c ON c.file_id = b.file_id AND c.p = b.m")
 def peak_properties(spark: SparkSession, sf: str) -> DataFrame:
     return signal.peak_properties(_stepped(spark, sf), "value").select("file_id", us("ts"), "peak_sample", "height", "plateau_size", "left_base", "right_base", "prominence")
 
@@ -117,10 +174,19 @@ def ssf_peaks(spark: SparkSession, sf: str) -> DataFrame:
     return signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", 3600.0), "value", 0.5, 86400.0, start=F.col("start")).select("file_id", us("ts"), "value", "threshold")
 
 
-@query()
+@query(f"""WITH RECURSIVE {SIG}, d AS (SELECT file_id, ts, greatest(value - coalesce(lag(value) OVER w, 0), 0) AS d, row_number() OVER w AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    x AS (SELECT file_id, ts, coalesce(CASE WHEN n >= 4 THEN sum(d) OVER (PARTITION BY file_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) END, 0) AS v FROM d), {_TOPS},
+    cand AS (SELECT file_id, ts, v, row_number() OVER w AS k, min(ts) OVER (PARTITION BY file_id) + INTERVAL 86400 SECOND AS until FROM tops WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    base AS (SELECT file_id, 0.5 * max(v) AS thr, max(k) AS k FROM cand WHERE ts <= until GROUP BY file_id),
+    early AS (SELECT c.file_id, c.k, c.ts, c.v, b.thr FROM cand c JOIN base b USING (file_id) WHERE ts <= until AND v > b.thr),
+    r AS (
+      SELECT b.file_id, b.k, (SELECT list(e.v ORDER BY e.k)[-5:] FROM early e WHERE e.file_id = b.file_id) AS mem, b.thr, FALSE AS kept, NULL::TIMESTAMP AS ts, NULL::DOUBLE AS v FROM base b
+      UNION ALL
+      SELECT r.file_id, c.k, CASE WHEN c.v > r.thr THEN list_append(r.mem, c.v)[-5:] ELSE r.mem END, CASE WHEN c.v > r.thr THEN 0.5 * list_aggregate(list_append(r.mem, c.v)[-5:], 'median') ELSE r.thr END, c.v > r.thr, c.ts, c.v FROM r JOIN cand c ON c.file_id = r.file_id AND c.k = r.k + 1)
+    SELECT file_id, epoch_us(ts) AS ts, round(v, 6) AS value, round(thr, 6) AS threshold FROM r WHERE kept UNION ALL SELECT file_id, epoch_us(ts), round(v, 6), round(thr, 6) FROM early""")
 def adaptive_peaks(spark: SparkSession, sf: str) -> DataFrame:
     ssf = signal.slope_sum(samples(spark, sf).select("file_id", "ts", "value"), "value", 4)
-    return signal.adaptive_peaks(signal.local_maxima(ssf, "ssf"), "ssf", 0.5, 86400.0).select("file_id", us("ts"), "value", "threshold")
+    return r6(signal.adaptive_peaks(signal.local_maxima(ssf, "ssf"), "ssf", 0.5, 86400.0).select("file_id", us("ts"), "value", "threshold"), "value", "threshold")
 
 
 @query(f"WITH {SIG}, z AS (SELECT file_id, ts, abs((value - avg(value) OVER w) / stddev_samp(value) OVER w) AS z FROM sig WINDOW w AS (PARTITION BY file_id)) SELECT file_id, epoch_us(ts) AS ts, z > 1.5 AS outlier FROM z")
@@ -280,42 +346,67 @@ def respiration_features(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in _RESP})
 
 
-@query()
+def _fir_sql(order: int, frequencies: list[float], kind: str = "lowpass") -> str:
+    """fir(file_id, ts, value, y): the filter forward and backward over lists, with odd reflection at both ends."""
+    taps = filters.fir_taps(order, 1.0, frequencies, kind).tolist()
+    n = len(taps)
+    once = "list_reverse(list_transform(range(1, len({0}) + 1), lambda i: list_inner_product((list_concat({1}, {0}))[i:i + {2}], {3})))"
+    zeros, back = str([0.0] * (n - 1)), str(taps[::-1])
+    return f"""l0 AS (SELECT file_id, list(value::DOUBLE ORDER BY ts) AS l, list(ts ORDER BY ts) AS stamps, count(*) AS n, least({3 * n}, count(*) - 1) AS pad FROM sig GROUP BY file_id),
+    l1 AS (SELECT *, list_concat(list_concat(list_transform(range(pad, 0, -1), lambda i: 2 * l[1] - l[i + 1]), l), list_transform(range(1, pad + 1), lambda i: 2 * l[n] - l[n - i])) AS wide FROM l0),
+    l2 AS (SELECT *, {once.format("wide", zeros, n - 1, back)} AS z FROM l1), l3 AS (SELECT *, {once.format("z", zeros, n - 1, back)} AS z2 FROM l2),
+    fir AS (SELECT file_id, unnest(stamps) AS ts, unnest(l) AS value, unnest(CASE WHEN n < 2 THEN l ELSE z2[pad + 1:pad + n] END) AS y FROM l3)"""
+
+
+@query(f"WITH {SIG}, {_fir_sql(30, [0.1, 0.35], 'bandpass')} SELECT file_id, epoch_us(ts) AS ts, value, round(y, 6) + 0.0 AS value_filtered FROM fir")
 def respiration_clean(spark: SparkSession, sf: str) -> DataFrame:
     s = samples(spark, sf).select("file_id", "ts", "value")
-    return respiration.clean(s, s, 1.0, "value").select("file_id", us("ts"), "value", "value_filtered")
+    return r6(respiration.clean(s, s, 1.0, "value").select("file_id", us("ts"), "value", "value_filtered"), "value_filtered")
 
 
-@query()
+@query(f"WITH {SIG}, {_fir_sql(10, [0.2])} SELECT file_id, epoch_us(ts) AS ts, value, round(y, 6) + 0.0 AS value_filtered FROM fir")
 def fir_lowpass(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.fir_filter(samples(spark, sf), "value", 1.0, 10, [0.2]).select("file_id", us("ts"), "value", "value_filtered")
+    return r6(signal.fir_filter(samples(spark, sf), "value", 1.0, 10, [0.2]).select("file_id", us("ts"), "value", "value_filtered"), "value_filtered")
 
 
-@query()
+@query(f"WITH {SIG}, {_fir_sql(10, [0.05, 0.4], 'bandpass')} SELECT file_id, epoch_us(ts) AS ts, round((y - quantile_cont(y, 0.5) OVER w) / (quantile_cont(y, 0.75) OVER w - quantile_cont(y, 0.25) OVER w), 6) + 0.0 AS clean FROM fir WINDOW w AS (PARTITION BY file_id)")
 def ppg_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Band-pass and robust scaling of a pulse signal."""
     banded = signal.fir_filter(samples(spark, sf), "value", 1.0, 10, [0.05, 0.4], "bandpass")
-    return banded.select("file_id", us("ts"), signal.scaled("value_filtered", "robust").alias("clean"))
+    return r6(banded.select("file_id", us("ts"), signal.scaled("value_filtered", "robust").alias("clean")), "clean")
 
 
-@query()
+_PEAKS = f"WITH {SIG}, x AS (SELECT file_id, ts, value::DOUBLE AS v FROM sig), {_TOPS}"
+
+
+@query(f"""{_PEAKS}, {_bases()}, span AS (SELECT file_id, max(v) - min(v) AS r FROM x GROUP BY file_id)
+    SELECT file_id, epoch_us(ts) AS ts, v AS value, round(prom / r, 6) AS prominence FROM ends JOIN span USING (file_id) WHERE prom / r >= 0.4 AND x1 - x0 >= 1""")
 def ppg_peaks(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.prominent_peaks(samples(spark, sf), "value", 0.4, 1).select("file_id", us("ts"), "value", "prominence")
+    return r6(signal.prominent_peaks(samples(spark, sf), "value", 0.4, 1).select("file_id", us("ts"), "value", "prominence"), "prominence")
 
 
-@query()
+@query(f"""WITH {SIG}, {_RAW}, num AS (SELECT file_id, ts, x AS raw, (row_number() OVER (PARTITION BY file_id ORDER BY ts))::DOUBLE AS x FROM raw), pts AS (SELECT file_id, x, raw AS y FROM num WHERE raw IS NOT NULL), {_CUBIC},
+    near AS (SELECT n.file_id, n.ts, n.raw, n.x AS at, s.x AS x0, s.y, s.h, s.m, s.y1, s.m1, (n.x - s.x) / s.h AS t FROM num n ASOF LEFT JOIN sp s ON s.file_id = n.file_id AND s.x <= n.x)
+    SELECT file_id, epoch_us(ts) AS ts, raw AS x, round(coalesce(raw, {_VALUE}), 6) + 0.0 AS x_clean FROM near""")
 def pchip_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.fill_gaps(_gsr_raw(spark, sf), "x").select("file_id", us("ts"), "x", "x_clean")
+    return r6(signal.fill_gaps(_gsr_raw(spark, sf), "x").select("file_id", us("ts"), "x", "x_clean"), "x_clean")
 
 
-@query()
+@query(f"""WITH {SIG}, s AS (SELECT file_id, value AS v, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY file_id) AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    e AS (SELECT file_id, u.k AS epoch, i - 8 * u.k AS j, v, avg(v) OVER (PARTITION BY file_id, u.k) AS mean FROM s, unnest(generate_series(greatest((i - 8) // 8, 0), i // 8)) AS u(k) WHERE i - 8 * u.k BETWEEN 0 AND 15 AND 8 * u.k + 16 <= n),
+    w AS (SELECT file_id, epoch, j, (v - mean) * (0.5 - 0.5 * cos(2 * pi() * j / 16)) AS y FROM e),
+    p AS (SELECT file_id, epoch, f, (sum(y * cos(2 * pi() * f * j / 16)) ** 2 + sum(y * sin(2 * pi() * f * j / 16)) ** 2) / 6.0 * CASE WHEN f IN (0, 8) THEN 1 ELSE 2 END AS power FROM w, (SELECT unnest(range(0, 9)) AS f) GROUP BY file_id, epoch, f)
+    SELECT file_id, epoch, round(sum(power * CASE f WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 1 ELSE 0 END) / 48, 4) + 0.0 AS value_low_abs, round(sum(power * CASE f WHEN 3 THEN 1 WHEN 4 THEN 4 WHEN 5 THEN 2 WHEN 6 THEN 4 WHEN 7 THEN 1 ELSE 0 END) / 48, 4) + 0.0 AS value_high_abs FROM p GROUP BY file_id, epoch""")
 def bandpower(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.band_power(samples(spark, sf), "value", 1.0, {"low": (None, 0.15), "high": (0.15, None)}, 16, 8)
+    got = signal.band_power(samples(spark, sf), "value", 1.0, {"low": (None, 0.15), "high": (0.15, None)}, 16, 8)
+    return got.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("value_low_abs", "value_high_abs")})
 
 
 @query()
 def gsr_clean(spark: SparkSession, sf: str) -> DataFrame:
-    noted = _gsr_raw(spark, sf).select("file_id", "ts", gsr_from_raw(F.col("x"), 2.0, 1.0).alias("gsr"), missing_annotation(F.col("x")).alias("annotation"))
+    """Every seventh file has lost most of its samples, and is told to be corrupted."""
+    x = F.when((F.col("file_id") % 7 == 0) & (F.col("x") > -100), F.lit(None)).otherwise(F.col("x"))
+    noted = _gsr_raw(spark, sf).select("file_id", "ts", gsr_from_raw(x, 2.0, 1.0).alias("gsr"), missing_annotation(x).alias("annotation"))
     return eda.clean(noted, samples(spark, sf).where("label = 'click'"), 1.0, order=10, cutoff=0.3).withColumn("ts", us("ts"))
 
 
@@ -327,9 +418,11 @@ def cvx_split(spark: SparkSession, sf: str) -> DataFrame:
     return eda.tonic_phasic(clock, "value", 1.0, 40, 20, 2, outlier=1e9).withColumn("ts", us("ts"))
 
 
-@query()
+@query(f"""{_PEAKS}, {_bases(20)}, span AS (SELECT file_id, quantile_cont(v, 0.95) - quantile_cont(v, 0.05) AS r FROM x GROUP BY file_id), f AS (SELECT *, m - left_base < 7 AS good FROM ends JOIN span USING (file_id) WHERE prom / r >= 0.1 AND x1 - x0 >= 0.5)
+    SELECT file_id, epoch_us(ts) AS ts, CASE WHEN good THEN v END AS value, CASE WHEN good THEN m - left_base END::DOUBLE AS increase_duration, round(CASE WHEN good THEN v - base_v END, 6) AS increase_amplitude, round(CASE WHEN good THEN x1 - m END, 6) AS recovery_duration, CASE WHEN good THEN '' ELSE 'false_peak_detection' END AS annotation FROM f""")
 def scr_peak_detection(spark: SparkSession, sf: str) -> DataFrame:
-    return eda.scr_peaks(samples(spark, sf).select("file_id", "ts", "value"), 1.0, "value", window=40).withColumn("ts", us("ts"))
+    got = eda.scr_peaks(samples(spark, sf).select("file_id", "ts", "value"), 1.0, "value", window=40).withColumn("ts", us("ts"))
+    return r6(got, "increase_amplitude", "recovery_duration")
 
 
 @query(f"""WITH {SIG}, s AS (SELECT file_id, value AS x, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY file_id)) / 1e6 AS a FROM sig),
