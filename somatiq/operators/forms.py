@@ -102,7 +102,7 @@ def question_scores(answers: DataFrame, config: DataFrame, ranges: DataFrame) ->
     answers: response_id, ref, answer (text); ranges: ref, low, high. An answer that the map lacks,
     and a question without an answer, has status ``missing`` and no score.
     """
-    told = answers.join(F.broadcast(config), "ref").join(F.broadcast(ranges), "ref", "left")
+    told = answers.join(config, "ref").join(ranges, "ref", "left")
     plain = F.when(F.col("value_map").isNotNull(), F.col("value_map")[F.col("answer")]).otherwise(F.col("answer").try_cast("double"))
     scored = told.withColumn("plain", plain).withColumn("score", F.when(F.col("reverse"), F.col("low") + F.col("high") - F.col("plain")).otherwise(F.col("plain")))
     return scored.withColumn("status", F.when(F.col("score").isNull(), F.lit("missing")).otherwise(F.lit("ok")))

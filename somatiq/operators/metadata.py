@@ -76,7 +76,7 @@ def journal(files: DataFrame, task: str, task_version: str, status: Column, prob
 
 
 def status_report(runs: DataFrame, status: str = "status", title: str = "title") -> DataFrame:
-    """outcome (``status: title``), n, place: most common first."""
+    """outcome (``status: title``), n, place: most common first. One row an outcome, ranked in one task: titles are kinds of problems."""
     outcome = F.concat_ws(": ", status, title)
     counted = runs.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
     return counted.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "outcome")))

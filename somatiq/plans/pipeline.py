@@ -1,23 +1,44 @@
-"""Operators with declared inputs, soft failures as rows, and a run log."""
+"""Operators with declared inputs, failures as rows of the run log, and runs in the order of their inputs.
+
+An operator transforms all files at once. If that fails, and not because of the input as a whole,
+the files are halved by hashed ids, and halved again where the failure persists, until the files
+that fail alone are known: each of these gets a row in the run log, and the results of all others
+are stored. A failure costs about as many runs as the logarithm of the number of files, over ever
+fewer of them.
+"""
 
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.metadata import FAILED, GRACEFUL, SKIPPED, SUCCESS, fingerprint_inputs
 from ..sources.readers import key_exists, read_key
 from ..sources.sinks import append_catalog, store_key
 from ..operators.validate import SpecificationError
 
-LOG_SCHEMA = "operator string, version string, fingerprint string, status string, problem string, at timestamp"
+LOG_SCHEMA = "operator string, version string, fingerprint string, status string, problem string, at timestamp, file_id string"
 #: How long an earlier result of the same inputs counts.
 CACHE_DAYS = 7
 
 
+#: Into so many parts the files are cut at most when failures are sought.
+MOST_PARTS = 1 << 40
+
+
+def _reason(e: Exception) -> str:
+    """The last line of what an exception says: of a worker's, the error itself."""
+    lines = [line.strip() for line in str(e).strip().splitlines() if line.strip()]
+    own = [line for line in lines if re.match(r"[A-Za-z_.]*(Error|Exception)\b.*:", line)]
+    return (own or lines or [type(e).__name__])[-1][:500]
+
+
 class SoftFailure(Exception):
     """An input that an operator cannot use; its result is an empty table, not an error."""
 
@@ -32,6 +53,8 @@ class Operator:
     inputs: dict[str, str] = field(default_factory=dict)
     version: str = "1.0"
     validate: Callable[[DataFrame], None] | None = None
+    #: Whether a file's result depends on that file alone.
+    by_file: bool = True
 
     def fingerprint(self, parameters: dict) -> str:
         return fingerprint_inputs({"operator": self.name, "version": self.version, "inputs": self.inputs, "parameters": parameters})
@@ -48,29 +71,90 @@ class Operator:
         mark = self.fingerprint(parameters)
         if not forced and key_exists(spark, root, self.output_key) and self._seen(spark, root, mark):
             return SKIPPED, None
-        status, problem = SUCCESS, None
+        status, problem, bad = SUCCESS, None, []
         try:
-            out = self.transform(**self.resolve(spark, root), **parameters)
-            if self.validate is not None:
-                self.validate(out)
-            store_key(out, root, self.output_key, partition=None)
+            tables = self.resolve(spark, root)
+            try:
+                self._store(tables, root, parameters, "overwrite")
+            except (PySparkException, ValueError) as e:
+                if not self.by_file or any("file_id" not in t.columns for t in tables.values()):
+                    raise
+                bad = self._isolate(spark, tables, root, parameters)
+                problem = f"{len(bad)} files failed" if bad else None
+                if not bad:  # only together do the files fail
+                    raise e
         except SoftFailure as e:
             status, problem = GRACEFUL, str(e)
-        except (SpecificationError, ValueError) as e:
-            status, problem = FAILED, str(e)
-        row = [(self.name, self.version, mark, status, problem, datetime.datetime.now(datetime.timezone.utc))]
-        append_catalog(spark.createDataFrame(row, LOG_SCHEMA), f"{root.rstrip('/')}/log")
+        except (SpecificationError, ValueError, PySparkException) as e:
+            status, problem = FAILED, _reason(e)
+        now = datetime.datetime.now(datetime.timezone.utc)
+        rows = [(self.name, self.version, mark, status, problem, now, None)] + [(self.name, self.version, mark, FAILED, reason, now, file) for file, reason in bad]
+        append_catalog(spark.createDataFrame(rows, LOG_SCHEMA), f"{root.rstrip('/')}/log")
         return status, problem
 
+    def _store(self, tables: dict[str, DataFrame], root: str, parameters: dict, mode: str) -> None:
+        out = self.transform(**tables, **parameters)
+        if self.validate is not None:
+            self.validate(out)
+        store_key(out, root, self.output_key, partition=None, mode=mode)
+
+    def _isolate(self, spark: SparkSession, tables: dict[str, DataFrame], root: str, parameters: dict) -> list[tuple[str, str]]:
+        """Store what good files give; the others, each with its reason."""
+        files = tables[next(iter(tables))].select(F.col("file_id").cast("string").alias("file_id"))
+        for t in list(tables.values())[1:]:
+            files = files.union(t.select(F.col("file_id").cast("string")))
+        bad: list[tuple[str, str]] = []
+        mode = "overwrite"
+        parts = [(1, 0)]  # files whose hashed id leaves the second number modulo the first
+        while parts:
+            modulus, rest = parts.pop()
+            here = F.pmod(F.xxhash64(F.col("file_id").cast("string")), F.lit(modulus)) == rest
+            own = {p: t.where(here) for p, t in tables.items()}
+            try:
+                if modulus > 1:
+                    self._store(own, root, parameters, mode)
+                    mode = "append"
+                    continue
+            except (PySparkException, ValueError) as e:
+                names = [r.file_id for r in files.where(here).distinct().limit(2).collect()]
+                if len(names) == 1 or modulus >= MOST_PARTS:
+                    bad.extend((r.file_id, _reason(e)) for r in files.where(here).distinct().collect())
+                    continue
+            parts += [(2 * modulus, rest), (2 * modulus, rest + modulus)]
+        return bad if mode == "append" or bad else []
+
     def _seen(self, spark: SparkSession, root: str, mark: str) -> bool:
         log = read_key(spark, root, "log")
         return log is not None and not log.where((log.fingerprint == mark) & (log.status == SUCCESS)).where(f"at > current_timestamp() - interval {CACHE_DAYS} days").isEmpty()
 
 
+def in_order(operators: list[Operator]) -> list[Operator]:
+    """Each operator after those whose results it reads, else as given; a circle raises."""
+    makers = {op.output_key.strip("/"): op for op in operators}
+    done: list[Operator] = []
+    state: dict[str, int] = {}
+
+    def visit(op: Operator) -> None:
+        if state.get(op.name) == 2:
+            return
+        if state.get(op.name) == 1:
+            raise ValueError(f"{op.name} needs its own result")
+        state[op.name] = 1
+        for key in op.inputs.values():
+            if key.strip("/") in makers:
+                visit(makers[key.strip("/")])
+        state[op.name] = 2
+        done.append(op)
+
+    for op in operators:
+        visit(op)
+    return done
+
+
 def run_all(spark: SparkSession, root: str, operators: list[Operator], forced: bool = False, stop: bool = False) -> list[tuple[str, str, str | None]]:
-    """(operator, status, problem) of each operator in order; a failure does not stop the others unless asked."""
+    """(operator, status, problem) of each operator, in the order of their inputs; a failure does not stop the others unless asked."""
     report = []
-    for op in operators:
+    for op in in_order(operators):
         status, problem = op.run(spark, root, forced)
         report.append((op.name, status, problem))
         if stop and status == FAILED:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from urllib.parse import parse_qs, unquote, urlparse
 
 from pyspark.errors import AnalysisException
@@ -61,10 +62,26 @@ def read_document(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def read_responses(spark: SparkSession, path: str, page_size: int = 1000) -> DataFrame:
+def store_responses(spark: SparkSession, fetch: Callable[[int, str | None], dict], path: str, page_size: int = 1000) -> int:
+    """Walk a paged source backwards and store each page under ``path``; the number of pages.
+
+    fetch(page_size, before) gives a page whose ``items`` are older than the token ``before``
+    (None: the newest). The cursor makes this one request after the other; the driver holds one
+    page at a time, and everything else is done on the stored pages.
+    """
+    page_size = min(max(page_size, 100), 1000)
+    before, pages = None, 0
+    while items := (page := fetch(page_size, before)).get("items") or []:
+        spark.createDataFrame([(json.dumps(page),)], "value string").coalesce(1).write.mode("append").text(path)
+        pages += 1
+        last, before = before, items[-1].get("token")
+        if before is None or before == last or len(items) < page_size:
+            break
+    return pages
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages of questionnaire responses: those with answers, each token once."""
-    if not 100 <= page_size <= 1000:
-        page_size = min(max(page_size, 100), 1000)
     pages = spark.read.option("multiLine", True).json(path)
     rows = pages.select(F.explode("items").alias("i")).select("i.*") if "items" in pages.columns else pages
     return rows.where("answers is not null").dropDuplicates(["token"])

@@ -20,31 +20,39 @@ def windowed_features(stream: DataFrame, column: str, length: str = "5 minutes",
     return agg.select("file_id", F.col("w.start").alias("begin"), F.col("w.end").alias("end"), "n", "mean", "sd", "least", "greatest")
 
 
-def pair_markers_stream(stream: DataFrame, begins: str, ends: str, late: str = "10 minutes") -> DataFrame:
-    """file_id, begin, end of begin markers followed by an end marker, as events arrive.
+def pair_markers_stream(stream: DataFrame, begins: str, ends: str, late: str = "10 minutes", expire: str = "1 day") -> DataFrame:
+    """file_id, begin, end of begin markers followed by an end marker, as time passes.
 
-    The state of a file is the last open begin (microseconds); a begin that another begin follows
-    is dropped, as in the batch operator. Within a batch events are put in order of time.
+    Markers wait in a file's state until the watermark has passed them, so that late ones, also of
+    later batches, take their place in the order of time. An open begin that another begin follows
+    is dropped, as in the batch operator, and so is one that is older than ``expire``.
     """
+    longest = int(pd.Timedelta(expire).total_seconds() * 1e6)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        told = pd.concat(list(frames)).sort_values("us")
-        opened = state.get[0] if state.exists else None
+        opened, waiting = (state.get[0], list(zip(state.get[1], state.get[2], strict=True))) if state.exists else (None, [])
+        for frame in frames:
+            waiting += [(int(us), label == begins) for us, label in zip(frame["us"], frame["label"], strict=True)]
+        waiting.sort(key=lambda m: m[0])
+        passed = state.getCurrentWatermarkMs() * 1000
         out = []
-        for us, label in zip(told["us"], told["label"], strict=True):
-            if label == begins:
-                opened = int(us)
-            elif label == ends and opened is not None:
-                out.append((key[0], opened, int(us)))
-                opened = None
-        if opened is None:
+        while waiting and waiting[0][0] <= passed:
+            us, is_begin = waiting.pop(0)
+            if not is_begin and opened is not None:
+                out.append((key[0], opened, us))
+            opened = us if is_begin else None
+        if opened is not None and opened + longest < passed:
+            opened = None
+        if opened is None and not waiting:
             if state.exists:
                 state.remove()
         else:
-            state.update((opened,))
+            state.update((opened, [us for us, _ in waiting], [b for _, b in waiting]))
+            wake = waiting[0][0] if waiting else opened + longest
+            state.setTimeoutTimestamp(max(wake, passed) // 1000 + 1)
         yield pd.DataFrame(out, columns=["file_id", "begin_us", "end_us"])
 
     kind = stream.schema["file_id"].dataType.simpleString()
     marks = stream.where(F.col("label").isin(begins, ends)).withWatermark("ts", late).select("file_id", "label", "ts", F.unix_micros("ts").alias("us"))
-    pairs = marks.groupBy("file_id").applyInPandasWithState(step, f"file_id {kind}, begin_us long, end_us long", "opened long", "append", GroupStateTimeout.NoTimeout)
+    pairs = marks.groupBy("file_id").applyInPandasWithState(step, f"file_id {kind}, begin_us long, end_us long", "opened long, waiting array<long>, is_begin array<boolean>", "append", GroupStateTimeout.EventTimeTimeout)
     return pairs.select("file_id", F.timestamp_micros("begin_us").alias("begin"), F.timestamp_micros("end_us").alias("end"))

@@ -8,6 +8,7 @@ from somatiq import cli
 from somatiq.operators import metadata, nn, population, signal, summarize
 from somatiq.operators.behavior import GAME, PUSH, WAVE
 from somatiq.plans.flows import FLOWS, OPERATORS
+from somatiq.plans.pipeline import Operator, in_order, run_all
 from somatiq.sources import readers, sinks
 
 T0 = datetime.datetime(2020, 1, 1)
@@ -159,3 +160,64 @@ def test_adaptive_threshold_matches_a_plain_fold(spark):
             threshold = 0.7 * statistics.median([values[k] for k, _ in kept][-5:])
             kept[-1] = (i, threshold)
     assert [(r.ts, pytest.approx(r.threshold)) for r in got.orderBy("ts").collect()] == [(at(i), t) for i, t in kept]
+
+
+def test_one_bad_file_does_not_stop_the_rest(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"f{i}", at(k), float(i * 10 + k)) for i in range(12) for k in range(3)]
+    spark.createDataFrame(rows, "file_id string, ts timestamp_ntz, x double").write.parquet(f"{root}/raw/x")
+
+    def kernel(values):
+        if values[0] in (30.0, 70.0):
+            raise ValueError(f"cannot read {values[0]}")
+        return values * 2
+
+    op = Operator("double", "out/x", lambda x: signal.per_file(x, "x", kernel, "y"), {"x": "raw/x"})
+    assert op.run(spark, root) == ("SUCCESS", "2 files failed")
+    got = {r.file_id: r.n for r in spark.read.parquet(f"{root}/out/x").groupBy("file_id").agg(F.count("y").alias("n")).collect()}
+    assert got == {f"f{i}": 3 for i in range(12) if i not in (3, 7)}
+    log = {r.file_id: (r.status, r.problem) for r in spark.read.parquet(f"{root}/log").where("file_id is not null").collect()}
+    assert log == {"f3": ("FAILED", "ValueError: cannot read 30.0"), "f7": ("FAILED", "ValueError: cannot read 70.0")}
+
+    def refuse(x):
+        raise ValueError("no good at all")
+
+    assert Operator("refuse", "out/y", refuse, {"x": "raw/x"}, by_file=False).run(spark, root) == ("FAILED", "no good at all")
+
+
+def test_operators_run_after_their_inputs(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([("f", 1)], "file_id string, x int").write.parquet(f"{root}/raw/x")
+    last = Operator("last", "c", lambda b: b.withColumn("z", F.col("y") + 1), {"b": "b"})
+    middle = Operator("middle", "b", lambda x: x.withColumn("y", F.col("x") + 1), {"x": "raw/x"})
+    assert [r[:2] for r in run_all(spark, root, [last, middle])] == [("middle", "SUCCESS"), ("last", "SUCCESS")]
+    assert spark.read.parquet(f"{root}/c").first().z == 3
+    with pytest.raises(ValueError):
+        in_order([Operator("a", "k", None, {"x": "l"}), Operator("b", "l", None, {"x": "k"})])
+
+
+def test_paged_responses(spark, tmp_path):
+    newest = [{"token": f"t{i:03}", "answers": [i] if i % 5 else None} for i in range(250, 0, -1)]
+    asked = []
+
+    def fetch(size, before):
+        asked.append((size, before))
+        start = 0 if before is None else next(i for i, r in enumerate(newest) if r["token"] == before) + 1
+        return {"items": newest[start : start + size]}
+
+    path = str(tmp_path / "pages")
+    assert readers.store_responses(spark, fetch, path, 5) == 3
+    assert asked == [(100, None), (100, "t151"), (100, "t051")]
+    assert readers.read_responses(spark, path).count() == 200
+
+
+def test_merge_datasets(spark, tmp_path):
+    a, b, target = (str(tmp_path / c) for c in "abt")
+    df = spark.createDataFrame([("f", 1)], "file_id string, x int")
+    df.write.parquet(f"{a}/one/x")
+    df.write.parquet(f"{b}/two/x")
+    df.where("false").write.parquet(f"{b}/one/x")
+    assert sinks.merge_datasets(spark, [(a, "one/x"), (b, "two/x"), (b, "one/x"), (b, "none")], target) == ["one/x", "two/x"]
+    assert spark.read.parquet(f"{target}/two/x").count() == 1
+    with pytest.raises(ValueError):
+        sinks.merge_datasets(spark, [(a, "one/x"), (target, "one/x")], f"{target}2")

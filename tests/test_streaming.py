@@ -1,4 +1,5 @@
 import datetime
+import time
 
 from somatiq.streaming.windows import pair_markers_stream, windowed_features
 
@@ -18,11 +19,24 @@ def drain(df, name, mode="append"):
 
 
 def test_pairs_in_a_stream(spark, tmp_path):
-    rows = [("f", 0, "b", 0.0), ("f", 5, "b", 0.0), ("f", 9, "e", 0.0), ("f", 10, "e", 0.0), ("g", 1, "e", 0.0), ("g", 2, "b", 0.0), ("g", 3, "e", 0.0)]
+    rows = [("f", 0, "b", 0.0), ("f", 5, "b", 0.0), ("f", 9, "e", 0.0), ("f", 10, "e", 0.0), ("g", 1, "e", 0.0), ("g", 2, "b", 0.0), ("g", 3, "e", 0.0), ("z", 5000, "b", 0.0)]
     got = drain(pair_markers_stream(source(spark, tmp_path, rows), "b", "e"), "pairs")
     assert {(r.file_id, (r.begin - T0).seconds, (r.end - T0).seconds) for r in got} == {("f", 5, 9), ("g", 2, 3)}
 
 
+def test_late_markers_take_their_place(spark, tmp_path):
+    """The end comes two batches before the begin that it belongs to."""
+    path = str(tmp_path / "in")
+    table = lambda rows: spark.createDataFrame([(f, T0 + datetime.timedelta(seconds=s), label) for f, s, label in rows], "file_id string, ts timestamp, label string").coalesce(1)
+    batches = [[("f", 0, "b"), ("f", 100, "e")], [("f", 20, "x")], [("f", 90, "b")], [("z", 5000, "b")], [("z", 5001, "b")]]
+    for rows in batches:
+        table(rows).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are read in the order of their times
+    stream = spark.readStream.schema("file_id string, ts timestamp, label string").option("maxFilesPerTrigger", 1).parquet(path)
+    got = drain(pair_markers_stream(stream, "b", "e"), "late_pairs")
+    assert {(r.file_id, (r.begin - T0).seconds, (r.end - T0).seconds) for r in got} == {("f", 90, 100)}
+
+
 def test_windows_in_a_stream(spark, tmp_path):
     rows = [("f", s, "x", float(s)) for s in (0, 60, 400, 700)]
     got = drain(windowed_features(source(spark, tmp_path, rows), "value"), "windows", "complete")
