@@ -6,7 +6,9 @@ rules. Expressions meet rules on the first 32 bits of a SHA-256 digest; the full
 match; the longest rule wins (equal lengths: the greater rule string, block before allow).
 
 Edge cases: a null URL or one without ``://`` has an empty host and path, fits no rule and gets the
-default verdict; repeated rows and URLs give a row each; an empty table gives an empty result.
+default verdict; repeated rows and URLs, and null ids, give a row each; URLs of any length count
+whole; rules without a host or action are passed over; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +22,14 @@ SHORT = 8
 MOST_BROADCAST = 50_000
 
 
+def _lower(text: Column) -> Column:
+    """A-Z lower-cased, and nothing else."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def url_host(url: Column) -> Column:
     """From the first :// up to / ? # or the end, A-Z lower-cased; else empty."""
-    return F.coalesce(F.translate(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+    return F.coalesce(_lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
 
 
 def url_path(url: Column) -> Column:
@@ -43,7 +50,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(rules, "host string, path string, action string")
     rules = rules.where(F.col("host").isNotNull() & F.col("action").isNotNull()).select(
-        F.lower("host").alias("rule_host"), F.coalesce(F.regexp_replace("path", "^(?!/)(?=.)", "/"), F.lit("")).alias("rule_path"), "action"
+        _lower(F.col("host")).alias("rule_host"), F.coalesce(F.regexp_replace("path", "^(?!/)(?=.)", "/"), F.lit("")).alias("rule_path"), "action"
     )
     #: Lengths of rule paths: at most as many as the longest path has characters.
     lengths = [r.n for r in rules.select(F.length("rule_path").alias("n")).distinct().collect()]

@@ -294,6 +294,72 @@ def test_mixing(spark):
         assert abs(taken[s] - target[s]) <= 16 * (2 + len(rows) / 32)
 
 
+def spark_xxhash(*values):
+    """Spark's xxhash64 of ints (as 32 bits where marked by a tuple), longs and texts; nulls leave the hash as it is."""
+    import struct
+
+    import xxhash
+
+    h = 42
+    for v in values:
+        if v is not None:
+            raw = struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v) if isinstance(v, int) else v.encode()
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def plain_mix(rows, per_shard=256, block=16, seed=17, most=2):
+    """taken of each row (doc_id, text, source), seat by seat and word by word."""
+    size = [len(words(r[1])) for r in rows]
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    whole = [sum(z for z, r in zip(size, rows, strict=True) if r[2] == s) for s in sources]
+    targets = mixing.capped_targets(whole, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5, 2.0)
+
+    def seats(weights, n, caps):
+        won = [0] * len(weights)
+        for _ in range(n):
+            open_ones = [i for i in range(len(weights)) if weights[i] > 0 and won[i] < caps[i]]
+            if not open_ones:
+                break
+            won[max(open_ones, key=lambda i: (weights[i] / (2 * won[i] + 1), -i))] += 1
+        return won
+
+    quotas = seats(targets, round(sum(targets) / block), [math.inf] * len(targets))
+    draw = [spark_xxhash((seed,), r[0], spark_xxhash(r[1]), z) for r, z in zip(rows, size, strict=True)]
+    taken = [0] * len(rows)
+    for no, source in enumerate(sources):
+        own = [i for i, r in enumerate(rows) if r[2] == source and size[i]]
+        n = max(1, -(-len(own) // per_shard))
+        shard = {i: spark_xxhash((seed + 1,), draw[i]) % n for i in own}
+        used = sorted(set(shard.values()))
+        sizes = [sum(size[i] for i in own if shard[i] == s) for s in used]
+        runs = seats(sizes, quotas[no], [-(-z // block) * most for z in sizes])
+        for s, z, run in zip(used, sizes, runs, strict=True):
+            blocks = -(-z // block)
+            first = spark_xxhash((seed + 2,), (no,), s) % blocks
+            line = [i for i in sorted((i for i in own if shard[i] == s), key=lambda i: (draw[i], rows[i][0] is not None, rows[i][0] or 0)) for _ in range(size[i])]
+            for b in range(first, first + run):
+                for i in line[block * (b % blocks) : block * (b % blocks + 1)]:
+                    taken[i] += 1
+    return taken
+
+
+@pytest.mark.parametrize("fan_out", [1024, 3])
+def test_mixing_matches_plain_version(spark, monkeypatch, fan_out):
+    monkeypatch.setattr(mixing, "FAN_OUT", fan_out)
+    rows = corpus(260, 8)
+    rows += [(None, rows[7][1], "en", "s1", 0), (None, "a b c d e f", "en", "s1", 0), (5, "other words of a repeated id " * 9, "en", "s2", 0), (5, rows[5][1], "en", rows[5][3], 0)]
+    got = Counter((r.doc_id, r.source, r.size, r.taken) for r in mixing.mix_sources(table(spark, rows), docs_per_shard=16).collect())
+    taken = plain_mix([(r[0], r[1], r[3]) for r in rows], 16)
+    want = Counter((r[0], r[3], len(words(r[1])), t) for r, t in zip(rows, taken, strict=True))
+    if fan_out == 1024:
+        assert got == want
+    else:  # groups of shards round once more
+        assert sum(abs(a[3] * n) for a, n in (got - want).items()) < 0.25 * sum(taken)
+        for s in {r[3] for r in rows}:
+            assert abs(sum(k[3] * n for k, n in got.items() if k[1] == s) - sum(k[3] * n for k, n in want.items() if k[1] == s)) <= 16 * 12
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "https://WWW.Example.COM/en/7?x#y", "http://example.com/en/6", "http://a.b.example.net/de/81", "http://example.net/de/7/8", "x://org/es/", "http://borg/es/1", "http://com#frag/en/", "http://com/en/://z", "http://..com//en/", "HTTP://net/DE/", "http://net:80/de/", "http://q?://com/en/"] * 2
     pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, html string, verdict string")
@@ -311,6 +377,16 @@ def test_urls(spark):
     assert urlfilter.filter_urls(pages, []).where("verdict <> 'allow'").count() == 0
 
 
+def test_url_rules_from_a_table_and_ties(spark):
+    rules = [("Example.COM", "/a", "allow"), ("example.com", "/a", "block"), ("b.example.com", None, "allow"), (None, "/", "block"), ("x.org", "y", "block"), ("É.org", "/", "block")]
+    pages = spark.createDataFrame([(1, "http://example.com/abc"), (2, "http://b.example.com/abc"), (3, "http://x.org/yes"), (None, "http://b.example.com/"), (5, "http://é.org/"), (6, "http://É.org/" + "z" * 100_000), (6, "http://x.org/yes")], "page_id long, url string").withColumns({"host": F.lit("h"), "rule": F.lit(1), "short": F.lit(2)})
+    table = spark.createDataFrame(rules, "host string, path string, action string")
+    for given in (table, rules):
+        got = Counter((r.page_id, r.rule, r.verdict) for r in urlfilter.filter_urls(pages, given).collect())
+        # Equal lengths: the greater rule, and block before allow.
+        assert got == Counter([(1, "example.com/a", "block"), (2, "example.com/a", "block"), (3, "x.org/y", "block"), (None, "b.example.com", "allow"), (5, None, "allow"), (6, "É.org/", "block"), (6, "x.org/y", "block")])
+
+
 def plain_form(text):
     norm = lambda t: unicodedata.normalize("NFKC", t)
     return re.sub(" +", " ", re.sub("[\t\n\x0b\x0c\r\x1c-\x1f\x85\u1680\u2028\u2029]", " ", norm(norm(text or "").casefold()))).strip(" ")

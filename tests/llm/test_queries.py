@@ -1,10 +1,20 @@
+import itertools
+import math
+from collections import Counter
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from somatiq.llm.queries import ORACLES, QUERIES
+from somatiq.llm import quality, toxicity
+from somatiq.llm.common import crc32_mod
+from somatiq.llm.queries import ORACLES, QUERIES, tokenizer_path
 
 from ..oracle import assert_same, connect
-from .helpers import table, words
+from .helpers import roots, table, words
+from .test_operators import plain_mix, shingles
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -39,6 +49,79 @@ def test_pipeline(spark, sf):
     assert sum(r.length for r in packed if r.start == 0) > 0 and len({r.doc_id for r in packed}) == len(set(kept["mixing"]))
 
 
+def plain_toxicity(model, text):
+    raw = (text or "").encode()
+    terms = sorted(set(toxicity.hashed_terms(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tolist()))
+    terms = [t for t in terms if model.w[t]]
+    total = model.w0 + sum(model.w[t] for t in terms) + sum(float(model.v[a] @ model.v[b]) for a, b in itertools.combinations(terms, 2))
+    return 1 / (1 + math.exp(-total))
+
+
+def plain_quality(model, text):
+    raw = (text or "").encode()
+    x = quality.document_statistics(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+    total = model.base
+    for f, t, leaf in zip(model.feature, model.threshold, model.leaf, strict=True):
+        at = 0
+        while at < len(f):
+            at = 2 * at + (2 if x[f[at]] > t[at] else 1)
+        total += leaf[at - len(f)]
+    return 1 / (1 + math.exp(-total))
+
+
+def test_each_stage_matches_a_plain_version(spark, sf):
+    """Over all documents of the smallest table, each stage on what the one before it kept."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    told = lambda df: Counter((r.doc_id, r.text, r.source) for r in df.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        if name == "toxicity":
+            model = toxicity.train_toxicity(docs, labels, crc32_mod(F.col("label_id"), 4) != 2)
+            want = Counter(r for r in rows if plain_toxicity(model, r[1]) < 0.3)
+        elif name == "quality":
+            model = quality.train_quality(docs, labels, crc32_mod(F.col("label_id"), 5) != 0)
+            want = Counter(r for r in rows if plain_quality(model, r[1]) >= 0.3)
+        elif name == "jaccard_join":
+            sets = [shingles(r[1], 5) for r in rows]
+            pairs = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+            first = {}
+            for r, root in zip(rows, roots(len(rows), pairs), strict=True):
+                first[root] = min(first.get(root, r), r, key=lambda r: r[0])
+            want = Counter(first.values())
+        else:
+            want = Counter()
+            for r, taken in zip(rows, plain_mix(rows), strict=True):
+                want[r] += math.floor(taken / max(len(words(r[1])), 1) + 0.5)
+            want = +want
+        docs = corpus_pipeline.durable(stage(spark, docs, sf), f"plain-{name}")
+        assert told(docs) == want and 0 < want.total(), name
+    t = Tokenizer.from_file(tokenizer_path())
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    got = Counter()
+    for r in packed:
+        got[r.doc_id] += r.length
+    want = Counter()
+    for (doc_id, text, _), n in told(docs).items():
+        want[doc_id] += n * (len(t.encode(text or "", add_special_tokens=False).ids) + 1)
+    assert got == want
+
+
+def test_stages_take_awkward_rows(spark, sf):
+    """Nulls in every column, repeated rows, columns with clashing names, and empty tables."""
+    rows = [(None, None, None, None, None), (1, "", None, None, 0), (1, "", None, None, 0), (2, "some words here and there " * 30, "en", None, 5), (2, "some words here and there " * 30, "en", None, 5), (None, "x" * 300_000, "en", "s", 1)]
+    docs = table(spark, rows).withColumns({"score": F.lit(0.5), "label": F.lit("l"), "taken": F.lit(1), "set": F.lit(2), "sid": F.lit(3)})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.where("false"), sf).count() == 0
+        kept = stage(spark, docs, sf)
+        assert kept.columns == docs.columns and kept.count() <= 2 * len(rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.where("false"), sf).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).where("start = 0").count() == len(rows)
+    # One of each repeated text stays, and rows without words all do.
+    one = sorted(map(repr, ((r.doc_id, (r.text or "")[:4]) for r in corpus_pipeline.one_of_each(spark, docs, sf).collect())))
+    assert one == sorted(map(repr, [(None, ""), (1, ""), (1, ""), (2, "some"), (None, "xxxx")]))
+
+
 def unlike(name, n=100):
     return [f"{name}{i}" for i in range(n)]
 
