@@ -12,8 +12,9 @@ member, so that families of one cluster of copies mostly coincide. Within a fami
 partitioned into groups of similar ones by their smallest token, which is a min-hash: two sets of
 similarity s share it with chance s. The token-group matrix holds each group's token union; a
 query's overlap with the union bounds its overlap with every member, and a query opens only the
-groups that qualify for it. A large family is cut into blocks, and each pair of blocks is a task of
-its own. Links leave a task as a forest, so no pairs of a clique are listed.
+groups that qualify for it. Links leave a task as a forest, so no pairs of a clique are listed. A
+large family is cut into blocks: each meets the first one, then only sets outside the family's
+largest component so far meet the other blocks, each pair of blocks in a task of its own.
 
 Hot tokens cost no gathered group: the rows of heavy ones are salted, then pre-aggregated and met
 by joins that Spark may split. Any other has at most a millionth of all tokens (and two more in
@@ -30,11 +31,11 @@ ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, give_back, small_batches, text_slices
@@ -175,15 +176,13 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     placed = classed.join(leaders, ["key", "class"]).groupBy("sid", "check", "n", "class", "need", "leader").agg(F.count(F.lit(1)).alias("tokens"))
     placed = placed.withColumn("has", F.sum("tokens").over(Window.partitionBy("sid", "check", "n", "class"))).where("has >= need")
     families = durable(placed.select("leader", "class", "sid", "check", "n"), "jac-families")
-    per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
-    sizes = families.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("sets")).withColumn("blocks", F.ceil(F.col("sets") / per_block).cast("int")).drop("sets")
-    sizes = durable(sizes, "jac-sizes")
-    dealt = families.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    places = dealt.groupBy("sid", "check", "n").agg(F.collect_list(F.struct("leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block")).alias("places"))
     # Sets are numbered as they are written: from here on a number stands for a set.
     owners = durable(members.where("n > 0").groupBy("sid", "check", "n").agg(F.min("doc_id").alias("owner")).withColumn("set", F.monotonically_increasing_id()), "jac-sets")
-    wanted = durable(owners.join(places, ["sid", "check", "n"]).select("owner", "sid", "check", "set", "places"), "jac-wanted")
+    named = durable(families.join(owners, ["sid", "check", "n"]).select("leader", "class", "set"), "jac-named")
+    per_block = F.greatest(F.lit(16.0), F.least(F.lit(float(BLOCK)), BLOCK_TOKENS / F.pow(F.lit(100.0 / percent), F.col("class") + 1)))
+    blocks_of = lambda sets: F.ceil(sets / per_block).cast("int")
+    sizes = durable(named.groupBy("leader", "class").agg(F.count(F.lit(1)).alias("sets")).withColumn("blocks", blocks_of(F.col("sets"))).drop("sets"), "jac-sizes")
+    dealt = named.join(sizes, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, tokens, offsets in token_sets(batches, k):
@@ -201,26 +200,40 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
                 part_own = own[pick[a : a + 500]]
                 yield pa.RecordBatch.from_arrays([*(f.slice(a, 500) for f in fields), pa.array(sid[part_own]), pa.array([blobs[i] for i in part_own.tolist()], pa.binary())], names=["leader", "class", "one", "two", "block", "set", "tokens"])
 
-    texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "check", "set", "places", "text")
-    tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, set long, tokens binary")
-    tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "set")
-
     def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, ["leader", "class", "one", "two"]):
             if group.num_rows < 2:
                 continue
-            sid, first = np.unique(np.array(group.column("set")), return_index=True)
-            block = np.array(group.column("block"))[first]
+            # A set may be there twice, as a query and as one of the others.
+            sid, first, at = np.unique(np.array(group.column("set")), return_index=True, return_inverse=True)
+            block = np.array(group.column("block"))
             sets = [unpack(b) for b in group.column("tokens").take(pa.array(first)).to_pylist()]
-            one, two = group.column("one")[0].as_py(), group.column("two")[0].as_py()
-            a, b = linked_pairs(sets, np.flatnonzero(block == one), np.flatnonzero(block == two), percent)
+            queries, others = (np.unique(at[block == group.column(c)[0].as_py()]) for c in ("one", "two"))
+            if not len(queries) or not len(others):
+                continue
+            a, b = linked_pairs(sets, queries, others, percent)
             if len(a):
                 root = forest(len(sid), a, b)
                 child = np.flatnonzero(root != np.arange(len(sid)))
                 yield pa.RecordBatch.from_arrays([pa.array(sid[child]), pa.array(sid[root[child]])], names=["a", "b"])
 
-    links = tasks.mapInArrow(open_groups, "a long, b long")
+    def compare(places: DataFrame) -> DataFrame:
+        """Links between the sets that a task (leader, class, one, two) holds as block one and as block two."""
+        lists = places.groupBy("set").agg(F.collect_list(F.struct("leader", "class", "one", "two", "block")).alias("places"))
+        wanted = durable(owners.join(lists, "set").select("owner", "sid", "check", "set", "places"), "jac-wanted")
+        texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "check", "set", "places", "text")
+        tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, set long, tokens binary")
+        tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "set")
+        return durable(tasks.mapInArrow(open_groups, "a long, b long"), "jac-links")
+
+    # First every block meets block 0 of its family.
+    other = F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0))))
+    links = compare(dealt.withColumn("other", other).select("set", "leader", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block"))
     component = connected_components(links).withColumnRenamed("node", "set")
+    later = _later_places(dealt.where("blocks > 1"), component, blocks_of)
+    if later is not None:
+        links = links.unionByName(compare(later))
+        component = connected_components(links).withColumnRenamed("node", "set")
     rooted = durable(owners.join(component, "set", "left").select("sid", "check", "n", F.coalesce("component", "set").alias("root")), "jac-roots")
     told = durable(members.join(rooted, ["sid", "check", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "root"), "jac-told")
     # Written, so that the join below shuffles both sides itself and may split a hot component.
@@ -228,6 +241,31 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _later_places(large: DataFrame, component: DataFrame, blocks_of: Callable[[Column], Column]) -> DataFrame | None:
+    """What is still to be compared in families of several blocks, once all have met block 0; None if nothing is.
+
+    Sets of a family's largest component so far need no comparison with each other. The rest,
+    dealt into blocks of their own (numbered below 0), meet all blocks but block 0. In a cluster of
+    copies few sets are left, so the work grows with the cluster and not with its square.
+    """
+    if large.isEmpty():
+        return None
+    family = ["leader", "class"]
+    placed = large.join(component, "set", "left").select("set", *family, "block", "blocks", F.coalesce("component", "set").alias("part"))
+    counted = placed.groupBy(*family, "part").agg(F.count(F.lit(1)).alias("sets"))
+    main = counted.groupBy(*family).agg(F.max_by("part", F.struct("sets", "part")).alias("main"))
+    # Block 0 has met everything.
+    open_ones = durable(placed.where("block > 0").join(main, family).withColumn("rest", F.col("part") != F.col("main")), "jac-open")
+    rests = durable(open_ones.where("rest").groupBy(*family).agg(blocks_of(F.count(F.lit(1))).alias("rest_blocks")), "jac-rests")
+    if rests.isEmpty():
+        return None
+    told = open_ones.join(rests, family)
+    own = -1 - F.pmod(F.xxhash64("set", F.lit(1)), F.col("rest_blocks")).cast("int")
+    queries = told.where("rest").withColumn("one", own).withColumn("two", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1))).select("set", *family, "one", "two", F.col("one").alias("block"))
+    others = told.withColumn("one", F.explode(F.sequence(-F.col("rest_blocks"), F.lit(-1)))).select("set", *family, "one", F.col("block").alias("two"), "block")
+    return queries.unionByName(others)
+
+
 def unpack(blob: bytes) -> np.ndarray:
     """Tokens from their SENT_BYTES highest bytes each."""
     out = np.zeros((len(blob) // SENT_BYTES, 8), np.uint8)

@@ -50,8 +50,9 @@ def test_jaccard_matches_brute_force(spark, seed):
     assert [got[r[0]].component_id for r in rows] == want
 
 
-def test_jaccard_heavy_group(spark, monkeypatch):
-    """A large family of near copies, cut into blocks, with heavy tokens."""
+@pytest.mark.parametrize("most_edits", [3, 9])
+def test_jaccard_heavy_group(spark, monkeypatch, most_edits):
+    """A large family of near copies, cut into blocks, with heavy tokens; with more edits it falls into parts."""
     import random
 
     rng = random.Random(3)
@@ -59,13 +60,16 @@ def test_jaccard_heavy_group(spark, monkeypatch):
     rows = []
     for i in range(150):
         w = list(base)
-        for _ in range(rng.randint(0, 3)):
+        for _ in range(rng.randint(0, most_edits)):
             w[rng.randrange(len(w))] = f"x{rng.randrange(999)}"
         rows.append((i, " ".join(w), "en", "s", 0))
     monkeypatch.setattr(jaccard, "BLOCK", 16)
+    later, real = [], jaccard._later_places
+    monkeypatch.setattr(jaccard, "_later_places", lambda *a: later.append(real(*a)) or later[-1])
     _, want = brute_jaccard(rows)
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(table(spark, rows)).collect()}
     assert [got[r[0]] for r in rows] == want
+    assert later[0] is not None or most_edits == 3
 
 
 @pytest.mark.parametrize("percent", [50, 85, 100])
