@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -43,20 +44,46 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
     Unlike an executor-local copy, the files outlive any executor, and the reread table has a
     known size, so that joins with it are planned from figures and not from guesses. The files
-    are deleted when the application ends, not before: results are lazy and read them.
+    are deleted when the application ends (results are lazy and read them) or by :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _delete_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.durable_path = path
+    store, target = _stored(spark, path)
+    store.deleteOnExit(target)
+    return out
 
 
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    """Let the file system of the path (any that Spark knows) drop it when the driver's JVM ends."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that :func:`durable` wrote, once what was made of them is written itself."""
+    for df in tables:
+        if df is not None:
+            store, target = _stored(df.sparkSession, df.durable_path)
+            store.delete(target, True)
+
+
+def _stored(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path (any that Spark knows), and the path as it takes it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def with_row_numbers(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """Adds a number to each row that every scan of the table gives alike.
+
+    A stored table's rows have their file's rank and their place in it, which no other split of
+    the work changes; any other table is written with numbers.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place"))
+        placed.schema  # noqa: B018 (resolves the columns)
+    except AnalysisException:
+        return durable(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    files = placed.select("__file").distinct().withColumn("__rank", F.row_number().over(Window.orderBy("__file")) - 1)
+    # A row a file: so few that one task may rank them.
+    return placed.join(durable(files, "files"), "__file").select(*docs.columns, (F.col("__rank").cast("long") * (1 << 40) + F.col("__place")).alias(name))
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

@@ -12,11 +12,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import discard, durable
 
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component (its smallest node) for every node in links(a, b); ids are longs."""
+    """node, component (its smallest node) for every node in links(a, b); ids are longs.
+
+    Labels settle in a logarithmic number of rounds; more than ``rounds`` of them raise, and no
+    link is ever left out.
+    """
     links = durable(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "cc-links")
     label: DataFrame | None = None
     for _ in range(rounds):
@@ -24,13 +28,15 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
             break
         both = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to")))
         # Written before it meets itself, so that the join shuffles both sides and may split a hot label.
-        step = durable(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to")), "cc-least")
+        least = durable(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to")), "cc-least")
         # Follow the labels twice: a -> b -> c becomes a -> c.
+        step = least
         for _ in range(2):
             far = step.select(F.col("node").alias("via"), F.col("to").alias("far"))
             step = step.join(far, F.col("to") == F.col("via"), "left").select("node", F.coalesce("far", "to").alias("to"))
         step = durable(step, "cc-step")
         hop = step.select(F.col("node").alias("via"), F.col("to").alias("far"))
+        before = links, label
         if label is None:
             label = step.select("node", F.col("to").alias("component"))
         else:
@@ -38,6 +44,7 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         label = durable(label, "cc-label")
         left = links.join(hop, F.col("a") == F.col("via")).select(F.col("far").alias("a"), "b")
         links = durable(left.join(hop, F.col("b") == F.col("via")).select("a", F.col("far").alias("b")).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-links")
+        discard(least, step, *before)
     else:
         raise RuntimeError("components did not settle")
     return label if label is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))

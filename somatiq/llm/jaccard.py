@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, give_back, small_batches, text_slices
+from .common import discard, durable, give_back, small_batches, text_slices
 from .components import connected_components, forest
 from .embeddings import groups_of
 from .textkern import TOKEN_BITS, distinct_sets, mix64, shingle_hashes, word_hashes
@@ -224,7 +224,9 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
         texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("owner")).select("sid", "check", "set", "places", "text")
         tasks = texts.mapInArrow(spread, "leader long, class int, one int, two int, block int, set long, tokens binary")
         tasks = tasks.repartition("leader", "class", "one", "two").sortWithinPartitions("leader", "class", "one", "two", "set")
-        return durable(tasks.mapInArrow(open_groups, "a long, b long"), "jac-links")
+        found = durable(tasks.mapInArrow(open_groups, "a long, b long"), "jac-links")
+        discard(wanted)
+        return found
 
     # First every block meets block 0 of its family.
     other = F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0))))
@@ -238,6 +240,7 @@ def jaccard_components(docs: DataFrame, percent: int = 85, k: int = 4, id_col: s
     told = durable(members.join(rooted, ["sid", "check", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "root"), "jac-told")
     # Written, so that the join below shuffles both sides itself and may split a hot component.
     smallest = durable(told.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "jac-smallest")
+    discard(surveyed, classed, families, owners, named, sizes, rooted)
     return told.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable, small_batches, text_slices, without
+from .common import discard, durable, small_batches, text_slices, without
 from .learn import label_sample
 from .textkern import word_hashes
 
@@ -195,6 +195,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, column: s
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(cut), pa.array(flat[keep]))], names=["label_id", "label", "terms"])
 
     got = told.mapInArrow(keep_telling, "label_id long, label int, terms array<int>").toArrow().combine_chunks()
+    discard(told)
     y, ids = np.array(got.column("label"), float), np.array(got.column("label_id"), np.int64)
     # Rows of one id follow each other by their terms, so that reruns learn alike.
     lists = got.column("terms").to_numpy(zero_copy_only=False) if got.num_rows else []
