@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from somatiq.llm import jaccard, mixing, packing, quality, toxicity
-from somatiq.llm.common import crc32_mod, durable, read
+from somatiq.llm.common import crc32_mod, durable, read, with_row_numbers
 from somatiq.llm.queries import CUT, QUALITY_FOLDS, QUALITY_HELD, TOXIC_FOLDS, TOXIC_HELD, tokenizer_path
 
 
@@ -26,19 +26,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each near-duplicate group; ids may repeat or be null (null is the greatest)."""
-    rows = durable(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    rows = with_row_numbers(docs)
     told = jaccard.jaccard_components(rows, percent=80, k=5, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")).alias("first")
     chosen = told.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first).select("first.__row")
-    return rows.join(chosen, "__row", "left_semi").select(docs.columns)
+    return rows.join(durable(chosen, "pipeline-chosen"), "__row", "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it: taken words over its size, rounded (0, 1 or 2 rows).
-
-    Rows are told apart by their place in the stored table, which both of its scans number alike.
-    """
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    """Each row as often as the mix takes it: taken words over its size, rounded (0, 1 or 2 rows)."""
+    rows = with_row_numbers(docs)
     mixed = mixing.mix_sources(rows, weights=(3, 1, 2), share=1.5, most=2.0, keep=("__row",))
     times = mixed.select("__row", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("__times")).where("__times > 0")
     joined = rows.join(durable(times, "pipeline-times"), "__row")
