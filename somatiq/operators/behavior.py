@@ -98,7 +98,9 @@ def _game_events(events: DataFrame, sequences: DataFrame, waves: DataFrame) -> D
     d = F.col("data")
     kind = F.when(F.col("label") == PUSH, "push").when(F.col("label").isin(ENEMY, BREACH), "spawn").when(F.col("label").contains("ends"), "end")
     game = sequences.where((F.col("name") == GAME) & F.col("id").endswith("_0")).select(F.col("file_id").alias("__f"), F.col("begin").alias("opens"), F.col("end").alias("closes"))
-    told = events.select("file_id", "ts", kind.alias("kind"), json_field(d, "button").alias("button"), *[json_field(d, c).cast("double").alias(c) for c in "xy"], json_field(d, "result.action").alias("action"), json_field(d, "report.difficulty").cast("double").alias("difficulty")).where("kind is not null")
+    # One exchange by file, before anything is parsed, serves all windows that follow.
+    some = events.select("file_id", "ts", "data", kind.alias("kind")).where("kind is not null").repartition("file_id")
+    told = some.select("file_id", "ts", "kind", json_field(d, "button").alias("button"), *[json_field(d, c).cast("double").alias(c) for c in "xy"], json_field(d, "result.action").alias("action"), json_field(d, "report.difficulty").cast("double").alias("difficulty"))
     placed = told.join(game, F.col("file_id") == F.col("__f"), "left").where((F.col("kind") == "end") | F.col("ts").between(F.col("opens"), F.col("closes"))).drop("__f", "opens", "closes")
     kept = placed.where(~F.coalesce((F.col("kind") == "push") & (F.col("button") == "pad") & (F.col("action") == "action_failed"), F.lit(False)))
     reason = F.create_map(*[x for (b, a), r in FAILURES.items() for x in (F.lit(f"{b}:{a}"), F.lit(r))])[F.concat_ws(":", "button", "action")]
