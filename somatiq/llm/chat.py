@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import discard, durable
 
 #: Control strings of this and of other common templates, escaped inside texts.
 CONTROL = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>")
@@ -71,7 +71,8 @@ def reply_branches(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     while left and left != before:
         there = state.select(F.col("node_id").alias("a"), F.col("at").alias("a_at"), F.col("depth").alias("a_depth"), F.col("score").alias("a_score"), F.col("done").alias("a_done"))
         moved = state.where("not done").join(there, F.col("at") == F.col("a")).select("node_id", F.col("a_at").alias("at"), (F.col("depth") + F.col("a_depth")).alias("depth"), (F.col("score") + F.col("a_score")).alias("score"), F.col("a_done").alias("done"))
-        state = durable(state.where("done").unionByName(moved), "chat-state")
+        older, state = state, durable(state.where("done").unionByName(moved), "chat-state")
+        discard(older)
         before, left = left, state.where("not done").count()
     if left:  # in a cycle, or under one: roots of their own
         lost = state.where("not done").select(F.col("node_id").alias("l"))
@@ -89,8 +90,10 @@ def reply_branches(nodes: DataFrame, per_root: int = 1) -> DataFrame:
     level = base.where("up is not null").select("node_id", "up")
     while not level.isEmpty():
         hop = level.select(F.col("node_id").alias("a"), "up")
+        older = [t for t in (chosen, level) if hasattr(t, "durable_path")]
         chosen = durable(chosen.unionByName(chosen.join(hop, F.col("node_id") == F.col("a")).select(F.col("up").alias("node_id"), "root_id", "branch")), "chat-chosen")
         level = durable(level.join(level.select(F.col("node_id").alias("a"), F.col("up").alias("far")), F.col("up") == F.col("a")).select("node_id", F.col("far").alias("up")), "chat-level")
+        discard(*older)
     return chosen.join(place.select(F.col("node_id").alias("n"), "depth"), F.col("node_id") == F.col("n")).drop("n")
 
 
