@@ -11,7 +11,7 @@ from ..kernels import filters, spectral
 from ..operators import eda, hrv, nn, respiration, signal, summarize
 from ..operators.intervals import filter_sequences, slice_join
 from .catalogue import query
-from .inputs import BEATS, SEQ, SESSIONS, SIG, beat_sequences, beats, nn_sql, r6, samples, sequences, us
+from .inputs import BEATS, SEQ, SIG, beat_sequences, beats, nn_sql, r6, samples, sequences, us
 from .inputs import nn as nn_table
 
 HRV = ("RMSSD", "meanNN", "SDNN", "medianNN", "pNN50", "pNN20")
@@ -450,14 +450,13 @@ _DEFINITIONS = {
 }
 
 
-@query(f"""WITH {SIG}, {SESSIONS}, j AS (SELECT q.file_id, q.id AS reference, q.b, q.e, s.value AS x, s.label = 'error' AS bad, (epoch_us(s.ts) - epoch_us(lag(s.ts) OVER w)) / 1e6 * (s.value + lag(s.value) OVER w) / 2 AS area FROM sessions q LEFT JOIN sig s ON s.file_id = q.file_id AND s.ts BETWEEN q.b AND q.e WINDOW w AS (PARTITION BY q.file_id, q.id ORDER BY s.ts)),
+@query(f"""WITH {SIG}, {SEQ}, j AS (SELECT q.file_id, q.id AS reference, q.b, q.e, s.value AS x, s.label = 'error' AS bad, (epoch_us(s.ts) - epoch_us(lag(s.ts) OVER w)) / 1e6 * (s.value + lag(s.value) OVER w) / 2 AS area FROM seq q LEFT JOIN sig s ON s.file_id = q.file_id AND s.ts BETWEEN q.b AND q.e WINDOW w AS (PARTITION BY q.file_id, q.id ORDER BY s.ts)),
     f AS (SELECT file_id, reference, coalesce(sum(x), 0) / nullif((epoch_us(first(e)) - epoch_us(first(b))) / 1e6, 0) AS value_sum, quantile_cont(x, 0.5) FILTER (NOT bad) AS value_median, stddev_pop(x) AS value_std, CASE WHEN count(x) > 1 THEN sum(area) END AS value_auc FROM j GROUP BY file_id, reference),
     l AS (SELECT file_id, reference, 'value_sum' AS id, value_sum AS value FROM f UNION ALL SELECT file_id, reference, 'value_median', value_median FROM f UNION ALL SELECT file_id, reference, 'value_std', value_std FROM f UNION ALL SELECT file_id, reference, 'value_auc', value_auc FROM f)
     SELECT file_id, reference, id, round(value, 4) + 0.0 AS value, CASE WHEN id = 'value_median' AND value IS NULL THEN 'bad' ELSE 'ok' END AS status FROM l WHERE value IS NOT NULL OR id = 'value_median'""")
 def signal_to_feature(spark: SparkSession, sf: str) -> DataFrame:
     s = samples(spark, sf).select("file_id", "ts", "value", (F.col("label") == "error").alias("bad"))
-    seq = sequences(spark, sf).where("name <> 'visit'")
-    return summarize.summarize(s, seq, _DEFINITIONS).withColumn("value", F.round("value", 4) + F.lit(0.0))
+    return summarize.summarize(s, sequences(spark, sf), _DEFINITIONS).withColumn("value", F.round("value", 4) + F.lit(0.0))
 
 
 _LONG = _TIME + ", long AS (" + " UNION ALL ".join(f"""SELECT file_id, reference, '{c}' AS id, "{c}" AS value FROM wide""" for c in HRV) + ")"
