@@ -119,4 +119,11 @@ ORACLES: dict[str, str] = {
             SELECT p.n, rule_host || rule_path AS rule, action, row_number() OVER (PARTITION BY p.n ORDER BY length(rule_host || rule_path) DESC, rule_host || rule_path DESC) AS k
             FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
         SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN hits ON p.n = hits.n AND k = 1""",
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+        u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM u x JOIN u y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = s.doc_id), doc_id)) AS component_id FROM s""",
 }
