@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from somatiq.llm import chat, components, embeddings, fingerprints, jaccard, mixing, packing, quality, suffixtree, textkern, toxicity, urlfilter
-from somatiq.llm.common import crc32_mod
+from somatiq.llm.common import crc32_mod, discard, durable, shared_dir, with_row_numbers
 from somatiq.llm.learn import auc
 from somatiq.llm.queries import URL_RULES, tokenizer_path
 
@@ -679,6 +679,56 @@ def test_suffix_tree_matches_plain_counting(spark, monkeypatch, least, most):
     assert [h[1] for h in have] == pytest.approx([w[1] for w in want], rel=1e-5)
 
 
+def test_row_numbers_are_the_same_in_every_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(500).selectExpr("id % 7 AS doc_id", "cast(id as string) AS text").repartition(5).write.parquet(path)
+    numbered = with_row_numbers(spark.read.parquet(path))
+    first = {r.text: r["__row"] for r in numbered.collect()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        again = {r.text: r["__row"] for r in with_row_numbers(spark.read.parquet(path)).select("__row", "text").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert first == again and len(set(first.values())) == 500 and numbered.columns == ["doc_id", "text", "__row"]
+    assert with_row_numbers(spark.range(9).toDF("doc_id")).select("__row").distinct().count() == 9
+
+
+def test_durable_needs_a_shared_folder_on_a_cluster(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError):
+        shared_dir(Session)
+    table = durable(spark.range(3), "gone")
+    discard(table)
+    with pytest.raises(Exception):
+        table.count()
+
+
+def test_one_split_is_the_best_of_all():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 9, (200, 3)).astype(float), (rng.random(200) < 0.4).astype(float)
+    y[x[:, 1] > 5] = 1
+    m = quality.grow_trees(x, y, trees=1, depth=1, ridge=1.0, least=1.0)
+    p = y.mean()
+    g, h = p - y, np.full(200, p * (1 - p))
+    gain = {}
+    for j in range(3):
+        for cut in np.unique(x[:, j])[:-1]:
+            left = x[:, j] <= cut
+            gain[j, cut] = sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in (left, ~left))
+    best = max(gain, key=gain.get)
+    assert (m.feature[0][0], m.threshold[0][0]) == best
+    left = x[:, best[0]] <= best[1]
+    assert m.leaf[0] == pytest.approx([-0.15 * g[s].sum() / (h[s].sum() + 1) for s in (left, ~left)])
+
+
 def test_empty_and_repeated_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     twice = table(spark, [(1, "a b c d e", "en", "s", 9)] * 2 + [(None, "x y", "en", None, 3)])
