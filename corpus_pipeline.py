@@ -30,7 +30,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = jaccard.jaccard_components(rows, percent=80, k=5, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")).alias("first")
     chosen = told.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first).select("first.__row")
-    return rows.join(durable(chosen, "pipeline-chosen"), "__row", "left_semi").select(docs.columns)
+    # Joined alike at every size: what is sent to all tasks must not grow with the documents.
+    return rows.join(durable(chosen, "pipeline-chosen").hint("merge"), "__row", "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = with_row_numbers(docs)
     mixed = mixing.mix_sources(rows, weights=(3, 1, 2), share=1.5, most=2.0, keep=("__row",))
     times = mixed.select("__row", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("__times")).where("__times > 0")
-    joined = rows.join(durable(times, "pipeline-times"), "__row")
+    joined = rows.join(durable(times, "pipeline-times").hint("merge"), "__row")
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
