@@ -1,4 +1,4 @@
-"""The ten queries of this subpackage, over whole tables, and SQL for those that SQL can express."""
+"""The queries of this subpackage, over whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, fingerprints, jaccard, mixing, packing, quality, suffixtree, toxicity, urlfilter
+from . import chat, embeddings, fingerprints, jaccard, mixing, packing, quality, spelling, suffixtree, toxicity, urlfilter
 from .common import crc32_mod, read
 
 #: The filter list of the query (host, path, action).
@@ -74,11 +74,15 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, sf_dir, "documents"), percent=85, k=4)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"), every=97, shortest=5, least=3, ratio=2)
+
+
 def _judged(scored: DataFrame, folds: int, held: int) -> DataFrame:
     return scored.select("doc_id", (crc32_mod(F.col("doc_id"), folds) == held).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join, op11_spelling_variants)}
 
 
 def _sql_escape(column: str) -> str:
@@ -88,6 +92,16 @@ def _sql_escape(column: str) -> str:
     return out
 
 
+def _crc_table() -> list[int]:
+    """The table of the usual reflected 32-bit checksum, by its rule."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)
 _EDGE = len(chat.OPEN) + 1 + len(chat.CLOSE)
 
@@ -126,4 +140,20 @@ ORACLES: dict[str, str] = {
         links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM u x JOIN u y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
         reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
         SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = s.doc_id), doc_id)) AS component_id FROM s""",
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE d AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+        r AS (SELECT id, run, count(*) AS times FROM d GROUP BY id, run),
+        b AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))),
+            lambda h, x: xor(h >> 8, ({_crc_table()}::BIGINT[])[xor(h & 255, x) + 1])), 4294967295::BIGINT) AS h FROM r),
+        o AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM b),
+        w AS (SELECT word, sum(times)::BIGINT AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+        k AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM w)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS m FROM k a JOIN k b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT k.word, w.word, w.n FROM k JOIN w ON k.rest = w.word
+            UNION SELECT w.word, k.word, k.n FROM k JOIN w ON k.rest = w.word),
+        best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+        f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, (SELECT min(other) FROM near x WHERE x.word = w.word AND x.m = best.m AND best.m >= 2 * w.n) AS form, CASE WHEN best.m >= 2 * w.n THEN best.m END AS form_n FROM w LEFT JOIN best ON w.word = best.word),
+        chain AS (SELECT word, word AS root FROM f UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM f JOIN chain c ON f.word = c.word JOIN f g ON g.word = c.root AND g.form IS NULL""",
 }
