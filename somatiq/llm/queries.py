@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, fingerprints, jaccard, mixing, packing, quality, spelling, suffixtree, toxicity, urlfilter
+from . import chat, divergence, embeddings, fingerprints, jaccard, mixing, packing, quality, spelling, suffixtree, toxicity, urlfilter
 from .common import crc32_mod, read
 
 #: The filter list of the query (host, path, action).
@@ -78,11 +78,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read(spark, sf_dir, "documents"), every=97, shortest=5, least=3, ratio=2)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
 def _judged(scored: DataFrame, folds: int, held: int) -> DataFrame:
     return scored.select("doc_id", (crc32_mod(F.col("doc_id"), folds) == held).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join, op11_spelling_variants)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join, op11_spelling_variants, op12_source_divergence)}
 
 
 def _sql_escape(column: str) -> str:
@@ -156,4 +160,22 @@ ORACLES: dict[str, str] = {
         f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, (SELECT min(other) FROM near x WHERE x.word = w.word AND x.m = best.m AND best.m >= 2 * w.n) AS form, CASE WHEN best.m >= 2 * w.n THEN best.m END AS form_n FROM w LEFT JOIN best ON w.word = best.word),
         chain AS (SELECT word, word AS root FROM f UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
         SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM f JOIN chain c ON f.word = c.word JOIN f g ON g.word = c.root AND g.form IS NULL""",
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        u AS (SELECT lang, source, doc, unnest(t) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM u GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+        c AS (SELECT u.lang, u.source, u.term, count(*) AS n FROM u JOIN kept USING (lang, term) GROUP BY u.lang, u.source, u.term),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+        s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source),
+        p AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.n, 0) + 5 * v.v) AS p,
+                   1 + (1000000000::HUGEINT * (kept.n + 5)) // (v.n + 5 * v.v) AS q
+            FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+        pairs AS (
+            SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce((SELECT sum(abs(a.p - b.p)) FROM p a JOIN p b USING (lang, term) WHERE a.lang = x.lang AND a.source = x.source AND b.source = y.source), 0)::BIGINT AS value
+            FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank FROM (FROM pairs UNION ALL FROM terms))
+        WHERE part = 'pair' OR rank <= 50""",
 }
