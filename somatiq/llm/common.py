@@ -56,6 +56,15 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    store, target = _stored(spark, path)
+    store.mkdirs(target)
+    store.deleteOnExit(target)
+    return path
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables that :func:`durable` wrote, once what was made of them is written itself."""
     for df in tables:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, divergence, embeddings, fingerprints, jaccard, mixing, packing, quality, spelling, suffixtree, toxicity, urlfilter
-from .common import crc32_mod, read
+from . import chat, divergence, embeddings, fingerprints, jaccard, mixing, packing, quality, spelling, suffixtree, tokenfiles, toxicity, urlfilter
+from .common import crc32_mod, read, shared_folder
 
 #: The filter list of the query (host, path, action).
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -82,11 +82,16 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(read(spark, sf_dir, "documents"), least_docs=30, top=50)
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = tokenfiles.stored_tokens(read(spark, sf_dir, "documents"), tokenizer_path(), end=2, path=shared_folder(spark, "token-files"))
+    return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def _judged(scored: DataFrame, folds: int, held: int) -> DataFrame:
     return scored.select("doc_id", (crc32_mod(F.col("doc_id"), folds) == held).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join, op11_spelling_variants, op12_source_divergence)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_duplicates, op2_packing, op3_mixing, op4_chat, op5_url_filter, op6_quality, op7_suffix_tree, op8_fingerprints, op9_toxicity, op10_jaccard_join, op11_spelling_variants, op12_source_divergence, op13_token_files)}
 
 
 def _sql_escape(column: str) -> str:
