@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation
 from ..functions.timing import from_micros, micros, shift_seconds
 from ..kernels import filters, spectral
+from .byfile import by_file, groups_of
 from .intervals import slice_join
-from .signal import _kind, fill_gaps, fir_filter, groups_of, scaled, zscore_outlier
+from .signal import _kind, fill_gaps, fir_filter, scaled, zscore_outlier
 
 #: Samples of equally long epochs that are solved at once.
 POOL = 400_000
@@ -124,7 +125,6 @@ def scr_peaks(signals: DataFrame, fs: float, column: str = "scr", width: float =
     kind = _kind(signals)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         x = np.nan_to_num(pdf[column].to_numpy(float))
         spread = np.subtract(*np.percentile(x, [95, 5])) or 1.0
         p = filters.find_peaks(x / spread, prominence=prominence, width=width * fs, rel_height=rel_height, window=max(3, int(window * fs)))
@@ -132,7 +132,7 @@ def scr_peaks(signals: DataFrame, fs: float, column: str = "scr", width: float =
         return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": pdf["ts"].to_numpy()[i], "value": x[i], "increase_duration": (i - p["left_base"]) / fs, "increase_amplitude": x[i] - x[p["left_base"]], "recovery_duration": (p["right"] - i) / fs})
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
-    got = told.groupBy("file_id").applyInPandas(run, f"file_id {kind}, ts timestamp_ntz, value double, increase_duration double, increase_amplitude double, recovery_duration double")
+    got = by_file(told, run, f"file_id {kind}, ts timestamp_ntz, value double, increase_duration double, increase_amplitude double, recovery_duration double")
     false = F.col("increase_duration") >= longest_rise
     return got.withColumn("annotation", F.when(false, F.lit("false_peak_detection")).otherwise(F.lit(""))).withColumns({c: F.when(F.col("annotation") == "", F.col(c)) for c in ("value", "increase_duration", "increase_amplitude", "recovery_duration")})
 
@@ -159,13 +159,12 @@ def trend_robust(samples: DataFrame, sequences: DataFrame, column: str) -> DataF
     joined = slice_join(sequences, samples.where(F.col(column).isNotNull()).select("file_id", "ts", F.col(column).cast("double").alias("y")), "inner")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         x = (pdf["ts"] - pdf["ts"].iloc[0]).dt.total_seconds().to_numpy()
         line = spectral.huber_line(x, pdf["y"].to_numpy(float)) if len(pdf) > 1 and x[-1] > 0 else (None, None, None)
         row = {"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], "slope": line[0], "intercept": line[1], "r": line[2]}
         return pd.DataFrame([row]).astype({"slope": float, "intercept": float, "r": float})
 
-    return joined.groupBy("file_id", "reference").applyInPandas(run, f"file_id {_kind(samples)}, reference string, slope double, intercept double, r double")
+    return by_file(joined, run, f"file_id {_kind(samples)}, reference string, slope double, intercept double, r double", keys=("file_id", "reference"))
 
 
 def scr_features(scr: DataFrame, peaks: DataFrame, sequences: DataFrame, column: str = "scr") -> DataFrame:

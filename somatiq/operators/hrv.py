@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import histogram_bin
 from ..kernels import spectral
+from .byfile import by_file
 from .intervals import slice_join
 
 #: Band limits in Hz and epoch lengths in seconds.
@@ -47,13 +48,13 @@ def frequency_features(nni: DataFrame, sequences: DataFrame, fs: float) -> DataF
     joined = slice_join(sequences, nni.select("file_id", "ts", "nni"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("ts")["nni"].dropna().to_numpy(float)
+        x = pdf["nni"].dropna().to_numpy(float)
         power = {n: spectral.mean_band_power(x, fs, lo, hi, size, size - 1) for n, (lo, hi, size) in HRV_BANDS.items()}
         ratio = power["LF"] / power["HF"] if power["LF"] is not None and power["HF"] else None
         return pd.DataFrame([{"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], **power, "LFHF": ratio}])
 
     kind = nni.schema["file_id"].dataType.simpleString()
-    return joined.groupBy("file_id", "reference").applyInPandas(run, f"file_id {kind}, reference string, VLF double, LF double, HF double, VHF double, LFHF double")
+    return by_file(joined, run, f"file_id {kind}, reference string, VLF double, LF double, HF double, VHF double, LFHF double", keys=("file_id", "reference"))
 
 
 def nonlinear_features(nn: DataFrame, sequences: DataFrame) -> DataFrame:
@@ -61,10 +62,10 @@ def nonlinear_features(nn: DataFrame, sequences: DataFrame) -> DataFrame:
     joined = slice_join(sequences, nn.where("not bad").select("file_id", "ts", "nn"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("ts")["nn"].dropna().to_numpy(float)
+        x = pdf["nn"].dropna().to_numpy(float)
         short = spectral.dfa(x, range(3, 16)) if len(x) >= 16 else None
         long = spectral.dfa(x, range(16, 64)) if len(x) >= 64 else None
         return pd.DataFrame([{"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], "DFA1": short, "DFA2": long}])
 
     kind = nn.schema["file_id"].dataType.simpleString()
-    return joined.groupBy("file_id", "reference").applyInPandas(run, f"file_id {kind}, reference string, DFA1 double, DFA2 double")
+    return by_file(joined, run, f"file_id {kind}, reference string, DFA1 double, DFA2 double", keys=("file_id", "reference"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import json_field, version_key
 
-SUCCESS, FAILED, GRACEFUL, SKIPPED = "SUCCESS", "FAILED", "GRACEFUL_FAIL", "SKIPPED"
+SUCCESS, PARTIAL, FAILED, GRACEFUL, SKIPPED = "SUCCESS", "PARTIAL", "FAILED", "GRACEFUL_FAIL", "SKIPPED"
 
 
 def select_files(catalog: DataFrame, predicate: Column | str, seed: int | None = None, limit: int | None = None, order: str = "file_id") -> DataFrame:

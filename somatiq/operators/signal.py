@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import collections
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.timing import from_micros, micros
 from ..kernels import filters, spectral
+from .byfile import by_file
 
 
 def _file() -> WindowSpec:
@@ -139,7 +139,6 @@ def peak_properties(signals: DataFrame, column: str) -> DataFrame:
     indices = [k for k in filters.PEAK_INDICES if k != "index"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         p = filters.find_peaks(np.nan_to_num(pdf[column].to_numpy(float)))
         out = pd.DataFrame({"ts": pdf["ts"].to_numpy()[p["index"]], "peak_sample": p["index"], "plateau_size": p["right_edge"] - p["left_edge"] + 1} | {k: p[k] for k in (*indices, *filters.PEAK_VALUES)})
         out.insert(0, "file_id", pdf["file_id"].iloc[0])
@@ -147,7 +146,7 @@ def peak_properties(signals: DataFrame, column: str) -> DataFrame:
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     fields = ", ".join([*(f"`{k}` long" for k in ("peak_sample", "plateau_size", *indices)), *(f"`{k}` double" for k in filters.PEAK_VALUES)])
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, {fields}")
+    return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, {fields}")
 
 
 def slope_sum_peaks(signals: DataFrame, column: str, fs: float, most_bpm: float = 180, prominence: float = 1e-2) -> DataFrame:
@@ -159,13 +158,12 @@ def slope_sum_peaks(signals: DataFrame, column: str, fs: float, most_bpm: float
     distance = max(1, int(most_bpm * 60 / fs))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         x, ts = np.nan_to_num(pdf[column].to_numpy(float)), pdf["ts"].to_numpy()
         at = filters.find_peaks(x, distance=distance, prominence=prominence)["left_edge"]
         return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": ts[at], "value": x[at], "start": ts[0]})
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, start timestamp_ntz")
+    return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, start timestamp_ntz")
 
 
 def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, baseline_seconds: float = 3.0, memory: int = 5, start: Column | None = None) -> DataFrame:
@@ -180,7 +178,6 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
         raise ValueError("the ratio must not be negative")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         t, v = pdf["ts"].to_numpy(), pdf["value"].to_numpy(float)
         begin = pdf["start"].iloc[0] if "start" in pdf else t[0]
         until = np.datetime64(begin) + np.timedelta64(int(baseline_seconds * 1e6), "us")
@@ -202,53 +199,31 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
         return got
 
     told = candidates.select("file_id", "ts", F.col(column).cast("double").alias("value"), *([start.alias("start")] if start is not None else []))
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(candidates)}, ts timestamp_ntz, value double, threshold double")
+    return by_file(told, run, f"file_id {_kind(candidates)}, ts timestamp_ntz, value double, threshold double")
 
 
 def prominent_peaks(signals: DataFrame, column: str, prominence: float = 0.4, width: float = 10) -> DataFrame:
     """file_id, ts, value, prominence of peaks of the min-max scaled signal; widths in samples."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         x = np.nan_to_num(pdf[column].to_numpy(float))
         p = filters.find_peaks((x - x.min()) / ((x.max() - x.min()) or 1.0), prominence=prominence, width=width)
         return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": pdf["ts"].to_numpy()[p["index"]], "value": x[p["index"]], "prominence": p["prominence"]})
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, prominence double")
+    return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, prominence double")
 
 
 def per_file(signals: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], out: str) -> DataFrame:
     """file_id, ts, column, out: a numpy kernel over each file's samples in time order."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts").reset_index(drop=True)
         y = kernel(pdf[column].to_numpy(float))
         pdf[out] = pd.Series(y).where(~np.isnan(y))
         return pdf
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double")
-
-
-def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows that agree in ``by``, from batches that are sorted by it."""
-    held: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        keys = list(zip(*(table.column(c).to_pylist() for c in by), strict=True))
-        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if held and keys[a] != last:
-                yield pa.concat_tables(held)
-                held = []
-            held.append(table.slice(a, b - a))
-            last = keys[a]
-    if held:
-        yield pa.concat_tables(held)
+    return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double")
 
 
 def fir_filter(signals: DataFrame, column: str, fs: float, order: int, frequencies: list[float], kind: str = "lowpass", out: str | None = None) -> DataFrame:
@@ -273,7 +248,7 @@ def band_power(signals: DataFrame, column: str, fs: float, bands: dict[str, tupl
     names = [f"{column}_{b}_{'rel' if relative else 'abs'}" for b in bands]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("ts")[column].to_numpy(float)
+        x = pdf[column].to_numpy(float)
         if len(x) < int(epoch_size * fs):
             return pd.DataFrame({"file_id": [], "epoch": [], **{n: [] for n in names}})
         got = spectral.band_powers(np.nan_to_num(x), fs, bands, epoch_size, epoch_overlap, scaling, relative)
@@ -283,14 +258,13 @@ def band_power(signals: DataFrame, column: str, fs: float, bands: dict[str, tupl
         return frame
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
-    return told.groupBy("file_id").applyInPandas(run, f"file_id {_kind(signals)}, epoch long, " + ", ".join(f"`{n}` double" for n in names))
+    return by_file(told, run, f"file_id {_kind(signals)}, epoch long, " + ", ".join(f"`{n}` double" for n in names))
 
 
 def interpolate_nn(nn: DataFrame, fs: float, column: str = "nn") -> DataFrame:
     """file_id, ts, <column>i: good intervals on a uniform grid by monotone cubics; files with fewer than two give none."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
         t = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
         if len(t) < 2:
             return pd.DataFrame({"file_id": [], "ts": pd.Series([], dtype="datetime64[us]"), f"{column}i": []})
@@ -299,4 +273,4 @@ def interpolate_nn(nn: DataFrame, fs: float, column: str = "nn") -> DataFrame:
         return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": grid.astype("datetime64[us]"), f"{column}i": value})
 
     good = nn.where("not bad") if "bad" in nn.columns else nn
-    return good.select("file_id", "ts", column).groupBy("file_id").applyInPandas(run, f"file_id {_kind(nn)}, ts timestamp_ntz, {column}i double")
+    return by_file(good.select("file_id", "ts", column), run, f"file_id {_kind(nn)}, ts timestamp_ntz, {column}i double")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import missing_annotation
 from ..operators import behavior, eda, events, forms, hrv, nn, respiration, signal, summarize, survey
 from ..operators.intervals import filter_sequences
-from ..sources.readers import open_dataset, read_responses
+from ..sources.readers import open_dataset, read_key, read_responses
 from ..sources.sinks import write_population, write_responses
 from .pipeline import Operator, SoftFailure, run_all
 
@@ -156,7 +156,7 @@ def _features(family: str) -> Flow:
 def _summary(family: str) -> Flow:
     def run(spark: SparkSession, root: str, path: str | None = None) -> str:
         target = path or f"{root.rstrip('/')}/population/{family}"
-        write_population([spark.read.parquet(f"{root.rstrip('/')}/features/{family}")], target)
+        write_population([read_key(spark, root, f"features/{family}")], target)
         return target
 
     run.__name__ = f"summarize_{family}"

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Column that deals a dataset's recordings to folders, so that a few of them can be replaced.
+PART_COLUMN = "file_part"
+
+
 def list_files(spark: SparkSession, base: str, pattern: str = "*", limit: int | None = None) -> DataFrame:
     """path, length, modified of files under a folder, ordered by path."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(base).select("path", "length", F.col("modificationTime").alias("modified")).orderBy("path")
@@ -44,7 +48,7 @@ def key_path(root: str, key: str) -> str:
 def read_key(spark: SparkSession, root: str, key: str) -> DataFrame | None:
     """The dataset of a key, or None if there is none."""
     try:
-        return spark.read.parquet(key_path(root, key))
+        return spark.read.parquet(key_path(root, key)).drop(PART_COLUMN)
     except AnalysisException:
         return None
 

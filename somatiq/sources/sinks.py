@@ -52,3 +52,18 @@ def merge_datasets(spark: SparkSession, sources: list[tuple[str, str]], root: st
 
 def append_catalog(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system; parents of the new name are made."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(target).getParent())
+    if not store.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source} to {target}")

@@ -173,7 +173,7 @@ def test_one_bad_file_does_not_stop_the_rest(spark, tmp_path):
         return values * 2
 
     op = Operator("double", "out/x", lambda x: signal.per_file(x, "x", kernel, "y"), {"x": "raw/x"})
-    assert op.run(spark, root) == ("SUCCESS", "2 files failed")
+    assert op.run(spark, root) == ("PARTIAL", "2 recordings failed")
     got = {r.file_id: r.n for r in spark.read.parquet(f"{root}/out/x").groupBy("file_id").agg(F.count("y").alias("n")).collect()}
     assert got == {f"f{i}": 3 for i in range(12) if i not in (3, 7)}
     log = {r.file_id: (r.status, r.problem) for r in spark.read.parquet(f"{root}/log").where("file_id is not null").collect()}
