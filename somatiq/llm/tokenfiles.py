@@ -25,7 +25,7 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import durable, give_back, small_batches
+from .common import discard, durable, give_back, small_batches
 from .packing import load_encoder
 
 #: Bits of the longest code, where the vocabulary allows it (the table of this many bits takes 1 MB).
@@ -43,27 +43,34 @@ BLOCK, MARK, PART = 1 << 16, 256, 1 << 23
 BLOCKS = "part int, block long, start long, n_ids long, n_bits long, bits binary, marks binary, doc_ids array<long>, doc_lengths array<long>, crc32 long"
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    """doc_id, ids (binary, little-endian unsigned 32-bit, with the end id)."""
+def id_width(tokenizer: str, end: int) -> int:
+    """Bytes that hold every id of a vocabulary and the end id: 2 or 4."""
+    return 2 if max(len(load_encoder(tokenizer)[1]), end) < 1 << 16 else 4
+
+
+def tokenize(docs: DataFrame, tokenizer: str, end: int, width: int = 4) -> DataFrame:
+    """doc_id, ids (binary, little-endian unsigned integers of ``width`` bytes, with the end id)."""
+    kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load_encoder(tokenizer)[0]
         for batch in batches:
             ids = encode([t or "" for t in batch.column("text").to_pylist()])
-            packed = pa.array([np.asarray([*i, end], np.uint32).tobytes() for i in ids], pa.binary())
+            packed = pa.array([np.asarray([*i, end], kind).tobytes() for i in ids], pa.binary())
             yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "ids": packed})
         give_back()
 
     return small_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, width: int = 4) -> DataFrame:
     """id, n: occurrences of each id."""
+    kind = np.dtype(f"<u{width}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            here = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.uint32))
+            here = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
             if len(here) > len(total):
                 total = np.concatenate([total, np.zeros(len(here) - len(total), np.int64)])
             total[: len(here)] += here
@@ -165,7 +172,9 @@ def unpack(bits: bytes, marks: np.ndarray, count: int, table: np.ndarray, width:
     return out.T.reshape(-1)[:count]
 
 
-def _blocks(code: Code) -> Iterator:
+def _blocks(code: Code, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kind = np.dtype(f"<u{width}")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits_of, length_of = code.encoder()
         part, block, start = TaskContext.get().partitionId(), 0, 0
@@ -174,23 +183,22 @@ def _blocks(code: Code) -> Iterator:
         size = 0
 
         def told() -> pa.RecordBatch:
-            raw = b"".join(ids)
-            every = np.frombuffer(raw, np.uint32)
+            every = np.frombuffer(b"".join(ids), kind)
             bits, at = pack_bits(bits_of[every], length_of[every])
             row = {"part": part, "block": block, "start": start, "n_ids": len(every), "n_bits": int(at[-1]), "bits": bits, "marks": at[:-1:MARK].astype("<u8").tobytes()}
-            row |= {"doc_ids": list(names), "doc_lengths": [len(i) // 4 for i in ids], "crc32": zlib.crc32(raw)}
+            row |= {"doc_ids": list(names), "doc_lengths": [len(i) // width for i in ids], "crc32": zlib.crc32(every.astype("<u4").tobytes())}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), *((c, pa.int64()) for c in ("block", "start", "n_ids", "n_bits")), ("bits", pa.binary()), ("marks", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("doc_lengths", pa.list_(pa.int64())), ("crc32", pa.int64())]))
 
         for batch in batches:
             for name, own in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if ids and size + len(own) // 4 > BLOCK:
+                if ids and size + len(own) // width > BLOCK:
                     yield told()
                     block, start, size = block + 1, start + size, 0
                     ids.clear()
                     names.clear()
                 ids.append(own)
                 names.append(name)
-                size += len(own) // 4
+                size += len(own) // width
         if ids:
             yield told()
         give_back()
@@ -198,13 +206,13 @@ def _blocks(code: Code) -> Iterator:
     return run
 
 
-def write_token_files(tokens: DataFrame, path: str, longest: int = LONGEST) -> None:
-    """Write documents (doc_id, ids) in ascending order of their ids to a folder of the format above.
+def write_token_files(tokens: DataFrame, path: str, longest: int = LONGEST, width: int = 4) -> None:
+    """Write documents (doc_id, ids of ``width`` bytes each) in ascending order of their ids to a folder of the format above.
 
     ``tokens`` is scanned several times, so it should be a stored table.
     """
     spark = tokens.sparkSession
-    counts = sorted((r.id, r.n) for r in id_counts(tokens).collect())  # a row per id of the vocabulary at most
+    counts = sorted((r.id, r.n) for r in id_counts(tokens, width).collect())  # a row per id of the vocabulary at most
     symbols, n = np.array([i for i, _ in counts], np.int64), np.array([x for _, x in counts], np.int64)
     lengths = code_lengths(n, longest)
     spark.createDataFrame([(int(s), int(x)) for s, x in zip(symbols, lengths, strict=True)], "symbol long, length int").coalesce(1).write.parquet(f"{path}/code")
@@ -213,7 +221,7 @@ def write_token_files(tokens: DataFrame, path: str, longest: int = LONGEST) -> N
     # Ranges of all columns that order the rows: documents that share an id may stand in several parts.
     order = [F.asc_nulls_first("doc_id"), F.asc("digest"), F.asc("row")]
     dealt = small_batches(dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids"))
-    dealt.mapInArrow(_blocks(Code(symbols, lengths)), BLOCKS).write.parquet(f"{path}/blocks")
+    dealt.mapInArrow(_blocks(Code(symbols, lengths), width), BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def _read_code(spark: SparkSession, path: str) -> Code:
@@ -283,5 +291,8 @@ def read_stretch(spark: SparkSession, path: str, first: int, count: int) -> np.n
 
 def stored_tokens(docs: DataFrame, tokenizer: str, end: int, path: str) -> DataFrame:
     """Tokenise documents, write them to files at ``path``, and read these: doc_id, start, ids."""
-    write_token_files(durable(tokenize(docs, tokenizer, end), "tokens"), path)
+    width = id_width(tokenizer, end)
+    tokens = durable(tokenize(docs, tokenizer, end, width), "tokens")
+    write_token_files(tokens, path, width=width)
+    discard(tokens)
     return read_token_files(docs.sparkSession, path)
