@@ -20,6 +20,7 @@ from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -110,7 +111,7 @@ class Operator:
             kept = True
         except SoftFailure as e:
             status, problem = GRACEFUL, str(e)
-        except (SpecificationError, ValueError, PySparkException) as e:
+        except (SpecificationError, ValueError, PySparkException, Py4JJavaError) as e:  # the last: cancelled
             status, problem = FAILED, _reason(e)
         now = datetime.datetime.now(datetime.timezone.utc)
         rows = [(self.name, self.version, mark, status, problem, now, None, this if kept else None)]
@@ -291,6 +292,7 @@ def run_all(spark: SparkSession, root: str, operators: list[Operator], forced: b
 
     def work(op: Operator) -> tuple[str, str | None]:
         context.addJobTag(tag)
+        context.setInterruptOnCancel(True)  # cancelled tasks leave their slots at once
         try:
             return op.run(spark, root, forced)
         finally:
@@ -304,7 +306,9 @@ def run_all(spark: SparkSession, root: str, operators: list[Operator], forced: b
                 if len(running) < max(1, at_once):
                     waiting.remove(op)
                     running[pool.submit(inheritable_thread_target(spark)(work), op)] = op
-            ended: set[Future] = wait(running, return_when=FIRST_COMPLETED).done
+            ended: set[Future] = wait(running, timeout=1 if stopped else None, return_when=FIRST_COMPLETED).done
+            if stopped:  # again, as an operator may have begun another job since
+                context.cancelJobsWithTag(tag)
             for future in ended:
                 op = running.pop(future)
                 done[op.name] = future.result()

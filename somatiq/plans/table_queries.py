@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import truthy, version_key
 from ..operators import forms, metadata, population
+from . import changes
 from .catalogue import query
 from .inputs import r6, table
 
@@ -188,3 +189,17 @@ def flow_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def dataset_limit_order(spark: SparkSession, sf: str) -> DataFrame:
     """The first files by path: the limit is the feature."""
     return table(spark, sf, "pages").select("page_id", "url").orderBy("url", "page_id").limit(50)
+
+
+_RUN_STATES = """WITH e AS (SELECT user_id, event_id, value, epoch_us(ts) AS t FROM events),
+    b AS (SELECT user_id AS file_id, list_sort(list((event_id, value, t))) AS v FROM e WHERE user_id % 7 <> 0 AND NOT (user_id % 3 = 0 AND event_id % 20 = 0) GROUP BY user_id),
+    n AS (SELECT user_id AS file_id, list_sort(list((event_id, value, t))) AS v FROM e WHERE user_id % 5 <> 0 GROUP BY user_id)"""
+
+
+@query(f"{_RUN_STATES} SELECT coalesce(b.file_id, n.file_id) AS file_id, CASE WHEN b.file_id IS NULL THEN 'new' WHEN n.file_id IS NULL THEN 'removed' WHEN b.v <> n.v THEN 'changed' WHEN b.file_id % 11 = 0 THEN 'failed' ELSE 'same' END AS change FROM b FULL OUTER JOIN n USING (file_id)")
+def run_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run has to compute: the recordings as they were once (some not there yet, some shorter, some failed) against those of now."""
+    e = table(spark, sf, "events").select(F.col("user_id").alias("file_id"), "event_id", "value", "ts")
+    before = changes.content_versions(e.where("file_id % 7 <> 0 and not (file_id % 3 = 0 and event_id % 20 = 0)"))
+    now = changes.content_versions(e.where("file_id % 5 <> 0").orderBy(F.desc("ts")))
+    return changes.change_set(before, now, failed=F.col("file_id") % 11 == 0).select("file_id", "change")
