@@ -13,7 +13,6 @@ import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import AccumulatorParam
 from pyspark.sql import DataFrame, SparkSession
@@ -54,33 +53,66 @@ def collected_problems(spark: SparkSession) -> Iterator[Callable[[], dict[str, s
         _here.collector = outer
 
 
+def _starts(columns: list[pa.Array]) -> np.ndarray:
+    """Where rows differ from the one before in some column (nulls agree), without the first row."""
+    change = np.zeros(max(len(columns[0]) - 1, 0), bool)
+    for column in columns:
+        codes = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        change |= codes[1:] != codes[:-1]
+    return np.flatnonzero(change) + 1
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
     """Runs of rows that agree in ``by`` (nulls agree), from batches that are sorted by it."""
-    held: list[pa.Table] = []
+    held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        table = pa.Table.from_batches([batch])
-        change = np.zeros(max(n - 1, 0), bool)
-        for c in by:
-            codes = table.column(c).combine_chunks().dictionary_encode()
-            codes = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            change |= codes[1:] != codes[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), n]
-        key = lambda i: tuple(table.column(c)[i].as_py() for c in by)  # noqa: B023, E731
-        if held and key(0) != last:
-            yield pa.concat_tables(held)
+        keys = [batch.column(c) for c in by]
+        if held and tuple(k[0].as_py() for k in keys) != last:
+            yield pa.Table.from_batches(held)
             held = []
+        cuts = [0, *_starts(keys).tolist(), n]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            held.append(table.slice(a, b - a))
+            held.append(batch.slice(a, b - a))
             if b < n:
-                yield pa.concat_tables(held)
+                yield pa.Table.from_batches(held)
                 held = []
-        last = key(n - 1)
+        last = tuple(k[n - 1].as_py() for k in keys)
     if held:
-        yield pa.concat_tables(held)
+        yield pa.Table.from_batches(held)
+
+
+def arrays_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[list[pa.Array], dict[str, np.ndarray]]]:
+    """(keys, each one row; the other columns as arrays, missing numbers NaN) of each such run, without an object per run and column."""
+    names: list[str] = []
+    held: list[dict[str, np.ndarray]] = []
+    last: list[pa.Array] = []
+
+    def whole() -> dict[str, np.ndarray]:
+        return held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in names}
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        keys = [batch.column(c) for c in by]
+        names = [c for c in batch.schema.names if c not in by]
+        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+        if held and any(k.slice(0, 1) != x for k, x in zip(keys, last, strict=True)):
+            yield last, whole()
+            held = []
+        cuts = [0, *_starts(keys).tolist(), n]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            held.append({c: v[a:b] for c, v in columns.items()})
+            last = [k.slice(a, 1) for k in keys]
+            if b < n:
+                yield last, whole()
+                held = []
+    if held:
+        yield last, whole()
 
 
 def tasks_for(table: DataFrame) -> int:
@@ -89,33 +121,56 @@ def tasks_for(table: DataFrame) -> int:
     return int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_file(table: DataFrame, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: str = "ts", keys: tuple[str, ...] = ("file_id",)) -> DataFrame:
-    """What ``run`` gives for each recording (rows sorted by ``order``), as ``schema`` says; missing columns are NULL."""
+#: A kernel: the columns of a recording (without its keys, sorted by time) to the columns of its result, arrays or single values.
+Kernel = Callable[[dict[str, np.ndarray]], dict]
+
+
+def by_file(table: DataFrame, run: Kernel, schema: str, order: str = "ts", keys: tuple[str, ...] = ("file_id",)) -> DataFrame:
+    """Keys, and what ``run`` gives for each recording, as ``schema`` says; NaN and missing columns are NULL.
+
+    ``run`` gets the other columns in the order of ``order``; a table that is dealt by the keys
+    already is not dealt again.
+    """
     problems = getattr(_here, "collector", None)
     target = table.sparkSession.createDataFrame([], schema).schema
     arrow = to_arrow_schema(target)
     by = list(keys)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for group in groups_of(batches, by):
+        held: list[tuple[list[pa.Array], int, dict]] = []
+        rows = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            sizes = np.array([n for _, n, _ in held])
+            where = pa.array(np.repeat(np.arange(len(held)), sizes))
+            columns = []
+            for field in arrow:
+                if field.name in by:
+                    columns.append(pa.concat_arrays([k[by.index(field.name)] for k, _, _ in held]).cast(field.type).take(where))
+                elif all(field.name not in got for _, _, got in held):
+                    columns.append(pa.nulls(rows, field.type))
+                else:
+                    parts = [np.broadcast_to(np.asarray(got[field.name] if got[field.name] is not None else np.nan), n) for _, n, got in held]
+                    columns.append(pa.array(np.concatenate(parts), from_pandas=True).cast(field.type, safe=False))
+            yield from pa.Table.from_arrays(columns, schema=arrow).combine_chunks().to_batches(max_chunksize=1 << 16)
+
+        for key, columns in arrays_of(batches, by):
             try:
-                got = run(group.to_pandas())
-                if not len(got):
-                    continue
-                out = pa.Table.from_pandas(got[[f.name for f in arrow]], schema=arrow, preserve_index=False, safe=False)
+                got = run(columns)
+                n = max((len(v) if np.ndim(v) else 1 for v in got.values()), default=0)
             except Exception as e:
                 if problems is None:
                     raise
-                problems.add({str(group.column(by[0])[0].as_py()): f"{type(e).__name__}: {e}"[:500]})
+                problems.add({str(key[0][0].as_py()): f"{type(e).__name__}: {e}"[:500]})
                 continue
-            held.append(out)
-            rows += out.num_rows
-            if rows >= 1 << 15:
-                yield from pa.concat_tables(held).combine_chunks().to_batches(max_chunksize=1 << 16)
+            if n and all(len(v) for v in got.values() if np.ndim(v)):
+                held.append((key, n, got))
+                rows += n
+            if rows >= 1 << 16:
+                yield from told()
                 held, rows = [], 0
         if held:
-            yield from pa.concat_tables(held).combine_chunks().to_batches(max_chunksize=1 << 16)
+            yield from told()
 
     dealt = table.repartition(tasks_for(table), *(F.col(k) for k in by)).sortWithinPartitions(*by, order)
     return dealt.mapInArrow(work, target)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation
 from ..functions.timing import from_micros, micros, shift_seconds
 from ..kernels import filters, spectral
-from .byfile import by_file, groups_of
+from .byfile import by_file, groups_of, tasks_for
 from .intervals import slice_join
 from .signal import _kind, fill_gaps, fir_filter, scaled, zscore_outlier
 
@@ -64,31 +63,40 @@ def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "gsr",
     return whole.withColumns({c: F.when(good, F.col(c)) for c in (f"{column}_filtered", f"{column}_filtered_clean", f"{column}_filtered_clean_zscored")})
 
 
-def tonic_phasic(signals: DataFrame, column: str, fs: float, epoch_s: float = 300, step_s: float = 60, warmup_s: float = 15, outlier: float = 4.0) -> DataFrame:
-    """file_id, ts, scr, scl, annotation: a convex split in overlapping epochs, then the mean per sample.
+def tonic_phasic(signals: DataFrame, column: str, fs: float, epoch_s: float = 300, step_s: float = 60, warmup_s: float = 15, outlier: float = 4.0, tolerance: float = 1e-6) -> DataFrame:
+    """file_id, ts, scr, scl, gap, annotation: a convex split in overlapping epochs, then the mean per sample.
 
-    Each (file, epoch) is a task of its own, so long recordings spread over the cluster; a file
-    shorter than an epoch is one epoch.
+    An epoch is ``epoch_s`` plus the warm-up long and begins ``step_s`` after the one before; its
+    warm-up is cut off at both ends before the mean, so no sample takes part near an edge. A file
+    that does not hold an epoch and a step is split at once, uncut. The first and last seconds of
+    what is split are annotated, as are samples before and after it, which have no values. ``gap``
+    is the largest duality gap among a sample's epochs; beyond the tolerance it is annotated.
+    Each (file, epoch) is solved for itself, so long recordings spread over the cluster.
     """
     kind = _kind(signals)
     span = Window.partitionBy("file_id")
+    margin, step = int(warmup_s * fs), max(1, int(step_s * fs))
+    size = int(epoch_s * fs) + margin
     t = signals.select("file_id", "ts", F.col(column).cast("double").alias("x"), micros("ts").alias("t")).where("x is not null")
-    placed = t.withColumns({"t0": F.min("t").over(span), "t1": F.max("t").over(span)})
-    at = (F.col("t") - F.col("t0")) / 1e6
-    length = (F.col("t1") - F.col("t0")) / 1e6
-    last = F.greatest(F.floor((length - epoch_s) / step_s), F.lit(0)).cast("long")
-    lo = F.least(F.greatest(F.ceil((at - epoch_s) / step_s), F.lit(0)).cast("long"), last)
-    hi = F.least(F.floor(at / step_s).cast("long"), last)
-    epochs = placed.withColumn("epoch", F.explode(F.sequence(lo, F.greatest(lo, hi))))
+    placed = t.withColumns({"i": F.row_number().over(span.orderBy("t")).cast("long") - 1, "n": F.count(F.lit(1)).over(span)})
+    whole = F.col("n") < size + step
+    last = F.floor((F.col("n") - size) / step).cast("long")
+    lo = F.greatest(F.floor((F.col("i") - size) / step).cast("long") + 1, F.lit(0))
+    hi = F.least(F.floor(F.col("i") / step).cast("long"), last)
+    none = F.array().cast("array<bigint>")
+    within = F.when(whole, F.array(F.lit(0).cast("long"))).when(lo <= hi, F.sequence(lo, hi)).otherwise(none)
+    epochs = placed.select("file_id", "t", "x", "i", whole.alias("whole"), F.explode(within).alias("epoch"))
+    at = F.col("i") - F.col("epoch") * step
+    epochs = epochs.withColumn("inner", F.col("whole") | ((at >= margin) & (at < size - margin)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool: dict[int, list[pa.Table]] = {}
 
         def split(n: int) -> pa.RecordBatch:
-            whole = pa.concat_tables(pool.pop(n)).combine_chunks()
-            phasic, tonic = filters.tonic_phasic(np.array(whole.column("x"), float).reshape(-1, n), fs)
-            names = ["file_id", "t", "scr", "scl"]
-            return pa.RecordBatch.from_arrays([whole.column("file_id").combine_chunks(), whole.column("t").combine_chunks(), pa.array(phasic.ravel()), pa.array(tonic.ravel())], names=names)
+            rows = pa.concat_tables(pool.pop(n)).combine_chunks()
+            phasic, tonic, gap = filters.tonic_phasic(np.array(rows.column("x"), float).reshape(-1, n), fs, tolerance=tolerance)
+            out = {"file_id": rows.column("file_id").combine_chunks(), "t": rows.column("t").combine_chunks(), "scr": pa.array(phasic.ravel()), "scl": pa.array(tonic.ravel()), "gap": pa.array(np.repeat(gap, n))}
+            return pa.record_batch(out).filter(rows.column("inner").combine_chunks())
 
         for group in groups_of(batches, ["file_id", "epoch"]):
             n = group.num_rows
@@ -101,14 +109,16 @@ def tonic_phasic(signals: DataFrame, column: str, fs: float, epoch_s: float = 30
             yield split(n)
 
     # Epochs of equal length are solved together: their number in a task is bounded, not their files.
-    tasks = epochs.select("file_id", "epoch", "t", "x").repartition("file_id", "epoch").sortWithinPartitions("file_id", "epoch", "t")
-    parts = tasks.mapInArrow(run, f"file_id {kind}, t long, scr double, scl double")
-    mean = parts.groupBy("file_id", "t").agg(F.avg("scr").alias("scr"), F.avg("scl").alias("scl"))
-    edged = mean.withColumns({"t0": F.min("t").over(span), "t1": F.max("t").over(span)})
-    warm = ((F.col("t") - F.col("t0")) < warmup_s * 1e6) | ((F.col("t1") - F.col("t")) < warmup_s * 1e6)
-    high = F.col("scr") >= outlier
-    note = F.when(warm, F.lit("CVX warm up")).when(high, F.lit("CVX SCR outlier")).otherwise(F.lit(""))
-    return edged.select("file_id", from_micros(F.col("t")).alias("ts"), F.when(note == "", F.col("scr")).alias("scr"), F.when(~warm, F.col("scl")).alias("scl"), note.alias("annotation"))
+    tasks = epochs.select("file_id", "epoch", "t", "x", "inner").repartition(tasks_for(signals), "file_id", "epoch").sortWithinPartitions("file_id", "epoch", "t")
+    parts = tasks.mapInArrow(run, f"file_id {kind}, t long, scr double, scl double, gap double")
+    mean = parts.groupBy("file_id", "t").agg(F.avg("scr").alias("scr"), F.avg("scl").alias("scl"), F.max("gap").alias("gap"))
+    outside = placed.where(~whole & ((F.col("i") < margin) | (F.col("i") >= last * step + size - margin)))
+    mean = mean.unionByName(outside.select("file_id", "t"), allowMissingColumns=True)
+    split_at = F.when(F.col("scr").isNotNull(), F.col("t"))
+    edged = mean.withColumns({"t0": F.min(split_at).over(span), "t1": F.max(split_at).over(span)})
+    warm = (F.col("t") <= F.col("t0") + int(warmup_s * 1e6)) | (F.col("t") >= F.col("t1") - int(warmup_s * 1e6))
+    note = F.when(warm, F.lit("CVX warm up")).when(F.col("gap") > tolerance, F.lit("CVX not settled")).when(F.col("scr") >= outlier, F.lit("CVX SCR outlier")).otherwise(F.lit(""))
+    return edged.select("file_id", from_micros(F.col("t")).alias("ts"), F.when(note == "", F.col("scr")).alias("scr"), F.when(~warm, F.col("scl")).alias("scl"), "gap", note.alias("annotation"))
 
 
 def epoch_mean(samples: DataFrame, column: str, epoch_s: float, step_s: float) -> DataFrame:
@@ -124,12 +134,12 @@ def scr_peaks(signals: DataFrame, fs: float, column: str = "scr", width: float =
     """file_id, ts, value, increase_duration, increase_amplitude, recovery_duration, annotation; long rises are false peaks."""
     kind = _kind(signals)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.nan_to_num(pdf[column].to_numpy(float))
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x = np.nan_to_num(c[column])
         spread = np.subtract(*np.percentile(x, [95, 5])) or 1.0
         p = filters.find_peaks(x / spread, prominence=prominence, width=width * fs, rel_height=rel_height, window=max(3, int(window * fs)))
         i = p["index"]
-        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": pdf["ts"].to_numpy()[i], "value": x[i], "increase_duration": (i - p["left_base"]) / fs, "increase_amplitude": x[i] - x[p["left_base"]], "recovery_duration": (p["right"] - i) / fs})
+        return {"ts": c["ts"][i], "value": x[i], "increase_duration": (i - p["left_base"]) / fs, "increase_amplitude": x[i] - x[p["left_base"]], "recovery_duration": (p["right"] - i) / fs}
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     got = by_file(told, run, f"file_id {kind}, ts timestamp_ntz, value double, increase_duration double, increase_amplitude double, recovery_duration double")
@@ -158,11 +168,10 @@ def trend_robust(samples: DataFrame, sequences: DataFrame, column: str) -> DataF
     """As :func:`trend_ols`, by a Huber M-estimate."""
     joined = slice_join(sequences, samples.where(F.col(column).isNotNull()).select("file_id", "ts", F.col(column).cast("double").alias("y")), "inner")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = (pdf["ts"] - pdf["ts"].iloc[0]).dt.total_seconds().to_numpy()
-        line = spectral.huber_line(x, pdf["y"].to_numpy(float)) if len(pdf) > 1 and x[-1] > 0 else (None, None, None)
-        row = {"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], "slope": line[0], "intercept": line[1], "r": line[2]}
-        return pd.DataFrame([row]).astype({"slope": float, "intercept": float, "r": float})
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x = (c["ts"] - c["ts"][0]) / np.timedelta64(1, "s")
+        line = spectral.huber_line(x, c["y"]) if len(x) > 1 and x[-1] > 0 else (None, None, None)
+        return dict(zip(("slope", "intercept", "r"), line, strict=True))
 
     return by_file(joined, run, f"file_id {_kind(samples)}, reference string, slope double, intercept double, r double", keys=("file_id", "reference"))
 

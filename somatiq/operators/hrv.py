@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,13 +45,13 @@ def geometric_features(nn: DataFrame, sequences: DataFrame, width: float = BIN_M
 
 def frequency_features(nni: DataFrame, sequences: DataFrame, fs: float) -> DataFrame:
     """file_id, reference, VLF, LF, HF, VHF, LFHF of uniformly sampled intervals (column nni)."""
-    joined = slice_join(sequences, nni.select("file_id", "ts", "nni"))
+    joined = slice_join(sequences, nni.select("file_id", "ts", F.col("nni").cast("double").alias("nni")))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["nni"].dropna().to_numpy(float)
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x = c["nni"][~np.isnan(c["nni"])]
         power = {n: spectral.mean_band_power(x, fs, lo, hi, size, size - 1) for n, (lo, hi, size) in HRV_BANDS.items()}
         ratio = power["LF"] / power["HF"] if power["LF"] is not None and power["HF"] else None
-        return pd.DataFrame([{"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], **power, "LFHF": ratio}])
+        return power | {"LFHF": ratio}
 
     kind = nni.schema["file_id"].dataType.simpleString()
     return by_file(joined, run, f"file_id {kind}, reference string, VLF double, LF double, HF double, VHF double, LFHF double", keys=("file_id", "reference"))
@@ -61,11 +61,11 @@ def nonlinear_features(nn: DataFrame, sequences: DataFrame) -> DataFrame:
     """file_id, reference, DFA1 (windows 3-15, n >= 16), DFA2 (windows 16-63, n >= 64)."""
     joined = slice_join(sequences, nn.where("not bad").select("file_id", "ts", "nn"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["nn"].dropna().to_numpy(float)
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x = c["nn"][~np.isnan(c["nn"])]
         short = spectral.dfa(x, range(3, 16)) if len(x) >= 16 else None
         long = spectral.dfa(x, range(16, 64)) if len(x) >= 64 else None
-        return pd.DataFrame([{"file_id": pdf["file_id"].iloc[0], "reference": pdf["reference"].iloc[0], "DFA1": short, "DFA2": long}])
+        return {"DFA1": short, "DFA2": long}
 
     kind = nn.schema["file_id"].dataType.simpleString()
     return by_file(joined, run, f"file_id {kind}, reference string, DFA1 double, DFA2 double", keys=("file_id", "reference"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import micros
 from .intervals import slice_join
-from .signal import fir_filter
+from .signal import fir_filter, run_starts
 
 
 def _order() -> WindowSpec:
@@ -22,11 +22,15 @@ def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "PZT",
 
 
 def extrema(signals: DataFrame, column: str) -> DataFrame:
-    """file_id, ts, v, is_peak: strict local maxima and minima, in alternation by nature."""
-    x = F.col(column)
-    seen = signals.select("file_id", "ts", x.alias("v"), F.lag(x).over(_order()).alias("a"), F.lead(x).over(_order()).alias("b"))
-    peak = (F.col("v") > F.col("a")) & (F.col("v") > F.col("b"))
-    trough = (F.col("v") < F.col("a")) & (F.col("v") < F.col("b"))
+    """file_id, ts, v, is_peak: local maxima and minima, in alternation by nature.
+
+    Equal samples in a row are one extremum, at the first of them, if those before and after are
+    lower (or higher); missing samples are passed over.
+    """
+    runs = run_starts(signals.where(F.col(column).isNotNull()), column)
+    seen = runs.select("file_id", "ts", F.col(column).alias("v"), F.col("before"), F.lead(column).over(_order()).alias("after"))
+    peak = (F.col("v") > F.col("before")) & (F.col("v") > F.col("after"))
+    trough = (F.col("v") < F.col("before")) & (F.col("v") < F.col("after"))
     return seen.where(peak | trough).select("file_id", "ts", "v", peak.alias("is_peak"))
 
 

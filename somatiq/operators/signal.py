@@ -6,7 +6,6 @@ import collections
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -96,6 +95,11 @@ def slope_sum(signals: DataFrame, column: str, win: int, out: str = "ssf") -> Da
     return numbered.withColumn(out, F.when(F.col("__n") >= win, total)).drop("__d", "__n")
 
 
+def run_starts(signals: DataFrame, column: str) -> DataFrame:
+    """The first row of each run of equal values, with ``before``: the value of the run before it."""
+    return signals.withColumn("before", F.lag(column).over(_order())).where(F.col("before").isNull() | (F.col(column) != F.col("before")))
+
+
 def _with_runs(signals: DataFrame, column: str) -> DataFrame:
     """Adds __x (missing: 0), __n (row number from 1) and __a (the sample before)."""
     seen = signals.withColumns({"__x": F.coalesce(F.col(column).cast("double"), F.lit(0.0)), "__n": F.row_number().over(_order())})
@@ -138,11 +142,9 @@ def peak_properties(signals: DataFrame, column: str) -> DataFrame:
     """file_id, ts, peak_sample (from 0) and all properties of every peak, without any condition; missing samples count as 0."""
     indices = [k for k in filters.PEAK_INDICES if k != "index"]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = filters.find_peaks(np.nan_to_num(pdf[column].to_numpy(float)))
-        out = pd.DataFrame({"ts": pdf["ts"].to_numpy()[p["index"]], "peak_sample": p["index"], "plateau_size": p["right_edge"] - p["left_edge"] + 1} | {k: p[k] for k in (*indices, *filters.PEAK_VALUES)})
-        out.insert(0, "file_id", pdf["file_id"].iloc[0])
-        return out
+    def run(c: dict[str, np.ndarray]) -> dict:
+        p = filters.find_peaks(np.nan_to_num(c[column]))
+        return {"ts": c["ts"][p["index"]], "peak_sample": p["index"], "plateau_size": p["right_edge"] - p["left_edge"] + 1} | {k: p[k] for k in (*indices, *filters.PEAK_VALUES)}
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     fields = ", ".join([*(f"`{k}` long" for k in ("peak_sample", "plateau_size", *indices)), *(f"`{k}` double" for k in filters.PEAK_VALUES)])
@@ -157,10 +159,10 @@ def slope_sum_peaks(signals: DataFrame, column: str, fs: float, most_bpm: float
     """
     distance = max(1, int(most_bpm * 60 / fs))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ts = np.nan_to_num(pdf[column].to_numpy(float)), pdf["ts"].to_numpy()
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x, ts = np.nan_to_num(c[column]), c["ts"]
         at = filters.find_peaks(x, distance=distance, prominence=prominence)["left_edge"]
-        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": ts[at], "value": x[at], "start": ts[0]})
+        return {"ts": ts[at], "value": x[at], "start": ts[0]}
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, start timestamp_ntz")
@@ -177,26 +179,25 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
     if ratio < 0:
         raise ValueError("the ratio must not be negative")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, v = pdf["ts"].to_numpy(), pdf["value"].to_numpy(float)
-        begin = pdf["start"].iloc[0] if "start" in pdf else t[0]
-        until = np.datetime64(begin) + np.timedelta64(int(baseline_seconds * 1e6), "us")
+    def run(c: dict[str, np.ndarray]) -> dict:
+        t, v = c["ts"], c["value"]
+        until = c.get("start", t)[0] + np.timedelta64(int(baseline_seconds * 1e6), "us")
         base = v[t <= until]
         threshold = ratio * base.max() if len(base) else 0.0
         first = (t <= until) & (v > threshold)
         out = [(a, b, threshold) for a, b in zip(t[first], v[first], strict=True)]
         last = collections.deque((o[1] for o in out), memory)
-        for a, b in zip(t[t >= until], v[t >= until], strict=True):
+        for a, b in zip(t[t >= until], v[t >= until].tolist(), strict=True):
             if b > threshold:
                 if out and out[-1][0] == a:  # the baseline's last sample, kept already
                     out.pop()
                 else:
                     last.append(b)
-                threshold = ratio * float(np.median(last))
+                few = sorted(last)
+                threshold = ratio * (few[len(few) // 2] + few[(len(few) - 1) // 2]) / 2
                 out.append((a, b, threshold))
-        got = pd.DataFrame(out, columns=["ts", "value", "threshold"])
-        got.insert(0, "file_id", pdf["file_id"].iloc[0])
-        return got
+        kept = zip(*out, strict=True) if out else ([], [], [])
+        return dict(zip(("ts", "value", "threshold"), (np.array(k, dtype) for k, dtype in zip(kept, (t.dtype, float, float), strict=True)), strict=True))
 
     told = candidates.select("file_id", "ts", F.col(column).cast("double").alias("value"), *([start.alias("start")] if start is not None else []))
     return by_file(told, run, f"file_id {_kind(candidates)}, ts timestamp_ntz, value double, threshold double")
@@ -205,10 +206,10 @@ def adaptive_peaks(candidates: DataFrame, column: str, ratio: float = 0.7, basel
 def prominent_peaks(signals: DataFrame, column: str, prominence: float = 0.4, width: float = 10) -> DataFrame:
     """file_id, ts, value, prominence of peaks of the min-max scaled signal; widths in samples."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.nan_to_num(pdf[column].to_numpy(float))
+    def run(c: dict[str, np.ndarray]) -> dict:
+        x = np.nan_to_num(c[column])
         p = filters.find_peaks((x - x.min()) / ((x.max() - x.min()) or 1.0), prominence=prominence, width=width)
-        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": pdf["ts"].to_numpy()[p["index"]], "value": x[p["index"]], "prominence": p["prominence"]})
+        return {"ts": c["ts"][p["index"]], "value": x[p["index"]], "prominence": p["prominence"]}
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, value double, prominence double")
@@ -217,10 +218,8 @@ def prominent_peaks(signals: DataFrame, column: str, prominence: float = 0.4, wi
 def per_file(signals: DataFrame, column: str, kernel: Callable[[np.ndarray], np.ndarray], out: str) -> DataFrame:
     """file_id, ts, column, out: a numpy kernel over each file's samples in time order."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = kernel(pdf[column].to_numpy(float))
-        pdf[out] = pd.Series(y).where(~np.isnan(y))
-        return pdf
+    def run(c: dict[str, np.ndarray]) -> dict:
+        return {"ts": c["ts"], column: c[column], out: kernel(c[column])}
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double")
@@ -247,15 +246,11 @@ def band_power(signals: DataFrame, column: str, fs: float, bands: dict[str, tupl
     """file_id, epoch, and a column ``<column>_<band>_abs`` or ``_rel`` for each band; short files give no rows."""
     names = [f"{column}_{b}_{'rel' if relative else 'abs'}" for b in bands]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[column].to_numpy(float)
-        if len(x) < int(epoch_size * fs):
-            return pd.DataFrame({"file_id": [], "epoch": [], **{n: [] for n in names}})
-        got = spectral.band_powers(np.nan_to_num(x), fs, bands, epoch_size, epoch_overlap, scaling, relative)
-        frame = pd.DataFrame({n: v for n, v in zip(names, got.values(), strict=True)})
-        frame.insert(0, "epoch", np.arange(len(frame)))
-        frame.insert(0, "file_id", pdf["file_id"].iloc[0])
-        return frame
+    def run(c: dict[str, np.ndarray]) -> dict:
+        if len(c[column]) < int(epoch_size * fs):
+            return {}
+        got = dict(zip(names, spectral.band_powers(np.nan_to_num(c[column]), fs, bands, epoch_size, epoch_overlap, scaling, relative).values(), strict=True))
+        return {"epoch": np.arange(len(got[names[0]]))} | got
 
     told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
     return by_file(told, run, f"file_id {_kind(signals)}, epoch long, " + ", ".join(f"`{n}` double" for n in names))
@@ -264,13 +259,12 @@ def band_power(signals: DataFrame, column: str, fs: float, bands: dict[str, tupl
 def interpolate_nn(nn: DataFrame, fs: float, column: str = "nn") -> DataFrame:
     """file_id, ts, <column>i: good intervals on a uniform grid by monotone cubics; files with fewer than two give none."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+    def run(c: dict[str, np.ndarray]) -> dict:
+        t = c["ts"].astype("datetime64[us]").astype(np.int64)
         if len(t) < 2:
-            return pd.DataFrame({"file_id": [], "ts": pd.Series([], dtype="datetime64[us]"), f"{column}i": []})
+            return {}
         grid = t[0] + np.round(np.arange(int((t[-1] - t[0]) * fs / 1e6 + 1e-9) + 1) * 1e6 / fs).astype(np.int64)
-        value = filters.pchip(t.astype(float), pdf[column].to_numpy(float), grid.astype(float))
-        return pd.DataFrame({"file_id": pdf["file_id"].iloc[0], "ts": grid.astype("datetime64[us]"), f"{column}i": value})
+        return {"ts": grid.astype("datetime64[us]"), f"{column}i": filters.pchip(t.astype(float), c[column].astype(float), grid.astype(float))}
 
     good = nn.where("not bad") if "bad" in nn.columns else nn
     return by_file(good.select("file_id", "ts", column), run, f"file_id {_kind(nn)}, ts timestamp_ntz, {column}i double")

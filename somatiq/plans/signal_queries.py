@@ -123,7 +123,10 @@ def ssf_transform(spark: SparkSession, sf: str) -> DataFrame:
     return r6(signal.slope_sum(samples(spark, sf).select("file_id", "ts", "value"), "value", 4).select("file_id", us("ts"), "ssf"), "ssf")
 
 
-_NEAR = "near AS (SELECT file_id, ts, value, row_number() OVER w AS position, lag(value) OVER w AS a, lead(value) OVER w AS b FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts))"
+#: Samples in steps of 40, so that many extrema are plateaus: islands of equal values, each at its first row.
+_NEAR = """steps AS (SELECT file_id, ts, floor(value / 40) * 40 AS value FROM sig), flags AS (SELECT *, CASE WHEN value = lag(value) OVER w THEN 0 ELSE 1 END AS starts FROM steps WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    islands AS (SELECT file_id, ts, value, sum(starts) OVER (PARTITION BY file_id ORDER BY ts) AS island FROM flags), firsts AS (SELECT file_id, island, min(ts) AS ts, any_value(value) AS value FROM islands GROUP BY file_id, island),
+    near AS (SELECT file_id, ts, value, lag(value) OVER w AS a, lead(value) OVER w AS b FROM firsts WINDOW w AS (PARTITION BY file_id ORDER BY ts))"""
 #: Local maxima of a table x(file_id, ts, v): equal samples in a row are one plateau, from position p to q of n.
 _TOPS = """nx AS (SELECT *, row_number() OVER w AS p, lag(v) OVER w AS a, count(*) OVER (PARTITION BY file_id) AS n FROM x WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
     runs AS (SELECT *, lead(p) OVER w - 1 AS q, lead(v) OVER w AS b FROM nx WHERE a IS NULL OR v <> a WINDOW w AS (PARTITION BY file_id ORDER BY ts)), tops AS (SELECT * FROM runs WHERE v > a AND v > b)"""
@@ -332,9 +335,13 @@ _CYC = f"""WITH {SIG}, {_NEAR}, x AS (SELECT file_id, epoch_us(ts) AS t, ts, val
 _CYCLE = ("i_duration", "e_duration", "ie_duration", "amplitude", "ie_ratio")
 
 
+def _steps(spark: SparkSession, sf: str) -> DataFrame:
+    return samples(spark, sf).withColumn("value", F.floor(F.col("value") / 40) * 40.0)
+
+
 @query(_CYC + " SELECT file_id, epoch_us(ts) AS ts, " + ", ".join(f"round({c}, 6) AS {c}" for c in _CYCLE) + " FROM cyc")
 def respiration_cycles(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(respiration.cycles(respiration.extrema(samples(spark, sf), "value")).select("file_id", us("ts"), *_CYCLE), *_CYCLE)
+    return r6(respiration.cycles(respiration.extrema(_steps(spark, sf), "value")).select("file_id", us("ts"), *_CYCLE), *_CYCLE)
 
 
 _RESP = {"AMPmean": "avg(amplitude)", "AMPmax": "max(amplitude)", "AMPmin": "min(amplitude)", "AMPsd": "stddev_samp(amplitude)", "PERIODmean": "avg(ie_duration)", "PERIODsd": "stddev_samp(ie_duration)", "INSPImean": "avg(i_duration)", "EXPImean": "avg(e_duration)", "IEmean": "avg(ie_ratio)"}
@@ -342,7 +349,7 @@ _RESP = {"AMPmean": "avg(amplitude)", "AMPmax": "max(amplitude)", "AMPmin": "min
 
 @query(_CYC + f", {SEQ} SELECT q.file_id, q.id AS reference, " + ", ".join(f'round({v} + 1e-9, 4) AS "{k}"' for k, v in _RESP.items()) + " FROM seq q LEFT JOIN cyc c ON c.file_id = q.file_id AND c.ts BETWEEN q.b AND q.e GROUP BY q.file_id, q.id")
 def respiration_features(spark: SparkSession, sf: str) -> DataFrame:
-    got = respiration.features(respiration.cycles(respiration.extrema(samples(spark, sf), "value")), sequences(spark, sf))
+    got = respiration.features(respiration.cycles(respiration.extrema(_steps(spark, sf), "value")), sequences(spark, sf))
     return got.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in _RESP})
 
 

@@ -7,7 +7,7 @@ import pytest
 from somatiq.kernels import filters
 from somatiq.plans.catalogue import QUERIES
 
-from .test_kernels import plain_peaks
+from .test_kernels import dense_split, plain_peaks
 
 
 @pytest.fixture(scope="module")
@@ -58,23 +58,39 @@ def test_linear_trend_robust(spark, sf, events):
 
 def test_cvx_split(spark, sf, events):
     got = {(r.file_id, r.ts): r for r in QUERIES["cvx_split"](spark, sf).collect()}
-    assert len(got) == len(events)
+    assert len(got) == len(events) and all(r.gap is None or r.gap <= 1e-6 for r in got.values())
     for file, e in events.groupby("user_id"):
         x = e.value.to_numpy(float)
         n = len(x)
-        last = max(0, (n - 1 - 40) // 20)
+        # Seconds are samples: epochs of 40 and a margin of 2, each 20 on; margins are cut at both ends.
+        starts = range(0, n - 42 + 1, 20) if n >= 62 else [0]
         total, count = np.zeros((2, n)), np.zeros(n)
-        for k in range(last + 1):
-            # Seconds are samples; the last epoch takes what is left, and each includes its end.
-            own = np.arange(20 * k, n if k == last else 20 * k + 41)
-            total[:, own] += filters.tonic_phasic(x[own], 1.0)
-            count[own] += 1
+        for k in starts:
+            own, inner = (np.arange(k, k + 42), slice(2, -2)) if n >= 62 else (np.arange(n), slice(None))
+            total[:, own[inner]] += np.array(dense_split(x[own], 1.0))[:, inner]
+            count[own[inner]] += 1
+        split = np.flatnonzero(count)
         for i in range(n):
             told = got[file, (i + 1) * 1_000_000]
-            warm = i < 2 or n - 1 - i < 2
-            assert told.annotation == ("CVX warm up" if warm else "")
-            if not warm:
-                assert (told.scr, told.scl) == pytest.approx(tuple(total[:, i] / count[i]), abs=1e-6)
+            warm = i <= split[0] + 2 or i >= split[-1] - 2
+            assert told.annotation == ("CVX warm up" if warm else "") and (told.gap is None) == (count[i] == 0)
+            if warm:
+                assert told.scr is None and told.scl is None
+            else:
+                assert (told.scr, told.scl) == pytest.approx(tuple(total[:, i] / count[i]), abs=0.02 * np.ptp(x))
+
+
+def test_two_starts_of_a_long_split(spark):
+    """Epochs are cut by counts of samples, and a recording just too short for a step is split at once."""
+    from pyspark.sql import functions as F
+
+    from somatiq.operators import eda
+
+    clock = lambda name, n: spark.range(n).select(F.lit(name).alias("file_id"), F.timestamp_micros(F.col("id") * 500_000).cast("timestamp_ntz").alias("ts"), F.sin("id").alias("x"))
+    got = eda.tonic_phasic(clock("short", 139).unionByName(clock("long", 140)), "x", 2.0, 50, 10, 10).toPandas()
+    told = got.groupby("file_id").agg(rows=("ts", "size"), split=("gap", "count"), kept=("scl", "count"))
+    # 100 + 20 samples an epoch, 20 a step: two epochs in 140 samples, samples 20 to 119; 20 more at either end are warm.
+    assert told.loc["long"].tolist() == [140, 100, 58] and told.loc["short"].tolist() == [139, 139, 97]
 
 
 def test_gsr_clean(spark, sf, events):

@@ -132,15 +132,62 @@ def test_cubic_splines_sum_to_one():
     assert filters.cubic_splines(np.arange(300) / 4.0, 10.0).sum(1) == pytest.approx(np.ones(300))
 
 
+def dense_split(y, fs, sparsity=8e-4, smooth=1e-2):
+    """The same convex problem by an active set over dense matrices: (phasic, tonic)."""
+    n = len(y)
+    t = np.arange(n) / fs
+    kernel = np.exp(-t / 2.0) - np.exp(-t / 0.7)
+    kernel /= max(kernel.max(), 1e-12)
+    response = np.array([[kernel[i - j] if i >= j else 0.0 for j in range(n)] for i in range(n)])
+    knots = max(1, int(np.ceil(t[-1] / 10.0))) + 3
+    hat = lambda u: 2 / 3 - u * u + u**3 / 2 if u < 1 else (2 - u) ** 3 / 6 if u < 2 else 0.0
+    basis = np.array([[hat(abs(x / 10.0 - k)) for k in range(-1, knots - 1)] for x in t])
+    left = np.linalg.inv(np.eye(n) + basis @ basis.T / smooth)
+    q, c = response.T @ left @ response, response.T @ left @ y - sparsity
+    d, active = np.zeros(n), np.zeros(n, bool)
+    for _ in range(50 * n):
+        slope = c - q @ d
+        slope[active] = -np.inf
+        if slope.max() <= 1e-10 * max(1, np.abs(c).max()):
+            break
+        active[int(slope.argmax())] = True
+        while True:
+            z = np.zeros(n)
+            z[active] = np.linalg.lstsq(q[np.ix_(active, active)], c[active], rcond=None)[0]
+            if (z[active] > 0).all():
+                d = z
+                break
+            down = active & (z <= 0)
+            share = (d[down] / np.maximum(d[down] - z[down], 1e-300)).min()
+            d = d + share * (z - d)
+            active &= d > 1e-14 * max(1, d.max())
+            d[~active] = 0
+    phasic = response @ d
+    return phasic, basis @ np.linalg.solve(basis.T @ basis + smooth * np.eye(basis.shape[1]), basis.T @ (y - phasic))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_splits_match_a_dense_solver(seed):
+    rng = np.random.default_rng(seed)
+    y = 5 + rng.normal(scale=0.3, size=60).cumsum() if seed % 2 else rng.uniform(0, 400, 42)
+    phasic, tonic, gap = filters.tonic_phasic(y, 1.0 if seed < 2 else 4.0, tolerance=1e-11, most_rounds=200_000)
+    want = dense_split(y, 1.0 if seed < 2 else 4.0)
+    assert gap <= 1e-11 and phasic == pytest.approx(want[0], abs=1e-3 * np.ptp(y)) and tonic == pytest.approx(want[1], abs=1e-3 * np.ptp(y))
+
+
 def test_splits_of_a_batch_are_those_of_its_rows():
     rng = np.random.default_rng(2)
     rows = 5 + rng.normal(scale=0.1, size=(4, 120)).cumsum(1)
-    phasic, tonic = filters.tonic_phasic(rows, 4.0)
+    phasic, tonic, gaps = filters.tonic_phasic(rows, 4.0)
+    assert (gaps <= 1e-6).all()
     for k in range(4):
         one = filters.tonic_phasic(rows[k], 4.0)
-        assert phasic[k] == pytest.approx(one[0], abs=1e-9) and tonic[k] == pytest.approx(one[1], abs=1e-9)
-    exact = filters.tonic_phasic(rows, 4.0, tolerance=1e-8, most_rounds=50_000)
+        assert phasic[k] == pytest.approx(one[0], abs=1e-9) and tonic[k] == pytest.approx(one[1], abs=1e-9) and gaps[k] == pytest.approx(one[2])
+    exact = filters.tonic_phasic(rows, 4.0, tolerance=1e-10, most_rounds=100_000)
     assert np.abs(phasic - exact[0]).max() < 0.02 * np.ptp(rows)
+    # Too few rounds are told, and constant rows need none.
+    assert (filters.tonic_phasic(rows, 4.0, most_rounds=3)[2] > 1e-6).all()
+    assert (filters.tonic_phasic(np.array([np.zeros(50), np.full(50, 7.0)]), 1.0)[2] <= 1e-6).all()
 
 
 def test_tonic_phasic_adds_up():
@@ -150,6 +197,6 @@ def test_tonic_phasic_adds_up():
     driver[[80, 200]] = 1
     kernel = np.exp(-t / 2) - np.exp(-t / 0.7)
     y = 5 + 0.01 * t + np.convolve(driver, kernel / kernel.max())[:400]
-    phasic, tonic = filters.tonic_phasic(y, fs)
+    phasic, tonic, _ = filters.tonic_phasic(y, fs)
     assert np.abs(phasic + tonic - y).mean() < 0.1
     assert phasic.min() >= -1e-9
