@@ -44,19 +44,19 @@ def corrupted_ratio(signals: DataFrame, annotation: str = "annotation") -> DataF
     return signals.where(F.col(annotation) != OUTSIDE).groupBy("file_id").agg(F.avg((F.col(annotation) != "").cast("double")).alias("ratio"))
 
 
-def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "gsr", warmup_seconds: float = 30, most_corrupted: float = 0.6, order: int = 100, cutoff: float = 30.0) -> DataFrame:
+def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "gsr", warmup_seconds: float = 30, most_corrupted: float = 0.6, order: int = 100, cutoff: float = 30.0, block_rows: int | None = None) -> DataFrame:
     """file_id, ts, gsr, gsr_filtered, gsr_filtered_clean, gsr_filtered_clean_zscored, annotation, status.
 
     Files with more corruption than allowed keep their rows with status ``corrupted`` and no clean
-    values: one bad file does not stop the others.
+    values: one bad file does not stop the others. With ``block_rows`` filters and gaps go in blocks.
     """
     masked = mask_outside(signals, events, column, warmup_seconds=warmup_seconds)
     outlier = zscore_outlier(column)
     noted = masked.withColumn("__o", outlier).withColumns({"annotation": F.when(F.col("__o"), F.lit(OUTLIER)).otherwise(F.col("annotation")), column: F.when(~F.col("__o"), F.col(column))}).drop("__o")
     ratio = corrupted_ratio(masked)
     status = noted.join(ratio, "file_id", "left").withColumn("status", F.when(F.col("ratio") > most_corrupted, F.lit("corrupted")).otherwise(F.lit("ok"))).drop("ratio")
-    filtered = fir_filter(noted, column, fs, order, [min(cutoff, 0.45 * fs)], out=f"{column}_filtered")
-    filled = fill_gaps(filtered.select("file_id", "ts", f"{column}_filtered"), f"{column}_filtered", f"{column}_filtered_clean")
+    filtered = fir_filter(noted, column, fs, order, [min(cutoff, 0.45 * fs)], out=f"{column}_filtered", block_rows=block_rows)
+    filled = fill_gaps(filtered.select("file_id", "ts", f"{column}_filtered"), f"{column}_filtered", f"{column}_filtered_clean", block_rows)
     z = filled.withColumn(f"{column}_filtered_clean_zscored", scaled(f"{column}_filtered_clean"))
     whole = status.join(z, ["file_id", "ts"], "left")
     good = F.col("status") == "ok"

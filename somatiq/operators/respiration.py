@@ -14,11 +14,11 @@ def _order() -> WindowSpec:
     return Window.partitionBy("file_id").orderBy("ts")
 
 
-def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "PZT", low: float = 0.1, high: float = 0.35) -> DataFrame:
+def clean(signals: DataFrame, events: DataFrame, fs: float, column: str = "PZT", low: float = 0.1, high: float = 0.35, block_rows: int | None = None) -> DataFrame:
     """The signal between the first and last event, band-passed."""
     bounds = events.groupBy("file_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     inside = signals.join(bounds, "file_id").where(F.col("ts").between(F.col("a"), F.col("b"))).drop("a", "b")
-    return fir_filter(inside, column, fs, max(2, int(3 * fs / low) // 2 * 2), [low, high], "bandpass", f"{column}_filtered")
+    return fir_filter(inside, column, fs, max(2, int(3 * fs / low) // 2 * 2), [low, high], "bandpass", f"{column}_filtered", block_rows)
 
 
 def extrema(signals: DataFrame, column: str) -> DataFrame:

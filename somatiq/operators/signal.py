@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import from_micros, micros
 from ..kernels import filters, spectral
+from .blocks import in_blocks, known_points, with_neighbours, with_positions
 from .byfile import by_file
 
 
@@ -34,15 +35,22 @@ def estimate_rate(signals: DataFrame) -> DataFrame:
     return per.select("file_id", F.try_divide(F.lit(1.0), F.col("step")).alias("rate"), uniform.alias("uniform"), F.col("samples").cast("long").alias("samples"))
 
 
-def resample(signals: DataFrame, column: str, fs: float, kind: str = "linear", output: str | None = None) -> DataFrame:
+def resample(signals: DataFrame, column: str, fs: float, kind: str = "linear", output: str | None = None, block_rows: int | None = None) -> DataFrame:
     """file_id, ts, column on the grid t0 + k / fs, by linear interpolation or sample-and-hold.
 
     Each sample spans the grid points up to the next one, so no grid is joined with the samples:
-    one window, then an explosion of each gap.
+    one window, then an explosion of each gap. With ``block_rows`` a block of a recording and one
+    more sample is all that a task orders.
     """
-    known = signals.where(F.col(column).isNotNull()).select("file_id", micros("ts").alias("t"), F.col(column).cast("double").alias("v"))
-    w = Window.partitionBy("file_id").orderBy("t")
-    span = known.withColumns({"t0": F.min("t").over(Window.partitionBy("file_id")), "t1": F.lead("t").over(w), "v1": F.lead("v").over(w)})
+    known = signals.where(F.col(column).isNotNull()).select("file_id", "ts", micros("ts").alias("t"), F.col(column).cast("double").alias("v"))
+    if block_rows is None:
+        w = Window.partitionBy("file_id").orderBy("t")
+        span = known.withColumns({"t0": F.min("t").over(Window.partitionBy("file_id")), "t1": F.lead("t").over(w), "v1": F.lead("v").over(w)})
+    else:
+        begins = known.groupBy(F.col("file_id").alias("__f")).agg(F.min("t").alias("t0"))
+        w = Window.partitionBy("file_id", "block").orderBy("t")
+        halo = in_blocks(with_positions(known), block_rows, after=1)
+        span = halo.withColumns({"t1": F.lead("t").over(w), "v1": F.lead("v").over(w)}).where("core").join(begins, F.col("file_id").eqNullSafe(F.col("__f")))
     at = lambda k: F.col("t0") + F.round(k * 1e6 / fs).cast("long")
     first = F.ceil((F.col("t") - F.col("t0")) * fs / 1e6 - 1e-6).cast("long")
     last = F.when(F.col("t1").isNull(), first).otherwise(F.ceil((F.col("t1") - F.col("t0")) * fs / 1e6 - 1e-6).cast("long") - 1)
@@ -87,8 +95,17 @@ def zscore_outlier(column: str, limit: float = 5.0) -> Column:
     return F.coalesce(F.abs(F.try_divide(x - F.avg(x).over(_file()), F.stddev_samp(x).over(_file()))) > limit, F.lit(False))
 
 
-def slope_sum(signals: DataFrame, column: str, win: int, out: str = "ssf") -> DataFrame:
-    """Adds the sum of the positive increments of the last ``win`` samples; NULL before there are so many."""
+def slope_sum(signals: DataFrame, column: str, win: int, out: str = "ssf", block_rows: int | None = None) -> DataFrame:
+    """Adds the sum of the positive increments of the last ``win`` samples; NULL before there are so many.
+
+    With ``block_rows`` a block of a recording and ``win`` samples before it are all that a task orders.
+    """
+    if block_rows is not None:
+        w = Window.partitionBy("file_id", "block").orderBy("position")
+        rise = F.greatest(F.col(column) - F.coalesce(F.lag(column).over(w), F.lit(0.0)), F.lit(0.0))
+        halo = in_blocks(with_positions(signals), block_rows, before=win).withColumn("__d", rise)
+        summed = halo.withColumn(out, F.when(F.col("position") >= win - 1, F.sum("__d").over(w.rowsBetween(1 - win, 0))))
+        return summed.where("core").drop("__d", "position", "total", "block", "core")
     rise = F.greatest(F.col(column) - F.coalesce(F.lag(column).over(_order()), F.lit(0.0)), F.lit(0.0))
     numbered = signals.withColumns({"__d": rise, "__n": F.row_number().over(_order())})
     total = F.sum("__d").over(_order().rowsBetween(1 - win, 0))
@@ -225,9 +242,15 @@ def per_file(signals: DataFrame, column: str, kernel: Callable[[np.ndarray], np.
     return by_file(told, run, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double")
 
 
-def fir_filter(signals: DataFrame, column: str, fs: float, order: int, frequencies: list[float], kind: str = "lowpass", out: str | None = None) -> DataFrame:
-    """Zero-phase windowed-sinc filter; missing samples are bridged for filtering and blanked again."""
+def fir_filter(signals: DataFrame, column: str, fs: float, order: int, frequencies: list[float], kind: str = "lowpass", out: str | None = None, block_rows: int | None = None) -> DataFrame:
+    """Zero-phase windowed-sinc filter; missing samples are bridged for filtering and blanked again.
+
+    With ``block_rows`` a recording is filtered in blocks: bridges reach to the nearest known samples
+    in any other block, and the filter to as many samples as it has taps on either side.
+    """
     taps = filters.fir_taps(order, fs, frequencies, kind)
+    if block_rows is not None:
+        return _fir_in_blocks(signals, column, taps, out or f"{column}_filtered", block_rows)
 
     def kernel(x: np.ndarray) -> np.ndarray:
         y = filters.zero_phase(filters.fill_linear(x), taps)
@@ -237,8 +260,43 @@ def fir_filter(signals: DataFrame, column: str, fs: float, order: int, frequenci
     return per_file(signals, column, kernel, out or f"{column}_filtered")
 
 
-def fill_gaps(signals: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Monotone cubic interpolation of missing samples inside the known range."""
+def _fir_in_blocks(signals: DataFrame, column: str, taps: np.ndarray, out: str, rows: int) -> DataFrame:
+    def bridge(c: dict[str, np.ndarray]) -> dict:
+        at, x = known_points(c, column)
+        filled = np.interp(c["position"], at, x) if len(at) else c[column]
+        return {"ts": c["ts"], "position": c["position"], "total": c["total"], column: c[column], out: filled}
+
+    def smooth(c: dict[str, np.ndarray]) -> dict:
+        y = filters.zero_phase(c[out], taps)
+        y[np.isnan(c[column])] = np.nan
+        own = c["core"].astype(bool)
+        return {"ts": c["ts"][own], column: c[column][own], out: y[own]}
+
+    told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
+    near = with_neighbours(in_blocks(with_positions(told), rows), column).drop("core")
+    schema = f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {out} double"
+    filled = by_file(near, bridge, f"{schema}, position long, total long", "position", ("file_id", "block"))
+    halo = in_blocks(filled, rows, len(taps), len(taps))
+    return by_file(halo, smooth, schema, "position", ("file_id", "block"))
+
+
+def fill_gaps(signals: DataFrame, column: str, out: str | None = None, block_rows: int | None = None) -> DataFrame:
+    """Monotone cubic interpolation of missing samples inside the known range.
+
+    With ``block_rows`` a recording is filled in blocks, each with the two nearest known samples on
+    either side, which is as far as the cubics reach.
+    """
+    if block_rows is not None:
+        name = out or f"{column}_clean"
+
+        def fill(c: dict[str, np.ndarray]) -> dict:
+            gaps, y = np.isnan(c[column]), c[column].copy()
+            y[gaps] = filters.pchip(*known_points(c, column), c["position"][gaps].astype(float))
+            return {"ts": c["ts"], column: c[column], name: y}
+
+        told = signals.select("file_id", "ts", F.col(column).cast("double").alias(column))
+        near = with_neighbours(in_blocks(with_positions(told), block_rows), column).drop("core", "total")
+        return by_file(near, fill, f"file_id {_kind(signals)}, ts timestamp_ntz, {column} double, {name} double", "position", ("file_id", "block"))
     return per_file(signals, column, filters.fill_pchip, out or f"{column}_clean")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import missing_annotation
 from ..operators import behavior, eda, events, forms, hrv, nn, respiration, signal, summarize, survey
+from ..operators.blocks import ROWS
 from ..operators.intervals import filter_sequences
 from ..sources.readers import open_dataset, read_key, read_responses
 from ..sources.sinks import write_population, write_responses
@@ -56,7 +57,7 @@ def standardize_signals(raw: DataFrame, rate: float = RATE) -> DataFrame:
     out = None
     for device, name in CHANNELS.items():
         if device in raw.columns:
-            one = signal.resample(raw, device, rate, "linear", name)
+            one = signal.resample(raw, device, rate, "linear", name, ROWS)
             out = one if out is None else out.join(one, ["file_id", "ts"], "full_outer")
     if out is None:
         raise SoftFailure("no known channel")
@@ -66,7 +67,7 @@ def standardize_signals(raw: DataFrame, rate: float = RATE) -> DataFrame:
 def cardiac(signals: DataFrame, table: DataFrame, rate: float = RATE) -> DataFrame:
     if "PPG" not in signals.columns:
         raise SoftFailure("no PPG channel")
-    banded = signal.fir_filter(signals, "PPG", rate, int(rate), [0.5, min(11.0, 0.45 * rate)], "bandpass")
+    banded = signal.fir_filter(signals, "PPG", rate, int(rate), [0.5, min(11.0, 0.45 * rate)], "bandpass", block_rows=ROWS)
     clean = banded.select("file_id", "ts", signal.scaled("PPG_filtered", "robust").alias("PPG"))
     ssf = signal.slope_sum(clean, "PPG", max(1, int(0.125 * rate)))
     peaks = signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", rate), "value", 0.5, start=F.col("start"))
@@ -80,7 +81,7 @@ def galvanic(signals: DataFrame, table: DataFrame, rate: float = RATE, target: f
     if "GSR" not in signals.columns:
         raise SoftFailure("no GSR channel")
     told = signals.select("file_id", "ts", F.col("GSR").alias("gsr"), F.col("GSR_annotation").alias("annotation"))
-    clean = eda.clean(told, _points(table), rate)
+    clean = eda.clean(told, _points(table), rate, block_rows=ROWS)
     slow = signal.downsample(clean.where("status = 'ok'").select("file_id", "ts", "gsr_filtered_clean_zscored"), rate, target)
     split = eda.tonic_phasic(slow, "gsr_filtered_clean_zscored", target)
     peaks = eda.scr_peaks(split, target)
@@ -92,7 +93,7 @@ def galvanic(signals: DataFrame, table: DataFrame, rate: float = RATE, target: f
 def breathing(signals: DataFrame, table: DataFrame, rate: float = RATE) -> DataFrame:
     if "PZT" not in signals.columns:
         raise SoftFailure("no PZT channel")
-    clean = respiration.clean(signals, _points(table), rate)
+    clean = respiration.clean(signals, _points(table), rate, block_rows=ROWS)
     return _long(respiration.features(respiration.cycles(respiration.extrema(clean, "PZT_filtered")), _sequences(table)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from ..functions.scalars import gsr_from_raw, missing_annotation
 from ..kernels import filters, spectral
 from ..operators import eda, hrv, nn, respiration, signal, summarize
 from ..operators.intervals import filter_sequences, slice_join
-from .catalogue import query
+from .catalogue import ORACLES, query
 from .inputs import BEATS, SEQ, SIG, beat_sequences, beats, nn_sql, r6, samples, sequences, us
 from .inputs import nn as nn_table
 
@@ -480,3 +482,19 @@ def features_long(spark: SparkSession, sf: str) -> DataFrame:
 def features_wide(spark: SparkSession, sf: str) -> DataFrame:
     wide = hrv.time_features(nn_table(spark, sf), sequences(spark, sf))
     return r6(summarize.widen(summarize.melt(wide, ["file_id", "reference"]), ["file_id", "reference"], ["meanNN", "SDNN"]), "meanNN", "SDNN")
+
+
+#: Rows of a block in the queries of blocks: fewer than the recordings have.
+_BLOCK = 16
+
+
+def _same_sql(name: str, f: Callable[[SparkSession, str], DataFrame]) -> None:
+    """A query in blocks gives what the query over whole recordings gives, by the same SQL."""
+    f.__name__ = f"{name}_blocks"
+    query(ORACLES[name])(f)
+
+
+_same_sql("uniform_resample_linear", lambda spark, sf: r6(signal.resample(samples(spark, sf), "value", 1e6 / _STEP, "linear", block_rows=_BLOCK).select("file_id", us("ts"), "value"), "value"))
+_same_sql("ssf_transform", lambda spark, sf: r6(signal.slope_sum(samples(spark, sf).select("file_id", "ts", "value"), "value", 4, block_rows=_BLOCK).select("file_id", us("ts"), "ssf"), "ssf"))
+_same_sql("fir_lowpass", lambda spark, sf: r6(signal.fir_filter(samples(spark, sf), "value", 1.0, 10, [0.2], block_rows=_BLOCK).select("file_id", us("ts"), "value", "value_filtered"), "value_filtered"))
+_same_sql("pchip_fill", lambda spark, sf: r6(signal.fill_gaps(_gsr_raw(spark, sf), "x", block_rows=_BLOCK).select("file_id", us("ts"), "x", "x_clean"), "x_clean"))
