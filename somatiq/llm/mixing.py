@@ -113,7 +113,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     """doc_id, source, size, source_size, target, taken (and the columns to keep) for each row of docs.
 
     The driver sees one row per source (sources are a dimension of the corpus, about a hundred
-    bytes each, not documents); every statistic covers all rows.
+    bytes each, not documents); every statistic covers all rows. Where ``most`` is no whole number a
+    source still reaches ``most`` times its size, and a document is taken ``ceil(most)`` times at most.
     """
     spark = docs.sparkSession
     extra = [F.col(c).alias(f"__keep_{c}") for c in keep]
@@ -136,7 +137,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     shown = ["doc_id", "source", "size", "source_size", "target", "taken", *[F.col(f"__keep_{c}").alias(c) for c in keep]]
     # Documents without words stay out of the shards: nothing of them can be taken.
     some = dealt.where("size > 0")
-    shards = some.groupBy("source_no", "shard").agg(F.sum("size").alias("size")).withColumn("cap", (F.ceil(F.col("size") / block) * int(most)).cast("long"))
+    shards = some.groupBy("source_no", "shard").agg(F.sum("size").alias("size")).withColumn("cap", F.floor(F.ceil(F.col("size") / block) * F.lit(float(most))).cast("long"))
     shards = durable(shards, "mix-shards")
     quota = _shard_quotas(shards, table, max(counts, default=1)).select(F.col("source_no").alias("of_source"), F.col("shard").alias("of_shard"), F.ceil(F.col("size") / block).cast("long").alias("blocks"), F.col("quota").alias("run"))
     line = Window.partitionBy("source_no", "shard").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -145,7 +146,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     # Blocks first .. first + run - 1, counted on beyond the last block for further laps.
     first = F.pmod(F.xxhash64(F.lit(seed + 2), "source_no", "shard"), F.col("blocks"))
     taken = F.lit(0).cast("long")
-    for lap in range(int(most) + 1):
+    for lap in range(math.ceil(most) + 1):
         at = F.col("begin") + lap * block * F.col("blocks")
         taken = taken + F.greatest(F.lit(0).cast("long"), F.least(at + F.col("size"), block * (F.col("first") + F.col("run"))) - F.greatest(at, block * F.col("first")))
     mixed = placed.withColumn("first", first).withColumn("taken", taken.cast("long")).select(*shown)

@@ -312,12 +312,12 @@ def spark_xxhash(*values):
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def plain_mix(rows, per_shard=256, block=16, seed=17, most=2):
+def plain_mix(rows, per_shard=256, block=16, seed=17, most=2, share=1.5):
     """taken of each row (doc_id, text, source), seat by seat and word by word."""
     size = [len(words(r[1])) for r in rows]
     sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
     whole = [sum(z for z, r in zip(size, rows, strict=True) if r[2] == s) for s in sources]
-    targets = mixing.capped_targets(whole, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5, 2.0)
+    targets = mixing.capped_targets(whole, [(3, 1, 2)[i % 3] for i in range(len(sources))], share, float(most))
 
     def seats(weights, n, caps):
         won = [0] * len(weights)
@@ -337,7 +337,7 @@ def plain_mix(rows, per_shard=256, block=16, seed=17, most=2):
         shard = {i: spark_xxhash((seed + 1,), draw[i]) % n for i in own}
         used = sorted(set(shard.values()))
         sizes = [sum(size[i] for i in own if shard[i] == s) for s in used]
-        runs = seats(sizes, quotas[no], [-(-z // block) * most for z in sizes])
+        runs = seats(sizes, quotas[no], [math.floor(-(-z // block) * most) for z in sizes])
         for s, z, run in zip(used, sizes, runs, strict=True):
             blocks = -(-z // block)
             first = spark_xxhash((seed + 2,), (no,), s) % blocks
@@ -348,6 +348,18 @@ def plain_mix(rows, per_shard=256, block=16, seed=17, most=2):
     return taken
 
 
+def test_mixing_with_a_broken_limit_reaches_its_targets(spark):
+    rows = corpus(260, 8)
+    got = mixing.mix_sources(table(spark, rows), docs_per_shard=64, share=1.4, most=1.5).collect()
+    taken = plain_mix([(r[0], r[1], r[3]) for r in rows], 64, most=1.5, share=1.4)
+    assert Counter((r.doc_id, r.taken) for r in got) == Counter((r[0], t) for r, t in zip(rows, taken, strict=True))
+    for source in {r.source for r in got}:
+        own = [r for r in got if r.source == source]
+        shards = max(1, -(-sum(r.size > 0 for r in own) // 64))
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 16 * (shards + 2)
+    assert max(r.taken / r.size for r in got if r.size) == 2
+
+
 @pytest.mark.parametrize("fan_out", [1024, 3])
 def test_mixing_matches_plain_version(spark, monkeypatch, fan_out):
     monkeypatch.setattr(mixing, "FAN_OUT", fan_out)
