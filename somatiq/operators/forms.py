@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CONFIG_SCHEMA = "domain string, domain_op string, dimension string, dimension_op string, ref string, reverse boolean, value_map map<string,double>"
@@ -70,6 +70,42 @@ def flatten_fields(form: dict) -> list[dict]:
     return out
 
 
+def flatten_forms(forms: DataFrame, document: str = "document", by: str = "form_id") -> DataFrame:
+    """by, place, depth, path, ref, type, field of all fields of a table of forms (JSON texts), breadth first in each form.
+
+    Fields of groups inside groups, at any depth: each level explodes the groups of the one above
+    it, for all forms at once, until none has groups. ``path`` has the place in each group on the
+    way down; ``place`` counts from 0 as :func:`flatten_fields` does. A form without fields, and
+    one that is NULL or no JSON, gives no rows.
+    """
+    inside = lambda raw, at: F.posexplode(F.from_json(F.get_json_object(raw, at), "array<string>")).alias("__at", "field")
+    level = forms.select(by, inside(F.col(document), "$.fields")).select(by, F.array("__at").alias("path"), "field")
+    levels = []
+    while True:
+        told = level.select(by, "path", F.get_json_object("field", "$.ref").alias("ref"), F.get_json_object("field", "$.type").alias("type"), "field")
+        levels.append(told)
+        groups = told.where((F.col("type") == "group") & F.get_json_object("field", "$.properties.fields[0]").isNotNull())
+        if groups.isEmpty():
+            break
+        level = groups.select(by, F.col("path").alias("__up"), inside(F.col("field"), "$.properties.fields")).select(by, F.concat("__up", F.array("__at")).alias("path"), "field")
+    every = levels[0]
+    for more in levels[1:]:
+        every = every.unionByName(more)
+    every = every.withColumn("depth", F.size("path"))
+    place = F.row_number().over(Window.partitionBy(by).orderBy("depth", "path")) - 1
+    return every.select(by, place.alias("place"), "depth", "path", "ref", "type", "field")
+
+
+def observed_ranges(answers: DataFrame, config: DataFrame) -> DataFrame:
+    """ref, low, high: the least and greatest score that answers (response_id, ref, answer) have before reversal.
+
+    For questions whose form tells no range: mapped answers by the question's map, others as numbers.
+    """
+    plain = F.when(F.col("value_map").isNotNull(), F.col("value_map")[F.col("answer")]).otherwise(F.col("answer").try_cast("double"))
+    maps = config.groupBy("ref").agg(F.first("value_map", ignorenulls=True).alias("value_map"))
+    return answers.join(maps, "ref").groupBy("ref").agg(F.min(plain).alias("low"), F.max(plain).alias("high"))
+
+
 def question_range(field_type: Column, start_at_one: Column, steps: Column, value_map: Column) -> tuple[Column, Column]:
     """(least, greatest) value of a question: of its map, or of an opinion scale; NULL for other types."""
     values = F.map_values(value_map)

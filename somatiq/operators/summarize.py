@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timing import micros, seconds_between
+from .byfile import by_file
 from .intervals import slice_join
 
 #: Reducers by the names that definitions use; all skip NULLs.
@@ -18,6 +20,25 @@ REDUCERS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+#: Reducers that users gave, by name: functions of the non-missing values of a sequence.
+USER_REDUCERS: dict[str, Callable[[np.ndarray], float]] = {}
+
+
+def register_reducer(name: str, function: Callable[[np.ndarray], float]) -> None:
+    """Let definitions use ``function`` under ``name``: it gets a sequence's values (never none) in time order."""
+    if name in REDUCERS:
+        raise ValueError(f"{name} is a built-in reducer")
+    USER_REDUCERS[name] = function
+
+
+def user_reducer(name: str | None) -> Callable[[np.ndarray], float] | None:
+    """A registered reducer, or any other function of numpy by its name; None if there is none."""
+    if name in USER_REDUCERS:
+        return USER_REDUCERS[name]
+    found = getattr(np, name.removeprefix("numpy."), None) if name and name.startswith("numpy.") else None
+    return found if callable(found) else None
+
+
 @dataclass
 class FeatureDefinition:
     """One feature: a reducer's name, or custom ``auc`` or ``linregress``, over some columns."""
@@ -33,7 +54,8 @@ class FeatureDefinition:
 def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, FeatureDefinition], names: list[str] | None = None) -> DataFrame:
     """file_id, reference, id (column_feature), value, status, long; features that are NULL everywhere are left out.
 
-    ``names`` select sequences by substring. A number as empty policy is the value of a feature
+    Reducers that are no built-in expression (registered ones, and functions of numpy) run as one
+    kernel over each sequence beside the expressions. ``names`` select sequences by substring. A number as empty policy is the value of a feature
     without samples; a text goes to the status column instead.
     """
     columns = sorted({c for d in definitions.values() for c in d.columns})
@@ -60,7 +82,7 @@ def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, F
                 areas[f"__a_{name}_{c}"] = F.when(ok, (micros("ts") - before_t) / 1e6 * (F.col(c) + before_v) / 2)
     joined = joined.withColumns(areas) if areas else joined
     duration = seconds_between(F.first("begin"), F.first("end"))
-    aggs, policies = [], {}
+    aggs, policies, kernels = [], {}, {}
     for name, d in definitions.items():
         for c in d.columns:
             good = ~F.coalesce(F.col("bad"), F.lit(False)) if d.drop_bad_samples and has_bad else F.lit(True)
@@ -74,6 +96,9 @@ def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, F
                 raise ValueError(f"unknown custom definition {d.custom!r}")
             elif d.reducer in REDUCERS:
                 made = {f"{c}_{name}": REDUCERS[d.reducer](x)}
+            elif (function := user_reducer(d.reducer)) is not None:
+                made = {f"{c}_{name}": F.first(f"{c}_{name}")}
+                kernels[f"{c}_{name}"] = (c, d.drop_bad_samples and has_bad, function)
             else:
                 raise ValueError(f"unknown reducer {d.reducer!r}")
             for key, value in made.items():
@@ -81,6 +106,8 @@ def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, F
                 filled = F.coalesce(value.cast("double"), F.lit(number).cast("double")) if number is not None else value.cast("double")
                 aggs.append((F.try_divide(filled, duration) if d.divide_by_duration else filled).alias(key))
                 policies[key] = d.empty_policy if isinstance(d.empty_policy, str) else None
+    if kernels:
+        joined = joined.join(_reduced(joined, kernels, has_bad), ["file_id", "reference"], "left")
     wide = joined.groupBy("file_id", "reference").agg(*aggs)
     long = wide.unpivot(["file_id", "reference"], list(policies), "id", "value")
     status = F.lit("ok")
@@ -91,6 +118,23 @@ def summarize(samples: DataFrame, sequences: DataFrame, definitions: dict[str, F
     return told.where(F.col("value").isNotNull() | (F.col("status") != "ok"))
 
 
+def _reduced(joined: DataFrame, kernels: dict[str, tuple[str, bool, Callable[[np.ndarray], float]]], has_bad: bool) -> DataFrame:
+    """file_id, reference and a column for each kernel: its value over the sequence's samples; NULL without samples."""
+    columns = sorted({c for c, _, _ in kernels.values()})
+
+    def run(c: dict[str, np.ndarray]) -> dict:
+        out = {}
+        for key, (column, drop, function) in kernels.items():
+            x = c[column][~np.isnan(c[column]) & ~(c["bad"] & drop)]
+            out[key] = float(function(x)) if len(x) else None
+        return out
+
+    bad = F.coalesce(F.col("bad"), F.lit(False)) if has_bad else F.lit(False)
+    told = joined.select("file_id", "reference", "ts", bad.alias("bad"), *(F.col(c).cast("double").alias(c) for c in columns))
+    kind = joined.schema["file_id"].dataType.simpleString()
+    return by_file(told, run, f"file_id {kind}, reference string, " + ", ".join(f"`{k}` double" for k in kernels), keys=("file_id", "reference"))
+
+
 def lead_columns(df: DataFrame, *first: str) -> DataFrame:
     """The named columns first, then the others in their order."""
     return df.select(*first, *[c for c in df.columns if c not in first])
@@ -108,7 +152,7 @@ def widen(long: DataFrame, by: list[str], ids: list[str]) -> DataFrame:
 def describe_features(features: DataFrame, dictionary: dict[str, tuple[str, str | None]]) -> DataFrame:
     """Adds name and units from a feature dictionary."""
     table = features.sparkSession.createDataFrame([(k, *v) for k, v in dictionary.items()], "id string, name string, units string")
-    return features.join(F.broadcast(table), "id")
+    return features.join(table, "id")
 
 
 #: Names and units of features.

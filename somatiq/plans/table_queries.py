@@ -70,9 +70,15 @@ def form_features(spark: SparkSession, sf: str) -> DataFrame:
     return r6(forms.form_features(_scores(spark, sf)), "value")
 
 
-@query("SELECT * FROM (VALUES ('pressure', 'urgency', 1.0::DOUBLE, 7.0::DOUBLE), ('pressure', 'effort', 1.0, 11.0), ('standing', 'plain', 1.0, 8.0), ('pressure', NULL, 2.0, 18.0), ('standing', NULL, 1.0, 8.0)) t(domain, dimension, low, high)")
+@query(f"""{_SC}, r AS (SELECT 'priority' AS ref, min(priority) AS low, max(priority) AS high FROM v UNION ALL SELECT 'status', min(2 - status), max(2 - status) FROM v UNION ALL SELECT 'scale', min(scale), max(scale) FROM v),
+    c(domain, dimension, ref) AS (VALUES ('pressure', 'urgency', 'priority'), ('pressure', 'urgency', 'status'), ('pressure', 'effort', 'scale'), ('standing', 'plain', 'priority'), ('standing', 'plain', 'scale')),
+    x AS (SELECT domain, dimension, CASE WHEN dimension = 'urgency' THEN sum(low) ELSE avg(low) END AS low, CASE WHEN dimension = 'urgency' THEN sum(high) ELSE avg(high) END AS high FROM c JOIN r USING (ref) GROUP BY domain, dimension)
+    SELECT domain, dimension, low::DOUBLE AS low, high::DOUBLE AS high FROM x
+    UNION ALL SELECT domain, NULL, CASE WHEN domain = 'pressure' THEN sum(low) ELSE avg(low) END, CASE WHEN domain = 'pressure' THEN sum(high) ELSE avg(high) END FROM x GROUP BY domain""")
 def score_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    return forms.score_ranges(_config(spark), _ranges(spark))
+    """The ranges that the answers of all customers show, rolled up the scoring tree."""
+    config = _config(spark)
+    return forms.score_ranges(config, forms.observed_ranges(_answers(spark, sf), config))
 
 
 _KINDS = ("number", "boolean", "choice", "choices", "text", "date", "file")
@@ -88,12 +94,17 @@ def answers_parse(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("o_orderkey", "kind", parsed["number"].alias("number"), parsed["flag"].cast("int").alias("flag"), parsed["label"].alias("label"), F.when(parsed["labels"].isNotNull(), F.size(parsed["labels"]).cast("long")).alias("n_labels"), parsed["known"].alias("known"))
 
 
-@query("SELECT conv_id AS form_id, count(*) AS fields, count(*) FILTER (role = 'user') AS questions, max(turn) AS deepest FROM conversations GROUP BY conv_id")
+@query("""WITH t AS (SELECT conv_id AS form_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS k FROM conversations),
+    d AS (SELECT form_id, 't' || turn AS ref, CASE WHEN role = 'user' THEN 'group' ELSE 'text' END AS type, k, 1 + count(*) FILTER (role = 'user') OVER (PARTITION BY form_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS depth FROM t)
+    SELECT form_id, row_number() OVER (PARTITION BY form_id ORDER BY depth, k) - 1 AS place, depth, ref, type FROM d""")
 def form_fields_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    """A conversation as a form of nested groups: packed into arrays, then flattened level by level."""
-    packed = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("fields"))
-    flat = packed.select(F.col("conv_id").alias("form_id"), F.explode("fields").alias("f")).select("form_id", "f.*")
-    return flat.groupBy("form_id").agg(F.count(F.lit(1)).alias("fields"), F.count_if(F.col("role") == "user").alias("questions"), F.max("turn").alias("deepest"))
+    """A conversation as a form: each user's turn is a group that holds all turns after it."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("turn", "role")))).alias("turns"))
+    head = lambda x, kind: F.concat(F.lit('{"ref": "t'), x["turn"].cast("string"), F.lit(f'", "type": "{kind}"'))
+    nested = F.aggregate("turns", F.lit(""), lambda acc, x: F.when(x["role"] == "user", F.concat(head(x, "group"), F.lit(', "properties": {"fields": ['), acc, F.lit("]}}"))).otherwise(F.concat(head(x, "text"), F.when(acc == "", "}").otherwise(F.concat(F.lit("}, "), acc)))))
+    packed = turns.select(F.col("conv_id").alias("form_id"), F.concat(F.lit('{"fields": ['), nested, F.lit("]}")).alias("document"))
+    flat = forms.flatten_forms(packed)
+    return flat.select("form_id", F.col("place").cast("long").alias("place"), F.col("depth").cast("long").alias("depth"), "ref", "type")
 
 
 @query("SELECT 'c' || conv_id AS token, min(turn) AS submitted_at, arg_min(length(text), turn) AS answers FROM conversations WHERE role <> 'system' GROUP BY conv_id")

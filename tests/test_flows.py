@@ -132,6 +132,28 @@ def test_summarize_rejects_unknown(spark):
             summarize.summarize(s, q, {"f": d})
 
 
+def test_reducers_of_users(spark):
+    import numpy as np
+
+    rows = [("f", at(k), float(v) if v is not None else None, k == 3) for k, v in enumerate([3, 1, None, 9, 5, 2])]
+    s = spark.createDataFrame(rows, "file_id string, ts timestamp_ntz, x double, bad boolean")
+    q = spark.createDataFrame([("f", "a_0", at(0), at(5)), ("f", "b_0", at(2), at(2)), ("g", "a_0", at(0), at(1))], "file_id string, id string, begin timestamp_ntz, end timestamp_ntz")
+    summarize.register_reducer("last_minus_first", lambda v: v[-1] - v[0])
+    with pytest.raises(ValueError):
+        summarize.register_reducer("numpy.sum", np.sum)
+    d = {
+        "range": summarize.FeatureDefinition("numpy.ptp", ["x"]),
+        "goodrange": summarize.FeatureDefinition("numpy.ptp", ["x"], drop_bad_samples=True, empty_policy="none there"),
+        "step": summarize.FeatureDefinition("last_minus_first", ["x"], divide_by_duration=True, empty_policy=-1.0),
+        "sum": summarize.FeatureDefinition("numpy.sum", ["x"]),
+    }
+    got = {(r.file_id, r.reference, r["id"]): (r.value, r.status) for r in summarize.summarize(s, q, d).collect()}
+    assert {k[2]: v for k, v in got.items() if k[:2] == ("f", "a_0")} == {"x_range": (8, "ok"), "x_goodrange": (4, "ok"), "x_step": (-0.2, "ok"), "x_sum": (20, "ok")}
+    assert got["g", "a_0", "x_goodrange"] == (None, "none there") and got["g", "a_0", "x_step"] == (-1, "ok") and ("g", "a_0", "x_range") not in got
+    with pytest.raises(ValueError):
+        summarize.summarize(s, q, {"f": summarize.FeatureDefinition("numpy.no_such_function", ["x"])})
+
+
 def test_peaks_of_plateaus(spark):
     values = [0.0, 1.0, 3.0, 3.0, 1.0, 0.0, 2.0, 0.0, None, 5.0, 5.0, 5.0, 0.0]
     rows = [("f", at(i), v) for i, v in enumerate(values)] + [("g", at(i), float(i)) for i in range(5)]

@@ -55,6 +55,25 @@ def test_flatten_fields():
     assert [f["ref"] for f in forms.flatten_fields(form)] == ["g", "c", "a", "h", "b"]
 
 
+def test_tables_of_nested_forms(spark):
+    import json
+    import random
+
+    rng = random.Random(4)
+
+    def fields(depth):
+        return [{"ref": f"r{rng.random()}", "type": "group", "properties": {"fields": fields(depth - 1)}} if depth and rng.random() < 0.5 else {"ref": f"r{rng.random()}", "type": "text"} for _ in range(rng.randint(0, 12))]
+
+    documents = {i: {"fields": fields(4)} for i in range(12)} | {98: {}, 99: {"fields": [{"ref": "g", "type": "group"}]}}
+    rows = [(i, json.dumps(d)) for i, d in documents.items()] + [(100, None), (101, "no json")]
+    got = {}
+    for r in forms.flatten_forms(spark.createDataFrame(rows, "form_id int, document string")).orderBy("form_id", "place").collect():
+        assert r.place == len(got.setdefault(r.form_id, []))
+        got[r.form_id].append(json.loads(r.field))
+    assert max(len(v) for v in got.values()) > 30
+    assert got == {i: flat for i, d in documents.items() if (flat := forms.flatten_fields(d))}
+
+
 def test_question_range(spark):
     rows = spark.createDataFrame([("opinion_scale", True, 11, None), ("opinion_scale", False, 5, None), ("multiple_choice", None, None, {"a": 0.0, "b": 5.0}), ("text", None, None, None)], "t string, o boolean, s int, m map<string,double>")
     low, high = forms.question_range(rows.t, rows.o, rows.s, rows.m)
