@@ -128,6 +128,21 @@ def test_find_peaks_matches_walking(seed):
         assert len(rows) == len(want) and np.ravel(rows) == pytest.approx(np.ravel(want))
 
 
+@pytest.mark.parametrize("size", [2, 7, 60, 61])
+def test_sliding_spectra_are_those_of_epochs(size):
+    rng = np.random.default_rng(size)
+    x = 900 + rng.normal(scale=40, size=500).cumsum()
+    for hop in (1, 3, size):
+        rows = spectral.epochs(x, size, size - hop)
+        want = spectral.power_density(rows, 4.0)[1].mean(0)
+        got = spectral.sliding_mean_power(x, 4.0, size, hop, np.arange(len(want)))
+        assert got == pytest.approx(want, rel=1e-8, abs=1e-9 * want.max())
+    for lo, hi in ((0.04, 0.4), (0.0, 2.0)):
+        band = spectral.band_powers(x, 4.0, {"b": (lo, hi)}, size / 4, size / 4 - 0.25)["b_abs"]
+        told = spectral.mean_band_power(x, 4.0, lo, hi, size / 4, size / 4 - 0.25)
+        assert told is None if np.isnan(band).all() else told == pytest.approx(band.mean(), rel=1e-6)
+
+
 def test_cubic_splines_sum_to_one():
     assert filters.cubic_splines(np.arange(300) / 4.0, 10.0).sum(1) == pytest.approx(np.ones(300))
 
