@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation
+from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation, missing_annotation
 from ..functions.timing import from_micros, micros, shift_seconds
 from ..kernels import filters, spectral
 from .byfile import by_file, groups_of, tasks_for
@@ -27,6 +27,26 @@ def convert_gsr(raw: DataFrame, column: str, slope: float = 1.0, offset: float =
     return raw.select("file_id", "ts", F.when(note == "", gsr_from_raw(x, slope, offset)).alias("gsr"), note.alias("annotation"))
 
 
+def standardize_channel(raw: DataFrame, device: str, name: str) -> DataFrame:
+    """file_id, ts, name, annotation: a device channel under its standard name, missing samples annotated."""
+    return raw.select("file_id", "ts", F.col(device).alias(name), missing_annotation(F.col(device)).alias("annotation"))
+
+
+def missing_ratios(signals: DataFrame, column: str) -> DataFrame:
+    """file_id, samples, missing, missing_ratio of a column."""
+    gone = F.count_if(F.col(column).isNull())
+    return signals.groupBy("file_id").agg(F.count(F.lit(1)).alias("samples"), gone.alias("missing"), (gone / F.count(F.lit(1))).alias("missing_ratio"))
+
+
+def with_annotations(signals: DataFrame, annotations: DataFrame, note: str = "note") -> DataFrame:
+    """Adds annotated, and the note of each sample that annotations (file_id, ts, note) mark ('' for others).
+
+    A sample that is marked more than once has the first of its notes by text.
+    """
+    marks = annotations.groupBy("file_id", "ts").agg(F.min(note).alias("__note"))
+    return signals.join(marks, ["file_id", "ts"], "left").withColumns({"annotated": F.col("__note").isNotNull(), note: F.coalesce("__note", F.lit(""))}).drop("__note")
+
+
 def session_bounds(events: DataFrame, warmup_seconds: float = 30) -> DataFrame:
     """file_id, opens, closes: first event minus, last event plus the warm-up."""
     return events.groupBy("file_id").agg(shift_seconds(F.min("ts"), -warmup_seconds).alias("opens"), shift_seconds(F.max("ts"), warmup_seconds).alias("closes"))

@@ -13,10 +13,11 @@ from ..functions.scalars import json_field, version_key
 SUCCESS, PARTIAL, FAILED, GRACEFUL, SKIPPED = "SUCCESS", "PARTIAL", "FAILED", "GRACEFUL_FAIL", "SKIPPED"
 
 
-def select_files(catalog: DataFrame, predicate: Column | str, seed: int | None = None, limit: int | None = None, order: str = "file_id") -> DataFrame:
+def select_files(catalog: DataFrame, predicate: Column | str, seed: int | None = None, limit: int | None = None, order: str | tuple[str, ...] = "file_id") -> DataFrame:
     """Files that satisfy a predicate, in order or shuffled by a seed, the first ``limit`` of them."""
+    by = (order,) if isinstance(order, str) else order
     out = catalog.where(predicate)
-    out = out.orderBy(F.xxhash64(F.col(order), F.lit(seed)), order) if seed is not None else out.orderBy(order)
+    out = out.orderBy(F.xxhash64(*by, F.lit(seed)), *by) if seed is not None else out.orderBy(*by)
     return out.limit(limit) if limit is not None else out
 
 

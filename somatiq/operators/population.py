@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 
 def union_all(tables: list[DataFrame | None]) -> DataFrame:
-    """All rows of all tables, by column name, missing columns NULL; None is passed over."""
+    """All rows of all tables, by column name, missing columns NULL; None is passed over.
+
+    Halves are joined, so that the plan of many tables is a shallow tree; columns come in the order
+    in which the tables bring them.
+    """
     some = [t for t in tables if t is not None]
     if not some:
         raise ValueError("nothing to merge")
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), some)
+    while len(some) > 1:
+        pairs = [some[i].unionByName(some[i + 1], allowMissingColumns=True) for i in range(0, len(some) - 1, 2)]
+        some = pairs + some[2 * len(pairs) :]
+    return some[0]
 
 
 def outer_join_all(tables: list[DataFrame], on: list[str]) -> DataFrame:

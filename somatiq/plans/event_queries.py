@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import behavior, events, survey, validate
+from ..operators import behavior, eda, events, survey, validate
 from ..operators.intervals import filter_sequences, number_occurrences, standard_order
 from .catalogue import query
 from .inputs import GAME_SQL, SEQ, SIG, game_events, game_sequences, r6, samples, sequences, us, visits
@@ -215,4 +215,4 @@ def validate_annotations(spark: SparkSession, sf: str) -> DataFrame:
 def annotations_join(spark: SparkSession, sf: str) -> DataFrame:
     s = samples(spark, sf)
     notes = s.where("label = 'error'").select("file_id", "ts", F.lit("electrode pop").alias("note"))
-    return s.select("file_id", "ts", "value").join(notes, ["file_id", "ts"], "left").select("file_id", us("ts"), "value", F.col("note").isNotNull().alias("annotated"), F.coalesce("note", F.lit("")).alias("note"))
+    return eda.with_annotations(s.select("file_id", "ts", "value"), notes).select("file_id", us("ts"), "value", "annotated", "note")

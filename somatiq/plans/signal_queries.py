@@ -261,12 +261,12 @@ def gsr_convert_saturation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {SIG}, {_RAW} SELECT file_id, epoch_us(ts) AS ts, x AS "PPG", CASE WHEN x IS NULL THEN 'unknown' ELSE '' END AS annotation FROM raw""")
 def standardize_signal(spark: SparkSession, sf: str) -> DataFrame:
-    return _gsr_raw(spark, sf).select("file_id", us("ts"), F.col("x").alias("PPG"), missing_annotation(F.col("x")).alias("annotation"))
+    return eda.standardize_channel(_gsr_raw(spark, sf), "x", "PPG").select("file_id", us("ts"), "PPG", "annotation")
 
 
 @query(f"WITH {SIG}, {_RAW} SELECT file_id, count(*) AS samples, count(*) FILTER (x IS NULL) AS missing, round(count(*) FILTER (x IS NULL) / count(*), 6) AS missing_ratio FROM raw GROUP BY file_id")
 def missing_ratios(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(_gsr_raw(spark, sf).groupBy("file_id").agg(F.count(F.lit(1)).alias("samples"), F.count_if(F.col("x").isNull()).alias("missing"), (F.count_if(F.col("x").isNull()) / F.count(F.lit(1))).alias("missing_ratio")), "missing_ratio")
+    return r6(eda.missing_ratios(_gsr_raw(spark, sf), "x"), "missing_ratio")
 
 
 _MASK = f"""WITH {SIG}, bounds AS (SELECT file_id, min(ts) - INTERVAL 30 SECOND AS o, max(ts) + INTERVAL 30 SECOND AS c FROM sig WHERE label = 'click' GROUP BY file_id),

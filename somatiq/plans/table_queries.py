@@ -199,7 +199,7 @@ def flow_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT page_id, url FROM pages ORDER BY url, page_id LIMIT 50")
 def dataset_limit_order(spark: SparkSession, sf: str) -> DataFrame:
     """The first files by path: the limit is the feature."""
-    return table(spark, sf, "pages").select("page_id", "url").orderBy("url", "page_id").limit(50)
+    return metadata.select_files(table(spark, sf, "pages").select("page_id", "url"), F.lit(True), limit=50, order=("url", "page_id"))
 
 
 _RUN_STATES = """WITH e AS (SELECT user_id, event_id, value, epoch_us(ts) AS t FROM events),

@@ -5,6 +5,7 @@ These extend the batch operators to unbounded input; the batch ones define the r
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,12 +36,12 @@ def pair_markers_stream(stream: DataFrame, begins: str, ends: str, late: str = "
             waiting += [(int(us), label == begins) for us, label in zip(frame["us"], frame["label"], strict=True)]
         waiting.sort(key=lambda m: m[0])
         passed = state.getCurrentWatermarkMs() * 1000
-        out = []
-        while waiting and waiting[0][0] <= passed:
-            us, is_begin = waiting.pop(0)
+        out, ready = [], bisect.bisect_right(waiting, passed, key=lambda m: m[0])
+        for us, is_begin in waiting[:ready]:
             if not is_begin and opened is not None:
                 out.append((key[0], opened, us))
             opened = us if is_begin else None
+        waiting = waiting[ready:]
         if opened is not None and opened + longest < passed:
             opened = None
         if opened is None and not waiting:

@@ -1,6 +1,12 @@
 import datetime
+import random
 import time
 
+import pytest
+from pyspark.sql import functions as F
+
+from somatiq.operators import signal
+from somatiq.streaming import peaks
 from somatiq.streaming.windows import pair_markers_stream, windowed_features
 
 T0 = datetime.datetime(2020, 1, 1)
@@ -41,3 +47,31 @@ def test_windows_in_a_stream(spark, tmp_path):
     rows = [("f", s, "x", float(s)) for s in (0, 60, 400, 700)]
     got = drain(windowed_features(source(spark, tmp_path, rows), "value"), "windows", "complete")
     assert {((r.begin - T0).seconds, r.n, r.mean) for r in got} == {(0, 2, 30.0), (300, 1, 400.0), (600, 1, 700.0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stream_of_peaks_equals_batch(spark, tmp_path, seed):
+    """Shuffled arrival within the watermark, files one after the other, and a restart from the checkpoint in between."""
+    rng = random.Random(seed)
+    rows = [(f, T0 + datetime.timedelta(seconds=7 * i + (f == "g") * 3), rng.choice([1.0, 2.0, 3.0, 5.0]) + rng.random()) for f in "fg" for i in range(120)]
+    rows.sort(key=lambda r: (r[1] + datetime.timedelta(seconds=rng.uniform(0, 100))))
+    schema = "file_id string, ts timestamp, value double"
+    folder, state, out = (str(tmp_path / c) for c in ("in", "state", "out"))
+    peaks.use_state_store(spark)
+
+    def run(name, part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").json(f"{folder}/{name}")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{folder}/*")
+        found = peaks.adaptive_peaks_stream(stream, 0.7, 60.0, 5, late="2 minutes", expire="100 days")
+        query = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+        assert query.awaitTermination(180)
+
+    for k in range(3):
+        run(f"part{k}", rows[80 * k : 80 * k + 80])
+    # A marker far ahead lets the watermark pass everything else.
+    run("end", [("z", T0 + datetime.timedelta(days=2), 1.0)])
+    run("later", [("z", T0 + datetime.timedelta(days=2, seconds=1), 1.0)])
+    got = sorted((r.file_id, r.ts, round(r.value, 9), round(r.threshold, 9)) for r in spark.read.parquet(out).where("file_id <> 'z'").collect())
+    batch = signal.adaptive_peaks(spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz")), "value", 0.7, 60.0, 5)
+    want = sorted((r.file_id, r.ts, round(r.value, 9), round(r.threshold, 9)) for r in batch.collect())
+    assert len(want) > 40 and got == want
