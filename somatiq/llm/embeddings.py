@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable
@@ -216,10 +216,15 @@ def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float = 0
     rng = np.random.default_rng(seed)
     tables = Tables(np.zeros(dims), [learn_rotation(sample, rng) for _ in range(rotations)], bits)
     fit_radius(tables, known + made, miss)
-    # Any turn will do here: the chance that a pair meets is the same for each of them.
+    # Any turn will do here: the chance that a pair meets is the same for each of them. Recall counts links, the
+    # radius pairs; where that keeps them apart for long, the radius takes in all known pairs.
+    most = 8 * rotations + 32
     while any(p.recall(tables) < recall for p in (known if told else known + made)):
+        if len(tables.axes) >= most:
+            reached = min(p.recall(tables) for p in (known if told else known + made))
+            raise RuntimeError(f"{most} rotations of {bits} bits a table reach a recall of {reached:.3f}, not {recall}")
         tables.axes.append(learn_rotation(sample, rng, rounds=0))
-        fit_radius(tables, known + made, miss)
+        fit_radius(tables, known + made, miss if len(tables.axes) < most // 2 else 0.0)
     return tables
 
 
@@ -227,12 +232,19 @@ def _unit(values: np.ndarray) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
+def _mark(vector: str) -> list[Column]:
+    """Two hashes of a vector: of n different ones some pair agrees in both with a chance of n ** 2 / 2 ** 129."""
+    return [F.xxhash64(vector).alias("mark"), F.xxhash64(F.lit("second half"), vector).alias("mark2")]
+
+
 def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     usable = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    # One vertex for each distinct vector; ids may repeat, so vertices are numbered as they are written.
-    distinct = rows.where(usable).groupBy("v").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+    # One vertex for each distinct vector, told apart by 128 bits; ids may repeat, so vertices are numbered as they
+    # are written. Vectors are shuffled once, here, and rows meet their vertices by these bits.
+    marked = rows.where(usable).select("vec_id", "v", *_mark("v"))
+    distinct = marked.groupBy("mark", "mark2").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("v").alias("v"))
     vertices = durable(distinct.withColumn("vertex", F.monotonically_increasing_id()), "itq-vertices")
     sizes = vertices.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()
     parts = []
@@ -250,12 +262,12 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: flo
     found = durable(found, "itq-found")
     counts = found.groupBy("vertex").agg(F.sum("gained").alias("gained"))
     component = connected_components(found.where("least < vertex").select(F.col("vertex").alias("a"), F.col("least").alias("b")))
-    placed = vertices.join(counts, "vertex", "left").join(component.withColumnRenamed("node", "vertex"), "vertex", "left").select("v", "least_id", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vertex").alias("component"))
+    placed = vertices.join(counts, "vertex", "left").join(component.withColumnRenamed("node", "vertex"), "vertex", "left").select("mark", "mark2", "least_id", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vertex").alias("component"))
     placed = durable(placed, "itq-placed")
     # Written, so that the join shuffles both sides itself and may split a hot component.
     smallest = durable(placed.groupBy("component").agg(F.min("least_id").alias("component_id")), "itq-smallest")
-    told = placed.join(smallest, "component").select("v", "links", "component_id")
-    whole = rows.where(usable).join(told, "v").select("vec_id", F.col("links").cast("long").alias("n_links"), "component_id")
+    told = placed.join(smallest, "component").select("mark", "mark2", "links", "component_id")
+    whole = marked.drop("v").join(told, ["mark", "mark2"]).select("vec_id", F.col("links").cast("long").alias("n_links"), "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return whole.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
