@@ -39,7 +39,7 @@ def _own_dir() -> str:
     return path
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+def durable(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     Unlike an executor-local copy, the files outlive any executor, and the reread table has a
@@ -48,7 +48,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.durable_path = path
     store, target = _stored(spark, path)

@@ -48,21 +48,22 @@ def fingerprint(text: Column) -> Column:
     return digest128(canonical(text))
 
 
-def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    canon = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical(F.col(text_col).cast("string")).alias("canon"))
-    return canon.select("doc_id", "canon", digest128(F.col("canon")).alias("digest"))
+def digested(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text (null: empty), digest of each row of docs, written once: no later step digests a document again."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return durable(rows.withColumn("digest", fingerprint(F.col("text"))), "fp-texts", "zstd")
 
 
-def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digest_groups(texts: DataFrame) -> DataFrame:
     """digest, variant, canon, group_id (smallest id of the group), copies: a row for each distinct canonical text.
 
-    Digests are counted first; only texts whose digest has company are grouped by their bytes,
-    which Spark combines within each map task. canon is null unless different texts share the
+    texts: as :func:`digested` gives them. Digests are counted first; only texts whose digest has
+    company are made canonical again and grouped by their bytes, which Spark combines within each map task. canon is null unless different texts share the
     digest; these are variants 0, 1 and so on, by their smallest ids, then by their bytes.
     """
-    counted = durable(_digested(docs, id_col, text_col).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id")), "fp-digests")
+    counted = durable(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id")), "fp-digests")
     company = counted.where("copies > 1").select("digest")
-    texts = _digested(docs, id_col, text_col).join(company, "digest", "left_semi").groupBy("digest", "canon").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id"))
+    texts = texts.join(company, "digest", "left_semi").groupBy("digest", canonical(F.col("text")).alias("canon")).agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("group_id"))
     # Where a digest has one text only, as is all but certain, the text has done its duty.
     of_digest = Window.partitionBy("digest")
     by_bytes = F.row_number().over(of_digest.orderBy(F.col("group_id").asc_nulls_last(), "canon")) - 1
@@ -89,8 +90,9 @@ def _by_fingerprint(groups: DataFrame) -> DataFrame:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint, variant, group_id (smallest id of the group), copies for each row of docs."""
-    groups = digest_groups(docs, id_col, text_col)
-    named = _named(_digested(docs, id_col, text_col), groups, "canon", "digest", "fingerprint").select("doc_id", "fingerprint")
+    texts = digested(docs, id_col, text_col)
+    groups = digest_groups(texts)
+    named = _named(texts.withColumn("canon", canonical(F.col("text"))), groups, "canon", "digest", "fingerprint").select("doc_id", "fingerprint")
     return named.join(_by_fingerprint(groups), "fingerprint").select("doc_id", "fingerprint", "variant", "group_id", "copies")
 
 
@@ -138,10 +140,10 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal fingerprints stand for equal canonical bytes: documents through :func:`digest_groups`,
     a document and its edited text by a comparison of the two.
     """
-    groups = digest_groups(docs, id_col, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("canon", canonical(F.col("text"))).withColumn("digest", digest128(F.col("canon")))
-    rows = _named(rows, groups, "canon", "digest", "fingerprint").drop("canon", "digest")
+    texts = digested(docs, id_col, text_col)
+    groups = digest_groups(texts)
+    # The canonical form is made only where there are variants to tell apart.
+    rows = _named(texts.withColumn("canon", canonical(F.col("text"))), groups, "canon", "digest", "fingerprint").drop("canon", "digest")
     # Null ids are spread by their fingerprints, so that they don't all stand in one block.
     spread = F.conv(F.left("fingerprint", F.lit(5)), 16, 10).cast("long") * 1024
     linked = with_successor(rows, F.coalesce(F.col("doc_id"), F.lit(1 << 62) + spread), ["fingerprint", "text"])
