@@ -27,29 +27,67 @@ def pair_markers(events: DataFrame, begins: Column, ends: Column, name: Column,
     return pairs.select("file_id", "name", F.concat_ws("_", "name", F.row_number().over(k) - 1).alias("id"), F.col("ts").alias("begin"), "end")
 
 
-def slice_join(sequences: DataFrame, samples: DataFrame, how: str = "left", bucket_seconds: float | None = None) -> DataFrame:
+#: Session setting: how sequences meet samples where a call does not say (``file`` or ``measured``).
+BUCKETS = "somatiq.intervals.buckets"
+#: A sequence of a level touches SHARE to 4 * SHARE + 1 of its buckets, so a bucket is at most a SHARE-th of it.
+SHARE = 16
+
+
+def slice_join(sequences: DataFrame, samples: DataFrame, how: str = "left", bucket_seconds: float | None = None, buckets: str | None = None) -> DataFrame:
     """Samples of each sequence, both ends inclusive; ``left`` keeps sequences without samples.
 
-    sequences: file_id, id, begin, end; samples: file_id, ts and more. Sequences may overlap. The
-    join is an equi-join on the file with the range as residual. For recordings with very many
-    samples and sequences, ``bucket_seconds`` adds time buckets to the equality: a sequence is
-    copied to each bucket that it touches, so that a sample meets only sequences near it.
+    sequences: file_id, id, begin, end; samples: file_id, ts and more. Sequences may overlap; those
+    with an open or a reversed end hold no samples. ``buckets`` says how the two meet, with the same
+    rows (the session's ``somatiq.intervals.buckets`` where it is None):
+
+    ``file``      an equi-join on the file with the range as residual: one shuffle, for recordings
+                  with some dozens of sequences.
+    ``measured``  time buckets measured from the sequences' own lengths, for recordings with very
+                  many samples or sequences. Lengths fall into levels of a factor of four; a sequence
+                  goes to the 16 to 65 buckets of its level that it touches, a sample to its bucket
+                  in each level in use. A sample meets only sequences that hold it or end within a
+                  16th of their length from it, so work follows the result and not samples times
+                  sequences, and a recording is spread over its buckets.
+
+    ``bucket_seconds`` sets one fixed length of buckets instead.
     """
     q = sequences.select("file_id", F.col("id").alias("reference"), "begin", "end")
     s = samples.withColumnRenamed("file_id", "__file")
     inside = F.col("ts").between(F.col("begin"), F.col("end"))
-    if bucket_seconds is None:
-        return q.join(s, (F.col("file_id") == F.col("__file")) & inside, how).drop("__file")
-    step = int(bucket_seconds * 1e6)
-    bucket = lambda c: F.floor(micros(c) / F.lit(step)).cast("long")
-    spread = q.withColumn("__b", F.explode(F.sequence(bucket("begin"), bucket("end"))))
-    met = spread.join(s.withColumn("__c", bucket("ts")), (F.col("file_id") == F.col("__file")) & (F.col("__b") == F.col("__c")) & inside).drop("__file", "__b", "__c")
+    same_file = F.col("file_id") == F.col("__file")
+    buckets = buckets or sequences.sparkSession.conf.get(BUCKETS, "file")
+    if buckets not in ("file", "measured"):
+        raise ValueError(f"no such way to meet: {buckets}")
+    if bucket_seconds is None and buckets == "file":
+        return q.join(s, same_file & inside, how).drop("__file")
+    if bucket_seconds is not None:
+        step = int(bucket_seconds * 1e6)
+        bucket = lambda c: F.floor(micros(c) / F.lit(step)).cast("long")
+        spread = q.where("begin <= end").withColumn("__b", F.explode(F.sequence(bucket("begin"), bucket("end"))))
+        met = spread.join(s.withColumn("__c", bucket("ts")), same_file & (F.col("__b") == F.col("__c")) & inside)
+    else:
+        met = _measured_join(q.where("begin <= end"), s, same_file & inside)
+    met = met.drop("__file", "__b", "__c", "__level", "__on")
     if how == "inner":
         return met
-    lost = q.join(met.select(F.col("file_id").alias("__f"), F.col("reference").alias("__r")).distinct(), (F.col("file_id") == F.col("__f")) & (F.col("reference") == F.col("__r")), "left_anti")
+    lost = q.join(met.select(F.col("file_id").alias("__f"), F.col("reference").alias("__r")).distinct(), (F.col("file_id") == F.col("__f")) & F.col("reference").eqNullSafe(F.col("__r")), "left_anti")
     return met.unionByName(lost, allowMissingColumns=True)
 
 
+def _measured_join(q: DataFrame, s: DataFrame, matches: Column) -> DataFrame:
+    """Each sequence in the buckets of its level, each sample in one bucket of every level in use."""
+    # Buckets of level k are 4 ** k microseconds long; shifts keep the arithmetic whole.
+    length = F.greatest(micros("end") - micros("begin"), F.lit(SHARE)).cast("double")
+    level = F.greatest(F.floor(F.log2(length / SHARE) / 2), F.lit(0)).cast("int")
+    bucket = lambda c, k: F.call_function("shiftright", micros(c), 2 * k)
+    levelled = q.withColumn("__level", level)
+    spread = levelled.withColumn("__b", F.explode(F.sequence(bucket("begin", F.col("__level")), bucket("end", F.col("__level")))))
+    # At most 30 levels: a list of one row, which Spark works out as part of the query.
+    levels = levelled.select("__level").distinct().agg(F.collect_list("__level").alias("levels")).scalar()
+    placed = s.withColumn("__on", F.explode(levels)).withColumn("__c", bucket("ts", F.col("__on")))
+    return spread.join(placed, matches & (F.col("__level") == F.col("__on")) & (F.col("__b") == F.col("__c")))
+
+
 def filter_sequences(sequences: DataFrame, selection: list[str] | None = None, exclude: str | None = None, names_contain: str | None = None) -> DataFrame:
     """Complete sequences by membership of their id, by substring, and against a blacklist pattern."""
     out = sequences.where(F.col("end").isNotNull())

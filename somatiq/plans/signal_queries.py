@@ -451,6 +451,13 @@ def interval_join_empty_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return slice_join(sequences(spark, sf), clicks, "left", bucket_seconds=86400.0).select("file_id", "reference", us("ts"), "value")
 
 
+@query(f"WITH {SIG}, {SEQ} SELECT q.file_id, q.id AS reference, epoch_us(s.ts) AS ts, s.value FROM seq q LEFT JOIN sig s ON s.file_id = q.file_id AND s.ts BETWEEN q.b AND q.e AND s.label = 'error'")
+def interval_join_measured(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequences from seconds to weeks, each in time buckets of its own length."""
+    errors = samples(spark, sf).where("label = 'error'").select("file_id", "ts", "value")
+    return slice_join(sequences(spark, sf), errors, "left", buckets="measured").select("file_id", "reference", us("ts"), "value")
+
+
 _DEFINITIONS = {
     "sum": summarize.FeatureDefinition("numpy.sum", ["value"], divide_by_duration=True, empty_policy=0.0),
     "median": summarize.FeatureDefinition("numpy.nanmedian", ["value"], drop_bad_samples=True, empty_policy="bad"),
