@@ -127,7 +127,7 @@ def huber_line(x: np.ndarray, y: np.ndarray, bound: float = 1.345, tolerance: fl
     for _ in range(rounds):
         rest = y - design @ beta
         scale = np.median(np.abs(rest - np.median(rest))) / 0.6744897501960817
-        if scale <= 0:
+        if scale <= 1e-12 * np.max(np.abs(y)):  # most samples lie on the line
             break
         u = np.abs(rest) / scale
         weight = np.where(u <= bound, 1.0, bound / np.maximum(u, 1e-300))

@@ -307,9 +307,28 @@ def linear_trend_ols(spark: SparkSession, sf: str) -> DataFrame:
     return r6(got, "slope", "r").withColumn("intercept", F.round("intercept", 4))
 
 
-@query()
+#: Reweighted lines: each round weighs the samples by their residuals, until the line rests or the scale is nil.
+_HUBER = f"""WITH RECURSIVE {SIG}, {SEQ}, j AS (SELECT q.file_id, q.id AS reference, s.value::DOUBLE AS y, (epoch_us(s.ts) - min(epoch_us(s.ts)) OVER (PARTITION BY q.file_id, q.id)) / 1e6 AS x FROM seq q JOIN sig s ON s.file_id = q.file_id AND s.ts BETWEEN q.b AND q.e),
+    sound AS (SELECT file_id, reference, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, corr(y, x) AS r, max(abs(y)) AS top FROM j GROUP BY ALL),
+    it AS (SELECT file_id, reference, x, y, top, slope, intercept, 0 AS k, FALSE AS done FROM j JOIN sound USING (file_id, reference) WHERE slope IS NOT NULL
+      UNION ALL
+      SELECT file_id, reference, x, y, top, CASE WHEN nil THEN slope ELSE b END, CASE WHEN nil THEN intercept ELSE my - b * mx END, k + 1, nil OR greatest(abs(b - slope), abs(my - b * mx - intercept)) < 1e-6
+      FROM (SELECT *, sum(wt * (x - mx) * (y - my)) OVER g / sum(wt * (x - mx) ** 2) OVER g AS b
+        FROM (SELECT *, sum(wt * x) OVER g / sum(wt) OVER g AS mx, sum(wt * y) OVER g / sum(wt) OVER g AS my
+          FROM (SELECT *, scale <= 1e-12 * top AS nil, CASE WHEN scale <= 1e-12 * top OR abs(rest) <= 1.345 * scale THEN 1.0 ELSE 1.345 * scale / abs(rest) END AS wt
+            FROM (SELECT *, quantile_cont(abs(rest - mid), 0.5) OVER g / 0.6744897501960817 AS scale
+              FROM (SELECT *, quantile_cont(rest, 0.5) OVER g AS mid FROM (SELECT *, y - slope * x - intercept AS rest FROM it WHERE NOT done AND k < 50) WINDOW g AS (PARTITION BY file_id, reference))
+              WINDOW g AS (PARTITION BY file_id, reference)))
+          WINDOW g AS (PARTITION BY file_id, reference))
+        WINDOW g AS (PARTITION BY file_id, reference))),
+    line AS (SELECT file_id, reference, arg_max(slope, k) AS slope, arg_max(intercept, k) AS intercept FROM it GROUP BY ALL)
+    SELECT file_id, reference, round(line.slope, 9) + 0.0 AS slope, round(line.intercept, 4) AS intercept, round(r, 6) + 0.0 AS r FROM sound LEFT JOIN line USING (file_id, reference)"""
+
+
+@query(_HUBER)
 def linear_trend_robust(spark: SparkSession, sf: str) -> DataFrame:
-    return eda.trend_robust(samples(spark, sf).select("file_id", "ts", "value"), filter_sequences(sequences(spark, sf), names_contain="session"), "value")
+    got = eda.trend_robust(samples(spark, sf).select("file_id", "ts", "value"), sequences(spark, sf), "value")
+    return r6(got, "r").withColumns({"slope": F.round("slope", 9) + F.lit(0.0), "intercept": F.round("intercept", 4)})
 
 
 def _peaks(spark: SparkSession, sf: str) -> DataFrame:
