@@ -172,15 +172,36 @@ def peak_properties(spark: SparkSession, sf: str) -> DataFrame:
     return signal.peak_properties(_stepped(spark, sf), "value").select("file_id", us("ts"), "peak_sample", "height", "plateau_size", "left_base", "right_base", "prominence")
 
 
-@query()
+_SSF = """d AS (SELECT file_id, ts, greatest(value - coalesce(lag(value) OVER w, 0), 0) AS d, row_number() OVER w AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
+    x AS (SELECT file_id, ts, coalesce(CASE WHEN n >= 4 THEN sum(d) OVER (PARTITION BY file_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) END, 0) AS v FROM d)"""
+
+
+@query(f"""WITH RECURSIVE {SIG}, {_SSF}, {_TOPS}, {_bases()},
+    ranked AS (SELECT file_id, m, p, v, row_number() OVER (PARTITION BY file_id ORDER BY v DESC, m DESC) AS k FROM based),
+    apart AS (
+      SELECT DISTINCT file_id, 0::BIGINT AS k, []::BIGINT[] AS stay FROM ranked
+      UNION ALL
+      SELECT a.file_id, c.k, CASE WHEN len(list_filter(a.stay, lambda z: abs(z - c.m) < 3)) = 0 THEN list_append(a.stay, c.m) ELSE a.stay END FROM apart a JOIN ranked c ON c.file_id = a.file_id AND c.k = a.k + 1),
+    stays AS (SELECT file_id, unnest(stay) AS m FROM (SELECT file_id, arg_max(stay, k) AS stay FROM apart GROUP BY file_id)),
+    high AS (SELECT b.file_id, c.ts, b.v FROM based b JOIN stays USING (file_id, m) JOIN nx c ON c.file_id = b.file_id AND c.p = b.p WHERE b.v - greatest(lo_v, hi_v) >= 0.01),
+    opens AS (SELECT file_id, min(ts) + INTERVAL 86400 SECOND AS until FROM sig GROUP BY file_id),
+    cand AS (SELECT file_id, ts, v, row_number() OVER (PARTITION BY file_id ORDER BY ts) AS k, until FROM high JOIN opens USING (file_id)),
+    base AS (SELECT file_id, coalesce(0.5 * max(v) FILTER (ts <= until), 0) AS thr, coalesce(max(k) FILTER (ts <= until), 0) AS k FROM cand GROUP BY file_id),
+    early AS (SELECT c.file_id, c.k, c.ts, c.v, b.thr FROM cand c JOIN base b USING (file_id) WHERE ts <= until AND v > b.thr),
+    mems AS (SELECT file_id, list(v ORDER BY k)[-5:] AS mem FROM early GROUP BY file_id),
+    r AS (
+      SELECT b.file_id, b.k, coalesce(mem, []::DOUBLE[]) AS mem, b.thr, FALSE AS kept, NULL::TIMESTAMP AS ts, NULL::DOUBLE AS v FROM base b LEFT JOIN mems USING (file_id)
+      UNION ALL
+      SELECT r.file_id, c.k, CASE WHEN c.v > r.thr THEN list_append(r.mem, c.v)[-5:] ELSE r.mem END, CASE WHEN c.v > r.thr THEN 0.5 * list_aggregate(list_append(r.mem, c.v)[-5:], 'median') ELSE r.thr END, c.v > r.thr, c.ts, c.v FROM r JOIN cand c ON c.file_id = r.file_id AND c.k = r.k + 1)
+    SELECT file_id, epoch_us(ts) AS ts, round(v, 6) AS value, round(thr, 6) AS threshold FROM r WHERE kept UNION ALL SELECT file_id, epoch_us(ts), round(v, 6), round(thr, 6) FROM early""")
 def ssf_peaks(spark: SparkSession, sf: str) -> DataFrame:
     """Peaks of the slope sum by distance and prominence, then by the moving threshold of the whole recording."""
     ssf = signal.slope_sum(samples(spark, sf).select("file_id", "ts", "value"), "value", 4)
-    return signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", 3600.0), "value", 0.5, 86400.0, start=F.col("start")).select("file_id", us("ts"), "value", "threshold")
+    got = signal.adaptive_peaks(signal.slope_sum_peaks(ssf, "ssf", 3600.0), "value", 0.5, 86400.0, start=F.col("start"))
+    return r6(got.select("file_id", us("ts"), "value", "threshold"), "value", "threshold")
 
 
-@query(f"""WITH RECURSIVE {SIG}, d AS (SELECT file_id, ts, greatest(value - coalesce(lag(value) OVER w, 0), 0) AS d, row_number() OVER w AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
-    x AS (SELECT file_id, ts, coalesce(CASE WHEN n >= 4 THEN sum(d) OVER (PARTITION BY file_id ORDER BY ts ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) END, 0) AS v FROM d), {_TOPS},
+@query(f"""WITH RECURSIVE {SIG}, {_SSF}, {_TOPS},
     cand AS (SELECT file_id, ts, v, row_number() OVER w AS k, min(ts) OVER (PARTITION BY file_id) + INTERVAL 86400 SECOND AS until FROM tops WINDOW w AS (PARTITION BY file_id ORDER BY ts)),
     base AS (SELECT file_id, 0.5 * max(v) AS thr, max(k) AS k FROM cand WHERE ts <= until GROUP BY file_id),
     early AS (SELECT c.file_id, c.k, c.ts, c.v, b.thr FROM cand c JOIN base b USING (file_id) WHERE ts <= until AND v > b.thr),
@@ -374,13 +395,13 @@ def respiration_features(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in _RESP})
 
 
-def _fir_sql(order: int, frequencies: list[float], kind: str = "lowpass") -> str:
+def _fir_sql(order: int, frequencies: list[float], kind: str = "lowpass", table: str = "sig") -> str:
     """fir(file_id, ts, value, y): the filter forward and backward over lists, with odd reflection at both ends."""
     taps = filters.fir_taps(order, 1.0, frequencies, kind).tolist()
     n = len(taps)
     once = "list_reverse(list_transform(range(1, len({0}) + 1), lambda i: list_inner_product((list_concat({1}, {0}))[i:i + {2}], {3})))"
     zeros, back = str([0.0] * (n - 1)), str(taps[::-1])
-    return f"""l0 AS (SELECT file_id, list(value::DOUBLE ORDER BY ts) AS l, list(ts ORDER BY ts) AS stamps, count(*) AS n, least({3 * n}, count(*) - 1) AS pad FROM sig GROUP BY file_id),
+    return f"""l0 AS (SELECT file_id, list(value::DOUBLE ORDER BY ts) AS l, list(ts ORDER BY ts) AS stamps, count(*) AS n, least({3 * n}, count(*) - 1) AS pad FROM {table} GROUP BY file_id),
     l1 AS (SELECT *, list_concat(list_concat(list_transform(range(pad, 0, -1), lambda i: 2 * l[1] - l[i + 1]), l), list_transform(range(1, pad + 1), lambda i: 2 * l[n] - l[n - i])) AS wide FROM l0),
     l2 AS (SELECT *, {once.format("wide", zeros, n - 1, back)} AS z FROM l1), l3 AS (SELECT *, {once.format("z", zeros, n - 1, back)} AS z2 FROM l2),
     fir AS (SELECT file_id, unnest(stamps) AS ts, unnest(l) AS value, unnest(CASE WHEN n < 2 THEN l ELSE z2[pad + 1:pad + n] END) AS y FROM l3)"""
@@ -430,12 +451,30 @@ def bandpower(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("value_low_abs", "value_high_abs")})
 
 
-@query()
+_KNOWN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+@query(f"""{_MASK}, {_RAW}, lost AS (SELECT file_id, ts, CASE WHEN file_id % 7 = 0 AND x > -100 THEN NULL ELSE x END AS x FROM raw),
+    inside AS (SELECT file_id, ts, o IS NOT NULL AND (ts <= o OR ts >= c) AS beyond, 1000.0 / nullif(2 * x + 1, 0) AS gsr, CASE WHEN x IS NULL THEN 'unknown' ELSE '' END AS note FROM lost LEFT JOIN bounds USING (file_id)),
+    held AS (SELECT file_id, ts, CASE WHEN NOT beyond THEN gsr END AS gsr, CASE WHEN beyond THEN 'outside_session' ELSE note END AS note FROM inside),
+    states AS (SELECT file_id, CASE WHEN avg(CASE WHEN note <> '' THEN 1.0 ELSE 0.0 END) FILTER (note <> 'outside_session') > 0.6 THEN 'corrupted' ELSE 'ok' END AS status FROM held GROUP BY file_id),
+    far AS (SELECT *, coalesce(abs((gsr - avg(gsr) OVER w) / nullif(stddev_samp(gsr) OVER w, 0)) > 5, FALSE) AS off FROM held WINDOW w AS (PARTITION BY file_id)),
+    noted AS (SELECT file_id, ts, CASE WHEN NOT off THEN gsr END AS gsr, CASE WHEN off THEN 'outliers' ELSE note END AS annotation, (row_number() OVER (PARTITION BY file_id ORDER BY ts))::DOUBLE AS i FROM far),
+    ends AS (SELECT *, last_value(gsr IGNORE NULLS) OVER a AS ya, max(CASE WHEN gsr IS NOT NULL THEN i END) OVER a AS ia, last_value(gsr IGNORE NULLS) OVER b AS yb, min(CASE WHEN gsr IS NOT NULL THEN i END) OVER b AS ib
+      FROM noted WINDOW a AS (PARTITION BY file_id ORDER BY i {_KNOWN}), b AS (PARTITION BY file_id ORDER BY i DESC {_KNOWN})),
+    bridged AS (SELECT file_id, ts, coalesce(gsr, ya + (yb - ya) * (i - ia) / (ib - ia), ya, yb) AS value FROM ends WHERE ya IS NOT NULL OR yb IS NOT NULL), {_fir_sql(10, [0.3], table="bridged")},
+    num AS (SELECT n.file_id, n.ts, n.i AS x, CASE WHEN n.gsr IS NOT NULL THEN y END AS raw FROM noted n LEFT JOIN fir f ON f.file_id = n.file_id AND f.ts = n.ts), pts AS (SELECT file_id, x, raw AS y FROM num WHERE raw IS NOT NULL), {_CUBIC},
+    near AS (SELECT n.file_id, n.ts, n.raw, s.y, s.h, s.m, s.y1, s.m1, (n.x - s.x) / s.h AS t FROM num n ASOF LEFT JOIN sp s ON s.file_id = n.file_id AND s.x <= n.x),
+    full_ AS (SELECT file_id, ts, raw, coalesce(raw, {_VALUE}) AS clean FROM near),
+    z AS (SELECT *, (clean - avg(clean) OVER w) / nullif(stddev_pop(clean) OVER w, 0) AS z FROM full_ WINDOW w AS (PARTITION BY file_id))
+    SELECT n.file_id, epoch_us(n.ts) AS ts, round(gsr, 6) + 0.0 AS gsr, annotation, status, round(CASE WHEN status = 'ok' THEN raw END, 5) + 0.0 AS gsr_filtered, round(CASE WHEN status = 'ok' THEN clean END, 5) + 0.0 AS gsr_filtered_clean, round(CASE WHEN status = 'ok' THEN z END, 5) + 0.0 AS gsr_filtered_clean_zscored
+    FROM noted n JOIN states USING (file_id) JOIN z ON z.file_id = n.file_id AND z.ts = n.ts""")
 def gsr_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Every seventh file has lost most of its samples, and is told to be corrupted."""
     x = F.when((F.col("file_id") % 7 == 0) & (F.col("x") > -100), F.lit(None)).otherwise(F.col("x"))
     noted = _gsr_raw(spark, sf).select("file_id", "ts", gsr_from_raw(x, 2.0, 1.0).alias("gsr"), missing_annotation(x).alias("annotation"))
-    return eda.clean(noted, samples(spark, sf).where("label = 'click'"), 1.0, order=10, cutoff=0.3).withColumn("ts", us("ts"))
+    got = r6(eda.clean(noted, samples(spark, sf).where("label = 'click'"), 1.0, order=10, cutoff=0.3), "gsr")
+    return got.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("gsr_filtered", "gsr_filtered_clean", "gsr_filtered_clean_zscored")}).withColumn("ts", us("ts"))
 
 
 @query()
