@@ -13,6 +13,7 @@ from ..functions.timing import from_micros, micros
 from ..kernels import filters, spectral
 from .blocks import in_blocks, known_points, with_neighbours, with_positions
 from .byfile import by_file
+from .quantiles import exact_quantiles
 
 
 def _file() -> WindowSpec:
@@ -89,6 +90,21 @@ def scaled(column: str, method: str = "standard") -> Column:
     raise ValueError(f"unknown scaling {method!r}")
 
 
+def scale_selected(signals: DataFrame, column: str, method: str = "robust", out: str | None = None) -> DataFrame:
+    """Adds what :func:`scaled` gives for robust and range90, for recordings of any length.
+
+    The quantiles of a recording are selected by counting (:func:`.quantiles.exact_quantiles`), so
+    neither a window nor a buffer holds a recording.
+    """
+    shares = {"robust": [0.5, 0.25, 0.75], "range90": [0.05, 0.95]}
+    if method not in shares:
+        raise ValueError(f"no quantiles in scaling {method!r}")
+    told = exact_quantiles(signals, ["file_id"], column, shares[method]).select(F.col("file_id").alias("__file"), F.col("quantiles").alias("__q"))
+    x, q = F.col(column), F.col("__q")
+    value = F.try_divide(x - q[0], q[2] - q[1]) if method == "robust" else F.try_divide(x, q[1] - q[0])
+    return signals.join(told, F.col("file_id").eqNullSafe(F.col("__file")), "left").withColumn(out or f"{column}_scaled", value).drop("__file", "__q")
+
+
 def zscore_outlier(column: str, limit: float = 5.0) -> Column:
     """Whether a sample lies more than ``limit`` standard deviations from the file's mean."""
     x = F.col(column)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.timing import micros, seconds_between
 from .byfile import by_file
 from .intervals import slice_join
+from .quantiles import exact_quantiles
 
 #: Reducers by the names that definitions use; all skip NULLs.
 REDUCERS: dict[str, Callable[[Column], Column]] = {
@@ -166,3 +167,15 @@ DICTIONARY: dict[str, tuple[str, str | None]] = {
     "AMPmean": ("Mean respiratory amplitude", "au"), "AMPmax": ("Max respiratory amplitude", "au"), "AMPmin": ("Min respiratory amplitude", "au"), "AMPsd": ("Standard Deviation respiratory amplitude", "au"), "PERIODmean": ("Mean respiratory cycle duration", "s"), "PERIODsd": ("Standard Deviation of respiratory cycle duration", "s"), "INSPImean": ("Mean respiratory inspiration duration", "s"), "EXPImean": ("Mean respiratory expiration duration", "s"), "IEmean": ("Mean ratio between inspiration and expiration durations", "au"),
     "answerFinal": ("Final answer", "su"), "answerDuration": ("Duration of the answer", "s"),
 }
+
+
+def sequence_quantiles(samples: DataFrame, sequences: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """file_id, reference, n, and a column for each named share: exact quantiles of the samples of each sequence.
+
+    Sequences without values have n 0 and NULL quantiles. No group is gathered, however long it is.
+    """
+    joined = slice_join(sequences, samples.select("file_id", "ts", F.col(column).cast("double").alias("__v")), "inner")
+    told = exact_quantiles(joined, ["file_id", "reference"], "__v", list(shares.values())).select(F.col("file_id").alias("__f"), F.col("reference").alias("__r"), F.col("n").alias("__n"), "quantiles")
+    named = sequences.select("file_id", F.col("id").alias("reference")).distinct()
+    met = named.join(told, F.col("file_id").eqNullSafe(F.col("__f")) & F.col("reference").eqNullSafe(F.col("__r")), "left")
+    return met.select("file_id", "reference", F.coalesce("__n", F.lit(0)).cast("long").alias("n"), *[F.col("quantiles")[j].alias(name) for j, name in enumerate(shares)])

@@ -516,6 +516,19 @@ def interval_join_measured(spark: SparkSession, sf: str) -> DataFrame:
     return slice_join(sequences(spark, sf), errors, "left", buckets="measured").select("file_id", "reference", us("ts"), "value")
 
 
+_SHARES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99}
+
+
+@query(f"WITH {SIG}, {SEQ} SELECT q.file_id, q.id AS reference, count(s.value) AS n, " + ", ".join(f"round(quantile_cont(s.value, {p}), 6) + 0.0 AS {c}" for c, p in _SHARES.items()) + f" {_SLICE} GROUP BY q.file_id, q.id")
+def sequence_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    return r6(summarize.sequence_quantiles(samples(spark, sf), sequences(spark, sf), "value", _SHARES), *_SHARES)
+
+
+@query(f"WITH {SIG} SELECT file_id, epoch_us(ts) AS ts, round({_SCALED['robust']}, 6) + 0.0 AS scaled FROM sig WINDOW w AS (PARTITION BY file_id)")
+def scale_selected(spark: SparkSession, sf: str) -> DataFrame:
+    return r6(signal.scale_selected(samples(spark, sf).select("file_id", "ts", "value"), "value", "robust", "scaled").select("file_id", us("ts"), "scaled"), "scaled")
+
+
 _DEFINITIONS = {
     "sum": summarize.FeatureDefinition("numpy.sum", ["value"], divide_by_duration=True, empty_policy=0.0),
     "median": summarize.FeatureDefinition("numpy.nanmedian", ["value"], drop_bad_samples=True, empty_policy="bad"),
