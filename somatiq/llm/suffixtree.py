@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, text_slices
+from .common import durable, small_batches, text_slices, with_row_numbers, without
 from .embeddings import whole_groups
 from .textkern import _LOWER, _SPACE, mix64, word_hashes
 
@@ -370,7 +370,9 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(keys_out), pa.array(np.concatenate([rid, rid[owner]])), pa.array(np.concatenate([np.zeros(n, np.int32), times.astype(np.int32)])), told], names=["key", "rid", "times", "told"])
 
-    numbered = rows.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
+    # One scan may number rows as it meets them; several must agree on the numbers, however each is split.
+    held_rows = without(docs, "__rid").transform(lambda d: with_row_numbers(d, "__rid") if parts > 1 else d.withColumn("__rid", F.monotonically_increasing_id()))
+    numbered = held_rows.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col("__rid").alias("rid"))
     told = "struct<doc_id: long, n_tokens: long, n_known: long, base: double, score: double>"
     stream = numbered.mapInArrow(run, f"key long, rid long, times int, told {told}")
     # Further parts of a large tree add what they have to say of a text.

@@ -691,6 +691,23 @@ def test_suffix_tree_matches_plain_counting(spark, monkeypatch, least, most):
     assert [h[1] for h in have] == pytest.approx([w[1] for w in want], rel=1e-5)
 
 
+def test_parts_of_a_suffix_tree_agree_on_rows(spark, monkeypatch, tmp_path):
+    """Further parts add to the same texts, of stored tables and of those that are stored nowhere."""
+    original = suffixtree.fit_tree
+    monkeypatch.setattr(suffixtree, "fit_tree", lambda counts, depth: original(counts, depth, 3))
+    table(spark, corpus(60, 4)).repartition(5).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    want = {r.doc_id: r.score for r in suffixtree.score_texts(stored, crc32_mod(F.col("doc_id"), 10) != 0, depth=4).collect()}
+    monkeypatch.setattr(suffixtree, "MOST_ENTRIES", 100)
+    passes = []
+    part_scores = suffixtree._part_scores
+    monkeypatch.setattr(suffixtree, "_part_scores", lambda numbered, held: passes.append(1) or part_scores(numbered.repartition(2 + len(passes)), held))
+    for docs in (stored, stored.orderBy(F.rand())):
+        got = {r.doc_id: r.score for r in suffixtree.score_texts(docs, crc32_mod(F.col("doc_id"), 10) != 0, depth=4).collect()}
+        assert got == pytest.approx(want, rel=1e-5)
+    assert len(passes) > 2
+
+
 def test_row_numbers_are_the_same_in_every_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(500).selectExpr("id % 7 AS doc_id", "cast(id as string) AS text").repartition(5).write.parquet(path)
