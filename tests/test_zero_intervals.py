@@ -7,7 +7,7 @@ from __spark_entry__ import oracle_sql, queries
 
 from .oracle import assert_same, connect
 
-NAMES = ["nn_intervals_reject", "nn_rejection_summary"]
+NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation"]
 
 
 @pytest.fixture(scope="module")
