@@ -7,7 +7,7 @@ from __spark_entry__ import oracle_sql, queries
 
 from .oracle import assert_same, connect
 
-NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation"]
+NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation", "hrv_geometric_features"]
 
 
 @pytest.fixture(scope="module")
