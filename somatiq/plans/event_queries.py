@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import behavior, eda, events, survey, validate
 from ..operators.intervals import filter_sequences, number_occurrences, standard_order
 from .catalogue import query
-from .inputs import GAME_SQL, SEQ, SIG, game_events, game_sequences, r6, samples, sequences, us, visits
+from .inputs import GAME_SQL, SEQ, SIG, game_events, game_sequences, r6, rounded, samples, sequences, us, visits
 
 _POINTS = "points AS (SELECT file_id, label || '_' || (row_number() OVER (PARTITION BY file_id, label ORDER BY ts, event_id) - 1) AS id, label AS name, ts AS b, CAST(NULL AS TIMESTAMP) AS e, data FROM sig)"
 
@@ -62,7 +62,7 @@ def spawn_stimulations(spark: SparkSession, sf: str) -> DataFrame:
 def motion_tau(spark: SparkSession, sf: str) -> DataFrame:
     t = F.unix_micros(F.col("ts").cast("timestamp"))
     a = behavior.participant_actions(game_events(spark, sf), game_sequences(spark, sf))
-    return a.groupBy("file_id").agg(F.round(F.try_divide(F.sum("trajectory_length"), (F.max(t) - F.min(t)) / 1e6), 9).alias("tau"))
+    return a.groupBy("file_id").agg(rounded(F.try_divide(F.sum("trajectory_length"), (F.max(t) - F.min(t)) / 1e6), 9).alias("tau"))
 
 
 _TRANS = f"WITH {SIG}, t AS (SELECT file_id, label AS state, lag(label) OVER (PARTITION BY file_id ORDER BY ts, event_id) AS prev_state FROM sig), c AS (SELECT file_id, state, prev_state, count(*) AS n FROM t WHERE prev_state IS NOT NULL GROUP BY ALL)"
@@ -168,7 +168,7 @@ _GROUPS = ", ".join(f"('vr-meta-{g}', '{r}')" for g, refs in survey.META_GROUPS.
 
 @query(f"{_REP}, g(meta, ref) AS (VALUES {_GROUPS}) SELECT file_id, id, meta AS reference, round(avg(value) + 1e-9, 5) AS value FROM r JOIN g ON r.reference = g.ref GROUP BY file_id, id, meta")
 def survey_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return survey.meta_features(survey.report_features(_reports(spark, sf))).withColumn("value", F.round(F.col("value") + 1e-9, 5))
+    return survey.meta_features(survey.report_features(_reports(spark, sf))).withColumn("value", rounded(F.col("value") + 1e-9, 5))
 
 
 @query("""WITH e AS (SELECT user_id AS file_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) SELECT file_id, bool_and(coalesce(before <= ts, TRUE)) AS monotonic FROM e GROUP BY file_id""")

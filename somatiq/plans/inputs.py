@@ -81,9 +81,15 @@ def us(c: str) -> Column:
     return micros(c).alias(c)
 
 
+def rounded(c: Column | str, digits: int) -> Column:
+    """Doubles rounded as SQL engines do, in floating point: Spark's own ``round`` goes by the shortest decimal, which may be a tie where the double is none."""
+    scale = F.lit(10.0**digits)
+    return F.round((F.col(c) if isinstance(c, str) else c) * scale) / scale + F.lit(0.0)
+
+
 def r6(df: DataFrame, *columns: str) -> DataFrame:
     """Doubles rounded to six digits, so that the last bits of two engines don't differ."""
-    return df.withColumns({c: F.round(F.col(c), 6) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: rounded(c, 6) for c in columns})
 
 
 SIG = "sig AS (SELECT user_id AS file_id, ts, value, event_id, event_type AS label, props AS data FROM events)"

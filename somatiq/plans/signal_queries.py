@@ -13,7 +13,7 @@ from ..kernels import filters, spectral
 from ..operators import eda, hrv, nn, respiration, signal, summarize
 from ..operators.intervals import filter_sequences, slice_join
 from .catalogue import ORACLES, query
-from .inputs import BEATS, SEQ, SIG, beat_sequences, beats, nn_sql, r6, samples, sequences, us
+from .inputs import BEATS, SEQ, SIG, beat_sequences, beats, nn_sql, r6, rounded, samples, sequences, us
 from .inputs import nn as nn_table
 
 HRV = ("RMSSD", "meanNN", "SDNN", "medianNN", "pNN50", "pNN20")
@@ -32,7 +32,7 @@ def nn_intervals_reject(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {SIG}, p AS (SELECT file_id, ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY file_id ORDER BY ts))) / 1e6 * 1000 AS nn FROM sig WHERE label = 'click') SELECT file_id, epoch_us(ts) AS ts, round(nn, 3) AS nn FROM p WHERE nn IS NOT NULL")
 def nn_from_peaks(spark: SparkSession, sf: str) -> DataFrame:
     got = nn.intervals_from_peaks(samples(spark, sf).where("label = 'click'"))
-    return got.select("file_id", us("ts"), F.round("nn", 3).alias("nn"))
+    return got.select("file_id", us("ts"), rounded("nn", 3).alias("nn"))
 
 
 @query(f"WITH {SIG}, {nn_sql(25, 20, 200)} SELECT file_id, details, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY file_id), 6) AS percentage FROM nn GROUP BY file_id, details")
@@ -94,7 +94,7 @@ def hrv_frequency_features(spark: SparkSession, sf: str) -> DataFrame:
     """The good intervals on a grid of 4 Hz; recordings last long enough for the longest epochs."""
     nni = signal.interpolate_nn(_beat_intervals(spark, sf), 4.0)
     got = hrv.frequency_features(nni, beat_sequences(spark, sf), 4.0)
-    return r6(got.withColumns({b: F.round(b, 4) for b in hrv.HRV_BANDS}), "LFHF")
+    return r6(got.withColumns({b: rounded(b, 4) for b in hrv.HRV_BANDS}), "LFHF")
 
 
 _DFA = [f"""SELECT q.file_id, q.reference, '{name}' AS feature, regr_slope(ln(f), ln(n)) AS value FROM (SELECT file_id, reference, n, sqrt(sum(ss) / (count(*) * n)) AS f FROM
@@ -116,7 +116,7 @@ def hrv_nonlinear_features(spark: SparkSession, sf: str) -> DataFrame:
     SELECT file_id, ts, round({_VALUE}, 4) + 0.0 AS nni FROM g""")
 def nn_interpolation(spark: SparkSession, sf: str) -> DataFrame:
     got = signal.interpolate_nn(nn_table(spark, sf), 1 / 3600)
-    return got.select("file_id", us("ts"), (F.round("nni", 4) + F.lit(0.0)).alias("nni"))
+    return got.select("file_id", us("ts"), rounded("nni", 4).alias("nni"))
 
 
 @query(f"""WITH {SIG}, d AS (SELECT file_id, ts, greatest(value - coalesce(lag(value) OVER w, 0), 0) AS d, row_number() OVER w AS n FROM sig WINDOW w AS (PARTITION BY file_id ORDER BY ts))
@@ -263,7 +263,7 @@ def uniform_resample_hold(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {SIG}, d AS (SELECT file_id, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY file_id ORDER BY ts)) / 1e6 AS dt FROM sig), m AS (SELECT file_id, quantile_cont(dt, 0.5) AS m, max(dt) AS hi, min(dt) AS lo, count(*) AS samples FROM d GROUP BY file_id)
     SELECT file_id, round(1.0 / m, 9) AS rate, coalesce(hi - m <= m AND m - lo <= m, TRUE) AS uniform, samples FROM m""")
 def rate_estimate(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.estimate_rate(samples(spark, sf)).withColumn("rate", F.round("rate", 9))
+    return signal.estimate_rate(samples(spark, sf)).withColumn("rate", rounded("rate", 9))
 
 
 _RAW = "raw AS (SELECT file_id, ts, CASE WHEN CAST(json_extract_string(data, '$.k') AS INT) % 10 = 0 THEN NULL WHEN CAST(json_extract_string(data, '$.k') AS INT) % 10 = 1 THEN 0.0 ELSE value * 5 - 100 END AS x FROM sig)"
@@ -318,14 +318,14 @@ _SCL = ("SCLmean", "SCLmedian", "SCLsd", "SCLauc")
     SELECT file_id, reference, round(avg(y), 6) AS "SCLmean", round(quantile_cont(y, 0.5), 6) AS "SCLmedian", round(stddev_pop(y), 6) + 0.0 AS "SCLsd", round(sum(area) / nullif((max(t) - min(t)) / 60e6, 0), 4) AS "SCLauc" FROM j GROUP BY file_id, reference""")
 def scl_features(spark: SparkSession, sf: str) -> DataFrame:
     got = eda.scl_features(samples(spark, sf).select("file_id", "ts", "value"), sequences(spark, sf), "value")
-    return r6(got, *_SCL[:3]).withColumn("SCLauc", F.round("SCLauc", 4))
+    return r6(got, *_SCL[:3]).withColumn("SCLauc", rounded("SCLauc", 4))
 
 
 @query(f"""WITH {SIG}, {SEQ}, j AS (SELECT q.file_id, q.id AS reference, s.value AS y, (epoch_us(s.ts) - min(epoch_us(s.ts)) OVER (PARTITION BY q.file_id, q.id)) / 1e6 AS x FROM seq q JOIN sig s ON s.file_id = q.file_id AND s.ts BETWEEN q.b AND q.e)
     SELECT file_id, reference, round(regr_slope(y, x), 6) + 0.0 AS slope, round(regr_intercept(y, x), 4) AS intercept, round(CASE WHEN count(y) > 1 THEN corr(y, x) END, 6) + 0.0 AS r FROM j GROUP BY file_id, reference""")
 def linear_trend_ols(spark: SparkSession, sf: str) -> DataFrame:
     got = eda.trend_ols(samples(spark, sf).select("file_id", "ts", "value"), sequences(spark, sf), "value")
-    return r6(got, "slope", "r").withColumn("intercept", F.round("intercept", 4))
+    return r6(got, "slope", "r").withColumn("intercept", rounded("intercept", 4))
 
 
 #: Reweighted lines: each round weighs the samples by their residuals, until the line rests or the scale is nil.
@@ -349,7 +349,7 @@ _HUBER = f"""WITH RECURSIVE {SIG}, {SEQ}, j AS (SELECT q.file_id, q.id AS refere
 @query(_HUBER)
 def linear_trend_robust(spark: SparkSession, sf: str) -> DataFrame:
     got = eda.trend_robust(samples(spark, sf).select("file_id", "ts", "value"), sequences(spark, sf), "value")
-    return r6(got, "r").withColumns({"slope": F.round("slope", 9) + F.lit(0.0), "intercept": F.round("intercept", 4)})
+    return r6(got, "r").withColumns({"slope": rounded("slope", 9), "intercept": rounded("intercept", 4)})
 
 
 def _peaks(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,7 +368,7 @@ def _peaks(spark: SparkSession, sf: str) -> DataFrame:
       round(CASE WHEN n = 0 THEN NULL WHEN k IS NULL THEN 0 ELSE d END, 3) AS "SCRdecrease", round(CASE WHEN n = 0 THEN NULL WHEN k IS NULL THEN 0 ELSE k / nullif(minutes, 0) END, 6) AS "SCRrate" FROM spans LEFT JOIN means USING (file_id, reference)""")
 def scr_features(spark: SparkSession, sf: str) -> DataFrame:
     got = eda.scr_features(samples(spark, sf).select("file_id", "ts", "value"), _peaks(spark, sf), sequences(spark, sf), "value")
-    return r6(got, "SCRamplitude", "SCRrate").withColumns({c: F.round(c, 3) for c in ("SCRincrease", "SCRdecrease")})
+    return r6(got, "SCRamplitude", "SCRrate").withColumns({c: rounded(c, 3) for c in ("SCRincrease", "SCRdecrease")})
 
 
 _CYC = f"""WITH {SIG}, {_NEAR}, x AS (SELECT file_id, epoch_us(ts) AS t, ts, value AS v, value > a AND value > b AS is_peak FROM near WHERE value > a AND value > b OR value < a AND value < b),
@@ -392,7 +392,7 @@ _RESP = {"AMPmean": "avg(amplitude)", "AMPmax": "max(amplitude)", "AMPmin": "min
 @query(_CYC + f", {SEQ} SELECT q.file_id, q.id AS reference, " + ", ".join(f'round({v} + 1e-9, 4) AS "{k}"' for k, v in _RESP.items()) + " FROM seq q LEFT JOIN cyc c ON c.file_id = q.file_id AND c.ts BETWEEN q.b AND q.e GROUP BY q.file_id, q.id")
 def respiration_features(spark: SparkSession, sf: str) -> DataFrame:
     got = respiration.features(respiration.cycles(respiration.extrema(_steps(spark, sf), "value")), sequences(spark, sf))
-    return got.withColumns({c: F.round(F.col(c) + 1e-9, 4) for c in _RESP})
+    return got.withColumns({c: rounded(F.col(c) + 1e-9, 4) for c in _RESP})
 
 
 def _fir_sql(order: int, frequencies: list[float], kind: str = "lowpass", table: str = "sig") -> str:
@@ -448,7 +448,7 @@ def pchip_fill(spark: SparkSession, sf: str) -> DataFrame:
     SELECT file_id, epoch, round(sum(power * CASE f WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 1 ELSE 0 END) / 48, 4) + 0.0 AS value_low_abs, round(sum(power * CASE f WHEN 3 THEN 1 WHEN 4 THEN 4 WHEN 5 THEN 2 WHEN 6 THEN 4 WHEN 7 THEN 1 ELSE 0 END) / 48, 4) + 0.0 AS value_high_abs FROM p GROUP BY file_id, epoch""")
 def bandpower(spark: SparkSession, sf: str) -> DataFrame:
     got = signal.band_power(samples(spark, sf), "value", 1.0, {"low": (None, 0.15), "high": (0.15, None)}, 16, 8)
-    return got.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("value_low_abs", "value_high_abs")})
+    return got.withColumns({c: rounded(c, 4) for c in ("value_low_abs", "value_high_abs")})
 
 
 _KNOWN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -474,7 +474,7 @@ def gsr_clean(spark: SparkSession, sf: str) -> DataFrame:
     x = F.when((F.col("file_id") % 7 == 0) & (F.col("x") > -100), F.lit(None)).otherwise(F.col("x"))
     noted = _gsr_raw(spark, sf).select("file_id", "ts", gsr_from_raw(x, 2.0, 1.0).alias("gsr"), missing_annotation(x).alias("annotation"))
     got = r6(eda.clean(noted, samples(spark, sf).where("label = 'click'"), 1.0, order=10, cutoff=0.3), "gsr")
-    return got.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("gsr_filtered", "gsr_filtered_clean", "gsr_filtered_clean_zscored")}).withColumn("ts", us("ts"))
+    return got.withColumns({c: rounded(c, 5) for c in ("gsr_filtered", "gsr_filtered_clean", "gsr_filtered_clean_zscored")}).withColumn("ts", us("ts"))
 
 
 @query()
@@ -543,7 +543,7 @@ _DEFINITIONS = {
     SELECT file_id, reference, id, round(value, 4) + 0.0 AS value, CASE WHEN id = 'value_median' AND value IS NULL THEN 'bad' ELSE 'ok' END AS status FROM l WHERE value IS NOT NULL OR id = 'value_median'""")
 def signal_to_feature(spark: SparkSession, sf: str) -> DataFrame:
     s = samples(spark, sf).select("file_id", "ts", "value", (F.col("label") == "error").alias("bad"))
-    return summarize.summarize(s, sequences(spark, sf), _DEFINITIONS).withColumn("value", F.round("value", 4) + F.lit(0.0))
+    return summarize.summarize(s, sequences(spark, sf), _DEFINITIONS).withColumn("value", rounded("value", 4))
 
 
 _LONG = _TIME + ", long AS (" + " UNION ALL ".join(f"""SELECT file_id, reference, '{c}' AS id, "{c}" AS value FROM wide""" for c in HRV) + ")"

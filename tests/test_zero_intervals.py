@@ -5,9 +5,11 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 
+from somatiq.plans.inputs import r6, rounded
+
 from .oracle import assert_same, connect
 
-NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation", "hrv_geometric_features"]
+NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation", "hrv_geometric_features", "hrv_time_features"]
 
 
 @pytest.fixture(scope="module")
@@ -24,3 +26,11 @@ def zeros(tmp_path_factory):
 @pytest.mark.parametrize("name", NAMES)
 def test_zero_intervals(spark, zeros, name):
     assert_same(queries()[name](spark, zeros).toPandas(), connect(zeros).sql(oracle_sql()[name]).df())
+
+
+def test_rounding_as_sql_does(spark):
+    """Decimals halfway between two results are doubles beside the middle: both engines take the same side."""
+    ties = "SELECT i AS id, (2 * i + 1) / 2e6 AS x, (i - 5000) / 7 AS y FROM (SELECT unnest(range(0, 40000000, 3989)) AS i)"
+    want = duckdb.sql(f"SELECT id, round(x, 6) AS x, round(-x, 6) AS n, round(y, 4) AS y FROM ({ties})").df()
+    got = r6(spark.createDataFrame(duckdb.sql(f"SELECT id, x, -x AS n, y FROM ({ties})").df()), "x", "n").withColumn("y", rounded("y", 4))
+    assert_same(got.toPandas(), want)
