@@ -9,7 +9,7 @@ from somatiq.plans.inputs import r6, rounded
 
 from .oracle import assert_same, connect
 
-NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation", "hrv_geometric_features", "hrv_time_features", "features_long"]
+NAMES = ["nn_intervals_reject", "nn_rejection_summary", "nn_interpolation", "hrv_geometric_features", "hrv_time_features", "features_long", "features_wide"]
 
 
 @pytest.fixture(scope="module")
