@@ -122,20 +122,40 @@ def dfa(x: np.ndarray, windows: Iterable[int]) -> float | None:
 
 def huber_line(x: np.ndarray, y: np.ndarray, bound: float = 1.345, tolerance: float = 1e-3, rounds: int = 50) -> tuple[float, float, float]:
     """(slope, intercept, Pearson r) of a Huber M-estimate by reweighting, scale from the MAD."""
-    design = np.stack([np.ones(len(x)), x], 1)
-    beta = np.linalg.lstsq(design, y, rcond=None)[0]
-    for _ in range(rounds):
-        rest = y - design @ beta
-        scale = np.median(np.abs(rest - np.median(rest))) / 0.6744897501960817
-        if scale <= 1e-12 * np.max(np.abs(y)):  # most samples lie on the line
-            break
-        u = np.abs(rest) / scale
-        weight = np.where(u <= bound, 1.0, bound / np.maximum(u, 1e-300))
-        root = np.sqrt(weight)[:, None]
-        new = np.linalg.lstsq(design * root, y * root[:, 0], rcond=None)[0]
-        done = np.max(np.abs(new - beta)) < tolerance * 1e-3
-        beta = new
-        if done:
-            break
-    r = float(np.corrcoef(x, y)[0, 1]) if len(x) > 1 and np.std(x) > 0 and np.std(y) > 0 else float("nan")
-    return float(beta[1]), float(beta[0]), r
+    slope, intercept, r = huber_lines(np.asarray(x, float)[None], np.asarray(y, float)[None], bound, tolerance, rounds)
+    return float(slope[0]), float(intercept[0]), float(r[0])
+
+
+def huber_lines(x: np.ndarray, y: np.ndarray, bound: float = 1.345, tolerance: float = 1e-3, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`huber_line`, for many equally long sequences at once, one in each row; NaN where x does not vary or values are not finite."""
+
+    def centred(v: np.ndarray, weight: np.ndarray | float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        mean = (weight * v).sum(1, keepdims=True) / np.broadcast_to(weight, v.shape).sum(1, keepdims=True)
+        return mean[:, 0], v - mean
+
+    def line(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        (mx, dx), (my, dy) = centred(x, weight), centred(y, weight)
+        b = (weight * dx * dy).sum(1) / (weight * dx * dx).sum(1)
+        return b, my - b * mx
+
+    with np.errstate(all="ignore"):
+        sound = np.isfinite(x).all(1) & np.isfinite(y).all(1) & (np.ptp(x, axis=1) > 0)
+        slope, intercept, r = (np.full(len(x), np.nan) for _ in range(3))
+        dx, dy = centred(x)[1], centred(y)[1]
+        varied = sound & (np.ptp(y, axis=1) > 0)
+        r[varied] = ((dx * dy).sum(1) / np.sqrt((dx * dx).sum(1) * (dy * dy).sum(1)))[varied]
+        at = np.flatnonzero(sound)
+        x, y = x[at], y[at]
+        slope[at], intercept[at] = line(x, y, 1.0)
+        for _ in range(rounds):
+            if not len(at):
+                break
+            rest = y - slope[at, None] * x - intercept[at, None]
+            scale = np.median(np.abs(rest - np.median(rest, axis=1, keepdims=True)), axis=1) / 0.6744897501960817
+            going = scale > 1e-12 * np.max(np.abs(y), axis=1)  # otherwise most samples lie on the line
+            at, x, y, rest, scale = at[going], x[going], y[going], np.abs(rest[going]), scale[going, None]
+            b, a = line(x, y, np.where(rest <= bound * scale, 1.0, bound * scale / np.maximum(rest, 1e-300)))
+            going = np.maximum(np.abs(b - slope[at]), np.abs(a - intercept[at])) >= tolerance * 1e-3
+            slope[at], intercept[at] = b, a
+            at, x, y = at[going], x[going], y[going]
+    return slope, intercept, r

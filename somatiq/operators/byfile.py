@@ -85,6 +85,34 @@ def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of at least ``rows`` rows (the last may have fewer) that split no run of rows that agree in ``by``, each with the places where its runs start."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def whole() -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        starts = _starts([table.column(c).combine_chunks() for c in by])
+        return table, np.concatenate([[0], starts])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if size >= rows:
+            keys = [batch.column(c) for c in by]
+            first = all(k.slice(0, 1) == held[-1].column(c).slice(held[-1].num_rows - 1, 1) for k, c in zip(keys, by, strict=True))
+            cuts = [*([] if first else [0]), *_starts(keys).tolist()[:1]]
+            if cuts:
+                held.append(batch.slice(0, cuts[0]))
+                yield whole()
+                batch = batch.slice(cuts[0])  # noqa: PLW2901
+                held, size = [], 0
+        held.append(batch)
+        size += batch.num_rows
+    if held:
+        yield whole()
+
+
 def arrays_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[list[pa.Array], dict[str, np.ndarray]]]:
     """(keys, each one row; the other columns as arrays, missing numbers NaN) of each such run, without an object per run and column."""
     names: list[str] = []

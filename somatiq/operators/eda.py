@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import OUTLIER, OUTSIDE, gsr_from_raw, gsr_saturation, missing_annotation
 from ..functions.timing import from_micros, micros, shift_seconds
 from ..kernels import filters, spectral
-from .byfile import by_file, groups_of, tasks_for
+from .byfile import by_file, groups_of, tasks_for, whole_groups
 from .intervals import slice_join
 from .signal import _kind, fill_gaps, fir_filter, scaled, zscore_outlier
 
@@ -185,15 +185,27 @@ def trend_ols(samples: DataFrame, sequences: DataFrame, column: str) -> DataFram
 
 
 def trend_robust(samples: DataFrame, sequences: DataFrame, column: str) -> DataFrame:
-    """As :func:`trend_ols`, by a Huber M-estimate."""
-    joined = slice_join(sequences, samples.where(F.col(column).isNotNull()).select("file_id", "ts", F.col(column).cast("double").alias("y")), "inner")
+    """As :func:`trend_ols`, by a Huber M-estimate; NULL where values are not finite.
 
-    def run(c: dict[str, np.ndarray]) -> dict:
-        x = (c["ts"] - c["ts"][0]) / np.timedelta64(1, "s")
-        line = spectral.huber_line(x, c["y"]) if len(x) > 1 and x[-1] > 0 else (None, None, None)
-        return dict(zip(("slope", "intercept", "r"), line, strict=True))
+    Sequences of equal length are solved together: there are many short ones.
+    """
+    joined = slice_join(sequences, samples.where(F.col(column).isNotNull()).select("file_id", "ts", F.col(column).cast("double").alias("y")), "inner")
+    keys = ["file_id", "reference"]
 
-    return by_file(joined, run, f"file_id {_kind(samples)}, reference string, slope double, intercept double, r double", keys=("file_id", "reference"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, keys, POOL):
+            t, y = (rows.column(c).to_numpy() for c in ("t", "y"))
+            sizes = np.diff(starts, append=rows.num_rows)
+            lines = np.empty((3, len(starts)))
+            for n in np.unique(sizes):
+                which = np.flatnonzero(sizes == n)
+                own = starts[which, None] + np.arange(n)
+                lines[:, which] = spectral.huber_lines((t[own] - t[starts[which], None]) / 1e6, y[own])
+            told = {c: rows.column(c).take(pa.array(starts)).combine_chunks() for c in keys}
+            yield pa.record_batch(told | {c: pa.array(v, from_pandas=True) for c, v in zip(("slope", "intercept", "r"), lines, strict=True)})
+
+    dealt = joined.select(*keys, micros("ts").alias("t"), "y").repartition(tasks_for(samples), *keys).sortWithinPartitions(*keys, "t")
+    return dealt.mapInArrow(run, f"file_id {_kind(samples)}, reference string, slope double, intercept double, r double")
 
 
 def scr_features(scr: DataFrame, peaks: DataFrame, sequences: DataFrame, column: str = "scr") -> DataFrame:

@@ -215,3 +215,45 @@ def test_tonic_phasic_adds_up():
     phasic, tonic, _ = filters.tonic_phasic(y, fs)
     assert np.abs(phasic + tonic - y).mean() < 0.1
     assert phasic.min() >= -1e-9
+
+
+def test_huber_lines_solve_equally_long_sequences_together():
+    """Each row as it would be alone: outliers, exact lines, constants, a single time and values that are not finite."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 8, 40):
+        x = np.sort(rng.uniform(0, 1e5, (60, n)), axis=1)
+        y = 3e-3 * x + rng.normal(0, 5, x.shape) + (rng.random(x.shape) < 0.1) * 500
+        x[0], y[1], y[2] = 7.0, 0.1, 2 * x[2] + 1
+        y[3, 0] = np.nan
+        slope, intercept, r = spectral.huber_lines(x, y)
+        for i in range(60):
+            if i in (0, 3) or n == 1:
+                assert np.isnan(slope[i]) and np.isnan(intercept[i]) and np.isnan(r[i])
+                continue
+            weight, line = np.ones(n), np.polyfit(x[i], y[i], 1)
+            for _ in range(50):
+                rest = np.abs(y[i] - np.polyval(line, x[i]))
+                scale = np.median(np.abs(y[i] - np.polyval(line, x[i]) - np.median(y[i] - np.polyval(line, x[i])))) / 0.6744897501960817
+                if scale <= 1e-9:
+                    break
+                weight = np.where(rest <= 1.345 * scale, 1.0, 1.345 * scale / np.maximum(rest, 1e-300))
+                new = np.polyfit(x[i], y[i], 1, w=np.sqrt(weight))
+                done, line = np.max(np.abs(new - line)) < 1e-6, new
+                if done:
+                    break
+            assert (slope[i], intercept[i]) == pytest.approx(tuple(line), rel=1e-6, abs=1e-6)
+            assert np.isnan(r[i]) if i == 1 else r[i] == pytest.approx(np.corrcoef(x[i], y[i])[0, 1], abs=1e-9)
+
+
+def test_whole_groups_split_no_run():
+    import pyarrow as pa
+
+    from somatiq.operators.byfile import whole_groups
+
+    key = [None] * 3 + [1] * 4 + [2] * 25 + [3] + [4] * 7
+    for size in (1, 3, 4, 10, 100):
+        batches = [pa.record_batch({"k": pa.array(key[i : i + size], "int64"), "v": pa.array(range(i, min(i + size, len(key))))}) for i in range(0, len(key), size)]
+        got = list(whole_groups(iter(batches), ["k"], 5))
+        assert pa.concat_tables(t for t, _ in got).column("v").to_pylist() == list(range(len(key)))
+        runs = [(t.column("k")[int(a)].as_py(), int(n)) for t, s in got for a, n in zip(s, np.diff(s, append=t.num_rows), strict=True)]
+        assert runs == [(None, 3), (1, 4), (2, 25), (3, 1), (4, 7)] and all(t.num_rows >= 5 for t, _ in got[:-1])
