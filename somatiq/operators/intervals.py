@@ -30,7 +30,8 @@ def pair_markers(events: DataFrame, begins: Column, ends: Column, name: Column,
 #: Session setting: how sequences meet samples where a call does not say (``file`` or ``measured``).
 BUCKETS = "somatiq.intervals.buckets"
 #: A sequence of a level touches SHARE to 4 * SHARE + 1 of its buckets, so a bucket is at most a SHARE-th of it.
-SHARE = 16
+#: Each of them is a row that is shuffled: most sequences hold few samples, so more buckets cost more than the pairs that they save.
+SHARE = 1
 
 
 def slice_join(sequences: DataFrame, samples: DataFrame, how: str = "left", bucket_seconds: float | None = None, buckets: str | None = None) -> DataFrame:
@@ -44,10 +45,11 @@ def slice_join(sequences: DataFrame, samples: DataFrame, how: str = "left", buck
                   with some dozens of sequences.
     ``measured``  time buckets measured from the sequences' own lengths, for recordings with very
                   many samples or sequences. Lengths fall into levels of a factor of four; a sequence
-                  goes to the 16 to 65 buckets of its level that it touches, a sample to its bucket
-                  in each level in use. A sample meets only sequences that hold it or end within a
-                  16th of their length from it, so work follows the result and not samples times
-                  sequences, and a recording is spread over its buckets.
+                  goes to the one to five buckets of its level that it touches, a sample to its bucket
+                  in each level in use. A sample meets only sequences that hold it or end within
+                  their length from it, so work follows the result and not samples times
+                  sequences. Buckets of the longest sequences hold up to a whole recording;
+                  adaptive execution deals such a one to several tasks.
 
     ``bucket_seconds`` sets one fixed length of buckets instead.
     """
@@ -74,17 +76,24 @@ def slice_join(sequences: DataFrame, samples: DataFrame, how: str = "left", buck
     return met.unionByName(lost, allowMissingColumns=True)
 
 
-def _measured_join(q: DataFrame, s: DataFrame, matches: Column) -> DataFrame:
-    """Each sequence in the buckets of its level, each sample in one bucket of every level in use."""
+def _in_buckets(q: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sequences with their level, and each in the buckets of its level that it touches."""
     # Buckets of level k are 4 ** k microseconds long; shifts keep the arithmetic whole.
     length = F.greatest(micros("end") - micros("begin"), F.lit(SHARE)).cast("double")
-    level = F.greatest(F.floor(F.log2(length / SHARE) / 2), F.lit(0)).cast("int")
-    bucket = lambda c, k: F.call_function("shiftright", micros(c), 2 * k)
-    levelled = q.withColumn("__level", level)
-    spread = levelled.withColumn("__b", F.explode(F.sequence(bucket("begin", F.col("__level")), bucket("end", F.col("__level")))))
+    levelled = q.withColumn("__level", F.greatest(F.floor(F.log2(length / SHARE) / 2), F.lit(0)).cast("int"))
+    return levelled, levelled.withColumn("__b", F.explode(F.sequence(_bucket("begin", F.col("__level")), _bucket("end", F.col("__level")))))
+
+
+def _bucket(c: str, level: Column) -> Column:
+    return F.call_function("shiftright", micros(c), 2 * level)
+
+
+def _measured_join(q: DataFrame, s: DataFrame, matches: Column) -> DataFrame:
+    """Each sequence in the buckets of its level, each sample in one bucket of every level in use."""
+    levelled, spread = _in_buckets(q)
     # At most 30 levels: a list of one row, which Spark works out as part of the query.
     levels = levelled.select("__level").distinct().agg(F.collect_list("__level").alias("levels")).scalar()
-    placed = s.withColumn("__on", F.explode(levels)).withColumn("__c", bucket("ts", F.col("__on")))
+    placed = s.withColumn("__on", F.explode(levels)).withColumn("__c", _bucket("ts", F.col("__on")))
     return spread.join(placed, matches & (F.col("__level") == F.col("__on")) & (F.col("__b") == F.col("__c")))
 
 

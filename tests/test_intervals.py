@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from somatiq.operators import hrv
-from somatiq.operators.intervals import BUCKETS, slice_join
+from somatiq.operators.intervals import BUCKETS, _in_buckets, slice_join
 
 from .oracle import assert_same
 
@@ -63,6 +63,15 @@ def test_long_recording_with_many_sequences(spark):
     assert [got.get(f"s{i}", 0) for i in range(k)] == want.tolist()
 
 
+def test_sequences_go_to_few_buckets(spark):
+    """Rows that are shuffled for a sequence, of whatever length and place: five at most."""
+    lengths = [n + d for k in range(22) for n in (4**k, 2 * 4**k) for d in (-1, 0, 1)]
+    q = spark.createDataFrame([(1, f"s{i}", at(b), at(b + n)) for i, n in enumerate(lengths) for b in (0, 12_345_678_901)], SEQUENCES)
+    met = _in_buckets(q.select("file_id", F.col("id").alias("reference"), "begin", "end"))[1]
+    rows = met.groupBy("reference", "begin").count().toPandas()["count"]
+    assert len(rows) == 2 * len(lengths) and rows.max() <= 5
+
+
 def test_plan_joins_on_bucket_and_level(spark):
     q, s = spark.createDataFrame([(1, "a", at(0), at(9))], SEQUENCES), spark.createDataFrame([(1, at(5), 1.0)], SAMPLES)
     plan = slice_join(q, s, "inner", buckets="measured")._jdf.queryExecution().optimizedPlan().toString()
