@@ -331,14 +331,14 @@ def band_power(signals: DataFrame, column: str, fs: float, bands: dict[str, tupl
 
 
 def interpolate_nn(nn: DataFrame, fs: float, column: str = "nn") -> DataFrame:
-    """file_id, ts, <column>i: good intervals on a uniform grid by monotone cubics; files with fewer than two give none."""
+    """file_id, ts, <column>i: good intervals on a uniform grid by monotone cubics; files with fewer than two give none. Intervals of unknown length are not bridged."""
 
     def run(c: dict[str, np.ndarray]) -> dict:
         t = c["ts"].astype("datetime64[us]").astype(np.int64)
         if len(t) < 2:
             return {}
         grid = t[0] + np.round(np.arange(int((t[-1] - t[0]) * fs / 1e6 + 1e-9) + 1) * 1e6 / fs).astype(np.int64)
-        return {"ts": grid.astype("datetime64[us]"), f"{column}i": filters.pchip(t.astype(float), c[column].astype(float), grid.astype(float))}
+        return {"ts": grid.astype("datetime64[us]"), f"{column}i": filters.pchip_runs(t.astype(float), c[column].astype(float), grid.astype(float))}
 
     good = nn.where("not bad") if "bad" in nn.columns else nn
     return by_file(good.select("file_id", "ts", column), run, f"file_id {_kind(nn)}, ts timestamp_ntz, {column}i double")

@@ -7,7 +7,7 @@ from __spark_entry__ import oracle_sql, queries
 
 from .oracle import assert_same, connect
 
-NAMES = ["nn_intervals_reject", "nn_rejection_summary", "hrv_geometric_features", "hrv_time_features", "features_long", "features_wide"]
+NAMES = ["nn_intervals_reject", "nn_rejection_summary", "hrv_geometric_features", "hrv_time_features", "features_long", "features_wide", "nn_interpolation"]
 #: Changes of 1/4, 7/4, 3/4 and 5/4 that Java's logarithm decides otherwise than SQL's.
 PAIRS = [(339.48, 84.87), (383.88, 95.97), (54.84, 95.97), (127.96, 95.97), (169.56, 127.17), (339.48, 254.61), (452.64, 339.48), (339.48, 424.35)]
 
